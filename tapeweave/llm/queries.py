@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, line_dedup, mixing, neighbours, packing, quality, secrets, substrings, warc
+from . import jaccard, licenses, line_dedup, mixing, neighbours, packing, quality, secrets, substrings, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), shingle=4, num=85, den=100)
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048)
 
@@ -59,7 +63,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_license_scan, op4_line_dedup, op5_warc, op6_secret_scan, op7_mixing, op8_quality_rules, op9_nearest, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_best_fit_packing, op3_license_scan, op4_line_dedup, op5_warc, op6_secret_scan, op7_mixing, op8_quality_rules, op9_nearest, op10_substring_dedup)}
 
 ORACLES = {
     "op4_line_dedup": r"""
