@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import small_side, written
+
 SPACE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 #: Above so many repeated windows in a text, their places are found by sorting, not by look-ups.
@@ -25,13 +27,18 @@ def _repeated_places(windows: Column, ordered: Column) -> Column:
     return twice, few, many
 
 
+def with_hashes(df: DataFrame, text_col: str) -> DataFrame:
+    """Adds _words and _hashes, the words' hashes; columns, so that each is computed once."""
+    return df.withColumn("_words", tokens(F.col(text_col))).withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
+
+
 def text_counts(docs: DataFrame, text_col: str, window: int = 3) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of text_col (null: none)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    df = docs.withColumn("_words", tokens(F.col(text_col)))
-    n = F.size("_words")
+    df = with_hashes(docs, text_col)
+    n = F.size("_hashes")
     places = F.when(n >= window, F.sequence(F.lit(1), n - (window - 1))).otherwise(F.array().cast("array<int>"))
-    df = df.withColumn("_windows", F.transform(places, lambda i: F.xxhash64(*[F.element_at("_words", i + k) for k in range(window)])))
+    df = df.withColumn("_windows", F.transform(places, lambda i: F.xxhash64(*[F.element_at("_hashes", i + k) for k in range(window)])))
     df = df.withColumn("_sorted", F.sort_array("_windows"))
     twice, few, many = _repeated_places(F.col("_windows"), F.col("_sorted"))
     df = df.withColumn("_twice", twice)
@@ -41,29 +48,31 @@ def text_counts(docs: DataFrame, text_col: str, window: int = 3) -> DataFrame:
     p = F.col("_places")
     steps = F.zip_with(F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), F.slice(p, 1, F.greatest(F.size(p) - 1, F.lit(0))), lambda b, a: F.least(b - a, F.lit(window)))
     covered = F.when(F.size(p) == 0, F.lit(0)).otherwise(F.aggregate(steps, F.lit(window), lambda a, x: a + x))
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
+    df = df.withColumn("_lines", F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")))
+    some = text.rlike(f"[{SYMBOLS}]")
     out = {
         "n_words": n.cast("long"),
-        "word_chars": F.char_length(F.regexp_replace(text, SPACE, "")).cast("long"),
-        "n_symbols": F.char_length(F.regexp_replace(text, f"[^{SYMBOLS}]+", "")).cast("long"),
-        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
+        "word_chars": F.char_length(F.array_join("_words", "")).cast("long"),
+        "n_symbols": F.when(some, F.char_length(F.regexp_replace(text, f"[^{SYMBOLS}]+", ""))).otherwise(0).cast("long"),
+        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         "n_repeat_words": covered.cast("long"),
     }
-    return df.withColumns(out).drop("_words", "_windows", "_sorted", "_twice", "_pairs", "_places")
+    return df.withColumns(out).drop("_words", "_hashes", "_windows", "_sorted", "_twice", "_pairs", "_places", "_lines")
 
 
-def grams(text: Column, orders: tuple[int, ...], buckets: int) -> Column:
-    """Buckets of the hashed word n-grams of a text; text is split once for all orders."""
-    words = tokens(text)
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    arrays = []
+def gram_rows(docs: DataFrame, text_col: str, orders: tuple[int, ...], buckets: int) -> DataFrame:
+    """docs without the text, a row with `bucket` for each hashed word n-gram of each text."""
+    df = with_hashes(docs, text_col).drop(text_col, "_words")
+    names = []
     for n in range(1, max(orders) + 1):
-        if n > 1:
-            hashes = F.zip_with(hashes, F.slice(words, n, F.size(words) + 1), lambda h, w: F.xxhash64(h, w))
-            hashes = F.slice(hashes, 1, F.greatest(F.size(words) - (n - 1), F.lit(0)))
-        if n in orders:
-            arrays.append(F.transform(hashes, lambda h: F.pmod(h, F.lit(buckets)).cast("int")))
-    return arrays[0] if len(arrays) == 1 else F.flatten(F.array(*arrays))
+        last = F.col(f"_g{n - 1}") if n > 1 else F.col("_hashes")
+        more = F.greatest(F.size("_hashes") - (n - 1), F.lit(0))
+        df = df.withColumn(f"_g{n}", last if n == 1 else F.zip_with(F.slice(last, 1, more), F.slice("_hashes", n, more), lambda h, w: F.xxhash64(h, w)))
+        names.append(f"_g{n}")
+    df = df.withColumn("_grams", F.concat(*[F.col(f"_g{n}") for n in orders])).drop("_hashes", *names)
+    # an outer explode: for an inner one, Spark would work the arrays out once more to leave out empty ones
+    df = df.withColumn("bucket", F.explode_outer("_grams")).filter(F.col("bucket").isNotNull()).drop("_grams")
+    return df.withColumn("bucket", F.pmod("bucket", F.lit(buckets)).cast("int"))
 
 
 def gram_ratios(docs: DataFrame, trusted: DataFrame, *, id_col: str, text_col: str, orders: tuple[int, ...], buckets: int, prior: float) -> DataFrame:
@@ -73,8 +82,10 @@ def gram_ratios(docs: DataFrame, trusted: DataFrame, *, id_col: str, text_col: s
     tell anything have a ratio near 0. Counted over all documents in one pass; the table has
     `buckets` rows at most, whatever the corpus.
     """
-    marked = docs.join(trusted.select(F.col(id_col), F.lit(1).alias("_trusted")).distinct(), id_col, "left")
-    counts = marked.select(F.coalesce("_trusted", F.lit(0)).alias("_trusted"), F.explode(grams(F.col(text_col), orders, buckets)).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("_raw"), F.sum("_trusted").alias("_target"))
+    trusted = trusted.select(F.col(id_col), F.lit(1).alias("_trusted")).distinct()
+    marked = docs.join(small_side(trusted, trusted.count()), id_col, "left").withColumn("_trusted", F.coalesce("_trusted", F.lit(0)))
+    counts = gram_rows(marked, text_col, orders, buckets).groupBy("bucket").agg(F.count("*").alias("_raw"), F.sum("_trusted").alias("_target"))
+    counts = written(counts, "gram-counts")
     scale = counts.agg((F.sum("_target") / F.sum("_raw")).alias("_scale"))
     return counts.crossJoin(F.broadcast(scale)).select("bucket", F.log((F.col("_target") + F.lit(prior)) / (F.col("_raw") * F.col("_scale") + F.lit(prior))).alias("ratio"))
 
@@ -86,8 +97,7 @@ def gram_scores(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id",
     """
     narrow = docs.select(id_col, text_col)
     ratios = gram_ratios(narrow, trusted, id_col=id_col, text_col=text_col, orders=orders, buckets=buckets, prior=prior)
-    exploded = narrow.select(id_col, F.explode(grams(F.col(text_col), orders, buckets)).alias("bucket"))
-    return exploded.join(F.broadcast(ratios), "bucket").groupBy(id_col).agg(F.avg("ratio").alias("score"))
+    return gram_rows(narrow, text_col, orders, buckets).join(F.broadcast(ratios), "bucket").groupBy(id_col).agg(F.avg("ratio").alias("score"))
 
 
 def quality_rules(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = -0.15, min_words: int = 50, max_repeat_percent: int = 50, orders: tuple[int, ...] = (1, 2), buckets: int = 1 << 16, prior: float = 10.0) -> DataFrame:
