@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -13,45 +16,70 @@ from pyspark.sql.window import Window
 
 from .shared import written
 
-#: Words whose ids a Python worker remembers.
-REMEMBERED = 300_000
+#: Entries of each generation of what a Python worker remembers.
+REMEMBERED = 200_000
 #: Lots that pieces of one length are ranked in.
 LOTS = 64
 
 
+class Remembered(dict):
+    """A function's values in two generations: when one is full, what it was not asked for again goes."""
+
+    def __init__(self, compute, most: int):
+        super().__init__()
+        self.compute, self.most, self.old = compute, most, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Encoder:
     """ids of whole texts: those of their white-space separated words, which a worker remembers.
 
-    The tokenizer never joins across white space, so a text's ids are its words' ids in a row.
+    The tokenizer never joins across white space, so a text's ids are its words' ids in a row. A word
+    of ASCII and the letters of Latin-1 is also cut here into the runs that the tokenizer cuts it into,
+    so that equal runs of different words are tokenised once; other words go to the tokenizer whole.
     """
 
+    #: Words whose normal form is their lower case, and the runs that they are cut into.
+    plain = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+    cut = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.end = np.array([end_id], "<u4").tobytes()
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {}, list(words)
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for word, e in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
-                self.known[word] = np.array(e.ids, "<u4").tobytes()
+        # bytes as characters: printable Latin-1 as it is, the others in their order from 256 on
+        shown = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b]
+        hidden = [b for b in range(256) if b not in set(shown)]
+        self.letters = {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+        self.runs, self.words = Remembered(self._run, REMEMBERED), Remembered(self._word, REMEMBERED)
+
+    def _run(self, run: str) -> bytes:
+        if not run.isascii():
+            run = "".join(map(self.letters.__getitem__, run.encode()))
+        ids = [t.id for t in self.model.tokenize(run)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if (text.isprintable() if text.isascii() else self.plain.fullmatch(text)) and "<|" not in text:  # special tokens are the tokenizer's matter
+            return b"".join(map(self.runs.__getitem__, self.cut.findall(text.lower())))
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: bytes) -> bytes:
         """Little-endian 32-bit ids of the text and the closing id."""
-        words = text.split()
-        out = []
-        for at in range(0, len(words), 100_000):
-            some = words[at : at + 100_000]
-            try:
-                out.append(b"".join(map(self.known.__getitem__, some)))
-            except KeyError:
-                self.learn(set(some))
-                out.append(b"".join(map(self.known.__getitem__, some)))
-        return b"".join(out) + self.end
+        return b"".join(map(self.words.__getitem__, text.split())) + self.end
 
 
 _encoders: dict[tuple[str, int], Encoder] = {}
