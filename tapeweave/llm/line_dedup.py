@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import written
+
 BLANKS = " \t\n\u000b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -14,10 +16,6 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
-def line_key(line: Column) -> Column:
-    return ascii_lower(F.btrim(line, F.lit(BLANKS)))
-
-
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """Drop lines whose key stands in at least min_docs documents, but for the largest id with it.
 
@@ -30,7 +28,11 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """
     id_, text = F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))
     # 128-bit digests are exact at any size that could be met; the lines themselves are not shuffled
-    lines = docs.filter(id_.isNotNull()).select(id_.alias("_id"), F.posexplode(F.split(text, "\n")).alias("_pos", "_line")).select("_id", "_pos", line_key(F.col("_line")).alias("_key")).filter(F.char_length("_key") >= min_chars).select("_id", "_pos", F.unhex(F.md5("_key")).alias("_hash"))
+    lines = docs.filter(id_.isNotNull()).select(id_.alias("_id"), F.posexplode_outer(F.split(text, "\n")).alias("_pos", "_line"))
+    # an outer explode: for an inner one, Spark would split the texts once more to leave out empty arrays
+    lines = lines.withColumn("_line", F.btrim("_line", F.lit(BLANKS))).filter(F.char_length("_line") >= min_chars)
+    lines = lines.select("_id", "_pos", F.unhex(F.md5(ascii_lower(F.col("_line")))).alias("_hash"))
+    lines = written(lines, "lines")  # read twice: to count, and to find the places
     common = lines.groupBy("_hash").agg(F.countDistinct("_id").alias("_docs"), F.max("_id").alias("_keep")).filter(F.col("_docs") >= min_docs).select("_hash", "_keep")
     dropped = lines.join(common, "_hash").filter(F.col("_id") != F.col("_keep")).groupBy("_id").agg(F.sort_array(F.collect_set("_pos")).alias("_gone"))
     n = F.size("_lines")
