@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tapeweave.functions import scalars
-from tapeweave.operators import advisory, alerts, asof, backtest, features, indicators, modeling, quality, staging
+from tapeweave.operators import advisory, alerts, asof, backtest, features, indicators, modeling, quality, research, staging
 from tapeweave.plans import market, snapshot, views
 from tapeweave.plans.snapshot import INDICATOR_HEAD, RUNS_SQL, SCREEN_HEAD, TRADES_SQL, TRUSTED_SQL, FEATURES_SQL
 from tapeweave.sources import readers
@@ -678,6 +678,71 @@ def _(spark, sf):
     return backtest.simulate_portfolios(snapshot.trades(spark, sf), slots=3, size_pct=20.0, daily_limit=1, cooldown_days=3)
 
 
+# ---- further views, guards and research lists ----
+
+
+@query("v11_portfolio_equity", f"{TRADES}, d AS (SELECT run_id, entry_date, sum(net_return_pct) AS day_return, count(*) AS trades FROM trades GROUP BY 1, 2) SELECT run_id, run_date, run_type, entry_date, trades, round(sum(day_return) OVER (PARTITION BY run_id ORDER BY entry_date ROWS UNBOUNDED PRECEDING), 4) AS equity_points FROM d JOIN runs USING (run_id)")
+def _(spark, sf):
+    d = snapshot.derived_trades(spark, sf).groupBy("run_id", "entry_date").agg(F.sum("net_return_pct").alias("day_return"), F.count("*").alias("trades"))
+    w = Window.partitionBy("run_id").orderBy("entry_date").rowsBetween(Window.unboundedPreceding, 0)
+    return views.with_run(d.withColumn("equity_points", F.round(F.sum("day_return").over(w), 4)), snapshot.runs(spark)).select("run_id", "run_date", "run_type", "entry_date", "trades", "equity_points")
+
+
+@query("v12_drawdown_curve", f"{TRADES}, d AS (SELECT run_id, entry_date, sum(net_return_pct) AS day_return FROM trades GROUP BY 1, 2), e AS (SELECT run_id, entry_date, sum(day_return) OVER (PARTITION BY run_id ORDER BY entry_date ROWS UNBOUNDED PRECEDING) AS equity FROM d) SELECT run_id, entry_date, round(greatest(0, max(equity) OVER (PARTITION BY run_id ORDER BY entry_date ROWS UNBOUNDED PRECEDING)) - equity, 4) AS drawdown_points FROM e JOIN runs USING (run_id)")
+def _(spark, sf):
+    d = snapshot.derived_trades(spark, sf).groupBy("run_id", "entry_date").agg(F.sum("net_return_pct").alias("day_return"))
+    w = Window.partitionBy("run_id").orderBy("entry_date").rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("equity", F.sum("day_return").over(w)).withColumn("drawdown_points", F.round(F.greatest(F.lit(0.0), F.max("equity").over(w)) - F.col("equity"), 4))
+    return views.with_run(d, snapshot.runs(spark)).select("run_id", "entry_date", "drawdown_points")
+
+
+@query("f14_technical_guard", f"WITH {market.PRICES_SQL}, base AS (SELECT * FROM prices WHERE {TRUSTED_SQL}), {FEATURES_SQL} SELECT count(*) FILTER (g) AS rejected, count(*) FILTER (NOT g) AS kept FROM (SELECT coalesce(drawdown_20d < 1, FALSE) OR coalesce(change_20d > 12, FALSE) OR (close_price >= high_20d * 0.99::DOUBLE AND coalesce(change_10d > 8, FALSE)) AS g FROM features)")
+def _(spark, sf):
+    f = features.price_features(snapshot.trusted_prices(spark, sf))
+    return advisory.with_guard(f).agg(F.count_if("guarded").alias("rejected"), F.count_if(~F.col("guarded")).alias("kept"))
+
+
+@query("f16_risk_candidates")
+def _(spark, sf):
+    return features.proxy_score(_dataset(spark, sf)).filter((F.col("close_price") >= 8) & (F.col("proxy_score") >= 70) & (F.col("proxy_agreement") >= 0.6)).select("stock_id", "price_date", "proxy_score", "proxy_agreement", "forward_return")
+
+
+@query("f17_comparable_runs", f"WITH {RUNS_SQL} SELECT run_id, run_date, run_type FROM runs WHERE profile = 'balanced' AND run_type = 'full_validation' AND trade_count >= 20")
+def _(spark, sf):
+    r = snapshot.runs(spark)
+    return r.filter((F.col("profile") == "balanced") & (F.col("run_type") == "full_validation") & (views.json_number("run_metadata", "$.portfolio.trades") >= 20)).select("run_id", "run_date", "run_type")
+
+
+@query("a05_recommendation_outcomes", f"{TRADES} SELECT stock_code, count(*) AS total, count(*) FILTER (net_return_pct >= 10) AS hit_target, count(*) FILTER (net_return_pct <= -6) AS hit_stop, round(avg(net_return_pct) + 1e-9, 6) AS avg_return, round(count(*) FILTER (net_return_pct >= 10) / nullif(count(*) FILTER (net_return_pct >= 10 OR net_return_pct <= -6), 0) * 100 + 1e-9, 6) AS win_rate FROM trades GROUP BY 1")
+def _(spark, sf):
+    hit, stop = F.col("net_return_pct") >= 10, F.col("net_return_pct") <= -6
+    t = snapshot.derived_trades(spark, sf).groupBy("stock_code")
+    return t.agg(F.count("*").alias("total"), F.count_if(hit).alias("hit_target"), F.count_if(stop).alias("hit_stop"), F.avg("net_return_pct").alias("avg_return"), (F.count_if(hit) / F.nullif(F.count_if(hit | stop), F.lit(0)) * 100).alias("win_rate"))
+
+
+@query("a10_rollup_by_stock", f"{TRADES} SELECT run_id, stock_code, {_METRICS}, round(sum(net_return_pct), 4) AS pnl_points FROM trades GROUP BY 1, 2")
+def _(spark, sf):
+    t = snapshot.derived_trades(spark, sf)
+    pnl = t.groupBy("run_id", "stock_code").agg(F.round(F.sum("net_return_pct"), 4).alias("pnl_points"))
+    return backtest.trade_metrics(t, ["run_id", "stock_code"]).join(pnl, ["run_id", "stock_code"]).select("run_id", "stock_code", *_METRIC_NAMES, "pnl_points")
+
+
+@query("a20_model_grid", f"{_PREDICTED}, g AS (SELECT c.name, c.low, count(*) FILTER (probability >= c.low) AS rows, avg(target) FILTER (probability >= c.low) AS positive_rate, avg(forward_return) FILTER (probability >= c.low) AS avg_return FROM predicted, (VALUES ('base', 0.0::DOUBLE), ('half', 0.5::DOUBLE), ('strict', 0.8::DOUBLE)) c(name, low) GROUP BY 1, 2) SELECT name, rows, round(positive_rate + 1e-9, 6) AS positive_rate, round(avg_return + 1e-9, 6) AS avg_return, rows >= 100 AND avg_return > 0 AS ready FROM g")
+def _(spark, sf):
+    return modeling.grid(_predictions(spark, sf), {"base": 0.0, "half": 0.5, "strict": 0.8}, least_rows=100)
+
+
+@query("m14_research_scores", f"WITH {market.BARS_SQL}, {market.STOCKS_SQL}, l AS (SELECT stock_id, arg_max(close_price, price_date) AS price, max(close_price) AS top, min(close_price) AS low FROM bars GROUP BY 1), s AS (SELECT stock_id, price, (CASE WHEN price < 50 THEN 40 WHEN price < 150 THEN 25 ELSE 10 END + CASE WHEN price / top < 0.5 THEN 35 WHEN price / top < 0.8 THEN 20 ELSE 5 END + CASE WHEN price / low < 1.2 THEN 25 ELSE 10 END)::BIGINT AS points FROM l) SELECT stock_code, points, CASE WHEN points >= 80 THEN 'A' WHEN points >= 60 THEN 'B' ELSE 'C' END AS tier, CAST(floor(40000 / price) AS BIGINT) AS shares, round(price * 3 + 1e-9, 6) AS scenario_3x, round(price * 5 + 1e-9, 6) AS scenario_5x FROM s JOIN stocks USING (stock_id)")
+def _(spark, sf):
+    return research.scores(market.bars(spark, sf), allocation=40_000.0).join(market.stocks(spark, sf).select("stock_id", "stock_code"), "stock_id").select("stock_code", "points", "tier", "shares", "scenario_3x", "scenario_5x")
+
+
+@query("t09_research_lists", f"WITH {market.BARS_SQL}, l AS (SELECT stock_id, (arg_max(close_price, price_date) / max(close_price) - 1) * 100 AS from_high FROM bars GROUP BY 1) SELECT stock_id, round(from_high + 1e-9, 6) AS from_high FROM l ORDER BY l.from_high, stock_id LIMIT 10")
+def _(spark, sf):
+    b = market.bars(spark, sf).groupBy("stock_id").agg(((F.max_by("close_price", "price_date") / F.max("close_price") - 1) * 100).alias("from_high"))
+    return b.orderBy("from_high", "stock_id").limit(10)
+
+
 # ---- batch forms of the event windows ----
 
 

@@ -128,6 +128,13 @@ def portfolio_gate(df: DataFrame, *, day: str = "price_date", daily_limit: int =
     return df.withColumn("position_size", F.when(F.col("portfolio_approved"), F.lit(size))).drop("_able", "_nth", "_free")
 
 
+def with_guard(df: DataFrame, *, least_drawdown: float = 1.0, most_change: float = 12.0, near_high: float = 0.99, most_momentum: float = 8.0) -> DataFrame:
+    """guarded: too near the 20-day high, risen too far, or near the high on strong momentum; nulls pass."""
+    off = lambda c: F.coalesce(c, F.lit(False))
+    near = (F.col("close_price") >= F.col("high_20d") * near_high) & off(F.col("change_10d") > most_momentum)
+    return df.withColumn("guarded", off(F.col("drawdown_20d") < least_drawdown) | off(F.col("change_20d") > most_change) | near)
+
+
 def screen(snapshot: DataFrame) -> DataFrame:
     """Score, signal, policy, gates and portfolio approval of snapshot rows."""
     return portfolio_gate(with_gates(with_policy(with_signal(with_score(snapshot)))))

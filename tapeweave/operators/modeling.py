@@ -146,6 +146,13 @@ def block_sweep(predictions: DataFrame, thresholds: tuple[float, ...]) -> DataFr
     return df.groupBy("threshold").agg((F.count_if(blocked) / F.count("*") * 100).alias("blocked_pct"), (F.count_if(blocked & bad) / F.nullif(F.count_if(bad), F.lit(0))).alias("recall"), rate(~blocked).alias("bad_rate_kept"), rate(blocked).alias("bad_rate_blocked"))
 
 
+def grid(predictions: DataFrame, cases: dict[str, float], *, least_rows: int) -> DataFrame:
+    """One row for each case (its lowest probability): what it keeps, and whether it is ready."""
+    table = predictions.sparkSession.createDataFrame(list(cases.items()), "name string, low double")
+    out = predictions.crossJoin(F.broadcast(table)).groupBy("name").agg(F.count_if(F.col("probability") >= F.col("low")).alias("rows"), F.avg(F.when(F.col("probability") >= F.col("low"), F.col("target").cast("double"))).alias("positive_rate"), F.avg(F.when(F.col("probability") >= F.col("low"), F.col("forward_return"))).alias("avg_return"))
+    return out.withColumn("ready", (F.col("rows") >= least_rows) & (F.col("avg_return") > 0))
+
+
 def cohorts(data: DataFrame) -> DataFrame:
     """Rows, retained share, positive rate and averages of each trust cohort; empty ones are there."""
     conf, days = F.col("confidence_score"), F.col("trusted_history_days")
