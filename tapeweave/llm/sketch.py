@@ -10,7 +10,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .textops import mix
 
@@ -18,8 +17,10 @@ from .textops import mix
 MOST_CELLS = 1 << 28
 #: Cells whose partial counts meet in one group.
 SLICE = 1 << 18
-#: Lots that partitions' partial counts of one slice are merged in, before these are.
-FAN_IN = 32
+#: Partitions whose counts of a slice are merged first, before these are.
+FAN_IN = 64
+#: Keys that a task holds before it hands on what it has counted.
+HELD = 1_000_000
 
 
 def cells(keys: np.ndarray, row: int, width: int) -> np.ndarray:
@@ -29,66 +30,93 @@ def cells(keys: np.ndarray, row: int, width: int) -> np.ndarray:
 
 
 def width_for(expected_keys: int) -> int:
-    """Cells in a row: four for each key, up to the bound."""
-    return int(min(MOST_CELLS, max(1 << 12, 4 * expected_keys)))
+    """Cells in a row: three for each key, up to the bound."""
+    return int(min(MOST_CELLS, max(1 << 12, 3 * expected_keys)))
 
 
-def _bits(count: np.ndarray) -> tuple[bytes, bytes]:
+def _sparse(at: np.ndarray, twice: np.ndarray) -> bytes:
+    """Sorted distinct cells of a slice, each with whether it was counted twice, as steps."""
+    steps = np.diff(at.astype(np.int64) << 1 | twice, prepend=0)
+    return steps.astype(np.uint16 if steps.max() < 1 << 16 else np.uint32).tobytes()
+
+
+def _unpack(data: bytes, wide: bool) -> tuple[np.ndarray, np.ndarray]:
+    both = np.cumsum(np.frombuffer(data, np.uint32 if wide else np.uint16).astype(np.int64))
+    return both >> 1, both & 1
+
+
+def _dense(count: np.ndarray) -> tuple[bytes, bytes]:
     return zlib.compress(np.packbits(count >= 1).tobytes(), 1), zlib.compress(np.packbits(count >= 2).tobytes(), 1)
 
 
-def _merged(frame: pd.DataFrame) -> np.ndarray:
+def _merge_sparse(frame: pd.DataFrame) -> pd.DataFrame:
     count = np.zeros(SLICE, np.uint8)
+    for data, wide in zip(frame["steps"], frame["wide"], strict=True):
+        at, twice = _unpack(data, wide)
+        count[at] = np.minimum(count[at] + 1 + twice, 2)
+    once, more = _dense(count)
+    return pd.DataFrame({"slice": frame["slice"].iloc[:1], "lot": frame["lot"].iloc[:1], "once": [once], "twice": [more]})
+
+
+def _merge_dense(frame: pd.DataFrame) -> pd.DataFrame:
+    count = np.zeros(SLICE, np.uint8)
+    bits = lambda b: np.unpackbits(np.frombuffer(zlib.decompress(b), np.uint8))
     for once, twice in zip(frame["once"], frame["twice"], strict=True):
-        one = np.unpackbits(np.frombuffer(zlib.decompress(once), np.uint8))
-        two = np.unpackbits(np.frombuffer(zlib.decompress(twice), np.uint8))
-        np.minimum(count + one + two, 2, out=count)
-    return count
+        np.minimum(count + bits(once) + bits(twice), 2, out=count)
+    return pd.DataFrame({"slice": frame["slice"].iloc[:1], "twice": [_dense(count)[1]]})
 
 
 def repeated_cells(rows: DataFrame, keys: Callable[[pa.RecordBatch], Iterator[np.ndarray]], *, width: int, depth: int = 2) -> Broadcast:
     """Broadcast of `depth` bitmaps of the cells that count two keys or more over all rows.
 
-    Each task counts its partition in an own sketch, whose slices are merged in two steps on the
-    executors. The driver gets the final bitmaps alone, depth * width / 8 bytes whatever the input.
+    Each task counts its partition, and hands on the cells it has met, by slice. Slices are merged in
+    two steps on the executors. The driver gets the final bitmaps alone, depth * width / 8 bytes
+    whatever the input.
     """
     slices = -(-width // SLICE)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        seen = np.zeros((depth, slices * SLICE), np.uint8)
+        lot = TaskContext.get().partitionId() // FAN_IN
+        held: list[list[np.ndarray]] = [[] for _ in range(depth)]
+
+        def hand_on() -> Iterator[pa.RecordBatch]:
+            for d in range(depth):
+                at, n = np.unique(np.concatenate(held[d]), return_counts=True)
+                held[d].clear()
+                cuts = np.searchsorted(at, np.arange(slices + 1) * SLICE)
+                full = [s for s in range(slices) if cuts[s] < cuts[s + 1]]
+                parts = [_sparse(at[cuts[s] : cuts[s + 1]] - s * SLICE, n[cuts[s] : cuts[s + 1]] > 1) for s in full]
+                wide = [len(p) == 4 * int(cuts[s + 1] - cuts[s]) for p, s in zip(parts, full, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([d * slices + s for s in full], pa.int32()), pa.array([lot] * len(full), pa.int32()), pa.array(parts, pa.binary()), pa.array(wide, pa.bool_())], ["slice", "lot", "steps", "wide"])
+
+        total = 0
         for batch in batches:
             for some in keys(batch):
                 for d in range(depth):
-                    at, n = np.unique(cells(some, d, width), return_counts=True)
-                    seen[d, at] = np.minimum(seen[d, at] + np.minimum(n, 2).astype(np.uint8), 2)
-        lot = TaskContext.get().partitionId() % FAN_IN
-        for d in range(depth):
-            for s in range(slices):
-                part = seen[d, s * SLICE : (s + 1) * SLICE]
-                if part.any():
-                    once, twice = _bits(part)
-                    yield pa.RecordBatch.from_arrays([pa.array([d * slices + s], pa.int32()), pa.array([lot], pa.int32()), pa.array([once]), pa.array([twice])], ["slice", "lot", "once", "twice"])
-
-    def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        once, twice = _bits(_merged(frame))
-        return pd.DataFrame({"slice": frame["slice"].iloc[:1], "lot": frame["lot"].iloc[:1], "once": [once], "twice": [twice]})
-
-    schema = "slice int, lot int, once binary, twice binary"
-    partial = rows.mapInArrow(count, schema).groupBy("slice", "lot").applyInPandas(merge, schema)
-    final = partial.withColumn("lot", F.lit(0)).groupBy("slice").applyInPandas(merge, schema).select("slice", "twice")
+                    held[d].append(cells(some, d, width).astype(np.uint32))
+                total += len(some)
+                if total > HELD:
+                    yield from hand_on()
+                    total = 0
+        if total:
+            yield from hand_on()
+
+    partial = rows.mapInArrow(count, "slice int, lot int, steps binary, wide boolean").groupBy("slice", "lot").applyInPandas(_merge_sparse, "slice int, lot int, once binary, twice binary")
+    final = partial.groupBy("slice").applyInPandas(_merge_dense, "slice int, twice binary")
     bitmaps = np.zeros((depth, slices * SLICE // 8), np.uint8)
     for r in final.toLocalIterator():
         d, s = divmod(r["slice"], slices)
         bitmaps[d, s * SLICE // 8 : (s + 1) * SLICE // 8] = np.frombuffer(zlib.decompress(r["twice"]), np.uint8)
-    return rows.sparkSession.sparkContext.broadcast(bitmaps)
+    return rows.sparkSession.sparkContext.broadcast(bitmaps.tobytes())  # as bytes: a worker then holds one copy
 
 
-def maybe_repeated(bitmaps: np.ndarray, keys: np.ndarray, width: int) -> np.ndarray:
+def maybe_repeated(bitmaps: bytes, keys: np.ndarray, width: int, depth: int = 2) -> np.ndarray:
     """False only for keys that were counted at most once."""
+    rows = np.frombuffer(bitmaps, np.uint8).reshape(depth, -1)
     out = np.ones(len(keys), bool)
-    for d in range(len(bitmaps)):
+    for d in range(depth):
         at = cells(keys, d, width)
-        out &= (bitmaps[d][at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+        out &= (rows[d][at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
     return out

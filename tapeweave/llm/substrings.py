@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import small_side, written
 from .sketch import maybe_repeated, repeated_cells, width_for
 from .textops import rolling, rolling_long, text_chunks, word_hashes, words
 
@@ -63,6 +64,12 @@ def _anchor_keys(window: int):
     return keys
 
 
+def _copies(digests: DataFrame) -> DataFrame:
+    """(_id, _digest, _first) of rows whose digest others share; a group is counted before the shuffle."""
+    groups = digests.groupBy("_digest").agg(F.count("*").alias("_n"), F.min("_id").alias("_first")).filter("_n > 1").drop("_n")
+    return digests.join(groups, "_digest").select("_id", "_digest", "_first").distinct()
+
+
 def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 35) -> DataFrame:
     """docs with n_words, n_removed and text_col without the words of repeated windows.
 
@@ -73,7 +80,8 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     are told apart by their place in the input only if the ids are unique: a row with a repeated id
     loses what any row of that id loses. Rows with null ids keep their words (as joined), and count.
 
-    First pass: the anchors of all windows are counted in a merged sketch, which only overestimates.
+    Of rows with equal texts the one of the smallest id stands for all: its windows count twice, and
+    all of the group lose every word that a window covers. First pass: the anchors of all windows are counted in a merged sketch, which only overestimates.
     Second pass: windows with a repeated anchor are grouped by 64-bit hash, exactly; the rest are not
     moved. A window that a third of all rows hold is counted before the shuffle.
     """
@@ -96,24 +104,32 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 take = valid[np.repeat(known, np.diff(np.append(change, len(values))))]
                 whole = rolling_long(hashes, window)
                 row = np.searchsorted(rows, take, "right") - 1
-                ids = batch.column(0).slice(first, end - first)
+                ids, copied = batch.column(0).slice(first, end - first), batch.column(2).slice(first, end - first)
                 for at in range(0, len(take), 1 << 16):
                     s = slice(at, at + (1 << 16))
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(row[s])), pa.array((take[s] - rows[row[s]]).astype(np.int32)), pa.array(whole[take[s]].view(np.int64))], ["_id", "_place", "_window"])
-
-    found = narrow.mapInArrow(candidates, f"_id {id_type}, _place int, _window long")
-    repeated = found.groupBy("_window").agg(F.count("*").alias("_n")).filter("_n > 1").select("_window")
-    places = found.filter(F.col("_id").isNotNull()).join(repeated, "_window").groupBy("_id").agg(F.collect_set("_place").alias("_places"))
+                    yield pa.RecordBatch.from_arrays([ids.take(at_row := pa.array(row[s])), copied.take(at_row), pa.array((take[s] - rows[row[s]]).astype(np.int32)), pa.array(whole[take[s]].view(np.int64))], ["_id", "_copied", "_place", "_window"])
+
+    digest = F.md5(F.coalesce(F.col("_text"), F.lit("")))
+    copies = written(_copies(narrow.filter(F.col("_id").isNotNull()).select("_id", digest.alias("_digest"))), "copies")
+    n_copies = copies.count()
+    marks = copies.withColumnsRenamed({"_id": "_same", "_digest": "_d"})
+    own = narrow.withColumn("_digest", digest).join(small_side(marks, n_copies), (F.col("_id") == F.col("_same")) & (F.col("_digest") == F.col("_d")), "left")
+    own = own.filter(F.col("_first").isNull() | (F.col("_first") == F.col("_id"))).select("_id", "_text", F.col("_first").isNotNull().alias("_copied"))
+    found = own.mapInArrow(candidates, f"_id {id_type}, _copied boolean, _place int, _window long")
+    repeated = found.groupBy("_window").agg(F.count("*").alias("_n"), F.max("_copied").alias("_any")).filter("_n > 1 or _any").select("_window")
+    places = found.filter(F.col("_id").isNotNull() & ~F.col("_copied")).join(repeated, "_window").groupBy("_id").agg(F.collect_set("_place").alias("_places"))
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text, n_words, n_removed = [], [], []
-            column, hits = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
+            column, hits, copied = (batch.column(batch.num_columns - k) for k in (3, 2, 1))
             for r in range(batch.num_rows):
                 own = column[r].as_buffer().to_pybytes().split() if column[r].is_valid else []
                 gone = 0
                 n_words.append(len(own))
-                if hits[r].is_valid:
+                if copied[r].is_valid and len(own) >= window:
+                    gone, own = len(own), []
+                elif hits[r].is_valid:
                     edge = np.zeros(len(own) + window + 1, np.int32)
                     at = hits[r].values.to_numpy(zero_copy_only=False)
                     at = at[at + window <= len(own)]
@@ -124,13 +140,14 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                     own = list(compress(own, stay.tolist()))
                 n_removed.append(gone)
                 text.append(b" ".join(own).decode())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(text, pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())], names=out_names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], pa.array(text, pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())], names=out_names)
 
     rest = [c for c in docs.columns if c not in (text_col, "n_words", "n_removed")]
     out_names = [*rest, text_col, "n_words", "n_removed"]
     types = {f.name: f.dataType.simpleString() for f in docs.schema}
     joined = docs.withColumn("_key", F.col(id_col)).withColumnRenamed(text_col, "_text").join(places.withColumnRenamed("_id", "_other"), F.col("_key") == F.col("_other"), "left")
-    whole = joined.select(*rest, F.col("_text").cast("string"), "_places")
+    joined = joined.withColumn("_digest", F.md5(F.coalesce(F.col("_text").cast("string"), F.lit("")))).join(small_side(marks, n_copies), (F.col("_key") == F.col("_same")) & (F.col("_digest") == F.col("_d")), "left")
+    whole = joined.select(*rest, F.col("_text").cast("string"), "_places", F.when(F.col("_first").isNotNull(), True).alias("_copied"))
     out = whole.mapInArrow(strip, ", ".join(f"`{c}` {t}" for c, t in [*((c, types[c]) for c in rest), (text_col, "string"), ("n_words", "long"), ("n_removed", "long")]))
     return out.select(*[c for c in docs.columns if c in out_names], "n_words", "n_removed")
 
