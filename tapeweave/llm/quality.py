@@ -33,7 +33,7 @@ def with_hashes(df: DataFrame, text_col: str) -> DataFrame:
 
 
 def text_counts(docs: DataFrame, text_col: str, window: int = 3) -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of text_col (null: none)."""
+    """Adds n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of text_col (null: none), and _row, a number."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     df = with_hashes(docs, text_col)
     n = F.size("_hashes")
@@ -57,7 +57,8 @@ def text_counts(docs: DataFrame, text_col: str, window: int = 3) -> DataFrame:
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         "n_repeat_words": covered.cast("long"),
     }
-    return df.withColumns(out).drop("_words", "_hashes", "_windows", "_sorted", "_twice", "_pairs", "_places", "_lines")
+    # numbered rows: a filter on the counts stays above them, as Spark would else work them out for it again, nested
+    return df.withColumns(out | {"_row": F.monotonically_increasing_id()}).drop("_words", "_hashes", "_windows", "_sorted", "_twice", "_pairs", "_places", "_lines")
 
 
 def gram_rows(docs: DataFrame, text_col: str, orders: tuple[int, ...], buckets: int) -> DataFrame:
@@ -114,4 +115,4 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id"
     out = text_counts(docs, text_col).join(scores, F.col(id_col) == F.col("_id"), "left").drop("_id")
     out = out.withColumn("score", F.coalesce(F.nanvl("score", F.lit(0.0)), F.lit(0.0)))
     out = out.withColumn("base_failed", (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_percent))
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold) & (F.col("_row") >= 0)).drop("_row")
