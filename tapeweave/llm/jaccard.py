@@ -4,7 +4,9 @@ Jaccard distance is a metric, but over a corpus nearly all distances of shingle
 alone would send every document to every region. The first level of regions therefore comes from an
 exact lemma: sets A, B that link differ in at most D shingles, so of more than D parts of the
 universe at least one holds the same of both; documents whose part is the same share a region.
-Inside, pivots split regions and the triangle inequality decides what is replicated where.
+Inside, pivots split regions and the triangle inequality decides what is replicated where. Distances
+there are taken between short profiles, a byte for each of more parts: how many bytes differ is a
+metric too, and never more than the shingles that differ. Pairs that it leaves meet with whole sets.
 """
 
 from __future__ import annotations
@@ -21,10 +23,18 @@ from .shared import small_side, written
 from .sketch import maybe_repeated, repeated_cells, width_for
 from .textops import LOWER, mix, rolling, text_chunks, word_hashes, words
 
-#: Regions of at most so many documents are compared in full.
-LEAF = 12
+#: Regions of at most so many documents are compared in one task.
+LEAF = 4096
+#: Pairs for each of its members that a region may send to be compared by whole sets before links known by then are taken out.
+FIRST = 8
+#: First regions of a document that travel with it.
+KNOWN = 16
 #: Pivots of a region at the second level; each further level has twice as many.
-PIVOTS = 4
+PIVOTS = 8
+#: A document is near a pivot up to so many times the limit; others share a region of the far.
+NEAR = 2.0
+#: Parts of a profile for each shingle that linked sets may differ in.
+FINE = 3
 _TINY = 1e-9
 
 
@@ -38,13 +48,27 @@ class Threshold:
         while self.bounds[-1] < 1 << 40:  # sets that link are in the same class of sizes or in neighbours
             self.bounds.append(max(self.bounds[-1] + 1, -(-self.bounds[-1] * den // num)))
 
+    def most_apart(self, total):
+        """Shingles in which linked sets of so many in all may differ; numbers or arrays."""
+        return total - 2 * (-(-self.num * total // (self.num + self.den)))
+
     def size_class(self, n: int) -> int:
         return int(np.searchsorted(self.bounds, n, "right")) - 1
 
+    def differ(self, i: int) -> int:
+        """Shingles in which linked sets of classes i - 1 and i may differ."""
+        return (self.den - self.num) * 2 * (self.bounds[i + 1] - 1) // (self.num + self.den)
+
+    @lru_cache(maxsize=4096)  # noqa: B019
+    def fine(self, i: int) -> np.ndarray:
+        """Edges of the parts of a profile."""
+        n = FINE * (self.differ(i) + 1)
+        return np.array([(k << 64) // n for k in range(1, n)], np.uint64)
+
     @lru_cache(maxsize=4096)  # noqa: B019
     def parts(self, i: int) -> tuple[int, int, np.ndarray] | None:
         """(slack, what counts as weak, edges) of the parts for sets of classes i - 1 and i; None: only equal sets link."""
-        differ = (self.den - self.num) * 2 * (self.bounds[i + 1] - 1) // (self.num + self.den)
+        differ = self.differ(i)
         if differ == 0:
             return None
         slack = max(1, (differ + 1) // 16)
@@ -86,10 +110,19 @@ def _signatures(s: np.ndarray, limit: Threshold) -> np.ndarray:
         strong = np.diff(at) > weak
         salt = np.arange(len(at) - 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k * 0xD1342543DE82EF95 & (1 << 64) - 1)
         keys = mix((sums[at[1:]] - sums[at[:-1]]) ^ mix(salt))
+        keys = keys & ~np.uint64(255) | np.uint64(k)  # the class can be read from the key
         out.append(keys[strong] if int((~strong).sum()) <= slack else keys)
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def _profile(s: np.ndarray, k: int, limit: Threshold) -> bytes:
+    """A byte for each part of the set: equal parts have equal bytes."""
+    sums = np.zeros(len(s) + 1, np.uint64)
+    np.cumsum(mix(s), out=sums[1:])
+    at = np.concatenate([[0], np.searchsorted(s, limit.fine(k)), [len(s)]])
+    return mix(sums[at[1:]] - sums[at[:-1]]).astype(np.uint8).tobytes()
+
+
 def set_digests(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     """(_id, n_shingles, _a, _b): size and 128-bit digest of each row's set."""
 
@@ -140,7 +173,9 @@ def _first_regions(narrow: DataFrame, representatives: DataFrame, n: int, limit:
 
     found = narrow.mapInArrow(run, "id long, keys array<long>")
     found = found.join(small_side(representatives, representatives.count()), "id", "left_semi")
-    return found.select(F.explode("keys").alias("region"), "id")
+    out = written(found.select(F.explode_outer("keys").alias("region"), "id"), "regions")
+    bitmaps.destroy()
+    return out
 
 
 def _listed(ids: pa.Array, rows: list[int], lists: list[np.ndarray]) -> pa.RecordBatch:
@@ -152,96 +187,216 @@ def _same_members_once(members: DataFrame, tag: str) -> DataFrame:
     """(region, id, pivot, n) of regions with two members or more; of regions with equal members one stays."""
     h = F.xxhash64("id")
     regions = members.groupBy("region").agg(F.count("*").alias("n"), F.min(F.struct(h.alias("h"), F.col("id"))).alias("p"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), F.col("id"))).alias("y")).filter("n > 1")
-    kept = regions.groupBy(F.col("p.id").alias("pivot"), "n", "x", "y").agg(F.min("region").alias("region")).select("region", "pivot", "n")
+    kept = regions.groupBy(F.col("p.id").alias("pivot"), "n", "x", "y", _class("region").alias("_c")).agg(F.min("region").alias("region")).select("region", "pivot", "n")
     return written(members.join(kept, "region"), tag)
 
 
-def _distances(pairs: DataFrame, sets: DataFrame, limit: Threshold, tag: str) -> DataFrame:
-    """(id, other, d, link) of distinct pairs, from the whole sets."""
+def _apart(left: np.ndarray, right: np.ndarray, n_left, n_right) -> np.ndarray:
+    """Shingles in which sets differ at least, by their profiles and sizes; a metric."""
+    return np.maximum((left != right).sum(axis=-1), np.abs(n_left - n_right))
+
+
+def _whole(pairs: DataFrame, sets: DataFrame, limit: Threshold, tag: str) -> DataFrame:
+    """Those of the pairs (id, other) that link, by their whole sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            d, link = np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
+            link = np.zeros(batch.num_rows, bool)
             left, right = batch.column(2), batch.column(3)
             for r in range(batch.num_rows):
-                a, b = (np.frombuffer(x[r].as_buffer(), np.uint64) for x in (left, right))
-                both = np.concatenate([a, b])
+                both = np.concatenate([np.frombuffer(x[r].as_buffer(), np.uint64) for x in (left, right)])
                 both.sort()
-                union = len(both) - (common := int((both[1:] == both[:-1]).sum()))
-                d[r], link[r] = 1 - common / union, limit.den * common >= limit.num * union
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(d), pa.array(link)], ["id", "other", "d", "link"])
+                common = int((both[1:] == both[:-1]).sum())
+                link[r] = limit.den * common >= limit.num * (len(both) - common)
+            take = pa.array(np.flatnonzero(link))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take)], ["id", "other"])
+
+    pairs = written(pairs.groupBy("id", "other").agg(F.lit(1).alias("_")).drop("_"), f"likely-{tag}")
+    rows = pairs.count()
+    # either side's sets travel only if they are asked for
+    ids, others = pairs.select("id").distinct(), pairs.select(F.col("other").alias("id")).distinct()
+    left, right = sets.join(small_side(ids, rows), "id", "left_semi"), sets.join(small_side(others, rows), "id", "left_semi")
+    whole = pairs.join(left.select("id", F.col("set").alias("_l")), "id").join(right.select(F.col("id").alias("other"), F.col("set").alias("_r")), "other")
+    return written(whole.select("id", "other", "_l", "_r").mapInArrow(run, "id long, other long").distinct(), f"links-{tag}")
+
+
+def _distances(pairs: DataFrame, profiles: DataFrame, sets: DataFrame, limit: Threshold, tag: str) -> DataFrame:
+    """(id, other, class, d, link) of distinct pairs: d by profiles, in units of the class's limit; link by whole sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            d, likely = np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
+            n_left, n_right = (batch.column(c).to_numpy() for c in (3, 4))
+            most, classes = limit.most_apart(n_left + n_right), batch.column(2).to_pylist()
+            left, right = batch.column(5), batch.column(6)
+            for r in range(batch.num_rows):
+                apart = int(_apart(*(np.frombuffer(x[r].as_buffer(), np.uint8) for x in (left, right)), n_left[r], n_right[r]))
+                d[r], likely[r] = apart / limit.differ(classes[r]), apart <= most[r]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(d), pa.array(likely)], ["id", "other", "class", "d", "likely"])
+
+    pairs = pairs.filter("id <> other").groupBy("id", "other", "class").agg(F.lit(1).alias("_")).drop("_")
+    side = lambda key, n: profiles.select(F.col("id").alias(key), "class", F.col("n").alias(f"_n{n}"), F.col("profile").alias(f"_p{n}"))
+    both = pairs.join(side("id", 1), ["id", "class"]).join(side("other", 2), ["other", "class"]).select("id", "other", "class", "_n1", "_n2", "_p1", "_p2")
+    near = written(both.mapInArrow(run, "id long, other long, class int, d double, likely boolean"), f"distances-{tag}")
+    links = _whole(near.filter("likely").select("id", "other"), sets, limit, tag)
+    return near.drop("likely").join(links.withColumn("_link", F.lit(True)), ["id", "other"], "left").withColumn("link", F.coalesce("_link", F.lit(False))).drop("_link")
+
+
+def _likely_pairs(units: DataFrame, profiles: DataFrame, limit: Threshold, most: int) -> DataFrame:
+    """(unit, id, other): pairs of a unit's members that profiles leave and labels don't tie; a unit has at most LEAF members.
+
+    Members of sides 1 and 2 are compared across only, those of side 0 with all. A pair that shares
+    several regions is not sent where both know of an earlier one, so the first always sends it. From a unit with over
+    `most` such pairs for each member, each member sends its first, and a row without ids tells that
+    there are more.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[int, int | None, int | None]] = []
+            for unit, region, members in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+                members.sort(key=lambda m: m["id"])
+                regions = [frozenset(m["regions"]) for m in members]
+                who, n, label, side = (np.array([m[c] for m in members]) for c in ("id", "n", "label", "side"))
+                bytes_ = np.stack([np.frombuffer(m["profile"], np.uint8) for m in members])
+                found = []
+                for k in range(len(who) - 1):
+                    apart = _apart(bytes_[k], bytes_[k + 1 :], n[k], n[k + 1 :])
+                    fits = (apart <= limit.most_apart(n[k] + n[k + 1 :])) & (label[k + 1 :] != label[k]) & ((side[k] == 0) | (side[k + 1 :] != side[k]))
+                    found.append(np.array([o for o in np.flatnonzero(fits) + k + 1 if min(regions[k] & regions[o], default=region) >= region], np.int64))
+                if more := sum(map(len, found)) > most * len(who):
+                    out.append((unit, None, None))
+                seen = np.zeros(len(who), bool)
+                for k, others in enumerate(found):
+                    if more:  # a cover: each member once, with the first that it may link with
+                        others = others[~seen[others]]
+                        seen[others] = True
+                    out += [(unit, int(who[k]), int(who[o])) for o in others]
+            yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in range(3)], ["unit", "id", "other"])
+
+    rows = units.join(profiles, ["id", "class"])
+    lists = rows.groupBy("unit").agg(F.min("region").alias("region"), F.collect_list(F.struct("id", "n", "label", "side", "profile", "regions")).alias("_m"))
+    return lists.mapInArrow(run, "unit long, id long, other long")
+
+
+def _compare(units: DataFrame, links: list[DataFrame], profiles: DataFrame, sets: DataFrame, limit: Threshold, tag: str) -> None:
+    """Add to links those of the units' members (unit, region, id, class, side, regions), as far as the components need them."""
+    turn = 0
+    while True:
+        labels = components(reduce(DataFrame.unionByName, links)).withColumnRenamed("component", "label")
+        known = units.join(small_side(labels, labels.count()), "id", "left").withColumn("label", F.coalesce("label", "id"))
+        likely = written(_likely_pairs(known, profiles, limit, FIRST << (3 * turn)), f"pairs-{tag}-{turn}")
+        links.append(_whole(likely.filter("id is not null").select("id", "other"), sets, limit, f"{tag}-{turn}"))
+        more = likely.filter("id is null").select("unit")
+        if more.isEmpty():
+            return
+        units = units.join(small_side(more, more.count()), "unit", "left_semi")
+        turn += 1
+
+
+def _class(region: str):
+    return F.pmod(region, F.lit(256)).cast("int")
+
 
-    pairs = pairs.filter("id <> other").groupBy("id", "other").agg(F.lit(1).alias("_")).drop("_")
-    whole = pairs.join(sets.select("id", F.col("set").alias("_l")), "id").join(sets.select(F.col("id").alias("other"), F.col("set").alias("_r")), "other")
-    return written(whole.select("id", "other", "_l", "_r").mapInArrow(run, "id long, other long, d double, link boolean"), tag)
+def _region(*parts):
+    """A region within another one, of the same class."""
+    return F.xxhash64(*parts).bitwiseAND(F.lit(~255)).bitwiseOR(F.pmod("region", F.lit(256))).alias("region")
 
 
-def _edge_of_ball(rows: DataFrame, limit: Threshold) -> DataFrame:
-    """Members of (region, id, d) that may have links not yet known, d being the distance to the region's pivot.
+def _edge_of_ball(rows: DataFrame) -> DataFrame:
+    """Members of (region, id, d, link) that may have links not yet known; d: to the region's pivot.
 
-    Those within the limit of the pivot are linked by way of it. One of them can link to a member
-    outside only if that one's distance to the pivot is at most its own plus the limit.
+    Those that link with the pivot are linked by way of it. One of them can link to a member that
+    does not only if that one's distance to the pivot is at most its own plus the limit.
     """
     nearest = rows.filter(~F.col("link")).groupBy("region").agg(F.min("d").alias("_out"))
-    return rows.join(nearest, "region").filter(~F.col("link") | (F.col("d") >= F.col("_out") - limit.distance - _TINY)).select("region", "id")
+    return rows.join(nearest, "region").filter(~F.col("link") | (F.col("d") >= F.col("_out") - 1 - _TINY)).drop("_out", "d", "link")
 
 
-def _links(narrow: DataFrame, representatives: DataFrame, n: int, limit: Threshold) -> DataFrame:
-    """Pairs (id, other) that link, enough of them for the components to be exact."""
-    first = written(_first_regions(narrow, representatives, n, limit), "regions")
-    members = _same_members_once(first, "members-0")
+def _set_tables(narrow: DataFrame, compared: DataFrame, n: int, limit: Threshold) -> tuple[DataFrame, DataFrame]:
+    """Sets (id, set) and profiles (id, class, n, profile) of the documents in `compared`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["id", "set", "n", "class", "profile", "class2", "profile2"]
         for batch in batches:
-            rows, held, size = [], [], 0
+            rows, out, size = [], [], 0
             for r, s in _sets(batch.column(1), n):
                 if len(s):
-                    rows.append(r), held.append(s.tobytes())
-                    size += len(held[-1])
+                    i = limit.size_class(len(s))
+                    out.append((s.tobytes(), len(s), i, _profile(s, i, limit), i + 1, _profile(s, i + 1, limit)))
+                    rows.append(r)
+                    size += len(out[-1][0])
                 if size > 4 << 20:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(held, pa.binary())], ["id", "set"])
-                    rows, held, size = [], [], 0
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), *map(pa.array, zip(*out, strict=True))], names)
+                    rows, out, size = [], [], 0
             if rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(held, pa.binary())], ["id", "set"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), *map(pa.array, zip(*out, strict=True))], names)
 
-    compared = written(members.select("id").distinct(), "compared")
     wanted = narrow.join(small_side(compared, compared.count()), "id", "left_semi")
-    sets = written(wanted.mapInArrow(run, "id long, set binary"), "sets")
+    both = written(wanted.mapInArrow(run, "id long, set binary, n long, class long, profile binary, class2 long, profile2 binary"), "sets")
+    profiles = both.select("id", F.col("class").cast("int").alias("class"), "n", "profile").unionByName(both.select("id", F.col("class2").cast("int").alias("class"), "n", F.col("profile2").alias("profile")))
+    return both.select("id", "set"), profiles
+
+
+def _links(narrow: DataFrame, representatives: DataFrame, n: int, limit: Threshold) -> DataFrame:
+    """Pairs (id, other) that link, enough of them for the components to be exact."""
+    first = _first_regions(narrow, representatives, n, limit)
+    members = _same_members_once(first, "members-0")
+    compared = written(members.select("id").distinct(), "compared")
+    sets, profiles = _set_tables(narrow, compared, n, limit)
 
     # level 0: one pivot for each region
-    known = _distances(members.select("id", F.col("pivot").alias("other")), sets, limit, "distances-0")
+    known = _distances(members.select("id", F.col("pivot").alias("other"), _class("region").alias("class")), profiles, sets, limit, "0")
     links = [known.filter("link").select("id", "other")]
-    apart = known.filter("not link").select("id", F.col("other").alias("pivot"))
-    open_regions = written(members.join(small_side(apart, apart.count()), ["id", "pivot"], "left_semi").select("region").distinct(), "open-0")
-    rows = members.join(small_side(open_regions, open_regions.count()), "region", "left_semi").join(known.withColumnRenamed("other", "pivot"), ["id", "pivot"])
-    rest = _edge_of_ball(rows, limit)
-    level = 0
+    rows = members.withColumn("class", _class("region")).join(known.withColumnRenamed("other", "pivot"), ["id", "pivot", "class"])
+    rest, level = _edge_of_ball(rows.select("region", "id", "d", "link")), 0
     while True:
-        members = _same_members_once(rest, f"members-{level + 1}")
+        level += 1
+        members = _same_members_once(rest, f"members-{level}").withColumn("class", _class("region"))
         if members.isEmpty():
             return reduce(DataFrame.unionByName, links)
-        level += 1
-        small, large = members.filter(F.col("n") <= LEAF), members.filter(F.col("n") > LEAF)
-        # small regions: all their pairs, at most LEAF / 2 for each row
-        pairs = small.select("region", "id").join(small.select("region", F.col("id").alias("other")), "region").filter("id < other").select("id", "other")
-        # large ones: pivots drawn by hash, and each member's distance to each
-        k = PIVOTS << (level - 1)
-        slot = F.pmod(F.xxhash64("id", "region"), F.lit(k))
-        pivots = large.groupBy("region", slot.alias("_slot")).agg(F.min(F.struct(F.xxhash64("id", F.lit(level)).alias("h"), F.col("id"))).alias("p")).select("region", F.col("p.id").alias("other"))
-        faced = written(large.select("region", "id").join(pivots, "region"), f"faced-{level}")
-        known = _distances(pairs.unionByName(faced.select("id", "other")), sets, limit, f"distances-{level}")
-        links.append(known.filter("link").select("id", "other"))
-        if faced.isEmpty():
+        first = members.groupBy("id").agg(F.slice(F.array_sort(F.collect_set("region")), 1, KNOWN).alias("regions"))
+        members = members.join(first, "id")
+        units = members.filter(F.col("n") <= LEAF).select(F.col("region").alias("unit"), "region", "id", "class", F.lit(0).alias("side"), "regions")
+        large = members.filter(F.col("n") > LEAF)
+        if large.isEmpty():
+            _compare(units, links, profiles, sets, limit, f"leaves-{level}")
             return reduce(DataFrame.unionByName, links)
-        done = written(faced.filter("id = other").select("region", "id"), f"pivots-{level}")
-        facts = faced.join(known, ["id", "other"]).join(done, ["region", "id"], "left_anti")
-        nearest = facts.groupBy("region", "id").agg(F.min("d").alias("_best"))
-        # a document's partners have their home at pivots no further than its own nearest plus twice the limit
-        window = facts.join(nearest, ["region", "id"]).filter((F.col("d") < 1) & (F.col("d") <= F.col("_best") + 2 * limit.distance + _TINY))
-        near = _edge_of_ball(window.select(F.xxhash64("region", "other", F.lit(level)).alias("region"), "id", "d", "link"), limit)
-        # far from all pivots: at home in a region of their own, with whoever is nearly as far
-        far = nearest.filter(F.col("_best") >= 1 - limit.distance - _TINY).select(F.xxhash64("region", F.lit(-1), F.lit(level)).alias("region"), "id")
-        rest = near.unionByName(far)
+        rest, whole = _split(large, links, profiles, sets, limit, level)
+        _compare(units.unionByName(whole), links, profiles, sets, limit, f"leaves-{level}")
+
+
+def _split(large: DataFrame, links: list[DataFrame], profiles: DataFrame, sets: DataFrame, limit: Threshold, level: int) -> tuple[DataFrame, DataFrame]:
+    """(members of the regions that large ones split into, units of those that don't split).
+
+    Pivots are drawn by hash. A member is at home with its nearest pivot, if that is near, and is
+    replicated to each pivot no further than the triangle inequality allows for a partner at home there;
+    members far from all pivots share a region. Where all are about equally far, this replicates more
+    than it separates: such a region is cut into blocks instead, and each two blocks are a unit.
+    """
+    slot = F.pmod(F.xxhash64("id", "region"), F.lit(PIVOTS << (level - 1)))
+    pivots = large.groupBy("region", slot.alias("_slot")).agg(F.min(F.struct(F.xxhash64("id", F.lit(level)).alias("h"), F.col("id"))).alias("p")).select("region", F.col("p.id").alias("other"))
+    faced = written(large.select("region", "id", "class").join(pivots, "region"), f"faced-{level}")
+    known = _distances(faced.select("id", "other", "class"), profiles, sets, limit, str(level))
+    links.append(known.filter("link").select("id", "other"))
+    done = faced.filter("id = other").select("region", "id")
+    facts = written(faced.join(known, ["id", "other", "class"]).join(done, ["region", "id"], "left_anti"), f"facts-{level}")
+    nearest = facts.groupBy("region", "id").agg(F.min("d").alias("_best"))
+    window = facts.join(nearest, ["region", "id"]).filter(F.col("d") <= F.least(F.col("_best") + 2, F.lit(NEAR + 1)) + _TINY)
+    near = _edge_of_ball(window.select(F.col("region").alias("parent"), _region("region", "other", F.lit(level)), "id", "d", "link"))
+    far = nearest.filter(F.col("_best") > NEAR).select(F.col("region").alias("parent"), _region("region", F.lit(-1), F.lit(level)), "id")
+    children = written(near.unionByName(far), f"children-{level}")
+    before = large.groupBy("region").agg(F.count("*").alias("_n")).withColumnRenamed("region", "parent")
+    kept = F.greatest(*[F.coalesce(F.col(c), F.lit(0)) for c in ("_largest", "_half")])
+    sizes = children.groupBy("parent", "region").agg(F.count("*").alias("_c")).groupBy("parent").agg(F.max("_c").alias("_largest"), (F.sum("_c") / 2).alias("_half"))
+    stuck = written(before.join(sizes, "parent", "left").filter(kept > F.col("_n") * 0.75).select("parent", "_n"), f"stuck-{level}")
+    children = children.join(small_side(stuck, stuck.count()), "parent", "left_anti").select("region", "id")
+    # blocks of half a leaf: a member meets its own block and each other one
+    blocks = F.ceil(F.col("_n") / (LEAF // 2) * 1.25).cast("long")
+    cut = large.join(stuck.withColumnRenamed("parent", "region"), "region").withColumn("_b", F.pmod(F.xxhash64("id", F.lit(level)), blocks)).withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    unit = F.xxhash64("region", F.least("_b", "_o"), F.greatest("_b", "_o"))
+    side = F.when(F.col("_b") == F.col("_o"), 0).when(F.col("_b") < F.col("_o"), 1).otherwise(2)
+    return children, cut.select(unit.alias("unit"), "region", "id", "class", side.alias("side"), "regions")
 
 
 def components(edges: DataFrame) -> DataFrame:

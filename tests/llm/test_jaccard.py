@@ -72,10 +72,11 @@ def near_copies(seed=4):
     return [(1000 + i, t) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("leaf", [2, 12])
+@pytest.mark.parametrize("leaf", [2, 12, 1024])
 def test_levels(spark, monkeypatch, leaf):
     monkeypatch.setattr(jaccard, "LEAF", leaf)
     monkeypatch.setattr(jaccard, "PIVOTS", 2)
+    monkeypatch.setattr(jaccard, "FIRST", 1)
     rows = near_copies()
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert got(df) == expected(rows, 4, 85, 100)
