@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import StorageLevel  # noqa: F401  (re-exported for callers that persist)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,11 +22,19 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: Rows in an Arrow batch while a table is written: whole texts, so few.
+BATCH_ROWS = 1000
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """Write df as Parquet in the shared folder and return a scan of it."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    path, rows = f"{shared_dir(spark)}/tables/{tag}-{uuid.uuid4().hex}", spark.conf.get(key)
+    spark.conf.set(key, str(BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(key, rows)
     return spark.read.schema(df.schema).parquet(path)
 
 
