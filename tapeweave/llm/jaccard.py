@@ -184,9 +184,13 @@ def _listed(ids: pa.Array, rows: list[int], lists: list[np.ndarray]) -> pa.Recor
 
 
 def _same_members_once(members: DataFrame, tag: str) -> DataFrame:
-    """(region, id, pivot, n) of regions with two members or more; of regions with equal members one stays."""
+    """(region, id, pivot, n) of regions with two members or more; of regions with equal members one stays.
+
+    Rows that share an id may be in a region more than once, so members are summed up: with xor, two
+    of a kind would leave no trace. Halves of the hash are summed, which no number of rows overflows.
+    """
     h = F.xxhash64("id")
-    regions = members.groupBy("region").agg(F.count("*").alias("n"), F.min(F.struct(h.alias("h"), F.col("id"))).alias("p"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), F.col("id"))).alias("y")).filter("n > 1")
+    regions = members.groupBy("region").agg(F.count("*").alias("n"), F.min(F.struct(h.alias("h"), F.col("id"))).alias("p"), F.sum(F.shiftright(h, 32)).alias("x"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("y")).filter("n > 1")
     kept = regions.groupBy(F.col("p.id").alias("pivot"), "n", "x", "y", _class("region").alias("_c")).agg(F.min("region").alias("region")).select("region", "pivot", "n")
     return written(members.join(kept, "region"), tag)
 

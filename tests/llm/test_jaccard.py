@@ -82,6 +82,22 @@ def test_levels(spark, monkeypatch, leaf):
     assert got(df) == expected(rows, 4, 85, 100)
 
 
+def hubs(n=40, seed=9):
+    """Short hubs with a near copy on either side close to the limit; those two don't link."""
+    rng, rows = random.Random(seed), []
+    for i in range(n):
+        hub = [f"h{i}w{k}" for k in range(30)]
+        for text in ([f"a{i}", f"b{i}", *hub[2:]], hub, [*hub[:-2], f"y{i}", f"z{i}"]):
+            rows.append(" ".join(text))
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+def test_every_row_twice(spark):
+    rows = hubs() * 2
+    assert got(spark.createDataFrame(rows, "doc_id long, text string")) == expected(rows, 4, 85, 100)
+
+
 def test_odd_rows(spark):
     long = " ".join(f"w{i}" for i in range(30_000))
     rows = [(1, None), (2, ""), (3, " \n\t"), (4, "One"), (5, "one"), (6, "É one"), (7, "é one"), (8, long), (9, long + " x"), (9, long + " x"), (10, "a b c d e f g"), (11, "a b c d e f g"), (11, "quite another text of ten words that is not alike"), (12, "quite another text of ten words that is not alike"), (None, "one")]
