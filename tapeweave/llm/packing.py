@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import logging
 import os
 import re
 import struct
 import zlib
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +21,8 @@ from .shared import written
 
 #: Entries of each generation of what a Python worker remembers.
 REMEMBERED = 200_000
+#: Steps of the search for a bin plan, and lengths that they may go over in all if that gives more steps.
+NODES, WORK = 4_000, 1_000_000
 #: Lots that pieces of one length are ranked in.
 LOTS = 64
 
@@ -107,85 +112,130 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string")).mapInArrow(run, f"_id {id_type}, piece int, start long, length long, ids_crc32 long")
 
 
-def _fillings(left: list[int], counts: dict[int, int], room: int, slack: int, most: int) -> list[tuple[int, list[int]]]:
-    """(waste, lengths) of undominated fillings of `room`, least waste first.
+def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Best-fit decreasing of {length: count}, as (lengths, how many bins hold exactly these).
+
+    Bins of the same content are one entry. Items of one length fill the fullest bins that they fit, each
+    to the brim, so a length cuts at most one entry in pieces.
+    """
+    bins: list[tuple[int, tuple[int, ...], int]] = []  # (free, lengths, how many), least free first
+    for n in sorted((n for n, c in histogram.items() if c), reverse=True):
+        rest, at, new = histogram[n], bisect_left(bins, (n,)), []
+        kept = bins[:at]
+        for k, (free, lengths, many) in enumerate(bins[at:], at):
+            if not rest:
+                kept += bins[k:]
+                break
+            each = free // n
+            full = min(many, rest // each)
+            part = rest - full * each if full < many else 0  # fewer than fill a bin
+            rest -= full * each + part
+            new += [(free - each * n, lengths + (n,) * each, full)] * bool(full) + [(free - part * n, lengths + (n,) * part, 1)] * bool(part)
+            if many > full + bool(part):
+                kept.append((free, lengths, many - full - bool(part)))
+        each = capacity // n
+        full, part = divmod(rest, each)
+        new += [(capacity - each * n, (n,) * each, full)] * bool(full) + [(capacity - part * n, (n,) * part, 1)] * bool(part)
+        bins = sorted(kept + new)
+    return [(lengths, many) for _, lengths, many in bins]
+
+
+def _fillings(left: list[int], counts: dict[int, int], room: int, slack: int) -> Iterator[tuple[int, list[int]]]:
+    """(waste, lengths) of all undominated fillings of `room` with waste up to `slack`, least waste first.
 
     left: the lengths at hand, longest first. A filling that leaves room for a further length is
-    dominated by the one that takes it, and one with waste above `slack` cannot better the incumbent.
-    A filling that wastes nothing ends the search, as none can be better around the same document.
+    dominated by the one that takes it. Sums that each tail of `left` can reach are bits of a number,
+    so no way is taken that does not end in a filling.
     """
-    out: list[tuple[int, list[int]]] = []
-    steps = 0
-    smallest = left[-1] if left else 0
-    stack: list[tuple[int, int, list[int]]] = [(0, room, [])]
-    best = slack + 1
-    while stack and steps < most:
-        at, free, taken = stack.pop()
-        steps += 1
-        lo, hi = at, len(left)  # the first length that fits
-        while lo < hi:
-            mid = (lo + hi) // 2
-            lo, hi = (mid + 1, hi) if left[mid] > free else (lo, mid)
-        if lo == len(left):
-            if free < best or not out:
-                out.append((free, taken))
-                best = min(best, free)
-                if free == 0:
-                    break
+    mask, reach = (1 << room + 1) - 1, [1]
+    for n in reversed(left):
+        sums, times, block = reach[-1], min(counts[n], room // n), 1
+        while times:
+            block = min(block, times)
+            sums |= sums << n * block & mask
+            times, block = times - block, block * 2
+        reach.append(sums)
+    reach.reverse()
+    for waste in range(min(slack, room) + 1):
+        if not reach[0] >> room - waste & 1:
             continue
-        width = 3 if free > 2 * smallest else 2
-        for k in range(min(lo + width, len(left)) - 1, lo - 1, -1):  # longest on top
-            n = left[k]
-            times = min(counts[n], free // n)
-            if times:
-                stack.append((k + 1, free - times * n, taken + [n] * times))
-                if times > 1:
-                    stack.insert(0, (k + 1, free - n, taken + [n]))
-    return sorted(out, key=lambda x: (x[0], [-n for n in x[1]]))
-
-
-def bin_plan(histogram: dict[int, int], capacity: int, *, steps: int = 400, tries: int = 8) -> list[tuple[tuple[int, ...], int]]:
+        stack: list[tuple[int, int, tuple[int, ...], bool]] = [(0, room - waste, (), False)]  # True: a length that would still fit is left
+        while stack:
+            at, need, taken, more = stack.pop()
+            if at == len(left):
+                if not more:
+                    yield waste, list(taken)
+                continue
+            n = left[at]
+            for t in range(min(counts[n], need // n) + 1):  # most copies on top
+                if reach[at + 1] >> need - t * n & 1 and not (n <= waste and t < counts[n]):
+                    stack.append((at + 1, need - t * n, taken + (n,) * t, False))
+
+
+def least_bins(histogram: dict[int, int], capacity: int) -> int:
+    """No plan has fewer bins: by the sum of lengths, and by those of which no two share a bin."""
+    return max(-(-sum(n * c for n, c in histogram.items()) // capacity), sum(c for n, c in histogram.items() if 2 * n > capacity))
+
+
+def bin_plan(histogram: dict[int, int], capacity: int, *, nodes: int | None = None) -> list[tuple[tuple[int, ...], int]]:
     """(lengths, how many bins hold exactly these): all items of {length: count} in few bins of `capacity`.
 
-    Bin completion: the longest item left is completed with the undominated filling of least waste,
-    as many times over as the counts allow, so that each step uses a length up and the plan is as
-    long as there are lengths, not items. The first descent is a best-fit incumbent. While it is above
-    ceil(total / capacity), others are tried that take the second or third filling at one of the last
-    steps, and those whose waste already proves them no better are cut.
+    Bin completion. The incumbent is best-fit decreasing; if it has as few bins as the lower bound, it is
+    the plan. Else the longest item left is completed with each undominated filling that leaves less
+    waste than the incumbent allows, as many times over as the counts allow and then fewer times, depth
+    first with backtracking, over again with twice as many turns off the first branches. The search is
+    complete but for its end after `nodes` steps: NODES, or WORK by the number of lengths if that is more.
     """
-    total = sum(n * c for n, c in histogram.items())
-    least = -(-total // capacity)
-    best: list[tuple[tuple[int, ...], int]] = []
-    best_bins = None
-    turns = 0
-    for attempt in range(tries):
-        counts = dict(histogram)
+    total, least = sum(n * c for n, c in histogram.items()), least_bins(histogram, capacity)
+    best = best_fit(histogram, capacity)
+    best_bins = sum(many for _, many in best)
+    nodes = max(NODES, WORK // (len(histogram) + 1)) if nodes is None else nodes
+    counts = dict(histogram)
+    plan: list[tuple[tuple[int, ...], int]] = []
+
+    def allowed() -> int:
+        return (best_bins - 1) * capacity - total
+
+    def branches(waste: int) -> Iterator[tuple[tuple[int, ...], int, int]]:
         left = sorted((n for n, c in counts.items() if c), reverse=True)
-        plan: list[tuple[tuple[int, ...], int]] = []
-        bins = waste = step = 0
-        allowed = (best_bins - 1) * capacity - total if best_bins else None
-        while left:
-            top = left[0]
-            counts[top] -= 1
-            found = _fillings([n for n in left if counts[n] > 0], counts, capacity - top, capacity, steps)
-            counts[top] += 1
-            turn = 1 if attempt and step >= turns - attempt * 2 and (step + attempt) % 3 == 0 else 0
-            free, taken = found[min(turn, len(found) - 1)] if found else (capacity - top, [])
-            use: dict[int, int] = {top: 1}
-            for n in taken:
-                use[n] = use.get(n, 0) + 1
-            times = max(1, min(counts[n] // k for n, k in use.items()))
-            plan.append(((top, *taken), times))
-            for n, k in use.items():
-                counts[n] -= k * times
-            left = [n for n in left if counts[n] > 0]
-            bins, waste, step = bins + times, waste + free * times, step + 1
-            if allowed is not None and waste - free > allowed and left:
-                break
-        if not left and (best_bins is None or bins < best_bins):
-            best, best_bins, turns = plan, bins, step
-        if best_bins == least:
-            break
+        top = left[0]
+        have = counts | {top: counts[top] - 1}
+        for free, taken in _fillings([n for n in left if have[n]], have, capacity - top, allowed() - waste):
+            lengths = (top, *taken)
+            for times in range(min(counts[n] // k for n, k in Counter(lengths).items()), 0, -1):
+                yield lengths, times, free * times
+
+    limit, cut = 1, True
+    while cut and nodes and best_bins > least:  # once with few branches off the first ones, then with more
+        cut, open_, at = False, [enumerate(branches(0))], [(0, 0)]  # at: (waste, branches off) so far
+        while open_ and nodes and best_bins > least:
+            if len(plan) == len(open_):  # back from below
+                lengths, times = plan.pop()
+                for n in lengths:
+                    counts[n] += times
+                at.pop()
+            waste, off = at[-1]
+            turn, step = next(open_[-1], (0, None))
+            if step is None or off + turn > limit:
+                cut |= step is not None
+                open_.pop()
+                continue
+            lengths, times, free = step
+            nodes -= 1
+            if waste + free > allowed():
+                continue
+            plan.append((lengths, times))
+            at.append((waste + free, off + turn))
+            for n in lengths:
+                counts[n] -= times
+            if any(counts.values()):
+                open_.append(enumerate(branches(waste + free)))
+            else:
+                best, best_bins = list(plan), sum(many for _, many in plan)
+        for lengths, times in plan:
+            for n in lengths:
+                counts[n] += times
+        plan, limit = [], limit * 2
     return best
 
 
@@ -203,6 +253,7 @@ def pack(pieces: DataFrame, *, capacity: int = 2048) -> DataFrame:
     counts = written(pieces.groupBy("length", "_lot").agg(F.count("*").alias("_n")), "pack-counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
     plan = bin_plan(histogram, capacity)
+    logging.getLogger(__name__).info("%d sequences, at least %d", sum(many for _, many in plan), least_bins(histogram, capacity))
     taken: dict[int, int] = {}
     slots: dict[int, list[tuple[int, int, int, int]]] = {}
     sequence = 0

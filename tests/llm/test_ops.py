@@ -203,6 +203,13 @@ def test_bin_plan_is_exact_and_tight():
         assert sum(b for _, b in plan) <= len(first_fit) + 1
 
 
+def test_bin_plan_takes_branches_back():
+    # best fit and the longest fillings need 9 bins; 8 need lengths beyond the three longest that fit
+    histogram = {8: 1, 14: 1, 20: 1, 25: 2, 27: 1, 29: 1, 33: 3, 34: 1, 36: 1, 40: 1, 41: 1, 50: 1, 54: 1, 56: 1, 60: 1, 76: 1, 77: 1}
+    assert sum(b for _, b in packing.best_fit(histogram, 100)) == 9
+    assert sum(b for _, b in packing.bin_plan(histogram, 100)) == 8 == packing.least_bins(histogram, 100)
+
+
 def test_warc_split_reader(spark):
     rng = random.Random(1)
     pages = [(i, f"http://x/{i}", "".join(rng.choices("abcdef <>", k=rng.randint(0, 5000)))) for i in range(120)]
