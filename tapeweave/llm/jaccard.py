@@ -434,8 +434,8 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     Two documents link when den * intersection >= num * union. Rows that share an id are one document,
     which has the links of all. Rows with a null id have no links and a null component.
 
-    Equal sets are made one first, by digest. All links between different sets are compared or follow
-    from two links to a pivot; nothing is capped.
+    Equal sets are made one first, by digest. Of the links between different sets only those that the
+    components need are looked for: not those within a component known by then.
     """
     limit = Threshold(num, den)
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("_text")).filter(F.col("id").isNotNull())
