@@ -1,17 +1,21 @@
 """N-gram Jaccard join: an exact metric-space join of documents' shingle sets, with their components.
 
 Jaccard distance is a metric, but over a corpus nearly all distances of shingle sets are 1, so pivots
-alone would send every document to every region. The first level of regions therefore comes from an
-exact lemma: sets A, B that link differ in at most D shingles, so of more than D parts of the
-universe at least one holds the same of both; documents whose part is the same share a region.
-Inside, pivots split regions and the triangle inequality decides what is replicated where. Distances
-there are taken between short profiles, a byte for each of more parts: how many bytes differ is a
-metric too, and never more than the shingles that differ. Pairs that it leaves meet with whole sets.
+alone would send every document to every region. Two lemmas come first, both exact. Linked sets share
+all but (1 - t) n of a set's n shingles, so a set of which more than that are met nowhere else links
+with none: a merged sketch of one slice of the shingles finds most such sets. And sets that link
+differ in at most D shingles, so of more than D parts of the universe at least one holds the same of
+both: documents whose part is the same share a first region. Regions are then joined by pivots, each
+member at home in its nearest pivot's Voronoi region and replicated to those within the window that
+the triangle inequality leaves, recursively, until few are left. Distances are taken between short
+profiles, a byte for each of more parts: how many bytes differ is a metric too, and never more than
+the shingles that differ. Pairs that it leaves meet with whole sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import logging
+from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
 
 import numpy as np
@@ -19,12 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import small_side, written
+from .shared import dropped, free, quoted, small_batches, small_side, written
 from .sketch import maybe_repeated, repeated_cells, width_for
 from .textops import LOWER, mix, rolling, text_chunks, word_hashes, words
 
-#: Regions of at most so many documents are compared in one task.
-LEAF = 4096
+#: Regions of at most so many documents, with profiles of at most so many bytes, are joined within one task, by pivots of their own.
+LEAF, LEAF_BYTES = 4096, 16 << 20
+#: Regions of at most so many documents are compared pair by pair.
+SMALL = 8
+#: Share of the universe of shingles that the sketch counts.
+SHARE = 0.5
 #: Pairs for each of its members that a region may send to be compared by whole sets before links known by then are taken out.
 FIRST = 8
 #: First regions of a document that travel with it.
@@ -35,6 +43,8 @@ PIVOTS = 8
 NEAR = 2.0
 #: Parts of a profile for each shingle that linked sets may differ in.
 FINE = 3
+#: Edges that a task contracts at a time.
+CHUNK = 500_000
 _TINY = 1e-9
 
 
@@ -52,6 +62,10 @@ class Threshold:
         """Shingles in which linked sets of so many in all may differ; numbers or arrays."""
         return total - 2 * (-(-self.num * total // (self.num + self.den)))
 
+    def at_least_met(self, n: int, counted: int) -> int:
+        """Of so many counted shingles of a set of n, how many a linked set holds at least."""
+        return counted - (n - -(-n * self.num // self.den))
+
     def size_class(self, n: int) -> int:
         return int(np.searchsorted(self.bounds, n, "right")) - 1
 
@@ -59,6 +73,11 @@ class Threshold:
         """Shingles in which linked sets of classes i - 1 and i may differ."""
         return (self.den - self.num) * 2 * (self.bounds[i + 1] - 1) // (self.num + self.den)
 
+    def leaf(self, c):
+        """Members of a region of class c (a column) that one task joins."""
+        most = [max(2, min(LEAF, LEAF_BYTES // (FINE * (self.differ(i) + 1)))) for i in range(len(self.bounds) - 1)]
+        return F.element_at(F.array(*map(F.lit, most)), c + 1)
+
     @lru_cache(maxsize=4096)  # noqa: B019
     def fine(self, i: int) -> np.ndarray:
         """Edges of the parts of a profile."""
@@ -133,46 +152,44 @@ def set_digests(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFram
                 size[r], a[r], b[r] = len(s), mix(s).sum().view(np.int64), mix(s ^ np.uint64(0x2545F4914F6CDD1D)).sum().view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(a), pa.array(b)], ["_id", "n_shingles", "_a", "_b"])
 
-    return docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string")).mapInArrow(run, "_id long, n_shingles long, _a long, _b long")
+    return docs.select(F.col(quoted(id_col)).cast("long").alias("_id"), F.col(quoted(text_col)).cast("string").alias("_text")).mapInArrow(run, "_id long, n_shingles long, _a long, _b long")
 
 
-def _first_regions(narrow: DataFrame, representatives: DataFrame, n: int, limit: Threshold) -> DataFrame:
-    """(region, id): keys that a count-min sketch holds for shared, of one document for each set."""
-    size = narrow.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    width = width_for(size // 15)  # about one key for every 2.6 words
+def _first_regions(own: DataFrame, n: int, limit: Threshold) -> DataFrame:
+    """(region, id) of the documents of which a count-min sketch leaves enough shingles as held by others."""
+    size = own.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    width = width_for(int(SHARE * size / 6))
+    edge = np.uint64(int(SHARE * (1 << 64)))
 
     def keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         held, total = [], 0
         for _, s in _sets(batch.column(0), n):
-            if len(s):
-                held.append(_signatures(s, limit))
-                total += len(held[-1])
-                if total > 1 << 20:
-                    yield np.concatenate(held)
-                    held, total = [], 0
-        if held:
+            held.append(s[: np.searchsorted(s, edge)])
+            total += len(held[-1])
+            if total > 1 << 16:
+                yield np.concatenate(held)
+                held, total = [], 0
+        if total:
             yield np.concatenate(held)
 
-    bitmaps = repeated_cells(narrow.select("_text"), keys, width=width)
+    bitmaps = repeated_cells(own.select("_text"), keys, width=width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, lists, held = [], [], 0
             ids = batch.column(0)
             for r, s in _sets(batch.column(1), n):
-                if len(s) and len(own := _signatures(s, limit)):
-                    own = own[maybe_repeated(bitmaps.value, own, width)]
-                    if len(own):
-                        rows.append(r), lists.append(own.view(np.int64))
-                        held += len(own)
-                if held > 1 << 18:
+                counted = s[: np.searchsorted(s, edge)]
+                if len(s) and int(maybe_repeated(bitmaps.value, counted, width).sum()) >= limit.at_least_met(len(s), len(counted)) and len(parts := _signatures(s, limit)):
+                    rows.append(r), lists.append(parts.view(np.int64))
+                    held += len(parts)
+                if held > 1 << 16:
                     yield _listed(ids, rows, lists)
                     rows, lists, held = [], [], 0
             if rows:
                 yield _listed(ids, rows, lists)
 
-    found = narrow.mapInArrow(run, "id long, keys array<long>")
-    found = found.join(small_side(representatives, representatives.count()), "id", "left_semi")
+    found = own.select("id", "_text").mapInArrow(run, "id long, keys array<long>")
     out = written(found.select(F.explode_outer("keys").alias("region"), "id"), "regions")
     bitmaps.destroy()
     return out
@@ -246,41 +263,84 @@ def _distances(pairs: DataFrame, profiles: DataFrame, sets: DataFrame, limit: Th
     return near.drop("likely").join(links.withColumn("_link", F.lit(True)), ["id", "other"], "left").withColumn("link", F.coalesce("_link", F.lit(False))).drop("_link")
 
 
+def _voronoi(rows: np.ndarray, apart: Callable, reach: int) -> list[np.ndarray] | None:
+    """Regions that members split into, so that each two at most `reach` apart share one; None: pivots don't separate them.
+
+    A member is at home with its nearest pivot, if that is near, and is replicated to each pivot no
+    further than the triangle inequality allows for a partner at home there. Those far from all pivots
+    share a region.
+    """
+    pivots = rows[:: -(-len(rows) // PIVOTS)]
+    d = np.stack([apart(p, rows) for p in pivots])
+    best = d.min(axis=0)
+    near = best <= NEAR * reach
+    window = d <= np.minimum(best + 2 * reach, (NEAR + 1) * reach)
+    regions = [rows[window[p]] for p in np.unique(d.argmin(axis=0)[near])] + [rows[~near]]
+    return regions if sum(len(x) ** 2 for x in regions) <= 0.75 * len(rows) ** 2 else None
+
+
+def metric_pairs(label: np.ndarray, apart: Callable, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(k, o, distance, regions split) of all pairs k < o of members with other labels that are at most `reach` apart.
+
+    apart(k, rows) is a metric. Regions of over SMALL members are split by pivots, recursively, unless
+    they are of one label.
+    """
+    n, found, splits, open_ = len(label), [], 0, [np.arange(len(label))]
+    while open_:
+        rows = open_.pop()
+        if not (label[rows] != label[rows[:1]]).any():
+            continue
+        regions = _voronoi(rows, apart, reach) if len(rows) > SMALL else None
+        if regions is not None:
+            splits += 1
+            open_ += regions
+            continue
+        for at, k in enumerate(rows[:-1]):
+            others = rows[at + 1 :]
+            others = others[label[others] != label[k]]
+            d = apart(k, others)
+            found.append(np.stack([k * n + others, d])[:, d <= reach])
+    if not found:
+        return *(np.zeros(0, np.int64) for _ in range(3)), splits
+    code, d = np.concatenate(found, axis=1)
+    code, first = np.unique(code, return_index=True)
+    return code // n, code % n, d[first], splits
+
+
 def _likely_pairs(units: DataFrame, profiles: DataFrame, limit: Threshold, most: int) -> DataFrame:
-    """(unit, id, other): pairs of a unit's members that profiles leave and labels don't tie; a unit has at most LEAF members.
+    """(unit, id, other, splits): pairs of a unit's members that profiles leave and labels don't tie; a unit has at most LEAF members.
 
     Members of sides 1 and 2 are compared across only, those of side 0 with all. A pair that shares
     several regions is not sent where both know of an earlier one, so the first always sends it. From a unit with over
-    `most` such pairs for each member, each member sends its first, and a row without ids tells that
-    there are more.
+    `most` such pairs for each member, each member sends its first. A row without ids tells how many
+    regions were split by pivots, and with a unit that it has more pairs.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[int, int | None, int | None]] = []
-            for unit, region, members in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+            out: list[tuple[int | None, int | None, int | None, int]] = []
+            total = 0
+            for unit, region, kind, members in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
                 members.sort(key=lambda m: m["id"])
                 regions = [frozenset(m["regions"]) for m in members]
                 who, n, label, side = (np.array([m[c] for m in members]) for c in ("id", "n", "label", "side"))
                 bytes_ = np.stack([np.frombuffer(m["profile"], np.uint8) for m in members])
-                found = []
-                for k in range(len(who) - 1):
-                    apart = _apart(bytes_[k], bytes_[k + 1 :], n[k], n[k + 1 :])
-                    fits = (apart <= limit.most_apart(n[k] + n[k + 1 :])) & (label[k + 1 :] != label[k]) & ((side[k] == 0) | (side[k + 1 :] != side[k]))
-                    found.append(np.array([o for o in np.flatnonzero(fits) + k + 1 if min(regions[k] & regions[o], default=region) >= region], np.int64))
-                if more := sum(map(len, found)) > most * len(who):
-                    out.append((unit, None, None))
-                seen = np.zeros(len(who), bool)
-                for k, others in enumerate(found):
-                    if more:  # a cover: each member once, with the first that it may link with
-                        others = others[~seen[others]]
-                        seen[others] = True
-                    out += [(unit, int(who[k]), int(who[o])) for o in others]
-            yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in range(3)], ["unit", "id", "other"])
+                left, right, d, splits = metric_pairs(label, lambda k, rows: _apart(bytes_[k], bytes_[rows], n[k], n[rows]), limit.differ(kind))  # noqa: B023
+                total += splits
+                fits = (d <= limit.most_apart(n[left] + n[right])) & ((side[left] == 0) | (side[left] != side[right]))
+                fits &= np.array([min(regions[k] & regions[o], default=region) >= region for k, o in zip(left, right, strict=True)], bool)
+                left, right = left[fits], right[fits]
+                if len(left) > most * len(who):  # a cover: each member once, with the first that it may link with
+                    out.append((unit, None, None, 0))
+                    first = np.unique(right, return_index=True)[1]
+                    left, right = left[first], right[first]
+                out += zip([unit] * len(left), who[left].tolist(), who[right].tolist(), [0] * len(left), strict=True)
+            out.append((None, None, None, total))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["unit", "id", "other", "splits"])
 
     rows = units.join(profiles, ["id", "class"])
-    lists = rows.groupBy("unit").agg(F.min("region").alias("region"), F.collect_list(F.struct("id", "n", "label", "side", "profile", "regions")).alias("_m"))
-    return lists.mapInArrow(run, "unit long, id long, other long")
+    lists = rows.groupBy("unit").agg(F.min("region").alias("region"), F.min("class").alias("class"), F.collect_list(F.struct("id", "n", "label", "side", "profile", "regions")).alias("_m"))
+    return lists.mapInArrow(run, "unit long, id long, other long, splits long")
 
 
 def _compare(units: DataFrame, links: list[DataFrame], profiles: DataFrame, sets: DataFrame, limit: Threshold, tag: str) -> None:
@@ -291,10 +351,12 @@ def _compare(units: DataFrame, links: list[DataFrame], profiles: DataFrame, sets
         known = units.join(small_side(labels, labels.count()), "id", "left").withColumn("label", F.coalesce("label", "id"))
         likely = written(_likely_pairs(known, profiles, limit, FIRST << (3 * turn)), f"pairs-{tag}-{turn}")
         links.append(_whole(likely.filter("id is not null").select("id", "other"), sets, limit, f"{tag}-{turn}"))
-        more = likely.filter("id is null").select("unit")
-        if more.isEmpty():
+        more = likely.filter("id is null and unit is not null").select("unit")
+        n_more, splits = likely.agg(F.count_if(F.expr("id is null and unit is not null")), F.sum("splits")).first()
+        logging.getLogger(__name__).info("%s, turn %d: %d regions split within tasks", tag, turn, splits or 0)
+        if not n_more:
             return
-        units = units.join(small_side(more, more.count()), "unit", "left_semi")
+        units = units.join(small_side(more, n_more), "unit", "left_semi")
         turn += 1
 
 
@@ -317,7 +379,7 @@ def _edge_of_ball(rows: DataFrame) -> DataFrame:
     return rows.join(nearest, "region").filter(~F.col("link") | (F.col("d") >= F.col("_out") - 1 - _TINY)).drop("_out", "d", "link")
 
 
-def _set_tables(narrow: DataFrame, compared: DataFrame, n: int, limit: Threshold) -> tuple[DataFrame, DataFrame]:
+def _set_tables(own: DataFrame, compared: DataFrame, n: int, limit: Threshold) -> tuple[DataFrame, DataFrame]:
     """Sets (id, set) and profiles (id, class, n, profile) of the documents in `compared`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,24 +392,25 @@ def _set_tables(narrow: DataFrame, compared: DataFrame, n: int, limit: Threshold
                     out.append((s.tobytes(), len(s), i, _profile(s, i, limit), i + 1, _profile(s, i + 1, limit)))
                     rows.append(r)
                     size += len(out[-1][0])
-                if size > 4 << 20:
+                if size > 1 << 20:
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), *map(pa.array, zip(*out, strict=True))], names)
                     rows, out, size = [], [], 0
             if rows:
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), *map(pa.array, zip(*out, strict=True))], names)
 
-    wanted = narrow.join(small_side(compared, compared.count()), "id", "left_semi")
+    wanted = own.select("id", "_text").join(small_side(compared, compared.count()), "id", "left_semi")
     both = written(wanted.mapInArrow(run, "id long, set binary, n long, class long, profile binary, class2 long, profile2 binary"), "sets")
     profiles = both.select("id", F.col("class").cast("int").alias("class"), "n", "profile").unionByName(both.select("id", F.col("class2").cast("int").alias("class"), "n", F.col("profile2").alias("profile")))
     return both.select("id", "set"), profiles
 
 
-def _links(narrow: DataFrame, representatives: DataFrame, n: int, limit: Threshold) -> DataFrame:
-    """Pairs (id, other) that link, enough of them for the components to be exact."""
-    first = _first_regions(narrow, representatives, n, limit)
+def _links(own: DataFrame, n: int, limit: Threshold) -> DataFrame:
+    """Pairs (id, other) that link, enough of them for the components to be exact; own: one document for each set."""
+    first = _first_regions(own, n, limit)
     members = _same_members_once(first, "members-0")
+    dropped(first)
     compared = written(members.select("id").distinct(), "compared")
-    sets, profiles = _set_tables(narrow, compared, n, limit)
+    sets, profiles = _set_tables(own, compared, n, limit)
 
     # level 0: one pivot for each region
     known = _distances(members.select("id", F.col("pivot").alias("other"), _class("region").alias("class")), profiles, sets, limit, "0")
@@ -361,8 +424,8 @@ def _links(narrow: DataFrame, representatives: DataFrame, n: int, limit: Thresho
             return reduce(DataFrame.unionByName, links)
         first = members.groupBy("id").agg(F.slice(F.array_sort(F.collect_set("region")), 1, KNOWN).alias("regions"))
         members = members.join(first, "id")
-        units = members.filter(F.col("n") <= LEAF).select(F.col("region").alias("unit"), "region", "id", "class", F.lit(0).alias("side"), "regions")
-        large = members.filter(F.col("n") > LEAF)
+        units = members.filter(F.col("n") <= limit.leaf(F.col("class"))).select(F.col("region").alias("unit"), "region", "id", "class", F.lit(0).alias("side"), "regions")
+        large = members.filter(F.col("n") > limit.leaf(F.col("class")))
         if large.isEmpty():
             _compare(units, links, profiles, sets, limit, f"leaves-{level}")
             return reduce(DataFrame.unionByName, links)
@@ -373,12 +436,12 @@ def _links(narrow: DataFrame, representatives: DataFrame, n: int, limit: Thresho
 def _split(large: DataFrame, links: list[DataFrame], profiles: DataFrame, sets: DataFrame, limit: Threshold, level: int) -> tuple[DataFrame, DataFrame]:
     """(members of the regions that large ones split into, units of those that don't split).
 
-    Pivots are drawn by hash. A member is at home with its nearest pivot, if that is near, and is
+    Pivots are drawn by hash, so that regions which overlap share pivots. A member is at home with its nearest pivot, if that is near, and is
     replicated to each pivot no further than the triangle inequality allows for a partner at home there;
     members far from all pivots share a region. Where all are about equally far, this replicates more
     than it separates: such a region is cut into blocks instead, and each two blocks are a unit.
     """
-    slot = F.pmod(F.xxhash64("id", "region"), F.lit(PIVOTS << (level - 1)))
+    slot = F.pmod(F.xxhash64("id", F.lit(-level)), F.lit(PIVOTS << (level - 1)))
     pivots = large.groupBy("region", slot.alias("_slot")).agg(F.min(F.struct(F.xxhash64("id", F.lit(level)).alias("h"), F.col("id"))).alias("p")).select("region", F.col("p.id").alias("other"))
     faced = written(large.select("region", "id", "class").join(pivots, "region"), f"faced-{level}")
     known = _distances(faced.select("id", "other", "class"), profiles, sets, limit, str(level))
@@ -396,29 +459,65 @@ def _split(large: DataFrame, links: list[DataFrame], profiles: DataFrame, sets:
     stuck = written(before.join(sizes, "parent", "left").filter(kept > F.col("_n") * 0.75).select("parent", "_n"), f"stuck-{level}")
     children = children.join(small_side(stuck, stuck.count()), "parent", "left_anti").select("region", "id")
     # blocks of half a leaf: a member meets its own block and each other one
-    blocks = F.ceil(F.col("_n") / (LEAF // 2) * 1.25).cast("long")
+    blocks = F.ceil(F.col("_n") / F.floor(limit.leaf(_class("region")) / 2) * 1.25).cast("long")
     cut = large.join(stuck.withColumnRenamed("parent", "region"), "region").withColumn("_b", F.pmod(F.xxhash64("id", F.lit(level)), blocks)).withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     unit = F.xxhash64("region", F.least("_b", "_o"), F.greatest("_b", "_o"))
     side = F.when(F.col("_b") == F.col("_o"), 0).when(F.col("_b") < F.col("_o"), 1).otherwise(2)
     return children, cut.select(unit.alias("unit"), "region", "id", "class", side.alias("side"), "regions")
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, v) with v the smallest id that a chunk of the edges (u, v) joins u with; a chunk is bounded by CHUNK."""
+
+    def joined(edges: list[np.ndarray]) -> pa.RecordBatch:
+        ids, code = np.unique(np.concatenate(edges, axis=1), return_inverse=True)
+        root = list(range(len(ids)))
+        for u, v in code.reshape(2, -1).T.tolist():
+            while root[u] != u:
+                root[u] = u = root[root[u]]
+            while root[v] != v:
+                root[v] = v = root[root[v]]
+            root[max(u, v)] = min(u, v)
+        for u in range(len(root)):  # a root is smaller than what hangs from it
+            root[u] = root[root[u]]
+        low = ids[root]
+        return pa.RecordBatch.from_arrays([pa.array(ids[low != ids]), pa.array(low[low != ids])], ["u", "v"])
+
+    held, total = [], 0
+    for batch in batches:
+        held.append(np.stack([batch.column(c).to_numpy() for c in (0, 1)]))
+        total += batch.num_rows
+        if total >= CHUNK:
+            yield joined(held)
+            held, total = [], 0
+    if held:
+        yield joined(held)
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(id, component): smallest id reachable over edges (id, other); by large and small stars in turn."""
+    """(id, component): smallest id reachable over edges (id, other).
+
+    Chunks of at most CHUNK edges are contracted within tasks first. If there are several, large and
+    small stars in turn join what is left.
+    """
 
     def state(e: DataFrame):
         return e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
 
-    e = written(edges.select(F.greatest("id", "other").alias("u"), F.least("id", "other").alias("v")).filter("u <> v").distinct(), "edges")
+    own = written(edges.select(F.greatest("id", "other").alias("u"), F.least("id", "other").alias("v")).filter("u <> v").distinct(), "edges")
+    chunks = max(1, -(-own.count() // CHUNK))
+    e = written(own.coalesce(chunks).mapInArrow(_forest, "u long, v long"), "forest")
+    dropped(own)
     before = state(e)
-    while before[0]:
+    while chunks > 1:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = written(large, "large-star")
+        old, large = e, written(large, "large-star")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         e = written(small.filter("u <> v").distinct(), "small-star")
+        dropped(old, large)
         after = state(e)
         if after == before:
             break
@@ -438,10 +537,13 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     components need are looked for: not those within a component known by then.
     """
     limit = Threshold(num, den)
-    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("_text")).filter(F.col("id").isNotNull())
+    small_batches(docs.sparkSession)
+    narrow = docs.select(F.col(quoted(id_col)).cast("long").alias("id"), F.col(quoted(text_col)).cast("string").alias("_text")).filter(F.col("id").isNotNull())
     digests = written(set_digests(docs, id_col, text_col, shingle), "digests")
     classes = written(digests.filter((F.col("n_shingles") > 0) & F.col("_id").isNotNull()).groupBy("_a", "_b").agg(F.min("_id").alias("id"), F.count("*").alias("_n")), "classes")
-    links = _links(narrow, classes.select("id").distinct(), shingle, limit)
+    # documents that stand for no set: copies of an earlier one, and those without words
+    others = written(digests.filter("_id is not null").select(F.col("_id").alias("id")).distinct().join(classes.select("id").distinct(), "id", "left_anti"), "others")
+    links = _links(narrow.join(small_side(others, others.count()), "id", "left_anti"), shingle, limit)
     # rows that share an id tie the classes of their sets
     copies = digests.join(classes.filter("_n > 1").select("_a", "_b", "id"), ["_a", "_b"], "left").filter(F.col("_id").isNotNull() & (F.col("n_shingles") > 0))
     same = copies.filter(F.col("_id") != F.col("id")).select(F.col("_id").alias("u"), F.col("id").alias("other"))
@@ -457,5 +559,6 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """docs without all but one document, that of the smallest id, of each component. Rows with null ids stay."""
     groups = jaccard_components(docs, id_col=id_col, text_col=text_col, shingle=shingle, num=num, den=den)
-    others = groups.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_id")).distinct()
-    return docs.join(others, F.col(id_col) == F.col("_id"), "left_anti")
+    gone, = free(docs, "gone")
+    others = written(groups.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(gone)).distinct(), "near-copies")
+    return docs.join(small_side(others, others.count()), F.col(quoted(id_col)) == F.col(gone), "left_anti")

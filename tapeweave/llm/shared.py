@@ -1,4 +1,4 @@
-"""Folder that all executors share, and tables written there to cut lineage."""
+"""Folder that all executors share, tables written there to cut lineage, and names that clash with none."""
 
 from __future__ import annotations
 
@@ -8,36 +8,82 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of at most two longs that may be broadcast; more are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Bytes of a table that may be broadcast, as its rows count with `row_bytes` each; beyond, Spark shuffles both sides.
+BROADCAST_BYTES = 16 << 20
+#: Bytes in an Arrow batch: whole texts, so few rows.
+BATCH_BYTES = 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where that is unset (as in tests), a new local one."""
+    """The folder named in spark.checkpoint.dir; where that is unset, one that all executors see.
+
+    With a local master driver and executors are one machine, so a new temporary folder will do; on a
+    cluster it is one within the warehouse.
+    """
     key = "spark.checkpoint.dir"
     path = spark.sparkContext.getConf().get(key) or spark.conf.get(key, None)
     if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="tapeweave-")
+        master = spark.sparkContext.master
+        local = master == "local" or master.startswith("local[")
+        path = "file://" + tempfile.mkdtemp(prefix="tapeweave-") if local else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tapeweave"
         spark.conf.set(key, path)
     return path.rstrip("/")
 
 
-#: Rows in an Arrow batch while a table is written: whole texts, so few.
-BATCH_ROWS = 1000
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, for the session and for good; a lower bound of the user's stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def written(df: DataFrame, tag: str) -> DataFrame:
     """Write df as Parquet in the shared folder and return a scan of it."""
-    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    path, rows = f"{shared_dir(spark)}/tables/{tag}-{uuid.uuid4().hex}", spark.conf.get(key)
-    spark.conf.set(key, str(BATCH_ROWS))
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(key, rows)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def small_side(df: DataFrame, rows: int) -> DataFrame:
-    """Mark df for broadcast if it has at most BROADCAST_ROWS rows; otherwise Spark shuffles it."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    spark = df.sparkSession
+    small_batches(spark)
+    path = f"{shared_dir(spark)}/tables/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables of written() that nothing reads any more."""
+    for df in tables:
+        jvm, spark = df.sparkSession._jvm, df.sparkSession
+        path = jvm.org.apache.hadoop.fs.Path(df._written)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def small_side(df: DataFrame, rows: int, row_bytes: int = 16) -> DataFrame:
+    """Mark df, of so many rows and bytes a row, for broadcast if it is within BROADCAST_BYTES; otherwise Spark shuffles it."""
+    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
+
+
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores put on until none is a column of df; case counts for nothing, as in Spark."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def aside(df: DataFrame, *added: str) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """(df with columns c0, c1, ..., which no operator adds; [(c0, its name), ...] of those that stay beside the added ones)."""
+    gone = {n.lower() for n in added}
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), [(f"c{i}", c) for i, c in enumerate(df.columns) if c.lower() not in gone]
+
+
+def at(df: DataFrame, name: str) -> str:
+    """The column of aside(df) that holds df's column of that name; where case alone tells several apart, that of the same case."""
+    same = [i for i, c in enumerate(df.columns) if c == name] or [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
+    return f"c{same[0]}"
+
+
+def quoted(name: str) -> str:
+    """A column's name as Spark's parser takes it, dots and blanks included."""
+    return "`" + name.replace("`", "``") + "`"

@@ -6,11 +6,11 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
+from .shared import small_batches
 from .textops import mix
 
 #: Cells of one row of the sketch, at most: 32 MB of bits. Beyond, more keys are overestimated, none lost.
@@ -20,7 +20,7 @@ SLICE = 1 << 18
 #: Partitions whose counts of a slice are merged first, before these are.
 FAN_IN = 64
 #: Keys that a task holds before it hands on what it has counted.
-HELD = 1_000_000
+HELD = 200_000
 
 
 def cells(keys: np.ndarray, row: int, width: int) -> np.ndarray:
@@ -49,21 +49,21 @@ def _dense(count: np.ndarray) -> tuple[bytes, bytes]:
     return zlib.compress(np.packbits(count >= 1).tobytes(), 1), zlib.compress(np.packbits(count >= 2).tobytes(), 1)
 
 
-def _merge_sparse(frame: pd.DataFrame) -> pd.DataFrame:
+def _merge_sparse(rows: pa.Table) -> pa.Table:
     count = np.zeros(SLICE, np.uint8)
-    for data, wide in zip(frame["steps"], frame["wide"], strict=True):
-        at, twice = _unpack(data, wide)
+    for data, wide in zip(rows["steps"], rows["wide"], strict=True):
+        at, twice = _unpack(data.as_buffer(), wide.as_py())
         count[at] = np.minimum(count[at] + 1 + twice, 2)
     once, more = _dense(count)
-    return pd.DataFrame({"slice": frame["slice"].iloc[:1], "lot": frame["lot"].iloc[:1], "once": [once], "twice": [more]})
+    return pa.table({"slice": rows["slice"].slice(0, 1), "lot": rows["lot"].slice(0, 1), "once": pa.array([once]), "twice": pa.array([more])})
 
 
-def _merge_dense(frame: pd.DataFrame) -> pd.DataFrame:
+def _merge_dense(rows: pa.Table) -> pa.Table:
     count = np.zeros(SLICE, np.uint8)
-    bits = lambda b: np.unpackbits(np.frombuffer(zlib.decompress(b), np.uint8))
-    for once, twice in zip(frame["once"], frame["twice"], strict=True):
+    bits = lambda b: np.unpackbits(np.frombuffer(zlib.decompress(b.as_buffer()), np.uint8))
+    for once, twice in zip(rows["once"], rows["twice"], strict=True):
         np.minimum(count + bits(once) + bits(twice), 2, out=count)
-    return pd.DataFrame({"slice": frame["slice"].iloc[:1], "twice": [_dense(count)[1]]})
+    return pa.table({"slice": rows["slice"].slice(0, 1), "twice": pa.array([_dense(count)[1]])})
 
 
 def repeated_cells(rows: DataFrame, keys: Callable[[pa.RecordBatch], Iterator[np.ndarray]], *, width: int, depth: int = 2) -> Broadcast:
@@ -73,6 +73,7 @@ def repeated_cells(rows: DataFrame, keys: Callable[[pa.RecordBatch], Iterator[np
     two steps on the executors. The driver gets the final bitmaps alone, depth * width / 8 bytes
     whatever the input.
     """
+    small_batches(rows.sparkSession)
     slices = -(-width // SLICE)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,12 +104,13 @@ def repeated_cells(rows: DataFrame, keys: Callable[[pa.RecordBatch], Iterator[np
         if total:
             yield from hand_on()
 
-    partial = rows.mapInArrow(count, "slice int, lot int, steps binary, wide boolean").groupBy("slice", "lot").applyInPandas(_merge_sparse, "slice int, lot int, once binary, twice binary")
-    final = partial.groupBy("slice").applyInPandas(_merge_dense, "slice int, twice binary")
+    partial = rows.mapInArrow(count, "slice int, lot int, steps binary, wide boolean").groupBy("slice", "lot").applyInArrow(_merge_sparse, "slice int, lot int, once binary, twice binary")
+    final = partial.groupBy("slice").applyInArrow(_merge_dense, "slice int, twice binary")
     bitmaps = np.zeros((depth, slices * SLICE // 8), np.uint8)
-    for r in final.toLocalIterator():
-        d, s = divmod(r["slice"], slices)
-        bitmaps[d, s * SLICE // 8 : (s + 1) * SLICE // 8] = np.frombuffer(zlib.decompress(r["twice"]), np.uint8)
+    found = final.toArrow()
+    for place, bits in zip(found["slice"].to_pylist(), found["twice"], strict=True):
+        d, s = divmod(place, slices)
+        bitmaps[d, s * SLICE // 8 : (s + 1) * SLICE // 8] = np.frombuffer(zlib.decompress(bits.as_buffer()), np.uint8)
     return rows.sparkSession.sparkContext.broadcast(bitmaps.tobytes())  # as bytes: a worker then holds one copy
 
 

@@ -11,8 +11,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SEGMENT = 1 << 20  # bytes hashed at a time
-CHUNK = 2 << 20  # bytes of whole texts handled at a time
+SEGMENT = 1 << 18  # bytes hashed at a time
+CHUNK = 1 << 18  # bytes of whole texts handled at a time
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))

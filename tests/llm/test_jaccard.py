@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,6 +94,29 @@ def hubs(n=40, seed=9):
     return list(enumerate(rows))
 
 
+def test_pivots_split_regions():
+    """Regions of a metric: all pairs within reach and of other labels, and pivots at work."""
+    rng = np.random.default_rng(6)
+    for n, spread in ((3, 4), (60, 4), (400, 30), (400, 3)):
+        homes = rng.integers(0, 256, (8, 120), dtype=np.uint8)
+        rows = homes[rng.integers(0, 8, n)]
+        for r in rows:
+            r[rng.integers(0, 120, rng.integers(0, spread))] += 1
+        label = rng.integers(0, max(2, n // 3), n)
+        apart = lambda k, others: (rows[k] != rows[others]).sum(axis=-1)  # noqa: B023, E731
+        left, right, d, splits = jaccard.metric_pairs(label, apart, 12)
+        expected = {(i, j): int((rows[i] != rows[j]).sum()) for i in range(n) for j in range(i + 1, n) if label[i] != label[j] and (rows[i] != rows[j]).sum() <= 12}
+        assert dict(zip(zip(left.tolist(), right.tolist(), strict=True), d.tolist(), strict=True)) == expected
+        assert n < 20 or splits > 0
+
+
+def test_pivots_split_regions_of_a_table(spark, caplog):
+    """On a driver's table, with production parameters, regions are split by pivots."""
+    with caplog.at_level("INFO", logger="tapeweave.llm.jaccard"):
+        jaccard.jaccard_components(spark.read.parquet("/root/testdata/check_h/documents.parquet")).count()
+    assert sum(r.args[2] for r in caplog.records) > 0
+
+
 def test_every_row_twice(spark):
     rows = hubs() * 2
     assert got(spark.createDataFrame(rows, "doc_id long, text string")) == expected(rows, 4, 85, 100)
