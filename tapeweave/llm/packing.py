@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import os
+import random
 import re
 import struct
 import zlib
@@ -17,14 +18,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import written
+from .shared import quoted, small_batches, written
 
 #: Entries of each generation of what a Python worker remembers.
 REMEMBERED = 200_000
 #: Steps of the search for a bin plan, and lengths that they may go over in all if that gives more steps.
-NODES, WORK = 4_000, 1_000_000
+NODES, WORK = 8_000, 6_000_000
+#: Bins at the end of a plan in the making whose other fillings are kept for backtracking, so that memory is bounded.
+KEPT = 100
+#: Of a filling of up to so many lengths all subsets are tried for a length that could replace them; of others, ones and twos.
+SUBSETS = 8
 #: Lots that pieces of one length are ranked in.
-LOTS = 64
+LOTS = 4096
 
 
 class Remembered(dict):
@@ -92,7 +97,9 @@ _encoders: dict[tuple[str, int], Encoder] = {}
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """One row per piece: id, piece (from 0), start, length, ids_crc32. Null text: empty, one closing id."""
-    id_type = docs.schema[id_col].dataType.simpleString()
+    small_batches(docs.sparkSession)
+    narrow = docs.select(F.col(quoted(id_col)).alias("_id"), F.col(quoted(text_col)).cast("string").alias("_text"))
+    id_type = narrow.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = (tokenizer_path, end_id)
@@ -109,7 +116,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
                     rows.append(r), piece.append(p), start.append(at // 4), length.append(len(part) // 4), crc.append(zlib.crc32(part))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string")).mapInArrow(run, f"_id {id_type}, piece int, start long, length long, ids_crc32 long")
+    return narrow.mapInArrow(run, f"_id {id_type}, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -147,6 +154,7 @@ def _fillings(left: list[int], counts: dict[int, int], room: int, slack: int) ->
     dominated by the one that takes it. Sums that each tail of `left` can reach are bits of a number,
     so no way is taken that does not end in a filling.
     """
+    left = [n for n in left if n <= room]
     mask, reach = (1 << room + 1) - 1, [1]
     for n in reversed(left):
         sums, times, block = reach[-1], min(counts[n], room // n), 1
@@ -156,86 +164,145 @@ def _fillings(left: list[int], counts: dict[int, int], room: int, slack: int) ->
             times, block = times - block, block * 2
         reach.append(sums)
     reach.reverse()
+    falling = [-n for n in left]
     for waste in range(min(slack, room) + 1):
         if not reach[0] >> room - waste & 1:
             continue
-        stack: list[tuple[int, int, tuple[int, ...], bool]] = [(0, room - waste, (), False)]  # True: a length that would still fit is left
+        small = left[bisect_left(falling, -waste) :]
+        stack: list[tuple[int, int, tuple[int, ...]]] = [(0, room - waste, ())]
         while stack:
-            at, need, taken, more = stack.pop()
-            if at == len(left):
-                if not more:
+            at, need, taken = stack.pop()
+            if not need:
+                if all(taken.count(n) == counts[n] for n in small):
                     yield waste, list(taken)
                 continue
+            at = bisect_left(falling, -need, at)  # the longest that fits
             n = left[at]
             for t in range(min(counts[n], need // n) + 1):  # most copies on top
-                if reach[at + 1] >> need - t * n & 1 and not (n <= waste and t < counts[n]):
-                    stack.append((at + 1, need - t * n, taken + (n,) * t, False))
+                if reach[at + 1] >> need - t * n & 1:
+                    stack.append((at + 1, need - t * n, taken + (n,) * t))
+
+
+def _dominated(taken: list[int], waste: int, spare: int) -> bool:
+    """Whether a length not taken (a bit of `spare`) could stand in for some that are, and no worse.
+
+    It holds at least as much as those that it replaces and still fits, so wherever it would have gone
+    they can go instead (Martello and Toth's dominance).
+    """
+    sums: set[tuple[int, bool]] = set()  # (sum, of two or more)
+    if len(taken) <= SUBSETS:
+        for n in taken:
+            sums |= {(n, False)} | {(n + s, True) for s, _ in sums}
+    else:
+        kinds = Counter(taken)
+        sums = {(n, False) for n in kinds} | {(n + m, True) for n in kinds for m in kinds if n < m or (n == m and kinds[n] > 1)}
+    return any(spare >> s & ((1 << waste + 1) - 1 if several else (1 << waste + 1) - 2) for s, several in sums)
 
 
 def least_bins(histogram: dict[int, int], capacity: int) -> int:
-    """No plan has fewer bins: by the sum of lengths, and by those of which no two share a bin."""
-    return max(-(-sum(n * c for n, c in histogram.items()) // capacity), sum(c for n, c in histogram.items() if 2 * n > capacity))
+    """No plan has fewer bins: lengths of over capacity - a have bins of their own, those of over half are apart,
+    and what those down to a need beyond the room that these leave takes more bins; for each a."""
+    lengths = sorted(n for n, c in histogram.items() if c)
+    best = -(-sum(n * histogram[n] for n in lengths) // capacity)
+    for a in [0, *(n for n in lengths if 2 * n <= capacity)]:
+        alone = sum(histogram[n] for n in lengths if n > capacity - a)
+        half = [n for n in lengths if 2 * n > capacity and n <= capacity - a]
+        apart = sum(histogram[n] for n in half)
+        room = apart * capacity - sum(n * histogram[n] for n in half)
+        rest = sum(n * histogram[n] for n in lengths if a <= n and 2 * n <= capacity)
+        best = max(best, alone + apart + max(0, -(-(rest - room) // capacity)))
+    return best
 
 
-def bin_plan(histogram: dict[int, int], capacity: int, *, nodes: int | None = None) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths, how many bins hold exactly these): all items of {length: count} in few bins of `capacity`.
+def _complete(histogram: dict[int, int], capacity: int, bins: int, nodes: int, most_off: int | None = None) -> tuple[list[tuple[tuple[int, ...], int]] | None, int]:
+    """(plan of at most so many bins or None, steps left: none if they ended the search).
 
-    Bin completion. The incumbent is best-fit decreasing; if it has as few bins as the lower bound, it is
-    the plan. Else the longest item left is completed with each undominated filling that leaves less
-    waste than the incumbent allows, as many times over as the counts allow and then fewer times, depth
-    first with backtracking, over again with twice as many turns off the first branches. The search is
-    complete but for its end after `nodes` steps: NODES, or WORK by the number of lengths if that is more.
+    The longest length left is completed with each undominated filling that leaves no more waste than
+    `bins` bins allow, as many times over as the counts allow and then fewer times, depth first with
+    backtracking up to KEPT bins. What is left after some bins is not searched again with as much waste. most_off: turns
+    off the first branches, at most; then nothing is remembered.
     """
-    total, least = sum(n * c for n, c in histogram.items()), least_bins(histogram, capacity)
-    best = best_fit(histogram, capacity)
-    best_bins = sum(many for _, many in best)
-    nodes = max(NODES, WORK // (len(histogram) + 1)) if nodes is None else nodes
-    counts = dict(histogram)
-    plan: list[tuple[tuple[int, ...], int]] = []
-
-    def allowed() -> int:
-        return (best_bins - 1) * capacity - total
+    counts, key, allowed = dict(histogram), 0, bins * capacity - sum(n * c for n, c in histogram.items())
+    draw = random.Random(capacity)
+    sign = {n: draw.getrandbits(96) for n in sorted(histogram)}
+    failed: dict[int, int] = {}
 
     def branches(waste: int) -> Iterator[tuple[tuple[int, ...], int, int]]:
         left = sorted((n for n, c in counts.items() if c), reverse=True)
         top = left[0]
         have = counts | {top: counts[top] - 1}
-        for free, taken in _fillings([n for n in left if have[n]], have, capacity - top, allowed() - waste):
-            lengths = (top, *taken)
-            for times in range(min(counts[n] // k for n, k in Counter(lengths).items()), 0, -1):
-                yield lengths, times, free * times
-
-    limit, cut = 1, True
-    while cut and nodes and best_bins > least:  # once with few branches off the first ones, then with more
-        cut, open_, at = False, [enumerate(branches(0))], [(0, 0)]  # at: (waste, branches off) so far
-        while open_ and nodes and best_bins > least:
-            if len(plan) == len(open_):  # back from below
-                lengths, times = plan.pop()
-                for n in lengths:
-                    counts[n] += times
-                at.pop()
-            waste, off = at[-1]
-            turn, step = next(open_[-1], (0, None))
-            if step is None or off + turn > limit:
-                cut |= step is not None
-                open_.pop()
-                continue
-            lengths, times, free = step
-            nodes -= 1
-            if waste + free > allowed():
+        spare = sum(1 << n for n in left if have[n])
+        for free, taken in _fillings([n for n in left if have[n]], have, capacity - top, allowed - waste):
+            used = Counter(taken)
+            if free and _dominated(taken, free, spare - sum(1 << n for n, k in used.items() if have[n] == k)):
+                yield (), 0, 0  # a step as well
                 continue
-            plan.append((lengths, times))
-            at.append((waste + free, off + turn))
-            for n in lengths:
-                counts[n] -= times
-            if any(counts.values()):
-                open_.append(enumerate(branches(waste + free)))
-            else:
-                best, best_bins = list(plan), sum(many for _, many in plan)
-        for lengths, times in plan:
+            used[top] += 1
+            for times in range(min(counts[n] // k for n, k in used.items()), 0, -1):
+                yield (top, *taken), times, free * times
+
+    plan: list[tuple[tuple[int, ...], int]] = []
+    open_, at, lost, cut = [enumerate(branches(0))], [(0, 0)], 0, False  # at: (waste, turns off the first branches) so far
+    while open_:
+        if len(plan) == len(open_):  # back from below
+            lengths, times = plan.pop()
             for n in lengths:
                 counts[n] += times
-        plan, limit = [], limit * 2
+                key -= sign[n] * times
+            at.pop()
+        waste, off = at[-1]
+        turn, step = next(open_[-1], (0, None))
+        if step is None or most_off is not None and off + turn > most_off:
+            if most_off is None and len(open_) > lost:
+                failed[key] = min(failed.get(key, waste), waste)
+            open_.pop()
+            lost = min(lost, len(open_))
+            continue
+        if not nodes:
+            return None, 0
+        nodes -= 1
+        lengths, times, free = step
+        if not times or waste + free > allowed:
+            continue
+        after = key + sum(sign[n] for n in lengths) * times
+        if failed.get(after, waste + free + 1) <= waste + free:
+            continue
+        plan.append((lengths, times))
+        at.append((waste + free, off + turn))
+        key = after
+        for n in lengths:
+            counts[n] -= times
+        if not any(counts.values()):
+            return plan, nodes
+        open_.append(enumerate(branches(waste + free)))
+        if len(open_) - lost > KEPT:
+            open_[lost], lost, cut = iter(()), lost + 1, True
+    return None, 0 if cut else nodes
+
+
+def bin_plan(histogram: dict[int, int], capacity: int, *, nodes: int | None = None) -> list[tuple[tuple[int, ...], int]]:
+    """(lengths, how many bins hold exactly these): all items of {length: count} in few bins of `capacity`.
+
+    Bin completion. The incumbent is best-fit decreasing; if it has as few bins as the lower bound, it is
+    the plan. Else a plan of the bound's number of bins is searched for by branch and bound, with half
+    of the `nodes` steps (NODES, or WORK by the number of lengths if that is more); a search that ends
+    without one raises the bound. With the other half, plans better than the incumbent are searched for
+    with 1, 2, 4, ... turns off the first branches. When the steps are used up the incumbent stands.
+    """
+    histogram = {n: c for n, c in histogram.items() if c}
+    best, bins = best_fit(histogram, capacity), least_bins(histogram, capacity)
+    count = lambda plan: sum(many for _, many in plan)
+    nodes = max(NODES, WORK // (len(histogram) + 1)) if nodes is None else nodes
+    left, turns = nodes // 2, 1
+    while left and bins < count(best):
+        plan, left = _complete(histogram, capacity, bins, left)
+        if plan is not None:
+            return plan
+        bins += left > 0
+    left = nodes // 2
+    while left and turns <= len(histogram) and bins < count(best):
+        plan, left = _complete(histogram, capacity, count(best) - 1, left, turns)
+        best, turns = (best, turns * 2) if plan is None else (plan, turns)
     return best
 
 
