@@ -12,10 +12,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import shared_dir, small_side  # noqa: F401
+from .shared import quoted, shared_dir, small_batches
 
 MAGIC = b"\x1f\x8b\x08"
-READ = 1 << 20
+#: Bytes read, and bytes inflated, at a time.
+READ, FEED = 1 << 16, 1 << 14
 PAGE_FIELD, LENGTH_FIELD = "WARC-Page-Number", "WARC-Payload-Length"
 
 
@@ -44,18 +45,18 @@ def member(page: str | None, url: str | None, payload: bytes, sha1: str, refers_
     return squeeze.compress(head.encode() + block + b"\r\n\r\n") + squeeze.flush()
 
 
-def plan_records(pages: DataFrame, *, id_col: str, body_col: str, min_bytes: int) -> DataFrame:
-    """pages with `_digest` and `_refers`: the largest id with an equal payload, for all but that page.
+def plan_records(pages: DataFrame, *, id_col: str, url_col: str, body_col: str, min_bytes: int) -> DataFrame:
+    """(page, url, body, digest, refers) of pages; refers: the largest id with an equal payload, for all but that page.
 
     Only digests travel to find the groups; a group as large as the table is counted before the shuffle.
     """
-    body = F.encode(F.coalesce(F.col(body_col), F.lit("")), "UTF-8")
-    pages = pages.withColumn("_digest", F.sha1(body)).withColumn("_bytes", F.octet_length(body))
-    large = pages.filter((F.col("_bytes") >= min_bytes) & F.col(id_col).isNotNull())
-    groups = large.groupBy("_digest").agg(F.max(id_col).alias("_last"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
-    small = pages.select(F.col(id_col).alias("_id"), "_digest", "_bytes").filter((F.col("_bytes") >= min_bytes) & F.col("_id").isNotNull())
-    refers = small.join(groups, "_digest").filter(F.col("_id") != F.col("_last")).select("_id", "_digest", F.col("_last").alias("_refers")).distinct().withColumnRenamed("_digest", "_d")
-    return pages.join(refers, (F.col(id_col) == F.col("_id")) & (F.col("_digest") == F.col("_d")), "left").drop("_id", "_d")
+    pages = pages.select(F.col(quoted(id_col)).alias("page"), F.col(quoted(url_col)).cast("string").alias("url"), F.coalesce(F.col(quoted(body_col)).cast("string"), F.lit("")).alias("body"))
+    body = F.encode("body", "UTF-8")
+    pages = pages.withColumn("digest", F.sha1(body))
+    large = pages.filter((F.octet_length(body) >= min_bytes) & F.col("page").isNotNull()).select("page", "digest")
+    groups = large.groupBy("digest").agg(F.max("page").alias("last"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    refers = large.join(groups, "digest").filter("page <> last").select("page", "digest", F.col("last").alias("refers")).distinct()
+    return pages.join(refers, ["page", "digest"], "left")
 
 
 def write_warc(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", min_bytes: int = 1000) -> int:
@@ -65,8 +66,9 @@ def write_warc(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_co
     response, and the others are revisits of it. Rows with null ids are responses. A task writes under
     a name of its own attempt and renames at its end, so a task that is run again leaves one file.
     """
-    planned = plan_records(pages, id_col=id_col, body_col=body_col, min_bytes=min_bytes)
-    rows = planned.select(F.col(id_col).cast("string").alias("page"), F.col(url_col).cast("string").alias("url"), F.coalesce(body_col, F.lit("")).alias("body"), F.col("_digest").alias("digest"), F.col("_refers").cast("string").alias("refers"))
+    small_batches(pages.sparkSession)
+    planned = plan_records(pages, id_col=id_col, url_col=url_col, body_col=body_col, min_bytes=min_bytes)
+    rows = planned.select(F.col("page").cast("string").alias("page"), "url", "body", "digest", F.col("refers").cast("string").alias("refers"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -87,75 +89,77 @@ def write_warc(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_co
     return rows.mapInPandas(run, "n long").agg(F.sum("n")).first()[0] or 0
 
 
-def _members(handle, start: int, end: int, size: int) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(place, fields, block) of the records that begin in [start, end).
+def members(handle, start: int, end: int) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    """(place, fields, block) of the records that begin in [start, end), in one pass forward from start.
 
     A place that looks like a gzip member is one if its first bytes inflate to a WARC header; the
-    record is then read to its end, past `end` if need be. Places within it are not looked at.
+    record is then read to its end, past `end` if need be, and the next one looked for from there.
     """
-    at = start
-    while at < end:
-        handle.seek(at)
-        window = handle.read(min(READ, end - at) + len(MAGIC) - 1)
-        found = window.find(MAGIC)
-        if found < 0 or at + found >= end:
-            at += max(1, len(window) - len(MAGIC) + 1)
+    handle.seek(start)
+    held, at = bytearray(), 0  # bytes of the file from `start` on, and the place in them
+
+    def more() -> bool:
+        held.extend(data := handle.read(READ))
+        return bool(data)
+
+    while start + at < end:
+        found = held.find(MAGIC, at)
+        if found < 0:
+            at = max(at, len(held) - len(MAGIC) + 1)
+            if start + at >= end or not more():
+                return
             continue
-        at += found
-        read = _record(handle, at, size)
+        at = found
+        if start + at >= end:
+            return
+        read = _record(held, at, more)
         if read is None:
             at += 1
             continue
         fields, block, after = read
-        yield at, fields, block
-        at = after
+        yield start + at, fields, block
+        del held[:after]
+        start, at = start + after, 0
 
 
-def _record(handle, at: int, size: int) -> tuple[dict[str, str], bytes, int] | None:
-    handle.seek(at)
-    inflate, out, used = zlib.decompressobj(31), bytearray(), 0
+def _record(held: bytearray, at: int, more) -> tuple[dict[str, str], bytes, int] | None:
+    """(fields, block, place after it) of the record at `at`; more() appends to held. None: it isn't one."""
+    inflate, out = zlib.decompressobj(31), bytearray()
     while not inflate.eof:
-        if at + used >= size:
+        if at >= len(held) and not more():
             return None
-        data = handle.read(65536)
+        data = bytes(held[at : at + FEED])
         try:
             out += inflate.decompress(data)
         except zlib.error:
             return None
-        used += len(data)
-        if not b"WARC/1.".startswith(bytes(out[:7])) and not out.startswith(b"WARC/1."):
+        at += len(data) - len(inflate.unused_data)
+        if not b"WARC/1.".startswith(bytes(out[:7])):
             return None
-    used -= len(inflate.unused_data)
     head, mark, rest = bytes(out).partition(b"\r\n\r\n")
     if not mark:
         return None
     fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:] if ": " in line)
-    return fields, rest[: int(fields.get("Content-Length", 0))], at + used
+    return fields, rest[: int(fields.get("Content-Length", 0))], at
 
 
 def read_warc(spark: SparkSession, folder: str, *, split_bytes: int = 8 << 20) -> DataFrame:
     """One row per record under folder: page, url, record_type, payload_bytes, payload_digest, refers, block.
 
-    Files are cut into byte ranges; each task seeks into its range and owns the records that begin in
-    it, wherever they end. payload_digest (hex) of a response is computed from the block as read.
+    Spark lists the files and cuts them into byte ranges; each task seeks into its ranges, owns the
+    records that begin in them, wherever they end, and reads each byte once, but for the end of a last
+    record. payload_digest (hex) of a response is computed from the block as read.
     """
-    from pyarrow import fs
-
-    store, path = _store(folder)
-    files = [f for f in store.get_file_info(fs.FileSelector(path, allow_not_found=True)) if f.base_name.endswith(".warc.gz") and f.size]
-    ranges = [(f.path, at, min(at + split_bytes, f.size), f.size) for f in files for at in range(0, f.size, split_bytes)]
     schema = "page string, url string, record_type string, payload_bytes long, payload_digest string, refers string, block binary"
-    if not ranges:
-        return spark.createDataFrame([], schema)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, _ = _store(folder)
         names = [c.split()[0] for c in schema.split(", ")]
         for frame in frames:
-            for name, start, end, size in frame.itertuples(index=False):
-                with store.open_input_file(name) as handle:
+            for name, start, end in frame.itertuples(index=False):
+                with store.open_input_file(_store(name)[1]) as handle:
                     rows, held = [], 0
-                    for _, fields, block in _members(handle, int(start), int(end), int(size)):
+                    for _, fields, block in members(handle, int(start), int(end)):
                         kind = fields["WARC-Type"]
                         digest = hashlib.sha1(block).hexdigest() if kind == "response" else base64.b32decode(fields["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
                         length = len(block) if kind == "response" else int(fields[LENGTH_FIELD])
@@ -167,19 +171,24 @@ def read_warc(spark: SparkSession, folder: str, *, split_bytes: int = 8 << 20) -
                     if rows:
                         yield pd.DataFrame(rows, columns=names)
 
-    # one task per range
-    table = spark.createDataFrame(ranges, "name string, start long, stop long, size long").repartition(min(len(ranges), 10_000))
-    return table.mapInPandas(run, schema)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("path", "length").filter("length > 0")
+    pieces = files.agg(F.sum(F.ceil(F.col("length") / split_bytes))).first()[0] or 1
+    start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))).alias("start")
+    ranges = files.select(F.regexp_replace("path", "^file:/+", "file:///").alias("name"), "length", start)
+    ranges = ranges.select("name", "start", F.least(F.col("start") + split_bytes, "length").alias("stop"))
+    # one task for each range, up to a number that Spark schedules well
+    return ranges.repartition(min(pieces, 10_000)).mapInPandas(run, schema)
 
 
 def archive_round_trip(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", min_bytes: int = 1000, split_bytes: int = 8 << 20) -> DataFrame:
     """Write pages to archives in the shared folder and read them back: id, payload_bytes, payload_digest, record_type, refers_to, url, block.
 
-    A null body is an empty payload. Rows that share an id and a payload are told apart only by being
+    A null body is an empty payload. Other columns of pages are not archived, whatever their names. Rows that share an id and a payload are told apart only by being
     two records. An empty table gives no records.
     """
     spark = pages.sparkSession
     folder = f"{shared_dir(spark)}/warc/{uuid.uuid4().hex}"
+    _store(folder)[0].create_dir(_store(folder)[1], recursive=True)
     write_warc(pages, folder, id_col=id_col, url_col=url_col, body_col=body_col, min_bytes=min_bytes)
     id_type = pages.schema[id_col].dataType.simpleString()
     back = read_warc(spark, folder, split_bytes=split_bytes)
