@@ -10,9 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import small_side, written
+from .shared import aside, at, small_batches, small_side, written
 from .sketch import maybe_repeated, repeated_cells, width_for
-from .textops import rolling, rolling_long, text_chunks, word_hashes, words
+from .textops import mix, rolling, rolling_long, text_chunks, word_hashes, words
 
 #: Words of the short grams whose smallest in a window stands for the window in the sketch.
 GRAM = 8
@@ -70,7 +70,7 @@ def _copies(digests: DataFrame) -> DataFrame:
     return digests.join(groups, "_digest").select("_id", "_digest", "_first").distinct()
 
 
-def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 35) -> DataFrame:
+def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 35, hash_bits: int = 64) -> DataFrame:
     """docs with n_words, n_removed and text_col without the words of repeated windows.
 
     A window is `window` words in a row of one document; words are runs of anything but ASCII white
@@ -82,11 +82,16 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     Of rows with equal texts the one of the smallest id stands for all: its windows count twice, and
     all of the group lose every word that a window covers. First pass: the anchors of all windows are counted in a merged sketch, which only overestimates.
-    Second pass: windows with a repeated anchor are grouped by 64-bit hash, exactly; the rest are not
-    moved. A window that a third of all rows hold is counted before the shuffle.
+    Second pass: windows with a repeated anchor are grouped by a hash of hash_bits bits; the rest are not moved. Groups
+    are held against a second hash of 64 bits, and those that it tells apart are grouped by both. A
+    window that a third of all rows hold is counted before the shuffle. Columns of any other names are
+    left as they are; an empty table stays empty.
     """
-    narrow = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    id_type = docs.schema[id_col].dataType.simpleString()
+    small_batches(docs.sparkSession)
+    cols, kept = aside(docs, "n_words", "n_removed")
+    key, text_ = at(docs, id_col), at(docs, text_col)
+    narrow = cols.select(F.col(key).alias("_id"), F.col(text_).cast("string").alias("_text"))
+    id_type = narrow.schema["_id"].dataType.simpleString()
     size = narrow.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     width = width_for(size // 60)  # about one anchor in 11 words
     bitmaps = repeated_cells(narrow.select("_text"), _anchor_keys(window), width=width)
@@ -102,22 +107,33 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 change = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
                 known = maybe_repeated(bitmaps.value, values[change], width)
                 take = valid[np.repeat(known, np.diff(np.append(change, len(values))))]
-                whole = rolling_long(hashes, window)
+                whole, again = rolling_long(hashes, window) >> np.uint64(64 - hash_bits), rolling_long(mix(hashes ^ np.uint64(0x2545F4914F6CDD1D)), window)
                 row = np.searchsorted(rows, take, "right") - 1
                 ids, copied = batch.column(0).slice(first, end - first), batch.column(2).slice(first, end - first)
                 for at in range(0, len(take), 1 << 16):
                     s = slice(at, at + (1 << 16))
-                    yield pa.RecordBatch.from_arrays([ids.take(at_row := pa.array(row[s])), copied.take(at_row), pa.array((take[s] - rows[row[s]]).astype(np.int32)), pa.array(whole[take[s]].view(np.int64))], ["_id", "_copied", "_place", "_window"])
+                    yield pa.RecordBatch.from_arrays([ids.take(at_row := pa.array(row[s])), copied.take(at_row), pa.array((take[s] - rows[row[s]]).astype(np.int32)), pa.array(whole[take[s]].view(np.int64)), pa.array(again[take[s]].view(np.int64))], ["_id", "_copied", "_place", "_window", "_check"])
 
     digest = F.md5(F.coalesce(F.col("_text"), F.lit("")))
     copies = written(_copies(narrow.filter(F.col("_id").isNotNull()).select("_id", digest.alias("_digest"))), "copies")
     n_copies = copies.count()
     marks = copies.withColumnsRenamed({"_id": "_same", "_digest": "_d"})
-    own = narrow.withColumn("_digest", digest).join(small_side(marks, n_copies), (F.col("_id") == F.col("_same")) & (F.col("_digest") == F.col("_d")), "left")
+    own = narrow.withColumn("_digest", digest).join(small_side(marks, n_copies, 96), (F.col("_id") == F.col("_same")) & (F.col("_digest") == F.col("_d")), "left")
     own = own.filter(F.col("_first").isNull() | (F.col("_first") == F.col("_id"))).select("_id", "_text", F.col("_first").isNotNull().alias("_copied"))
-    found = own.mapInArrow(candidates, f"_id {id_type}, _copied boolean, _place int, _window long")
-    repeated = found.groupBy("_window").agg(F.count("*").alias("_n"), F.max("_copied").alias("_any")).filter("_n > 1 or _any").select("_window")
-    places = found.filter(F.col("_id").isNotNull() & ~F.col("_copied")).join(repeated, "_window").groupBy("_id").agg(F.collect_set("_place").alias("_places"))
+    found = own.mapInArrow(candidates, f"_id {id_type}, _copied boolean, _place int, _window long, _check long")
+    groups = lambda rows, *by: rows.groupBy(*by).agg(F.count("*").alias("_n"), F.max("_copied").alias("_any"), F.min("_check").alias("_low"), F.max("_check").alias("_high")).filter("_n > 1 or _any")
+    repeated = written(groups(found, "_window").select("_window", F.when(F.col("_low") == F.col("_high"), F.col("_low")).alias("_check")), "windows")
+    n_repeated, n_told = repeated.agg(F.count("*"), F.count("_check")).first()
+    if n_told < n_repeated:  # windows whose hash other words share
+        mixed = found.join(repeated.filter("_check is null").select("_window"), "_window", "left_semi")
+        repeated = written(repeated.filter("_check is not null").unionByName(groups(mixed, "_window", "_check").select("_window", "_check")), "windows")
+    # sent to the places while small; beyond that both are shuffled, and Spark splits what one common window fills
+    places = found.filter(F.col("_id").isNotNull() & ~F.col("_copied"))
+    if n_told < n_repeated:
+        places = places.join(small_side(repeated, n_repeated), ["_window", "_check"])
+    else:
+        places = places.drop("_check").join(small_side(repeated.select("_window"), n_repeated), "_window")
+    places = places.groupBy("_id").agg(F.collect_set("_place").alias("_places"))
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,13 +158,11 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 text.append(b" ".join(own).decode())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-3], pa.array(text, pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())], names=out_names)
 
-    rest = [c for c in docs.columns if c not in (text_col, "n_words", "n_removed")]
-    out_names = [*rest, text_col, "n_words", "n_removed"]
-    types = {f.name: f.dataType.simpleString() for f in docs.schema}
-    joined = docs.withColumn("_key", F.col(id_col)).withColumnRenamed(text_col, "_text").join(places.withColumnRenamed("_id", "_other"), F.col("_key") == F.col("_other"), "left")
-    joined = joined.withColumn("_digest", F.md5(F.coalesce(F.col("_text").cast("string"), F.lit("")))).join(small_side(marks, n_copies), (F.col("_key") == F.col("_same")) & (F.col("_digest") == F.col("_d")), "left")
-    whole = joined.select(*rest, F.col("_text").cast("string"), "_places", F.when(F.col("_first").isNotNull(), True).alias("_copied"))
-    out = whole.mapInArrow(strip, ", ".join(f"`{c}` {t}" for c, t in [*((c, types[c]) for c in rest), (text_col, "string"), ("n_words", "long"), ("n_removed", "long")]))
-    return out.select(*[c for c in docs.columns if c in out_names], "n_words", "n_removed")
-
-
+    rest = [(c, name) for c, name in kept if c != text_]
+    types = {f.name: f.dataType.simpleString() for f in cols.schema}
+    out_names = [*(c for c, _ in rest), text_, "n_words", "n_removed"]
+    joined = cols.join(places.withColumnRenamed("_id", "_other"), F.col(key) == F.col("_other"), "left")
+    joined = joined.withColumn("_digest", F.md5(F.coalesce(F.col(text_).cast("string"), F.lit("")))).join(small_side(marks, n_copies, 96), (F.col(key) == F.col("_same")) & (F.col("_digest") == F.col("_d")), "left")
+    whole = joined.select(*(c for c, _ in rest), F.col(text_).cast("string"), "_places", F.when(F.col("_first").isNotNull(), True).alias("_copied"))
+    out = whole.mapInArrow(strip, ", ".join(f"{c} {t}" for c, t in [*((c, types[c]) for c, _ in rest), (text_, "string"), ("n_words", "long"), ("n_removed", "long")]))
+    return out.select(*[F.col(c).alias(name) for c, name in kept], "n_words", "n_removed")
