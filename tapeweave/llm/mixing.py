@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import written
+from .shared import aside, at, free, written
 
 #: Ties of source and size are ranked within so many lots, so that equal documents spread over tasks.
-LOTS = 64
+LOTS = 4096
+#: Sizes whose running counts are summed in one group are alike but for so many low bits.
+LOW_BITS = 6
 
 
 def n_words(text):
@@ -48,31 +50,34 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     document is emitted once for each integer that its own step crosses. As neighbours are alike in
     size, the words taken come near the target. Null texts have size 0; a source without words has
     target 0. Null ids are ranked last; rows that are alike are interchangeable. Input columns of the
-    added names are replaced. The running sum is split into lots of (source, size, id lot), which are
-    counted, summed over the counts, and ranked within.
+    added names are replaced; columns of any other names are left as they are. An empty table stays
+    empty. The running sum is split into lots of (source, size, id lot), which are counted, summed
+    over the counts (within blocks of sizes, then over a source's blocks), and ranked within.
     """
-    names = ("size", "source_size", "target", "copies")
-    keep = [c for c in docs.columns if c not in names]
-    docs = docs.withColumn("_size", n_words(F.col(text_col))).select(*keep, F.col("_size").alias("size"))
-    # ranks need the narrow columns only; the rows themselves meet the result by _row
-    lot = F.coalesce(F.pmod(F.col("_id"), F.lit(LOTS)), F.lit(LOTS))
-    narrow = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"), "size").withColumn("_lot", lot)
-    groups = written(narrow.groupBy("source", "size", "_lot").count(), "mix-counts")
-    targets = source_targets(groups.groupBy("source").agg(F.sum(F.col("size") * F.col("count")).alias("source_size")), weights=weights, share=share, most=most)
-    before = Window.partitionBy("source").orderBy("size", "_lot").rowsBetween(Window.unboundedPreceding, -1)
-    groups = groups.withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    cols, keep = aside(docs, "size", "source_size", "target", "copies")
+    id_, text_, source_ = at(docs, id_col), at(docs, text_col), at(docs, source_col)
+    lot = F.coalesce(F.pmod(F.col(id_), F.lit(LOTS)), F.lit(LOTS))
+    sized = cols.withColumn("_size", n_words(F.col(text_))).withColumn("_lot", lot)
+    # counts need the narrow columns only
+    groups = sized.select(F.col(source_).alias("source"), F.col("_size").alias("size"), F.col("_lot").alias("lot"))
+    groups = written(groups.groupBy("source", "size", "lot").agg(F.count("*").alias("n")).withColumn("block", F.shiftright("size", LOW_BITS)), "mix-counts")
+    targets = source_targets(groups.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights=weights, share=share, most=most)
+    earlier = lambda *by: Window.partitionBy(*by[:-1]).orderBy(*by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = groups.groupBy("source", "block").agg(F.sum("n").alias("n")).select(F.col("source").alias("_s"), F.col("block").alias("_b"), F.coalesce(F.sum("n").over(earlier("source", ["block"])), F.lit(0)).alias("before"))
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.lit(":"), F.coalesce("source", F.lit("")))), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-    plan = groups.join(targets.withColumns({"_rate": F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0), "_offset": offset}).withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s", "count")
-    plan = plan.withColumnsRenamed({"source": "_s", "size": "_z", "_lot": "_l"})
-    ranked = docs.withColumn("_id", F.col(id_col)).withColumn("_lot", lot).drop("_id")
-    ranked = ranked.withColumn("_k", F.row_number().over(Window.partitionBy(source_col, "size", "_lot").orderBy(F.col(id_col).asc_nulls_last())))
-    out = ranked.join(plan, F.col(source_col).eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")) & (F.col("_lot") == F.col("_l")))
-    at = F.col("_before") + F.col("_k")
-    copies = F.least(F.floor(F.col("_rate") * at + F.col("_offset")) - F.floor(F.col("_rate") * (at - 1) + F.col("_offset")), F.ceil(F.lit(float(most))))
-    return out.select(*keep, "size", "source_size", "target", copies.cast("long").alias("copies"))
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    plan = blocks.join(targets.select("source", "source_size", "target", rate.alias("rate"), offset.alias("offset")), F.col("_s").eqNullSafe(F.col("source"))).drop("source")
+    plan = groups.withColumn("within", F.coalesce(F.sum("n").over(earlier("source", "block", ["size", "lot"])), F.lit(0))).join(plan, F.col("source").eqNullSafe(F.col("_s")) & (F.col("block") == F.col("_b")))
+    plan = plan.withColumn("before", F.col("before") + F.col("within")).select("source", "size", "lot", "before", "source_size", "target", "rate", "offset")
+    ranked = sized.withColumn("_k", F.row_number().over(Window.partitionBy(source_, "_size", "_lot").orderBy(F.col(id_).asc_nulls_last())))
+    out = ranked.join(plan, F.col(source_).eqNullSafe(F.col("source")) & (F.col("_size") == F.col("size")) & (F.col("_lot") == F.col("lot")))
+    k = F.col("before") + F.col("_k")
+    copies = F.least(F.floor(F.col("rate") * k + F.col("offset")) - F.floor(F.col("rate") * (k - 1) + F.col("offset")), F.ceil(F.lit(float(most))))
+    return out.select(*[F.col(c).alias(name) for c, name in keep], "size", "source_size", "target", copies.cast("long").alias("copies"))
 
 
 def emit_copies(mixed: DataFrame) -> DataFrame:
-    """The mix itself: each row as often as its copies say, without the added columns."""
-    rows = mixed.filter(F.col("copies") > 0).withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return rows.drop("_c", "size", "source_size", "target", "copies")
+    """The mix itself: each row of mix_sources() as often as its copies say, without the added columns."""
+    (turn,) = free(mixed, "turn")
+    rows = mixed.filter(F.col("copies") > 0).withColumn(turn, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return rows.drop(turn, "size", "source_size", "target", "copies")

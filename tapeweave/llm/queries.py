@@ -94,7 +94,7 @@ turns AS (SELECT *, (total - caps_before) * w / w_left <= cap AS fits FROM order
 first AS (SELECT total - caps_before AS rest, w_left AS left_w, cap / w AS ratio, source AS at FROM turns WHERE fits ORDER BY cap / w, source NULLS LAST LIMIT 1),
 targets AS (SELECT s.source, s.source_size, CASE WHEN s.cap / s.w > f.ratio OR (s.cap / s.w = f.ratio AND (s.source IS NOT DISTINCT FROM f.at OR s.source > f.at OR s.source IS NULL)) THEN f.rest * s.w / f.left_w ELSE s.cap END AS target
             FROM caps s LEFT JOIN first f ON TRUE),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, coalesce(doc_id % 64, 64), doc_id NULLS LAST) AS k FROM sized),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, coalesce(doc_id % 4096, 4096), doc_id NULLS LAST) AS k FROM sized),
 steps AS (SELECT r.doc_id, r.size, t.source_size, t.target, r.k, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
                  ('0x' || substr(md5('mix:' || coalesce(r.source, '')), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE AS shift
           FROM ranked r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source)
