@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import small_side, written
+from .shared import aside, at, quoted, small_side, written
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 #: Above so many repeated windows in a text, their places are found by sorting, not by look-ups.
 FEW = 64
+ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
 
 
 def tokens(text: Column) -> Column:
@@ -76,16 +77,16 @@ def gram_rows(docs: DataFrame, text_col: str, orders: tuple[int, ...], buckets:
     return df.withColumn("bucket", F.pmod("bucket", F.lit(buckets)).cast("int"))
 
 
-def gram_ratios(docs: DataFrame, trusted: DataFrame, *, id_col: str, text_col: str, orders: tuple[int, ...], buckets: int, prior: float) -> DataFrame:
-    """(bucket, ratio): log of the bucket's share in the trusted documents over that in all.
+def gram_ratios(docs: DataFrame, trusted: DataFrame, *, orders: tuple[int, ...], buckets: int, prior: float) -> DataFrame:
+    """(bucket, ratio): log of the bucket's share in the trusted documents (column _id) over that in all of docs (_id, _text).
 
     Both counts get `prior` more, on the scale of the trusted counts, so that buckets too rare to
     tell anything have a ratio near 0. Counted over all documents in one pass; the table has
     `buckets` rows at most, whatever the corpus.
     """
-    trusted = trusted.select(F.col(id_col), F.lit(1).alias("_trusted")).distinct()
-    marked = docs.join(small_side(trusted, trusted.count()), id_col, "left").withColumn("_trusted", F.coalesce("_trusted", F.lit(0)))
-    counts = gram_rows(marked, text_col, orders, buckets).groupBy("bucket").agg(F.count("*").alias("_raw"), F.sum("_trusted").alias("_target"))
+    trusted = trusted.select("_id", F.lit(1).alias("_trusted")).distinct()
+    marked = docs.join(small_side(trusted, trusted.count()), "_id", "left").withColumn("_trusted", F.coalesce("_trusted", F.lit(0)))
+    counts = gram_rows(marked, "_text", orders, buckets).groupBy("bucket").agg(F.count("*").alias("_raw"), F.sum("_trusted").alias("_target"))
     counts = written(counts, "gram-counts")
     scale = counts.agg((F.sum("_target") / F.sum("_raw")).alias("_scale"))
     return counts.crossJoin(F.broadcast(scale)).select("bucket", F.log((F.col("_target") + F.lit(prior)) / (F.col("_raw") * F.col("_scale") + F.lit(prior))).alias("ratio"))
@@ -94,11 +95,11 @@ def gram_ratios(docs: DataFrame, trusted: DataFrame, *, id_col: str, text_col: s
 def gram_scores(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", orders: tuple[int, ...] = (1, 2), buckets: int = 1 << 16, prior: float = 10.0) -> DataFrame:
     """(id, score): mean log ratio of the document's n-grams; documents without any are not in it.
 
-    Rows that share an id are scored together.
+    Rows that share an id are scored together. trusted: the target's ids, in a column named id_col.
     """
-    narrow = docs.select(id_col, text_col)
-    ratios = gram_ratios(narrow, trusted, id_col=id_col, text_col=text_col, orders=orders, buckets=buckets, prior=prior)
-    return gram_rows(narrow, text_col, orders, buckets).join(F.broadcast(ratios), "bucket").groupBy(id_col).agg(F.avg("ratio").alias("score"))
+    narrow = docs.select(F.col(quoted(id_col)).alias("_id"), F.col(quoted(text_col)).cast("string").alias("_text"))
+    ratios = gram_ratios(narrow, trusted.select(F.col(quoted(id_col)).alias("_id")), orders=orders, buckets=buckets, prior=prior)
+    return gram_rows(narrow, "_text", orders, buckets).join(F.broadcast(ratios), "bucket").groupBy("_id").agg(F.avg("ratio").alias("score")).withColumnRenamed("_id", id_col)
 
 
 def quality_rules(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = -0.15, min_words: int = 50, max_repeat_percent: int = 50, orders: tuple[int, ...] = (1, 2), buckets: int = 1 << 16, prior: float = 10.0) -> DataFrame:
@@ -107,12 +108,14 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id"
     base_failed: under min_words words, or more than max_repeat_percent of 100 words in repeated
     3-word windows. kept: not base_failed, and the score is at least `threshold`. A document
     without n-grams, or with a null id, scores 0 (null and empty texts fail the base rules). Where no
-    document is trusted all scores are 0. Input columns of the added names are replaced.
+    document is trusted all scores are 0. Input columns of the added names are replaced, those of any
+    other names left as they are. An empty table stays empty; rows that share an id are scored together.
     """
-    added = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
-    docs = docs.drop(*added)
-    scores = gram_scores(docs, trusted, id_col=id_col, text_col=text_col, orders=orders, buckets=buckets, prior=prior).withColumnRenamed(id_col, "_id")
-    out = text_counts(docs, text_col).join(scores, F.col(id_col) == F.col("_id"), "left").drop("_id")
+    cols, keep = aside(docs, *ADDED)
+    id_, text_ = at(docs, id_col), at(docs, text_col)
+    scores = gram_scores(cols, trusted.select(F.col(quoted(id_col)).alias(id_)), id_col=id_, text_col=text_, orders=orders, buckets=buckets, prior=prior).withColumnRenamed(id_, "_id")
+    out = text_counts(cols, text_).join(scores, F.col(id_) == F.col("_id"), "left")
     out = out.withColumn("score", F.coalesce(F.nanvl("score", F.lit(0.0)), F.lit(0.0)))
     out = out.withColumn("base_failed", (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_percent))
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold) & (F.col("_row") >= 0)).drop("_row")
+    out = out.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold) & (F.col("_row") >= 0))
+    return out.select(*[F.col(c).alias(name) for c, name in keep], *ADDED)
