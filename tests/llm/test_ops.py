@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tapeweave.llm import licenses, line_dedup, mixing, neighbours, packing, quality, secrets, substrings, warc
+from tapeweave.llm import jaccard, licenses, line_dedup, mixing, neighbours, packing, quality, secrets, substrings, warc
 from tapeweave.llm.queries import tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -210,6 +210,80 @@ def test_bin_plan_takes_branches_back():
     assert sum(b for _, b in packing.bin_plan(histogram, 100)) == 8 == packing.least_bins(histogram, 100)
 
 
+def test_bin_plan_on_hard_instances():
+    rng = random.Random(3)
+    short = 0
+    for _ in range(10):  # triplets: 20 bins exactly full; best fit needs 22 or 23
+        items = []
+        while len(items) < 60:
+            a = rng.randint(380, 490)
+            b = rng.randint(250, max(250, (1000 - a) // 2))
+            if 250 <= (c := 1000 - a - b) < 500:
+                items += [a, b, c]
+        plan = packing.bin_plan(dict(Counter(items)), 1000)
+        assert Counter(n for lengths, bins in plan for n in lengths for _ in range(bins)) == Counter(items)
+        short += sum(b for _, b in plan) == 20
+    assert short >= 9
+    for _ in range(100):
+        items = [rng.randint(8, 60) for _ in range(14)]
+        assert sum(b for _, b in packing.bin_plan(dict(Counter(items)), 100)) == fewest_bins(sorted(items, reverse=True), 100)
+
+
+def fewest_bins(items, capacity):
+    best, bins = len(items), []
+
+    def place(i):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if i == len(items):
+            best = len(bins)
+            return
+        for full in set(bins):
+            if full + items[i] <= capacity:
+                j = bins.index(full)
+                bins[j] += items[i]
+                place(i + 1)
+                bins[j] -= items[i]
+        bins.append(items[i])
+        place(i + 1)
+        bins.pop()
+
+    place(0)
+    return best
+
+
+class Counted:
+    """A file that counts the bytes read from it."""
+
+    def __init__(self, data):
+        self.data, self.at, self.read_bytes = data, 0, 0
+
+    def seek(self, at):
+        self.at = at
+
+    def read(self, n):
+        out = self.data[self.at : self.at + n]
+        self.at += len(out)
+        self.read_bytes += len(out)
+        return out
+
+
+def test_warc_reads_each_byte_about_once():
+    rng = random.Random(2)
+    records = [warc.member(str(i), "u", "".join(rng.choices("abcdefgh", k=rng.randint(0, 6000))).encode(), "00" * 20, None) for i in range(3000)]
+    file = Counted(b"".join(records))
+    found = [p for at in range(0, len(file.data), 1 << 20) for p, _, _ in warc.members(file, at, min(at + (1 << 20), len(file.data)))]
+    places = [0]
+    for r in records[:-1]:
+        places.append(places[-1] + len(r))
+    assert found == places
+    assert file.read_bytes <= 1.1 * len(file.data)
+    # a place that looks like a member but is none: stored bytes within a record
+    noise = b"".join([warc.member("1", "u", b"", "00" * 20, None), warc.MAGIC + b"\x00" * 40, warc.member("2", "u", b"x" * 70_000, "00" * 20, None)])
+    assert [f[warc.PAGE_FIELD] for _, f, _ in warc.members(Counted(noise), 0, len(noise))] == ["1", "2"]
+
+
 def test_warc_split_reader(spark):
     rng = random.Random(1)
     pages = [(i, f"http://x/{i}", "".join(rng.choices("abcdef <>", k=rng.randint(0, 5000)))) for i in range(120)]
@@ -235,7 +309,7 @@ def test_nearest(spark):
     rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(5000, None), (5050, [0.0] * 32), (5100, [float("nan")] * 32), (5150, [None] * 32)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = defaultdict(list)
-    for r in neighbours.nearest(df, block_rows=700, least=64).orderBy("query_id", "rank").collect():
+    for r in neighbours.nearest(df, block_rows=700).orderBy("query_id", "rank").collect():
         got[r["query_id"]].append((r["vec_id"], r["score"]))
     x = vectors.astype(np.float64)
     x /= np.linalg.norm(x, axis=1)[:, None]
@@ -272,6 +346,87 @@ def test_nearest_recall_on_table(spark):
     assert hits / (5 * len(got)) >= 0.9
 
 
+#: Names that operators give to columns of their own, in any case.
+CLASHES = "_id _ID _row _key _text _Words _words _hashes _lines _gone _edges _pos _line _hash _size Size SIZE _lot _k _rate _offset _same _d _digest _first _places _copied _score score N_words source_size turn c0 C1 id region page digest refers last"
+
+
+def test_names_that_clash(spark, docs):
+    trusted = spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1").select("doc_id")
+    names = list({n.lower(): n for n in CLASHES.split()}.values()) + ["a.b", "with space"]
+    plain_ = docs.limit(200)
+    more = plain_.select("*", *[F.lit(f"{n}!").alias(n) for n in names])
+    runs = {
+        "lines": (line_dedup.dedup_lines, {"n_lines", "n_dropped"}), "mix": (mixing.mix_sources, {"size", "source_size", "target", "copies"}),
+        "quality": (lambda d: quality.quality_rules(d, trusted), set(quality.ADDED)), "substrings": (substrings.substring_dedup, {"n_words", "n_removed"}),
+    }
+    for run, added in runs.values():
+        out, bare = run(more), run(plain_)
+        kept = [n for n in names if n.lower() not in added]
+        assert set(out.columns) == {*plain_.columns, *kept, *added}
+        rows = out.collect()
+        assert all(r[n] == f"{n}!" for r in rows[:5] for n in kept)
+        assert Counter(tuple(r[c] for c in bare.columns) for r in rows) == Counter(map(tuple, bare.collect()))
+    emitted = mixing.emit_copies(mixing.mix_sources(more))
+    assert {"turn", "_k", "a.b"} <= set(emitted.columns) and emitted.count() == mixing.emit_copies(mixing.mix_sources(plain_)).count()
+    kept = jaccard.one_of_each(more.withColumn("gone", F.lit("gone!")))
+    assert kept.columns == [*more.columns, "gone"] and kept.count() == jaccard.one_of_each(plain_).count()
+    for run in (lambda d: packing.pack_documents(d, tokenizer_path()), licenses.license_scan, secrets.secret_scan, jaccard.jaccard_components):
+        assert run(more).count() == run(plain_).count()
+    pages = spark.createDataFrame([(1, "u", "x" * 1200), (2, "v", "x" * 1200)], "page_id long, url string, html string")
+    got = warc.archive_round_trip(pages.select("*", *[F.lit("!").alias(n) for n in names])).select("page_id", "refers_to").collect()
+    assert sorted((r[0], r[1]) for r in got) == [(1, 2), (2, None)]
+    vectors = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(60)], "vec_id long, embedding array<float>")
+    assert neighbours.nearest(vectors.select("*", *[F.lit("!").alias(n) for n in names])).count() == 10
+
+
+def test_windows_whose_hash_others_share(spark):
+    """With a first hash of two bits the second one must tell windows apart."""
+    texts = [(i, " ".join(f"w{i}x{k}" for k in range(40)) + " " + " ".join(f"p{k}" for k in range(40))) for i in range(3)] + [(9, " ".join(f"q{k % 40}" for k in range(120)))]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    for bits in (64, 2):
+        got = sorted(map(tuple, substrings.substring_dedup(df, hash_bits=bits).select("doc_id", "n_removed").collect()))
+        assert got == [(0, 40), (1, 40), (2, 40), (9, 120)]
+
+
+def test_quality_score_by_hand(spark):
+    """The score against counts in Python, with the hashes that Spark gives for grams."""
+    docs = spark.createDataFrame([(1, "a b a"), (2, "b c"), (3, "a b a b c c"), (4, None), (2, "c c")], "doc_id long, text string")
+    trusted = spark.createDataFrame([(1,), (1,), (7,)], "doc_id long")
+    grams = {r["doc_id"]: r["b"] for r in quality.gram_rows(docs, "text", (1, 2), 64).groupBy("doc_id").agg(F.collect_list("bucket").alias("b")).collect()}
+    assert {d: len(b) for d, b in grams.items()} == {1: 5, 2: 6, 3: 11}
+    raw, good = Counter(b for bs in grams.values() for b in bs), Counter(grams[1])
+    scale = sum(good.values()) / sum(raw.values())
+    ratio = {b: math.log((good[b] + 10) / (raw[b] * scale + 10)) for b in raw}
+    expected = {d: sum(ratio[b] for b in bs) / len(bs) for d, bs in grams.items()}
+    got = {r["doc_id"]: r["score"] for r in quality.gram_scores(docs, trusted, buckets=64).collect()}
+    assert got == pytest.approx(expected)
+
+
+def test_license_labels_by_hand(spark):
+    mit = licenses.TEMPLATES[3][0].split()
+    worn = [w for k, w in enumerate(mit) if k % 12]  # a word in twelve is gone
+    far = [w for k, w in enumerate(mit) if k % 3]
+    rows = [(1, " ".join(mit)), (2, "x y z " + " ".join(worn) + " tail"), (3, " ".join(far)), (4, "released under the MIT license"), (5, "license mit the under released"), (6, None)]
+    got = {r["doc_id"]: r for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[d]["labels"] for d in range(1, 7)] == ["mit", "mit", "", "mit", "", ""]
+    assert got[1]["score"] == 1.0 and 0.8 <= got[2]["score"] < 1 and got[5]["score"] == got[6]["score"] == 0.0
+
+
+def test_nearest_odd_rows(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [0.0, 1.0]), (None, [1.0, 0.0]), (3, [1.0, 0.0, 0.0]), (50, [0.0, 1.0, 0.0]), (4, [0.0, 2.0, 0.0]), (5, []), (100, [1.0])]
+    got = [tuple(r) for r in neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).orderBy("query_id", "rank").collect()]
+    assert [(q, k, v) for q, k, v, _ in got] == [(0, 1, 1), (0, 2, 2), (50, 1, 4), (50, 2, 3)]
+
+
+def test_nearest_probes_substrings():
+    codes = np.random.default_rng(4).integers(0, 256, (500, 32), dtype=np.uint8)
+    codes[100:140] = codes[7]
+    codes[120:140, 3] ^= 5
+    index = neighbours.SubstringIndex(codes)
+    for radius in (0, 1, 2, 31, 40, 120):
+        assert index.within(codes[7], radius).tolist() == [i for i in range(500) if np.unpackbits(codes[i] ^ codes[7]).sum() <= radius]
+
+
 def test_empty_tables(docs, spark):
     none = docs.limit(0)
     trusted = none.select("doc_id")

@@ -108,3 +108,39 @@ def test_run_gives_the_last_stage(spark, steps):
     rows = pipeline.run(spark, SF)
     pick = lambda r: (r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"])
     assert Counter(map(pick, rows.collect())) == Counter(map(pick, steps["best-fit packing"][1]))
+
+
+GOOD = " ".join(f"word{i} of a clean text" for i in range(40))
+ODD = [(1, None, "a"), (2, "", None), (3, " \n ", "a"), (4, GOOD, "a"), (5, GOOD, "b"), (5, GOOD, "b"), (6, GOOD + " x", None), (None, GOOD, "a"), (7, "line of more than twenty chars\nown 7", "a"), (8, "line of more than twenty chars\nown 8", "a"), (9, "line of more than twenty chars", "a"), (10, " ".join(f"w{i % 5000}x" for i in range(40_000)), "b")]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rows = [(d, t, "en", s, len(t or "")) for d, t, s in ODD]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return df.selectExpr("*", "'!' as _id", "'!' as Text", "'!' as size", "'!' as kept", "'!' as _words", "1 as component_id")
+
+
+def pairs(df):
+    return Counter((r["doc_id"], r["text"]) for r in df.collect())
+
+
+def test_stages_on_odd_rows(spark, odd):
+    out = {name: stage(spark, odd, SF) for name, stage in pipeline.STAGES}
+    for name in list(out)[:-1]:
+        assert out[name].columns == list(pipeline.COLUMNS)
+    assert pairs(out["quality rules"]) == Counter((d, t) for d, t, _ in ODD if t and len(t.split()) >= 50 and d != 10)
+    lines = pairs(out["line dedup"])
+    assert lines[7, "own 7"] == lines[8, "own 8"] == lines[9, "line of more than twenty chars"] == lines[1, ""] == lines[2, ""] == 1 and sum(lines.values()) == len(ODD)
+    near = pairs(out["n-gram Jaccard join"])
+    assert Counter(d for d, _ in near.elements()) == Counter([1, 2, 3, 4, None, 7, 8, 9, 10])
+    mixed = Counter(r["doc_id"] for r in out["mixing sources"].collect())
+    assert mixed and all(n <= 2 * sum(d == doc for d, _, _ in ODD) for doc, n in mixed.items())
+    packed = out["best-fit packing"].collect()
+    assert {(r["doc_id"], r["length"]) for r in packed if r["doc_id"] in (1, 2, 3)} == {(1, 1), (2, 1), (3, 1)}
+    assert sum(r["piece"] == 0 for r in packed) == len(ODD)
+
+
+def test_stages_on_empty_tables(spark, odd):
+    for name, stage in pipeline.STAGES:
+        assert stage(spark, odd.limit(0), SF).count() == 0, name
