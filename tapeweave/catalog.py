@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +27,7 @@ DAY = "2001-06-29"  # a day inside all tables
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles to some digits, so that engines that sum in another order agree."""
-    # a nudge, so that ties at the last digit go up on any engine
-    return df.select(*[F.round(F.col(c) + 1e-9, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -42,7 +42,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def r6(*names: str) -> str:
     """Columns in SQL, rounded like the query's."""
-    return ", ".join(f"round({n} + 1e-9, 6) AS {n}" for n in names)
+    return ", ".join(f"round({n}, 6) AS {n}" for n in names)
 
 
 # ---- sources and simple scans ----
@@ -175,7 +175,10 @@ def _(spark, sf):
     return asof.fold_windows("1996-01-01", "2001-10-31", train_days=365, eval_days=90, step_days=90, spark=spark)
 
 
-@query("w27_indicator_backfill")
+_BACKFILL = INDICATOR_HEAD.replace(f"WHERE {TRUSTED_SQL}", f"WHERE {TRUSTED_SQL.replace('>= 65', '>= 60')} AND price_date BETWEEN DATE '2000-01-01' - 365 AND DATE '2000-12-31'")
+
+
+@query("w27_indicator_backfill", f"{_BACKFILL} SELECT stock_id, price_date, {r6('ma_7', 'ma_30', 'ma_90', 'bollinger_upper', 'bollinger_middle', 'bollinger_lower', 'volatility_30', 'rsi_14', 'macd', 'macd_signal', 'macd_histogram')}, ma_crossover_signal FROM indicators WHERE price_date BETWEEN '2000-01-01' AND '2000-12-31'")
 def _(spark, sf):
     return indicators.backfill(market.prices(spark, sf).filter(quality.trusted(60.0)).select("stock_id", "price_date", "close_price"), "2000-01-01", "2000-12-31").drop("close_price", "atr_14", "trend_strength")
 
@@ -380,7 +383,7 @@ def _(spark, sf):
     return views.latest_verdict(snapshot.runs(spark), snapshot.decisions(spark)).select("run_id", "run_date", "signal", "win_rate", "trades")
 
 
-_METRICS = "count(*) AS trades, count(*) FILTER (net_return_pct > 0) AS wins, count(*) FILTER (net_return_pct <= 0) AS losses, round(count(*) FILTER (net_return_pct > 0) / count(*) * 100 + 1e-9, 6) AS win_rate, round(avg(net_return_pct) + 1e-9, 6) AS avg_return, round(CASE WHEN -sum(net_return_pct) FILTER (net_return_pct <= 0) > 0 THEN coalesce(sum(net_return_pct) FILTER (net_return_pct > 0), 0) / -sum(net_return_pct) FILTER (net_return_pct <= 0) END, 6) AS profit_factor, max(net_return_pct) AS best, min(net_return_pct) AS worst"
+_METRICS = "count(*) AS trades, count(*) FILTER (net_return_pct > 0) AS wins, count(*) FILTER (net_return_pct <= 0) AS losses, round(count(*) FILTER (net_return_pct > 0) / count(*) * 100, 6) AS win_rate, round(avg(net_return_pct), 6) AS avg_return, round(CASE WHEN -sum(net_return_pct) FILTER (net_return_pct <= 0) > 0 THEN coalesce(sum(net_return_pct) FILTER (net_return_pct > 0), 0) / -sum(net_return_pct) FILTER (net_return_pct <= 0) END, 6) AS profit_factor, max(net_return_pct) AS best, min(net_return_pct) AS worst"
 _METRIC_NAMES = ["trades", "wins", "losses", "win_rate", "avg_return", "profit_factor", "best", "worst"]
 
 
@@ -422,7 +425,7 @@ def _(spark, sf):
     return market.prices(spark, sf).join(market.stocks(spark, sf).join(F.broadcast(code), F.col("stock_code") == F.col("_c"), "left_semi"), "stock_id").filter(F.col("price_date").between("1997-01-01", "1998-12-31")).select("stock_code", "price_date", "close_price")
 
 
-@query("b01_charts", f"{PRICES} SELECT price_date, CAST(sum(volume) AS BIGINT) AS total_volume, round(avg(change_1d_pct) + 1e-9, 6) AS avg_change, count(*) AS rows, max(close_price) AS top_close, count(*) FILTER (data_quality_flag <> 'GOOD') AS not_good FROM prices GROUP BY 1 ORDER BY 1 LIMIT 500")
+@query("b01_charts", f"{PRICES} SELECT price_date, CAST(sum(volume) AS BIGINT) AS total_volume, round(avg(change_1d_pct), 6) AS avg_change, count(*) AS rows, max(close_price) AS top_close, count(*) FILTER (data_quality_flag <> 'GOOD') AS not_good FROM prices GROUP BY 1 ORDER BY 1 LIMIT 500")
 def _(spark, sf):
     metrics = {"total_volume": F.sum("volume"), "avg_change": F.avg("change_1d_pct"), "rows": F.count("*"), "top_close": F.max("close_price"), "not_good": F.count_if(F.col("data_quality_flag") != "GOOD")}
     return views.chart(market.prices(spark, sf), ["price_date"], metrics, 500)
@@ -456,14 +459,16 @@ def _(spark, sf):
     return snapshot.screened(spark, sf).select("stock_id", "price_date", F.col("rank").cast("long").alias("rank"), "portfolio_approved", "portfolio_reason")
 
 
-@query("m09_screener")
+@query("m09_screener", f"""{SCREEN_HEAD} SELECT stock_id, stock_code, price_date, {r6('score', 'agreement')}, CASE WHEN score >= 80 THEN 'EXCELLENT' WHEN score >= 60 THEN 'GOOD' WHEN score >= 40 THEN 'FAIR' WHEN score >= 20 THEN 'POOR' ELSE 'VERY_POOR' END AS score_category,
+  signal, action, risk_level, rejection_reason, portfolio_approved, portfolio_reason, rank, round((target_price - close_price) / close_price * 100, 6) AS upside_pct, round((close_price - stop_price) / close_price * 100, 6) AS downside_pct,
+  round((target_price - close_price) / close_price * 100 / nullif((close_price - stop_price) / close_price * 100, 0), 6) AS reward_risk FROM screened""")
 def _(spark, sf):
-    return snapshot.screened(spark, sf).select("stock_id", "stock_code", "price_date", "score", "score_category", "signal", "agreement", "action", "risk_level", "rejection_reason", "portfolio_approved", "portfolio_reason", "rank", "upside_pct", "downside_pct", "reward_risk")
+    return snapshot.screened(spark, sf).withColumn("rank", F.col("rank").cast("long")).select("stock_id", "stock_code", "price_date", "score", "score_category", "signal", "agreement", "action", "risk_level", "rejection_reason", "portfolio_approved", "portfolio_reason", "rank", "upside_pct", "downside_pct", "reward_risk")
 
 
-@query("t02_top_picks", f"{SCREEN_HEAD} SELECT price_date, stock_code, rank FROM screened WHERE action IN ('BUY', 'STRONG_BUY') AND rank <= 5")
+@query("t02_top_picks", f"{SCREEN_HEAD} SELECT price_date, stock_code, rank FROM screened WHERE rank <= 5")
 def _(spark, sf):
-    return snapshot.screened(spark, sf).filter(F.col("action").isin("BUY", "STRONG_BUY") & (F.col("rank") <= 5)).select("price_date", "stock_code", F.col("rank").cast("long").alias("rank"))
+    return snapshot.screened(spark, sf).filter("rank <= 5").select("price_date", "stock_code", F.col("rank").cast("long").alias("rank"))
 
 
 @query("t07_gainers_losers", f"{PRICES}, d AS (SELECT * FROM prices WHERE price_date = (SELECT max(price_date) FROM prices) AND change_1d_pct IS NOT NULL) SELECT * FROM (SELECT 'gainer' AS side, stock_id, change_1d_pct FROM d ORDER BY change_1d_pct DESC, stock_id LIMIT 5) UNION ALL SELECT * FROM (SELECT 'loser' AS side, stock_id, change_1d_pct FROM d ORDER BY change_1d_pct, stock_id LIMIT 5)")
@@ -500,12 +505,19 @@ def _(spark, sf):
     return _hits(spark, sf).groupBy("severity").agg(F.count("*").alias("alerts"), F.countDistinct("stock_id").alias("stocks"))
 
 
-@query("u16_alert_digest")
+_TYPES = "(VALUES " + ", ".join(f"({i}, '{name}', '{kind}', '{severity}')" for i, name, kind, _, severity in alerts.RULES) + ") rules(rule_id, rule_name, rule_type, severity)"
+
+
+@query("u16_alert_digest", f"""{_LATEST} SELECT h.price_date AS alert_date, severity, CAST(floor(h.stock_id / 500) AS BIGINT) AS page, count(*) AS alerts,
+  string_agg(rule_name || ': stock ' || h.stock_id || ' at ' || CAST(close_price AS DECIMAL(18,4)), chr(10) ORDER BY h.stock_id, h.rule_id) AS body FROM hits h JOIN {_TYPES} USING (rule_id) JOIN latest l ON l.stock_id = h.stock_id GROUP BY 1, 2, 3""")
 def _(spark, sf):
     return alerts.digest(_hits(spark, sf))
 
 
-@query("v18_investment_dashboard")
+@query("v18_investment_dashboard", f"""{_LATEST}, shown AS (SELECT s.stock_id, s.stock_code, s.sector_id, p.price_date, p.close_price, p.volume, p.change_1d_pct FROM stocks s LEFT JOIN (SELECT * FROM prices QUALIFY row_number() OVER (PARTITION BY stock_id ORDER BY price_date DESC) = 1) p USING (stock_id) WHERE s.is_active),
+  last AS (SELECT stock_id, ma_30, rsi_14 FROM indicators QUALIFY row_number() OVER (PARTITION BY stock_id ORDER BY price_date DESC) = 1),
+  rung AS (SELECT stock_id, price_date, count(*) AS alert_count, string_agg(DISTINCT rule_type, ',' ORDER BY rule_type) AS alert_types FROM hits JOIN {_TYPES} USING (rule_id) GROUP BY 1, 2)
+  SELECT stock_id, price_date, stock_code, sector_id, close_price, volume, change_1d_pct, round(ma_30, 6) AS ma_30, round(rsi_14, 6) AS rsi_14, coalesce(alert_count, 0) AS alert_count, alert_types FROM shown LEFT JOIN last USING (stock_id) LEFT JOIN rung USING (stock_id, price_date)""")
 def _(spark, sf):
     return views.investment_dashboard(views.latest_prices(market.prices(spark, sf), market.stocks(spark, sf)), snapshot.indicator_rows(spark, sf), _hits(spark, sf))
 
@@ -554,11 +566,11 @@ def _(spark, sf):
     return readers.table(spark, sf, "events").groupBy("event_type").agg(F.countDistinct("user_id").alias("users"), F.countDistinct(F.col("ts").cast("date")).alias("days"))
 
 
-@query("a24_market_tiers", f"{PRICES}, v AS (SELECT stock_id, CAST(sum(volume) AS BIGINT) AS volume, round(arg_max(change_ytd_pct, price_date), 4) AS ytd FROM prices GROUP BY 1), q AS (SELECT quantile_cont(volume, 0.25) AS a, quantile_cont(volume, 0.5) AS b, quantile_cont(volume, 0.75) AS c FROM v) SELECT CASE WHEN volume <= a THEN 1 WHEN volume <= b THEN 2 WHEN volume <= c THEN 3 ELSE 4 END AS tier, count(*) AS stocks, round(avg(ytd), 6) AS mean_ytd FROM v, q GROUP BY 1")
+@query("a24_market_tiers", f"{PRICES}, v AS (SELECT stock_id, CAST(sum(volume) AS BIGINT) AS volume, round(arg_max(change_ytd_pct, price_date), 4) AS ytd FROM prices GROUP BY 1), q AS (SELECT quantile_cont(volume, 1 / 3.0::DOUBLE) AS a, quantile_cont(volume, 2 / 3.0::DOUBLE) AS b FROM v) SELECT CASE WHEN volume <= a THEN 1 WHEN volume <= b THEN 2 ELSE 3 END AS tier, count(*) AS stocks, round(avg(ytd), 6) AS mean_ytd FROM v, q GROUP BY 1")
 def _(spark, sf):
     v = market.prices(spark, sf).groupBy("stock_id").agg(F.sum("volume").alias("volume"), F.max_by("change_ytd_pct", "price_date").alias("ytd"))
-    q = v.agg(*[F.percentile("volume", p).alias(n) for n, p in (("a", 0.25), ("b", 0.5), ("c", 0.75))])
-    tier = F.when(F.col("volume") <= F.col("a"), 1).when(F.col("volume") <= F.col("b"), 2).when(F.col("volume") <= F.col("c"), 3).otherwise(4)
+    q = v.agg(F.percentile("volume", 1 / 3).alias("a"), F.percentile("volume", 2 / 3).alias("b"))
+    tier = F.when(F.col("volume") <= F.col("a"), 1).when(F.col("volume") <= F.col("b"), 2).otherwise(3)
     return v.crossJoin(F.broadcast(q)).groupBy(tier.alias("tier")).agg(F.count("*").alias("stocks"), F.avg("ytd").alias("mean_ytd"))
 
 
@@ -589,7 +601,30 @@ def _(spark, sf):
     return modeling.dataset_summary(_dataset(spark, sf))
 
 
-@query("a13_feature_health")
+def _away(a: str, b: str) -> str:
+    return f"coalesce(CASE WHEN {b} <> 0 THEN ({a} - {b}) / {b} * 100 END, 0)"
+
+
+_FEATURE_SQL = dict(zip(features.FEATURES, (
+    *[f"coalesce(change_{n}d, 0)" for n in (1, 3, 5, 10, 20, 30, 60)],
+    "(coalesce(rsi_14, 50) - 50) / 50", "coalesce(macd, 0)", "coalesce(macd - macd_signal, 0)", "coalesce(volatility_10d, 0)", "coalesce(volatility_20d, 0)", "coalesce(volatility_30, 0)", "coalesce(downside_volatility_20d, 0)",
+    "coalesce(volume_ratio, 1) - 1", "coalesce(avg_volume_20d, 0) / 1e6", "coalesce(volume_trend, 1) - 1", "coalesce(confidence_score, 50) / 100", "trusted_history_days / 100.0::DOUBLE",
+    _away("close_price", "ma_7"), _away("close_price", "ma_30"), _away("close_price", "ma_90"), _away("ma_7", "ma_30"), _away("ma_30", "ma_90"),
+    _away("close_price", "high_20d"), _away("close_price", "high_60d"), _away("close_price", "low_20d"), _away("close_price", "low_60d"), "drawdown_20d", "(high_60d - close_price) / high_60d * 100", "rebound_20d", "(close_price - low_60d) / low_60d * 100", "0.5::DOUBLE",
+    "(data_quality_flag = 'GOOD')::INT", "(data_quality_flag = 'INCOMPLETE')::INT", "(bar_status = 'RECONCILED')::INT", "(bar_status = 'OFFICIAL')::INT", "(bar_status IN ('RECONCILED', 'OFFICIAL'))::INT", "has_complete_data::INT",
+), strict=True))
+_LAGS = ", ".join(f"CASE WHEN lag(close_price, {n}) OVER w > 0 THEN (close_price - lag(close_price, {n}) OVER w) / lag(close_price, {n}) OVER w * 100 END AS change_{n}d" for n in (3, 5, 30, 60))
+_VECTORS = f"""{_DATASET}, {FEATURES_SQL.replace('FROM base', 'FROM e')},
+wide AS (SELECT stock_id, price_date, {_LAGS}, max(close_price) OVER w60 AS high_60d, min(close_price) OVER w60 AS low_60d FROM e WINDOW w AS (PARTITION BY stock_id ORDER BY price_date), w60 AS (PARTITION BY stock_id ORDER BY price_date ROWS 59 PRECEDING)),
+joined AS (SELECT f.*, w.* EXCLUDE (stock_id, price_date), i.ma_7, i.ma_30, i.ma_90, i.rsi_14, i.macd, i.macd_signal, i.volatility_30, d.forward_return FROM data d JOIN features f ON f.stock_id = d.stock_id AND f.price_date = d.price_date JOIN wide w ON w.stock_id = d.stock_id AND w.price_date = d.price_date JOIN indicators i ON i.stock_id = d.stock_id AND i.price_date = d.price_date),
+vectors AS MATERIALIZED (SELECT stock_id, price_date, close_price, forward_return, rsi_14, macd AS macd_raw, macd_signal, change_10d, volatility_20d, {', '.join(f'({x})::DOUBLE AS {name}' for name, x in _FEATURE_SQL.items())} FROM joined)"""
+
+
+def _health(name: str) -> str:
+    return f"SELECT '{name}' AS feature, count(*) AS rows, count(*) - count({name}) AS nulls, count(DISTINCT round({name}, 9)) AS distinct_values, round(min({name}), 6) AS min_value, round(max({name}), 6) AS max_value, round(avg({name}), 6) AS mean_value, (count(*) - count({name})) / nullif(count(*), 0) AS null_rate, count(DISTINCT round({name}, 9)) <= 1 AS is_constant, coalesce(min({name}) = 0 AND max({name}) = 0, FALSE) AS all_zero, coalesce((count(*) - count({name})) / nullif(count(*), 0) >= 0.25, FALSE) AS high_missing FROM vectors"
+
+
+@query("a13_feature_health", f"{_VECTORS} {' UNION ALL '.join(map(_health, features.FEATURES))}")
 def _(spark, sf):
     return features.feature_health(_dataset(spark, sf), features.FEATURES)
 
@@ -645,27 +680,35 @@ def _(spark, sf):
     return modeling.top_k(_predictions(spark, sf).withColumn("forward_return", F.round("forward_return", 9)), "probability", 20).select("stock_id", "price_date", "probability", "forward_return")
 
 
-_MODEL_FEATURES = ("f_change_1d", "f_change_10d", "f_change_20d", "f_rsi_centered", "f_macd_gap", "f_volatility_20d", "f_drawdown_20d", "f_volume_centered")
-
-
 @query("m07_walk_forward")
 def _(spark, sf):
-    folds = asof.fold_windows("1999-01-01", "2001-06-30", train_days=365, eval_days=180, step_days=180, spark=spark)
-    return modeling.walk_forward(_dataset(spark, sf), folds, _MODEL_FEATURES)
+    folds = asof.fold_windows("1996-01-01", "2001-10-31", train_days=365, eval_days=180, step_days=180, spark=spark)
+    return modeling.walk_forward(_dataset(spark, sf), folds, features.FEATURES)
+
+
+def _bad_trade_risk(spark, sf):
+    bad = features.risk_features(_dataset(spark, sf)).withColumn("bad", (F.col("forward_return") < -3).cast("int"))
+    folds = asof.fold_windows("1996-01-01", "2001-10-31", train_days=270, eval_days=180, step_days=180, spark=spark)
+    return modeling.walk_forward(bad, folds, features.RISK_FEATURES, kind="stumps", label="bad")
 
 
 @query("m04_bad_trade_risk")
 def _(spark, sf):
-    bad = _dataset(spark, sf).withColumn("bad", (F.col("forward_return") < -3).cast("int"))
-    folds = asof.fold_windows("2000-01-01", "2001-06-30", train_days=270, eval_days=180, step_days=180, spark=spark)
-    return modeling.walk_forward(bad, folds, _MODEL_FEATURES, kind="stumps", label="bad")
+    return _bad_trade_risk(spark, sf)
+
+
+@query("f15_bad_trade_block")
+def _(spark, sf):
+    risk = _bad_trade_risk(spark, sf).select("stock_id", "price_date", F.col("probability").alias("bad_probability"))
+    rows = snapshot.screened(spark, sf).join(risk, ["stock_id", "price_date"], "left")
+    return backtest.candidate_trades(rows, keep=backtest.not_bad()).drop("_row")
 
 
 @query("m03_rolling_probabilities")
 def _(spark, sf):
     data = _dataset(spark, sf)
-    days = data.filter(F.col("price_date").between("2001-05-01", "2001-05-10")).select("price_date").distinct()
-    return modeling.rolling_probabilities(data, days, _MODEL_FEATURES)
+    months = data.groupBy(F.trunc("price_date", "month")).agg(F.max("price_date").alias("price_date"))  # the last trading day of each month, at which models are fitted anew
+    return modeling.rolling_probabilities(data, months, features.FEATURES)
 
 
 @query("m11_backtest")
@@ -702,7 +745,13 @@ def _(spark, sf):
     return advisory.with_guard(f).agg(F.count_if("guarded").alias("rejected"), F.count_if(~F.col("guarded")).alias("kept"))
 
 
-@query("f16_risk_candidates")
+_BAND = lambda x, low, high: f"least(greatest(({x} - ({low})) / ({high} - ({low}))::DOUBLE * 100, 0), 100)"
+_PROXIES = f"""SELECT stock_id, price_date, close_price, forward_return, (CASE WHEN rsi_14 IS NULL THEN 50 WHEN rsi_14 BETWEEN 40 AND 60 THEN 100 WHEN rsi_14 BETWEEN 30 AND 70 THEN 80 WHEN rsi_14 BETWEEN 20 AND 80 THEN 60 ELSE 30 END)::DOUBLE * 0.25::DOUBLE
+  + {_BAND('coalesce(change_10d, 0)', -5, 10)} * 0.32::DOUBLE + greatest(100 - coalesce(volatility_20d, 0) * 10, 0) * 0.23::DOUBLE + {_BAND('ma_30_vs_ma_90_pct', -10, 15)} * 0.15::DOUBLE + 2.5::DOUBLE AS proxy_score,
+  (coalesce((change_10d > 0)::INT, 0) + (ma_30_vs_ma_90_pct > 0)::INT + (close_vs_ma_30_pct > 0)::INT + coalesce((rsi_14 BETWEEN 40 AND 75)::INT, 0) + coalesce((macd_raw > macd_signal)::INT, 0)) / 5.0::DOUBLE AS proxy_agreement FROM vectors"""
+
+
+@query("f16_risk_candidates", f"{_VECTORS} SELECT stock_id, price_date, {r6('proxy_score', 'proxy_agreement', 'forward_return')} FROM ({_PROXIES}) WHERE close_price >= 8 AND proxy_score >= 70 AND proxy_agreement >= 0.6")
 def _(spark, sf):
     return features.proxy_score(_dataset(spark, sf)).filter((F.col("close_price") >= 8) & (F.col("proxy_score") >= 70) & (F.col("proxy_agreement") >= 0.6)).select("stock_id", "price_date", "proxy_score", "proxy_agreement", "forward_return")
 
@@ -713,7 +762,7 @@ def _(spark, sf):
     return r.filter((F.col("profile") == "balanced") & (F.col("run_type") == "full_validation") & (views.json_number("run_metadata", "$.portfolio.trades") >= 20)).select("run_id", "run_date", "run_type")
 
 
-@query("a05_recommendation_outcomes", f"{TRADES} SELECT stock_code, count(*) AS total, count(*) FILTER (net_return_pct >= 10) AS hit_target, count(*) FILTER (net_return_pct <= -6) AS hit_stop, round(avg(net_return_pct) + 1e-9, 6) AS avg_return, round(count(*) FILTER (net_return_pct >= 10) / nullif(count(*) FILTER (net_return_pct >= 10 OR net_return_pct <= -6), 0) * 100 + 1e-9, 6) AS win_rate FROM trades GROUP BY 1")
+@query("a05_recommendation_outcomes", f"{TRADES} SELECT stock_code, count(*) AS total, count(*) FILTER (net_return_pct >= 10) AS hit_target, count(*) FILTER (net_return_pct <= -6) AS hit_stop, round(avg(net_return_pct), 6) AS avg_return, round(count(*) FILTER (net_return_pct >= 10) / nullif(count(*) FILTER (net_return_pct >= 10 OR net_return_pct <= -6), 0) * 100, 6) AS win_rate FROM trades GROUP BY 1")
 def _(spark, sf):
     hit, stop = F.col("net_return_pct") >= 10, F.col("net_return_pct") <= -6
     t = snapshot.derived_trades(spark, sf).groupBy("stock_code")
@@ -727,22 +776,106 @@ def _(spark, sf):
     return backtest.trade_metrics(t, ["run_id", "stock_code"]).join(pnl, ["run_id", "stock_code"]).select("run_id", "stock_code", *_METRIC_NAMES, "pnl_points")
 
 
-@query("a20_model_grid", f"{_PREDICTED}, g AS (SELECT c.name, c.low, count(*) FILTER (probability >= c.low) AS rows, avg(target) FILTER (probability >= c.low) AS positive_rate, avg(forward_return) FILTER (probability >= c.low) AS avg_return FROM predicted, (VALUES ('base', 0.0::DOUBLE), ('half', 0.5::DOUBLE), ('strict', 0.8::DOUBLE)) c(name, low) GROUP BY 1, 2) SELECT name, rows, round(positive_rate + 1e-9, 6) AS positive_rate, round(avg_return + 1e-9, 6) AS avg_return, rows >= 100 AND avg_return > 0 AS ready FROM g")
+@query("a20_model_grid", f"{_PREDICTED}, g AS (SELECT c.name, c.low, count(*) FILTER (probability >= c.low) AS rows, avg(target) FILTER (probability >= c.low) AS positive_rate, avg(forward_return) FILTER (probability >= c.low) AS avg_return FROM predicted, (VALUES ('base', 0.0::DOUBLE), ('half', 0.5::DOUBLE), ('strict', 0.8::DOUBLE)) c(name, low) GROUP BY 1, 2) SELECT name, rows, round(positive_rate, 6) AS positive_rate, round(avg_return, 6) AS avg_return, rows >= 100 AND avg_return > 0 AS ready FROM g")
 def _(spark, sf):
     return modeling.grid(_predictions(spark, sf), {"base": 0.0, "half": 0.5, "strict": 0.8}, least_rows=100)
 
 
-@query("m14_research_scores", f"WITH {market.BARS_SQL}, {market.STOCKS_SQL}, l AS (SELECT stock_id, arg_max(close_price, price_date) AS price, max(close_price) AS top, min(close_price) AS low FROM bars GROUP BY 1), s AS (SELECT stock_id, price, (CASE WHEN price < 50 THEN 40 WHEN price < 150 THEN 25 ELSE 10 END + CASE WHEN price / top < 0.5 THEN 35 WHEN price / top < 0.8 THEN 20 ELSE 5 END + CASE WHEN price / low < 1.2 THEN 25 ELSE 10 END)::BIGINT AS points FROM l) SELECT stock_code, points, CASE WHEN points >= 80 THEN 'A' WHEN points >= 60 THEN 'B' ELSE 'C' END AS tier, CAST(floor(40000 / price) AS BIGINT) AS shares, round(price * 3 + 1e-9, 6) AS scenario_3x, round(price * 5 + 1e-9, 6) AS scenario_5x FROM s JOIN stocks USING (stock_id)")
+@query("m14_research_scores", f"WITH {market.BARS_SQL}, {market.STOCKS_SQL}, l AS (SELECT stock_id, arg_max(close_price, price_date) AS price, max(close_price) AS top, min(close_price) AS low FROM bars GROUP BY 1), s AS (SELECT stock_id, price, (CASE WHEN price < 50 THEN 40 WHEN price < 150 THEN 25 ELSE 10 END + CASE WHEN price / top < 0.5 THEN 35 WHEN price / top < 0.8 THEN 20 ELSE 5 END + CASE WHEN price / low < 1.2 THEN 25 ELSE 10 END)::BIGINT AS points FROM l) SELECT stock_code, points, CASE WHEN points >= 80 THEN 'A' WHEN points >= 60 THEN 'B' ELSE 'C' END AS tier, CAST(floor(40000 / price) AS BIGINT) AS shares, round(price * 3, 6) AS scenario_3x, round(price * 5, 6) AS scenario_5x FROM s JOIN stocks USING (stock_id)")
 def _(spark, sf):
     return research.scores(market.bars(spark, sf), allocation=40_000.0).join(market.stocks(spark, sf).select("stock_id", "stock_code"), "stock_id").select("stock_code", "points", "tier", "shares", "scenario_3x", "scenario_5x")
 
 
-@query("t09_research_lists", f"WITH {market.BARS_SQL}, l AS (SELECT stock_id, (arg_max(close_price, price_date) / max(close_price) - 1) * 100 AS from_high FROM bars GROUP BY 1) SELECT stock_id, round(from_high + 1e-9, 6) AS from_high FROM l ORDER BY l.from_high, stock_id LIMIT 10")
+@query("t09_research_lists", f"WITH {market.BARS_SQL}, l AS (SELECT stock_id, (arg_max(close_price, price_date) / max(close_price) - 1) * 100 AS from_high FROM bars GROUP BY 1) SELECT stock_id, round(from_high, 6) AS from_high FROM l ORDER BY l.from_high, stock_id LIMIT 10")
 def _(spark, sf):
     b = market.bars(spark, sf).groupBy("stock_id").agg(((F.max_by("close_price", "price_date") / F.max("close_price") - 1) * 100).alias("from_high"))
     return b.orderBy("from_high", "stock_id").limit(10)
 
 
+# ---- repairs, replacements and lists ----
+
+
+@query("t03_snapshot_top", f"{_RECS}, board AS (SELECT *, row_number() OVER (PARTITION BY recommendation_date ORDER BY portfolio_rank ASC NULLS LAST, round(probability, 9) DESC NULLS LAST, round(score, 9) DESC, round(agreement, 9) DESC, stock_code) AS place FROM recs) SELECT recommendation_date, place, stock_code FROM board WHERE place <= 10")
+def _(spark, sf):
+    recs = snapshot.recommendations(spark, sf).withColumns({c: F.round(c, 9) for c in ("probability", "score", "agreement")})
+    return views.snapshot_top(recs).select("recommendation_date", F.col("place").cast("long").alias("place"), "stock_code")
+
+
+@query("t05_momentum_baseline", f"{_VECTORS} SELECT stock_id, price_date, round(change_10d, 6) AS change_10d, round(forward_return, 6) AS forward_return FROM vectors ORDER BY round(vectors.change_10d, 9) DESC NULLS LAST, round(vectors.forward_return, 9) DESC NULLS LAST, stock_id DESC LIMIT 20")
+def _(spark, sf):
+    rows = _dataset(spark, sf).withColumns({c: F.round(c, 9) for c in ("change_10d", "forward_return")})
+    return modeling.momentum_baseline(rows, 20).select("stock_id", "price_date", "change_10d", "forward_return")
+
+
+@query("t10_newest_prices", f"{PRICES} SELECT stock_id, price_date, close_price FROM prices QUALIFY row_number() OVER (PARTITION BY stock_id ORDER BY price_date DESC) <= 20")
+def _(spark, sf):
+    return views.newest_prices(market.prices(spark, sf)).select("stock_id", "price_date", "close_price")
+
+
+@query("u04_distinct_outcomes", "SELECT o_custkey, o_orderstatus FROM orders UNION SELECT c_custkey, 'F' FROM customer")
+def _(spark, sf):
+    o = readers.table(spark, sf, "orders").select("o_custkey", "o_orderstatus")
+    return staging.distinct_outcomes(o, readers.table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.lit("F").alias("o_orderstatus")))
+
+
+@query("u07_upsert_indicators", f"{INDICATOR_HEAD}, batch AS (SELECT stock_id, price_date, rsi_14 / 2 AS rsi FROM indicators WHERE price_date >= '2001-01-01') SELECT stock_id, i.price_date, round(CASE WHEN b.stock_id IS NULL THEN i.rsi_14 ELSE b.rsi END, 6) AS rsi_14 FROM indicators i LEFT JOIN batch b USING (stock_id, price_date)")
+def _(spark, sf):
+    facts = snapshot.indicator_rows(spark, sf).select("stock_id", "price_date", "rsi_14")
+    batch = facts.filter("price_date >= '2001-01-01'").select("stock_id", "price_date", (F.col("rsi_14") / 2).alias("rsi"), F.lit(1).alias("not_in_the_fact"))
+    return staging.upsert_indicators(facts, batch)
+
+
+@query("u10_replaced_run", f"{TRADES}, old AS (SELECT run_id FROM runs WHERE run_type = 'weekly') SELECT 'runs' AS name, count(*) + 1 AS rows FROM runs WHERE run_id NOT IN (SELECT run_id FROM old) UNION ALL SELECT 'trades', count(*) FROM trades WHERE run_id NOT IN (SELECT run_id FROM old)")
+def _(spark, sf):
+    r = snapshot.runs(spark).select("run_id", "run_type", "profile")
+    out = staging.replace_run({"trades": snapshot.derived_trades(spark, sf)}, r, spark.createDataFrame([(100, "weekly", "balanced")], "run_id long, run_type string, profile string"), ["run_type", "profile"])
+    return reduce(DataFrame.unionByName, [t.agg(F.lit(name).alias("name"), F.count("*").alias("rows")).select("name", "rows") for name, t in out.items()])
+
+
+@query("u11_updates", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' AND o_orderdate < TIMESTAMP '2000-01-01' THEN 'E' ELSE o_orderstatus END AS o_orderstatus FROM orders")
+def _(spark, sf):
+    o = readers.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    return staging.updated(o, (F.col("o_orderstatus") == "O") & (F.col("o_orderdate") < "2000-01-01"), o_orderstatus=F.lit("E")).select("o_orderkey", "o_orderstatus")
+
+
+@query("w20_latest_audit", f"{STAGING}, audits AS (SELECT stock_code, price_date, staging_id AS audit_id, source AS created_at FROM staging) SELECT stock_code, price_date, audit_id FROM audits QUALIFY row_number() OVER (PARTITION BY stock_code, price_date ORDER BY created_at DESC, audit_id DESC) = 1")
+def _(spark, sf):
+    audits = market.staging(spark, sf).select("stock_code", "price_date", F.col("staging_id").alias("audit_id"), F.col("source").alias("created_at"))
+    return staging.latest_audit(audits).select("stock_code", "price_date", "audit_id")
+
+
+@query("w22_newest_events", "SELECT user_id, event_type, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS LAST, event_id DESC) = 1")
+def _(spark, sf):
+    return staging.keep_newest(readers.table(spark, sf, "events"), ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id")
+
+
+@query("w25_older_windows", f"WITH {market.BARS_SQL}, m AS (SELECT stock_id, price_date, close_price, CASE WHEN count(*) OVER w7 = 7 THEN avg(close_price) OVER w7 END AS sma_7, CASE WHEN count(*) OVER w30 = 30 THEN avg(close_price) OVER w30 END AS sma_30, CASE WHEN count(*) OVER w30 = 30 THEN stddev_samp(close_price) OVER w30 END AS std_30, (close_price / lag(close_price) OVER w - 1) * 100 AS daily_change_pct FROM bars WINDOW w AS (PARTITION BY stock_id ORDER BY price_date), w7 AS (PARTITION BY stock_id ORDER BY price_date ROWS 6 PRECEDING), w30 AS (PARTITION BY stock_id ORDER BY price_date ROWS 29 PRECEDING)) SELECT stock_id, price_date, close_price, {r6('sma_7', 'sma_30', 'std_30', 'daily_change_pct')} FROM m WHERE std_30 IS NOT NULL AND daily_change_pct IS NOT NULL")
+def _(spark, sf):
+    return indicators.older_windows(market.bars(spark, sf).select("stock_id", "price_date", "close_price"))
+
+
+@query("x03_days", "SELECT event_id, CAST(ts AS DATE) AS day FROM events")
+def _(spark, sf):
+    return readers.table(spark, sf, "events").select("event_id", scalars.as_day(F.col("ts")).alias("day"))
+
+
+@query("x05_filled", "SELECT o_orderkey, CASE WHEN o_totalprice > 100000 THEN NULL ELSE o_totalprice END AS price, coalesce(CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderpriority END, 'Unknown') AS sector_name FROM orders")
+def _(spark, sf):
+    o = readers.table(spark, sf, "orders")
+    odd = o.select("o_orderkey", F.when(F.col("o_totalprice") > 100_000, F.lit(float("nan"))).otherwise(F.col("o_totalprice")).alias("price"), F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderpriority")).alias("sector_name"))
+    return scalars.filled(odd)
+
+
+@query("m19_repaired_state", f"{STAGING}, {market.PRICES_SQL.removeprefix(market.BARS_SQL).lstrip(',')}, facts AS (SELECT stock_id, price_date, close_price, change_1d_pct, change_ytd_pct FROM prices WHERE price_date < '2001-06-01'), pending AS (SELECT stock_id, price_date, close_price, NULL::DOUBLE AS change_1d_pct, NULL::DOUBLE AS change_ytd_pct FROM prices p WHERE NOT EXISTS (SELECT 1 FROM facts f WHERE f.stock_id = p.stock_id AND f.price_date = p.price_date)), loaded AS (SELECT * FROM facts UNION ALL SELECT * FROM pending) SELECT CASE WHEN close_price IS NULL OR close_price <= 0 THEN 'POOR' WHEN change_1d_pct IS NOT NULL AND change_ytd_pct IS NOT NULL THEN 'GOOD' ELSE 'INCOMPLETE' END AS data_quality_flag, count(*) AS rows FROM loaded GROUP BY 1")
+def _(spark, sf):
+    p = market.prices(spark, sf)
+    facts = p.filter("price_date < '2001-06-01'").select("stock_id", "price_date", "close_price", "change_1d_pct", "change_ytd_pct")
+    hits = _hits(spark, sf).withColumns({"alert_timestamp": F.col("alert_date"), "alert_id": F.col("rule_id")})
+    recs = snapshot.recommendations(spark, sf).withColumn("recommendation_id", F.col("stock_id"))
+    state = staging.repair_state(p.select("stock_id", "price_date", "close_price"), facts, hits, recs)
+    return state["prices"].groupBy("data_quality_flag").agg(F.count("*").alias("rows"))
+
+
 # ---- batch forms of the event windows ----
 
 

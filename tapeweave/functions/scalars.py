@@ -72,3 +72,15 @@ def mean_of(*parts: Column, default: float) -> Column:
     n = sum((p.isNotNull().cast("int") for p in parts[1:]), parts[0].isNotNull().cast("int"))
     total = sum((F.coalesce(p, F.lit(0.0)) for p in parts[1:]), F.coalesce(parts[0], F.lit(0.0)))
     return F.when(n > 0, total / n).otherwise(F.lit(default))
+
+
+def as_day(c: Column) -> Column:
+    """The day of a date, a timestamp or a text in ISO form; null for what is none."""
+    return F.to_date(F.try_to_timestamp(c.cast("string")))
+
+
+def filled(df, sector: str = "sector_name"):
+    """Doubles that are not numbers as null, and a sector for every row."""
+    numbers = {c: F.when(~F.isnan(c), F.col(c)) for c, t in df.dtypes if t in ("double", "float")}
+    out = df.withColumns(numbers) if numbers else df
+    return out.withColumn(sector, F.coalesce(sector, F.lit("Unknown"))) if sector in df.columns else out

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import deque
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -115,17 +118,48 @@ def rank_key(probability: str | None = None) -> Column:
     return key + F.coalesce(F.col(probability), F.lit(0.0)) if probability else key
 
 
-def portfolio_gate(df: DataFrame, *, day: str = "price_date", daily_limit: int = 1, capacity: int = 3, open_positions: Column | None = None, size: float = 0.2) -> DataFrame:
-    """Approvals in rank order, in closed form: the ordinal among actionable rows against the free slots."""
-    taken = F.lit(0) if open_positions is None else open_positions
-    order = Window.partitionBy(day).orderBy(rank_key("probability" if "probability" in df.columns else None).desc(), "stock_code")
-    able = F.col("action").isin("BUY", "STRONG_BUY") & F.col("rejection_reason").isNull()
-    df = df.withColumns({"rank": F.row_number().over(order), "_able": able, "_nth": F.sum(able.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)), "_free": F.greatest(F.lit(capacity) - taken, F.lit(0))})
-    approved = F.col("_able") & (F.col("_nth") <= F.least(F.lit(daily_limit), F.col("_free")))
-    reason = F.when(~F.col("_able"), "non_actionable").when(approved, None).when(F.least(F.lit(daily_limit), F.col("_free")) == daily_limit, "daily_entry_limit").otherwise("max_concurrent_positions")
-    df = df.withColumns({"portfolio_approved": approved, "portfolio_reason": reason})
-    df = df.withColumn("portfolio_rank", F.when(F.col("portfolio_approved"), F.col("_nth")))
-    return df.withColumn("position_size", F.when(F.col("portfolio_approved"), F.lit(size))).drop("_able", "_nth", "_free")
+def actionable() -> Column:
+    return F.col("action").isin("BUY", "STRONG_BUY") & F.col("rejection_reason").isNull()
+
+
+def open_positions(df: DataFrame, *, day: str = "price_date", daily_limit: int = 1, capacity: int = 3, lookback_days: int = 21) -> DataFrame:
+    """(day, open_before): positions approved within the `lookback_days` before each day that has actionable rows.
+
+    What a day may approve depends on the days before, so days are folded in order. The rows are
+    counted by day first: the fold sees a number for each day of the calendar, whatever the market.
+    """
+    kind = df.schema[day].dataType.simpleString()
+    per_day = df.filter(actionable()).groupBy(F.col(day).alias("day")).agg(F.count("*").alias("able")).withColumn("book", F.lit(0))
+
+    def fold(frame: pd.DataFrame) -> pd.DataFrame:
+        recent: deque = deque()  # (day, approvals)
+        before = []
+        for at, able in frame.sort_values("day")[["day", "able"]].itertuples(index=False):
+            while recent and (at - recent[0][0]).days > lookback_days:
+                recent.popleft()
+            open_ = sum(k for _, k in recent)
+            before.append((at, open_))
+            recent.append((at, min(daily_limit, max(capacity - open_, 0), able)))
+        return pd.DataFrame(before, columns=[day, "open_before"])
+
+    return per_day.groupBy("book").applyInPandas(fold, f"{day} {kind}, open_before int")
+
+
+def portfolio_gate(df: DataFrame, *, day: str = "price_date", daily_limit: int = 1, capacity: int = 3, lookback_days: int = 21, open_before: DataFrame | None = None, size: float = 0.2) -> DataFrame:
+    """rank among a day's actionable rows that no gate rejects, and the approvals that limit and free slots allow.
+
+    open_before: (day, open_before) as open_positions gives it, which is the default. Rejected rows have
+    no rank and are non_actionable.
+    """
+    book = open_positions(df, day=day, daily_limit=daily_limit, capacity=capacity, lookback_days=lookback_days) if open_before is None else open_before
+    df = df.join(F.broadcast(book), day, "left").withColumn("_able", actionable())
+    order = Window.partitionBy(day, "_able").orderBy(rank_key("probability" if "probability" in df.columns else None).desc(), "stock_code")
+    df = df.withColumns({"rank": F.when(F.col("_able"), F.row_number().over(order)), "_free": F.greatest(F.lit(capacity) - F.coalesce("open_before", F.lit(0)), F.lit(0))})
+    approved = F.col("_able") & (F.col("rank") <= F.least(F.lit(daily_limit), F.col("_free")))
+    reason = F.when(~F.col("_able"), "non_actionable").when(approved, None).when(F.col("_free") >= daily_limit, "daily_entry_limit").otherwise("max_concurrent_positions")
+    df = df.withColumns({"portfolio_approved": F.coalesce(approved, F.lit(False)), "portfolio_reason": reason})
+    df = df.withColumn("portfolio_rank", F.when(F.col("portfolio_approved"), F.col("rank")))
+    return df.withColumn("position_size", F.when(F.col("portfolio_approved"), F.lit(size))).drop("_able", "_free", "open_before")
 
 
 def with_guard(df: DataFrame, *, least_drawdown: float = 1.0, most_change: float = 12.0, near_high: float = 0.99, most_momentum: float = 8.0) -> DataFrame:

@@ -52,7 +52,7 @@ def evaluate(latest: DataFrame, rules: DataFrame) -> DataFrame:
         .when(F.col("rule_type") == "VOLUME_SPIKE", F.col("has_complete_data") & (F.coalesce("confidence_score", F.lit(75.0)) >= 75) & (F.col("volume") >= F.col("mean_other_volume") * 2.0))
     )
     hits = latest.crossJoin(F.broadcast(rules)).filter(F.coalesce(holds, F.lit(False)))
-    message = F.format_string("%s: stock %s at %.2f", "rule_name", "stock_id", "close_price")
+    message = F.format_string("%s: stock %s at %s", "rule_name", "stock_id", F.col("close_price").cast("decimal(18,4)"))
     return hits.select("stock_id", "rule_id", F.col("price_date").alias("alert_date"), "rule_type", "severity", message.alias("message"))
 
 
@@ -69,7 +69,8 @@ def merge_alerts(history: DataFrame, hits: DataFrame) -> DataFrame:
     return upsert(history, hits, ["stock_id", "rule_id", "alert_date"], {"is_resolved": F.lit(False)})
 
 
-def digest(alerts: DataFrame) -> DataFrame:
-    """One text for each day and severity, in the order of instruments and rules."""
+def digest(alerts: DataFrame, *, page_size: int = 500) -> DataFrame:
+    """One text for each day, severity and page, in the order of instruments and rules; a page holds so many instruments' alerts."""
     lines = F.array_sort(F.collect_list(F.struct("stock_id", "rule_id", "message")))
-    return alerts.groupBy("alert_date", "severity").agg(F.count("*").alias("alerts"), F.array_join(F.transform(lines, lambda x: x["message"]), "\n").alias("body"))
+    page = F.floor(F.col("stock_id") / page_size).alias("page")
+    return alerts.groupBy("alert_date", "severity", page).agg(F.count("*").alias("alerts"), F.array_join(F.transform(lines, lambda x: x["message"]), "\n").alias("body"))

@@ -9,13 +9,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tapeweave.operators.advisory import rank_key
+from tapeweave.operators.advisory import actionable, rank_key
 from tapeweave.operators.indicators import by_day
+from tapeweave.operators.scan import scan_by_key
 
-def candidate_trades(screened: DataFrame, *, horizon: int = 10, cost_pct: float = 0.2, top_n: int = 5) -> DataFrame:
-    """The top_n actionable rows of each day with exit `horizon` rows later; returns in percent, rounded to 4."""
+
+def candidate_trades(screened: DataFrame, *, horizon: int = 10, cost_pct: float = 0.2, top_n: int = 5, keep: Column | None = None) -> DataFrame:
+    """The top_n actionable rows of each day that no gate rejects, with exit `horizon` rows later; returns in percent, rounded to 4.
+
+    keep: a filter of recommendations before the ranking (a condition), as for the risk of bad trades.
+    """
     df = screened.withColumns({"exit_date": F.lead("price_date", horizon).over(by_day()), "exit_price": F.lead("close_price", horizon).over(by_day()), "_row": F.row_number().over(by_day())})
-    df = df.filter(F.col("action").isin("BUY", "STRONG_BUY"))
+    df = df.filter(actionable() if keep is None else actionable() & keep)
     order = Window.partitionBy("price_date").orderBy(rank_key().desc(), "stock_id")
     df = df.withColumn("_n", F.row_number().over(order)).filter((F.col("_n") <= top_n) & F.col("exit_date").isNotNull()).drop("_n")
     gross = (F.col("exit_price") - F.col("close_price")) / F.col("close_price") * 100
@@ -25,15 +30,29 @@ def candidate_trades(screened: DataFrame, *, horizon: int = 10, cost_pct: float
 def without_overlap(trades: DataFrame, *, horizon: int = 10, outlier: float = 50.0) -> DataFrame:
     """Trades of an instrument that begin after the one before has ended; then outliers are dropped.
 
-    Greedy from the first: an instrument's trades are folded in order, in the JVM. A trade that is
-    dropped as an outlier has blocked its days all the same.
+    Greedy from the first, by a pass over each instrument's trades in order. A trade that is dropped
+    as an outlier has blocked its days all the same.
     """
-    all_ = F.array_sort(F.collect_list(F.struct("entry_date", "exit_date", F.struct(*[c for c in trades.columns if c not in ("entry_date", "exit_date")]).alias("rest"))))
-    rows = trades.groupBy("stock_id").agg(all_.alias("_t"))
-    kind = rows.schema["_t"].dataType.simpleString()
-    fold = F.aggregate("_t", F.struct(F.lit(None).cast("date").alias("until"), F.array().cast(kind).alias("kept")), lambda s, t: F.when(s["until"].isNull() | (t["entry_date"] > s["until"]), F.struct(t["exit_date"].alias("until"), F.concat(s["kept"], F.array(t)).alias("kept"))).otherwise(s), lambda s: s["kept"])
-    flat = rows.select(F.explode(fold).alias("t")).select("t.rest.*", "t.entry_date", "t.exit_date")
-    return flat.filter(F.abs("gross_return_pct") <= outlier).drop("_row")
+
+    def start():
+        until = None
+
+        def step(entry, exit_) -> tuple[bool]:
+            nonlocal until
+            free = until is None or entry > until
+            if free:
+                until = exit_
+            return (free,)
+
+        return step
+
+    kept = scan_by_key(trades, "stock_id", ["entry_date"], ["entry_date", "exit_date"], start, {"_free": "boolean"})
+    return kept.filter(F.col("_free") & (F.abs("gross_return_pct") <= outlier)).drop("_row", "_free")
+
+
+def not_bad(probability: str = "bad_probability", *, most: float = 0.55) -> Column:
+    """The block on bad trades: rows whose estimated risk is `most` or more go; those without an estimate stay."""
+    return F.col(probability).isNull() | (F.col(probability) < most)
 
 
 def trade_metrics(trades: DataFrame, by: list[str]) -> DataFrame:

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tapeweave.operators.scan import scan_by_key
+
+
 def by_day():
     """An instrument's bars in the order of days."""
     return Window.partitionBy("stock_id").orderBy("price_date")
@@ -35,38 +38,52 @@ def with_moving(df: DataFrame) -> DataFrame:
     return df.withColumn("ma_crossover_signal", F.when(known, F.coalesce(cross, F.lit("NEUTRAL")))).drop("_ret", "_std")
 
 
-def exponential(df: DataFrame) -> DataFrame:
-    """(stock_id, price_date, rsi_14, macd, macd_signal, macd_histogram), one fold over each instrument's bars.
+def _smoothing(rsi_moves: int = 14, fast: int = 12, slow: int = 26, signal: int = 9):
+    """Starts the recurrences of an instrument: a function from each close to (rsi, macd, signal)."""
+    i, before, up, down, short, long, trigger = 0, None, None, None, None, None, None
+
+    def ema(old: float | None, new: float, alpha: float) -> float:
+        return new if old is None else new * alpha + old * (1 - alpha)
+
+    def step(close: float | None) -> tuple[float | None, float | None, float | None]:
+        nonlocal i, before, up, down, short, long, trigger
+        if close is None:
+            return None, None, None
+        i += 1
+        if before is not None:
+            up, down = ema(up, max(close - before, 0.0), 1 / rsi_moves), ema(down, max(before - close, 0.0), 1 / rsi_moves)
+        before, short, long = close, ema(short, close, 2 / (fast + 1)), ema(long, close, 2 / (slow + 1))
+        macd = short - long if i >= slow else None
+        if macd is not None:
+            trigger = ema(trigger, macd, 2 / (signal + 1))
+        rsi = None
+        if i > rsi_moves and (up or down):
+            rsi = 100.0 if not down else 0.0 if not up else 100 - 100 / (1 + up / down)
+        return rsi, macd, trigger if i >= slow + signal - 1 else None
+
+    return step
+
 
-    A bar depends on all before it, so a window cannot carry it; an instrument's history is bounded by
-    its trading days, and the fold runs in the JVM. Smoothing starts at the first value, without
-    correction for the start: RSI needs 14 moves, MACD 26 closes, its signal 9 values of it.
+def with_exponential(df: DataFrame, *, partitioned: bool = False) -> DataFrame:
+    """df with rsi_14, macd, macd_signal and macd_histogram.
+
+    A bar depends on all before it, so a pass over each instrument's bars in order computes them.
+    Smoothing starts at the first value, without correction for the start: RSI needs 14 moves, MACD
+    26 closes, its signal 9 values of it. Rows without a close are passed over.
     """
-    series = df.groupBy("stock_id").agg(F.array_sort(F.collect_list(F.struct("price_date", F.col("close_price").cast("double").alias("c")))).alias("bars"))
-    none = F.lit(None).cast("double")
-    point = "struct<d: date, rsi: double, macd: double, sig: double>"
-    start = F.struct(F.lit(0).alias("i"), none.alias("c"), none.alias("up"), none.alias("down"), none.alias("fast"), none.alias("slow"), none.alias("sig"), F.array().cast(f"array<{point}>").alias("out"))
-    ema = lambda old, new, alpha: F.when(old.isNull(), new).otherwise(new * alpha + old * (1 - alpha))
-
-    def step(s: Column, x: Column) -> Column:
-        i, c = s["i"] + 1, x["c"]
-        move = c - s["c"]
-        up = F.when(move.isNull(), s["up"]).otherwise(ema(s["up"], F.greatest(move, F.lit(0.0)), 1 / 14))
-        down = F.when(move.isNull(), s["down"]).otherwise(ema(s["down"], F.greatest(-move, F.lit(0.0)), 1 / 14))
-        fast, slow = ema(s["fast"], c, 2 / 13), ema(s["slow"], c, 2 / 27)
-        macd = F.when(i >= 26, fast - slow)
-        sig = F.when(macd.isNotNull(), ema(s["sig"], macd, 2 / 10))
-        rsi = F.when(i >= 15, F.when((down == 0) & (up > 0), 100.0).when((up == 0) & (down > 0), 0.0).when(down > 0, 100 - 100 / (1 + up / down)))
-        shown = F.struct(x["price_date"].alias("d"), rsi.cast("double").alias("rsi"), macd.alias("macd"), F.when(i >= 34, sig).alias("sig"))
-        return F.struct(i.alias("i"), c.alias("c"), up.alias("up"), down.alias("down"), fast.alias("fast"), slow.alias("slow"), sig.alias("sig"), F.concat(s["out"], F.array(shown)).alias("out"))
-
-    out = series.select("stock_id", F.explode(F.aggregate("bars", start, step, lambda s: s["out"])).alias("p"))
-    return out.select("stock_id", F.col("p.d").alias("price_date"), F.col("p.rsi").alias("rsi_14"), F.col("p.macd").alias("macd"), F.col("p.sig").alias("macd_signal"), (F.col("p.macd") - F.col("p.sig")).alias("macd_histogram"))
+    close = df.withColumn("_close", F.col("close_price").cast("double"))
+    out = scan_by_key(close, "stock_id", ["price_date"], ["_close"], _smoothing, {"rsi_14": "double", "macd": "double", "macd_signal": "double"}, partitioned=partitioned)
+    return out.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal")).drop("_close")
+
+
+def exponential(df: DataFrame) -> DataFrame:
+    """(stock_id, price_date, rsi_14, macd, macd_signal, macd_histogram) alone."""
+    return with_exponential(df.select("stock_id", "price_date", "close_price")).drop("close_price")
 
 
 def with_indicators(df: DataFrame, *, min_history: int = 90) -> DataFrame:
     """All indicators of the rows from the min_history-th on; atr_14 and trend_strength are never computed."""
-    out = with_moving(df).join(exponential(df), ["stock_id", "price_date"])
+    out = with_exponential(with_moving(df.repartition("stock_id")), partitioned=True)
     out = out.withColumn("_n", F.row_number().over(by_day())).filter(F.col("_n") >= min_history).drop("_n")
     return out.withColumns({"atr_14": F.lit(None).cast("double"), "trend_strength": F.lit(None).cast("double")})
 
@@ -96,3 +113,10 @@ def screen_metrics(df: DataFrame) -> DataFrame:
     df = df.withColumns({"vol_30": full(F.stddev_samp("_ret").over(last(30)), F.col("_ret"), 30) * F.sqrt(F.lit(252.0)) * 100, "vol_90": full(F.stddev_samp("_ret").over(last(90)), F.col("_ret"), 90) * F.sqrt(F.lit(252.0)) * 100, "_dd": (F.col("close_price") / F.max("close_price").over(run) - 1) * 100, "high_52w": F.max("close_price").over(last(252)), "low_52w": F.min("close_price").over(last(252))})
     df = df.withColumns({"max_drawdown": F.min("_dd").over(run), "from_high": (F.col("close_price") / F.col("high_52w") - 1) * 100, "from_low": (F.col("close_price") / F.col("low_52w") - 1) * 100})
     return df.withColumn("sharpe", F.when(F.col("vol_90") > 0, (F.col("ret_252") - 15.0) / F.col("vol_90"))).drop("_ret", "_dd")
+
+
+def older_windows(df: DataFrame) -> DataFrame:
+    """The older load's windows: means of 7 and 30 closes, their deviation over 30 and daily change; whole rows only, each once."""
+    c = F.col("close_price")
+    out = df.withColumns({"sma_7": sma(7), "sma_30": sma(30), "std_30": full(F.stddev_samp(c).over(last(30)), c, 30), "daily_change_pct": (c / F.lag(c).over(by_day()) - 1) * 100})
+    return out.dropna().dropDuplicates()

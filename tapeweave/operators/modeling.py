@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -67,42 +70,61 @@ def predict_stumps(model, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-margin))
 
 
-FITTERS = {"logistic": (fit_logistic, predict_logistic), "stumps": (fit_stumps, predict_stumps)}
+#: Estimators by kind: fit(x, y) -> model and predict(model, x) -> probabilities. Users may add theirs; the one
+#: that knows nothing is "none".
+FITTERS = {"logistic": (fit_logistic, predict_logistic), "stumps": (fit_stumps, predict_stumps), "none": (lambda x, y: None, lambda model, x: np.full(len(x), np.nan))}
 
 
-def walk_forward(data: DataFrame, folds: DataFrame, features: tuple[str, ...], *, kind: str = "logistic", label: str = "target", least_rows: int = 100, least_class: int = 20) -> DataFrame:
+def walk_forward(data: DataFrame, folds: DataFrame, features: tuple[str, ...], *, kind: str = "logistic", label: str = "target", least_rows: int = 100, least_class: int = 20, most_rows: int = 200_000) -> DataFrame:
     """Predictions of each fold's evaluation rows by a model fitted on the fold's training rows.
 
-    Rows meet the folds whose windows they are in (folds are few and broadcast). A fold is one group:
-    its training window, not the table, bounds it. Folds with too few rows or cases predict nothing.
+    Rows meet the folds whose windows they are in (folds are few and broadcast). Where folds have a
+    `label_by`, only rows whose horizon_date is no later train. A model is fitted on at most about
+    `most_rows` of its training rows, those of the lowest hashes of instrument and day; smaller windows
+    are used whole. Models are small and broadcast; all evaluation rows are predicted where they lie. Folds
+    with too few rows or cases predict nothing.
     """
     fit, predict = FITTERS[kind]
     day = F.col("price_date")
-    in_train, in_eval = day.between(F.col("train_start"), F.col("train_end")), day.between(F.col("eval_start"), F.col("eval_end"))
-    rows = data.join(F.broadcast(folds), in_train | in_eval).select("fold", in_eval.alias("_eval"), "stock_id", "price_date", F.col(label).cast("double").alias("_y"), "forward_return", F.array(*[F.col(f).cast("double") for f in features]).alias("_x"))
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        train, ahead = frame[~frame["_eval"]].sort_values(["price_date", "stock_id"]), frame[frame["_eval"]]
-        y = train["_y"].to_numpy()
-        columns = ["fold", "stock_id", "price_date", "target", "forward_return", "probability"]
-        if len(y) < least_rows or min(y.sum(), len(y) - y.sum()) < least_class or ahead.empty:
-            return pd.DataFrame(columns=columns)
-        model = fit(np.stack(train["_x"].to_numpy()), y)
-        return ahead.assign(probability=predict(model, np.stack(ahead["_x"].to_numpy())), target=ahead["_y"].astype(int))[columns]
-
-    return rows.groupBy("fold").applyInPandas(run, "fold int, stock_id long, price_date date, target int, forward_return double, probability double")
+    in_train = day.between(F.col("train_start"), F.col("train_end"))
+    if "label_by" in folds.columns:
+        in_train &= F.col("horizon_date") <= F.col("label_by")
+    in_eval = day.between(F.col("eval_start"), F.col("eval_end"))
+    rows = data.select("stock_id", "price_date", *(["horizon_date"] if "label_by" in folds.columns else []), F.col(label).cast("double").alias("_y"), "forward_return", F.array(*[F.col(f).cast("double") for f in features]).alias("_x"))
+    train = rows.join(F.broadcast(folds), in_train).select("fold", "stock_id", "price_date", "_y", "_x")
+    counts = train.groupBy("fold").agg(F.count("*").alias("_n"))
+    part = F.pmod(F.xxhash64("stock_id", "price_date"), F.lit(1 << 30)) < F.lit(float(most_rows)) / F.col("_n") * (1 << 30)
+    train = train.join(F.broadcast(counts), "fold").filter(part).drop("_n")
+
+    def learn(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["price_date", "stock_id"])
+        y = frame["_y"].to_numpy()
+        if len(y) < least_rows or min(y.sum(), len(y) - y.sum()) < least_class:
+            return pd.DataFrame(columns=["fold", "_model"])
+        return pd.DataFrame({"fold": frame["fold"].iloc[:1], "_model": [pickle.dumps(fit(np.stack(frame["_x"].to_numpy()), y))]})
+
+    def apply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        models: dict[int, object] = {}
+        for frame in frames:
+            for fold, own in frame.groupby("fold"):
+                if fold not in models:
+                    models[fold] = pickle.loads(own["_model"].iloc[0])
+                yield own.assign(probability=predict(models[fold], np.stack(own["_x"].to_numpy())), target=own["_y"].astype(int))[["fold", "stock_id", "price_date", "target", "forward_return", "probability"]]
+
+    models = train.groupBy("fold").applyInPandas(learn, "fold int, _model binary")
+    ahead = rows.join(F.broadcast(folds), in_eval).select("fold", "stock_id", "price_date", "_y", "forward_return", "_x").join(F.broadcast(models), "fold")
+    return ahead.mapInPandas(apply, "fold int, stock_id long, price_date date, target int, forward_return double, probability double")
 
 
 def rolling_probabilities(data: DataFrame, days: DataFrame, features: tuple[str, ...], *, window_days: int = 540, **how) -> DataFrame:
     """Probabilities of the rows of each day in `days` (column price_date), trained on the window that ends the day before.
 
-    Only rows whose label was known by then may train.
+    Only rows whose label was known by the last day of a day's own window train its model.
     """
     numbered = days.select("price_date").distinct().withColumn("fold", F.datediff("price_date", F.lit("1970-01-01")))
-    folds = numbered.select("fold", F.date_sub("price_date", window_days).alias("train_start"), F.date_sub("price_date", 1).alias("train_end"), F.col("price_date").alias("eval_start"), F.col("price_date").alias("eval_end"))
-    day = F.col("price_date")
-    known = data.join(F.broadcast(folds), (day.between(F.col("train_start"), F.col("train_end")) & (F.col("horizon_date") <= F.col("train_end"))) | (day == F.col("eval_start")))
-    return walk_forward(known.select(*data.columns).distinct(), folds, features, **how)
+    last = F.date_sub("price_date", 1)
+    folds = numbered.select("fold", F.date_sub("price_date", window_days).alias("train_start"), last.alias("train_end"), last.alias("label_by"), F.col("price_date").alias("eval_start"), F.col("price_date").alias("eval_end"))
+    return walk_forward(data, folds, features, **how)
 
 
 def bucket_of(p: Column, edges: tuple[float, ...] = BUCKETS) -> Column:
@@ -129,6 +151,11 @@ def top_k(predictions: DataFrame, key: str, k: int) -> DataFrame:
     return predictions.orderBy(F.col(key).desc(), F.col("forward_return").desc(), F.col("stock_id").desc()).limit(k)
 
 
+def momentum_baseline(data: DataFrame, k: int, *, by: str = "change_10d") -> DataFrame:
+    """The k rows that momentum alone would pick: by ten-day change, forward return and code, all downwards."""
+    return data.orderBy(F.col(by).desc_nulls_last(), F.col("forward_return").desc_nulls_last(), F.col("stock_id").desc()).limit(k)
+
+
 def threshold_sweep(predictions: DataFrame, thresholds: tuple[float, ...], *, cost_pct: float = 0.2) -> DataFrame:
     """What each threshold keeps: rows meet all thresholds in one pass."""
     net = F.col("forward_return") - cost_pct

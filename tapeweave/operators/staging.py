@@ -107,3 +107,54 @@ def running_changes(batch: DataFrame, facts: DataFrame) -> DataFrame:
     w = Window.partitionBy("stock_id").orderBy("price_date")
     both = facts.select("stock_id", "price_date", "close_price").withColumn("_new", F.lit(False)).unionByName(batch.select("stock_id", "price_date", "close_price").withColumn("_new", F.lit(True)))
     return both.withColumn("previous_close", F.lag("close_price").over(w)).filter("_new").drop("_new")
+
+
+# Names under which indicators may come, with the fact's own.
+INDICATOR_ALIASES = {"rsi": "rsi_14", "macd_line": "macd", "bb_upper": "bollinger_upper", "bb_middle": "bollinger_middle", "bb_lower": "bollinger_lower", "sma_7": "ma_7", "sma_30": "ma_30", "sma_90": "ma_90"}
+
+
+def upsert_indicators(facts: DataFrame, batch: DataFrame) -> DataFrame:
+    """facts with the batch's indicators by (stock_id, price_date), aliases resolved; columns that the fact has not go."""
+    known = batch.withColumnsRenamed({a: n for a, n in INDICATOR_ALIASES.items() if a in batch.columns and n not in batch.columns})
+    return upsert(facts, known.select(*[c for c in known.columns if c in facts.columns]), ["stock_id", "price_date"])
+
+
+def replace_run(tables: dict[str, DataFrame], runs: DataFrame, new: DataFrame, match: list[str]) -> dict[str, DataFrame]:
+    """runs and its dependent tables (by run_id) without the runs that new ones replace, equal in the `match` columns, with `new` among the runs."""
+    old = runs.join(new.select(*match).distinct(), match, "left_semi").select("run_id").distinct()
+    kept = {name: t.join(old, "run_id", "left_anti") for name, t in tables.items()}
+    return kept | {"runs": runs.join(old, "run_id", "left_anti").unionByName(new, allowMissingColumns=True)}
+
+
+def updated(df: DataFrame, where: Column, **values: Column) -> DataFrame:
+    """df with values set where the condition holds: resolving, expiring, activating, delisting, metadata."""
+    hit = F.coalesce(where, F.lit(False))
+    return df.withColumns({c: F.when(hit, v).otherwise(F.col(c)) for c, v in values.items()})
+
+
+def keep_newest(df: DataFrame, keys: list[str], newest: list[str]) -> DataFrame:
+    """One row for each key: the newest, nulls last, for alerts by time and id or recommendations by id."""
+    return keep_one(df, keys, [F.col(c).desc_nulls_last() for c in newest])
+
+
+def repair_state(staged: DataFrame, facts: DataFrame, alerts: DataFrame, recommendations: DataFrame) -> dict[str, DataFrame]:
+    """The pending repairs as plans: staged days without a fact are loaded, flags made anew, and of repeated alerts and
+    recommendations the newest stay."""
+    loaded = facts.unionByName(missing_facts(staged, facts, ["stock_id", "price_date"]), allowMissingColumns=True)
+    return {
+        "prices": repair_flags(loaded), "alerts": keep_newest(alerts, ["stock_id", "rule_id", "alert_date"], ["alert_timestamp", "alert_id"]),
+        "recommendations": keep_newest(recommendations, ["stock_id", "recommendation_date", "profile"], ["recommendation_id"]),
+    }
+
+
+def write_report(df: DataFrame, path: str) -> None:
+    """A report as JSON lines under path."""
+    df.write.mode("overwrite").json(path)
+
+
+def distinct_outcomes(*frames: DataFrame) -> DataFrame:
+    """Rows of all frames, each once."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out.dropDuplicates()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tapeweave.operators.indicators import by_day
+from tapeweave.plans.facts import stored
 from tapeweave.sources.readers import table
 
 
@@ -33,6 +34,11 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The price fact, stored once in a session."""
+    return stored(spark, sf_dir, "prices", lambda: derived_prices(spark, sf_dir))
+
+
+def derived_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars with the trust columns and changes that the fact table has.
 
     Status, flag and confidence follow from instrument and day, so that every band occurs.

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tapeweave.operators import advisory, backtest, features, indicators, quality
 from tapeweave.plans import market
+from tapeweave.plans.facts import stored
 
 
 def trusted_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,13 +16,16 @@ def trusted_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def indicator_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["stock_id", "price_date", "ma_7", "ma_30", "ma_90", "bollinger_upper", "bollinger_middle", "bollinger_lower", "volatility_30", "ma_crossover_signal", "rsi_14", "macd", "macd_signal", "macd_histogram", "atr_14", "trend_strength"]
-    return indicators.with_indicators(trusted_prices(spark, sf_dir).select("stock_id", "price_date", "close_price")).select(*names)
+    return stored(spark, sf_dir, "indicators", lambda: indicators.with_indicators(trusted_prices(spark, sf_dir).select("stock_id", "price_date", "close_price")).select(*names))
 
 
 def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days from the 90th trusted one on, with stock codes."""
-    rows = features.price_features(trusted_prices(spark, sf_dir)).join(indicator_rows(spark, sf_dir), ["stock_id", "price_date"])
-    return rows.join(market.stocks(spark, sf_dir).select("stock_id", "stock_code"), "stock_id")
+    def build() -> DataFrame:
+        rows = features.price_features(trusted_prices(spark, sf_dir)).join(indicator_rows(spark, sf_dir), ["stock_id", "price_date"])
+        return rows.join(market.stocks(spark, sf_dir).select("stock_id", "stock_code"), "stock_id")
+
+    return stored(spark, sf_dir, "snapshot", build)
 
 
 def screened(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,8 +140,15 @@ policy AS (SELECT *, CASE signal WHEN 'SELL' THEN 'AVOID' WHEN 'STRONG_SELL' THE
   FROM (SELECT *, coalesce((volatility_30 < 0.2)::INT, 0) + (agreement < 0.6)::INT + (score < 50)::INT + coalesce((rsi_14 <> 0 AND (rsi_14 < 25 OR rsi_14 > 75))::INT, 0) AS f FROM signalled)),
 gated AS (SELECT *, CASE WHEN close_price < 8 THEN 'min_price' WHEN volatility_30 > 0.75 THEN 'max_volatility' WHEN volume_ratio < 0.8 THEN 'min_volume_ratio' WHEN trusted_history_days < 30 THEN 'min_history' WHEN confidence_score < 60 THEN 'min_confidence' WHEN NOT has_complete_data THEN 'incomplete_data'
   WHEN bar_status NOT IN ('RECONCILED', 'OFFICIAL') THEN 'unofficial_bar' WHEN drawdown_20d < 1 THEN 'near_high' WHEN change_20d > 12 THEN 'overextended' WHEN rsi_14 < 40 OR rsi_14 > 75 THEN 'rsi_out_of_range' WHEN action NOT IN ('BUY', 'STRONG_BUY') THEN 'not_a_buy' WHEN score < 70 THEN 'min_score' WHEN agreement < 0.6 THEN 'min_agreement' END AS rejection_reason FROM policy),
-ranked AS (SELECT *, row_number() OVER o AS rank, sum((rejection_reason IS NULL AND action IN ('BUY', 'STRONG_BUY'))::INT) OVER (PARTITION BY price_date ORDER BY round(score, 9) * 1000 + round(agreement, 9) * 100 DESC, stock_code ROWS UNBOUNDED PRECEDING) AS nth FROM gated WINDOW o AS (PARTITION BY price_date ORDER BY round(score, 9) * 1000 + round(agreement, 9) * 100 DESC, stock_code)),
-screened AS (SELECT *, rejection_reason IS NULL AND action IN ('BUY', 'STRONG_BUY') AND nth <= 1 AS portfolio_approved,
-  CASE WHEN rejection_reason IS NOT NULL OR action NOT IN ('BUY', 'STRONG_BUY') THEN 'non_actionable' WHEN nth > 1 THEN 'daily_entry_limit' END AS portfolio_reason, CASE WHEN rejection_reason IS NULL AND action IN ('BUY', 'STRONG_BUY') AND nth <= 1 THEN nth END AS portfolio_rank FROM ranked)"""
+able AS MATERIALIZED (SELECT stock_id, price_date, row_number() OVER (PARTITION BY price_date ORDER BY round(score, 9) * 1000 + round(agreement, 9) * 100 DESC, stock_code) AS nth FROM gated WHERE rejection_reason IS NULL AND action IN ('BUY', 'STRONG_BUY')),
+days AS MATERIALIZED (SELECT price_date AS d, count(*) AS n, row_number() OVER (ORDER BY price_date) AS i FROM able GROUP BY 1),
+book AS (SELECT i, d, 0::BIGINT AS opened, least(1, n)::BIGINT AS k, [{{'d': d, 'k': least(1, n)::BIGINT}}] AS hist FROM days WHERE i = 1
+  UNION ALL
+  SELECT i, d, opened, least(1, greatest(3 - opened, 0), n)::BIGINT, list_append(list_filter(hist, lambda h: h.d >= d - 21), {{'d': d, 'k': least(1, greatest(3 - opened, 0), n)::BIGINT}})
+  FROM (SELECT x.i, x.d, x.n, b.hist, coalesce(list_sum(list_transform(list_filter(b.hist, lambda h: h.d >= x.d - 21), lambda h: h.k)), 0)::BIGINT AS opened FROM book b JOIN days x ON x.i = b.i + 1)),
+screened AS (SELECT g.*, a.nth AS rank, coalesce(a.nth <= least(1, greatest(3 - k.opened, 0)), FALSE) AS portfolio_approved,
+  CASE WHEN a.nth IS NULL THEN 'non_actionable' WHEN a.nth <= least(1, greatest(3 - k.opened, 0)) THEN NULL WHEN k.opened < 3 THEN 'daily_entry_limit' ELSE 'max_concurrent_positions' END AS portfolio_reason,
+  CASE WHEN a.nth <= least(1, greatest(3 - k.opened, 0)) THEN a.nth END AS portfolio_rank
+  FROM gated g LEFT JOIN able a ON a.stock_id = g.stock_id AND a.price_date = g.price_date LEFT JOIN book k ON k.d = g.price_date)"""
 SCREEN_HEAD = f"WITH RECURSIVE {market.PRICES_SQL}, {market.STOCKS_SQL}, {INDICATORS_SQL}, {FEATURES_SQL}, {SCORE_SQL}, {SIGNAL_SQL}"
 INDICATOR_HEAD = f"WITH RECURSIVE {market.PRICES_SQL}, {market.STOCKS_SQL}, {INDICATORS_SQL}"

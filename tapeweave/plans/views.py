@@ -123,6 +123,18 @@ def active_alerts(alerts: DataFrame, stocks: DataFrame, code: str) -> DataFrame:
     return alerts.join(stocks.filter(F.col("stock_code") == code).select("stock_id", "stock_code"), "stock_id").orderBy(F.col("alert_date").desc(), "rule_id")
 
 
+def snapshot_top(recs: DataFrame, n: int = 10, day: str = "recommendation_date") -> DataFrame:
+    """The first n recommendations of each day: approved ones by rank, then probability, score and agreement downwards, then code."""
+    order = Window.partitionBy(day).orderBy(F.col("portfolio_rank").asc_nulls_last(), F.col("probability").desc_nulls_last(), F.col("score").desc(), F.col("agreement").desc(), "stock_code")
+    return recs.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= n)
+
+
+def newest_prices(prices: DataFrame, n: int = 20) -> DataFrame:
+    """The newest n bars of each instrument."""
+    order = Window.partitionBy("stock_id").orderBy(F.col("price_date").desc())
+    return prices.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n).drop("_n")
+
+
 def chart(df: DataFrame, by: list[str], metrics: dict[str, Column], limit: int | None = None) -> DataFrame:
     """A dashboard chart: metrics by dimensions, ordered, up to a row limit (the chart's own)."""
     out = df.groupBy(*by).agg(*[c.alias(n) for n, c in metrics.items()]).orderBy(*by)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -47,6 +49,33 @@ def keep_one(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_n = 1").drop("_n")
 
 
+@dataclass(frozen=True)
+class Capabilities:
+    """What a source gives: live quotes, history, fields, and how many instruments a call may ask for."""
+
+    live: bool = False
+    history: bool = False
+    volume: bool = True
+    batch_limit: int | None = None
+
+
+@dataclass(frozen=True)
+class Source:
+    """A named source of landed files: fetch(spark, path, start, end) gives rows of the quotes' or the history's schema."""
+
+    name: str
+    capabilities: Capabilities
+
+    def fetch(self, spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
+        if start is None and end is None:
+            if not self.capabilities.live:
+                raise ValueError(f"{self.name} gives no live quotes")
+            return read_quotes(spark, path, self.name)
+        if not self.capabilities.history:
+            raise ValueError(f"{self.name} gives no history")
+        return read_history(spark, path, start or "0001-01-01", end or "9999-12-31", self.name)
+
+
 def universe(df: DataFrame) -> DataFrame:
     return df.select(F.upper(F.trim("stock_code")).alias("stock_code")).distinct().orderBy("stock_code")
 
