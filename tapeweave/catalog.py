@@ -192,17 +192,20 @@ def _(spark, sf):
     return staging.missing_facts(market.staging(spark, sf), facts, ["stock_id", "price_date"]).groupBy("stock_code", "price_date").agg(F.count("*").alias("quotes"))
 
 
+def _requests(spark, sf):
+    """A question for a price from each order, over all instruments."""
+    n = readers.table(spark, sf, "supplier").agg(F.count("*").alias("_n"))
+    return readers.table(spark, sf, "orders").crossJoin(F.broadcast(n)).select("o_orderkey", (F.col("o_custkey") % F.col("_n")).alias("stock_id"), F.col("o_orderdate").cast("date").alias("d"))
+
+
 @query("j06_as_of_join", f"{PRICES}, req AS (SELECT o_orderkey, o_custkey % (SELECT count(*) FROM supplier) AS stock_id, CAST(o_orderdate AS DATE) AS d FROM orders) SELECT r.o_orderkey, r.stock_id, r.d, p.price_date AS asof_price_date, p.close_price AS asof_close_price FROM req r ASOF LEFT JOIN prices p ON r.stock_id = p.stock_id AND r.d >= p.price_date")
 def _(spark, sf):
-    n = readers.table(spark, sf, "supplier").agg(F.count("*").alias("_n"))
-    req = readers.table(spark, sf, "orders").crossJoin(F.broadcast(n)).select("o_orderkey", (F.col("o_custkey") % F.col("_n")).alias("stock_id"), F.col("o_orderdate").cast("date").alias("d"))
-    return asof.asof(req, market.prices(spark, sf).withColumn("d", F.col("price_date")), by="stock_id", on="d", values=["price_date", "close_price"])
+    return asof.asof(_requests(spark, sf), market.prices(spark, sf).withColumn("d", F.col("price_date")), by="stock_id", on="d", values=["price_date", "close_price"])
 
 
-@query("j09_previous_price", f"{PRICES}, req AS (SELECT o_orderkey, o_custkey % 10 AS stock_id, CAST(o_orderdate AS DATE) AS d FROM orders) SELECT r.o_orderkey, r.stock_id, r.d, p.close_price AS asof_close_price FROM req r ASOF LEFT JOIN prices p ON r.stock_id = p.stock_id AND r.d > p.price_date")
+@query("j09_previous_price", f"{PRICES}, req AS (SELECT o_orderkey, o_custkey % (SELECT count(*) FROM supplier) AS stock_id, CAST(o_orderdate AS DATE) AS d FROM orders) SELECT r.o_orderkey, r.stock_id, r.d, p.close_price AS asof_close_price FROM req r ASOF LEFT JOIN prices p ON r.stock_id = p.stock_id AND r.d > p.price_date")
 def _(spark, sf):
-    req = readers.table(spark, sf, "orders").select("o_orderkey", (F.col("o_custkey") % 10).alias("stock_id"), F.col("o_orderdate").cast("date").alias("d"))
-    return asof.asof(req, market.prices(spark, sf).withColumn("d", F.col("price_date")), by="stock_id", on="d", values=["close_price"], strict=True)
+    return asof.asof(_requests(spark, sf), market.prices(spark, sf).withColumn("d", F.col("price_date")), by="stock_id", on="d", values=["close_price"], strict=True)
 
 
 @query("j08_aligned_latest", f"{INDICATOR_HEAD}, p AS (SELECT stock_id, max(price_date) AS d FROM base WHERE price_date <= '{DAY}' GROUP BY 1), i AS (SELECT stock_id, max(price_date) AS d FROM indicators WHERE price_date <= '{DAY}' AND stock_id % 3 > 0 OR price_date <= DATE '{DAY}' - 9 GROUP BY 1) SELECT stock_id, p.d AS price_date FROM p JOIN i USING (stock_id) WHERE p.d = i.d")
