@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 from .shared import quoted, small_batches, written
 
 #: Entries of each generation of what a Python worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: Steps of the search for a bin plan, and lengths that they may go over in all if that gives more steps.
 NODES, WORK = 8_000, 6_000_000
 #: Bins at the end of a plan in the making whose other fillings are kept for backtracking, so that memory is bounded.
