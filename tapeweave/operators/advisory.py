@@ -129,7 +129,7 @@ def open_positions(df: DataFrame, *, day: str = "price_date", daily_limit: int =
     counted by day first: the fold sees a number for each day of the calendar, whatever the market.
     """
     kind = df.schema[day].dataType.simpleString()
-    per_day = df.filter(actionable()).groupBy(F.col(day).alias("day")).agg(F.count("*").alias("able")).withColumn("book", F.lit(0))
+    per_day = df.groupBy(F.col(day).alias("day")).agg(F.count_if(actionable()).alias("able")).filter("able > 0").withColumn("book", F.lit(0))
 
     def fold(frame: pd.DataFrame) -> pd.DataFrame:
         recent: deque = deque()  # (day, approvals)
@@ -169,6 +169,11 @@ def with_guard(df: DataFrame, *, least_drawdown: float = 1.0, most_change: float
     return df.withColumn("guarded", off(F.col("drawdown_20d") < least_drawdown) | off(F.col("change_20d") > most_change) | near)
 
 
+def gated(snapshot: DataFrame) -> DataFrame:
+    """Score, signal, policy and gates of snapshot rows: what is known of a row by itself."""
+    return with_gates(with_policy(with_signal(with_score(snapshot))))
+
+
 def screen(snapshot: DataFrame) -> DataFrame:
     """Score, signal, policy, gates and portfolio approval of snapshot rows."""
-    return portfolio_gate(with_gates(with_policy(with_signal(with_score(snapshot)))))
+    return portfolio_gate(gated(snapshot))

@@ -29,7 +29,8 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def screened(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return advisory.screen(snapshot(spark, sf_dir))
+    """The screener's rows; what the gate counts by day is read from a stored table, as its columns are deep expressions."""
+    return advisory.portfolio_gate(stored(spark, sf_dir, "gated", lambda: advisory.gated(snapshot(spark, sf_dir))))
 
 
 def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
