@@ -122,7 +122,7 @@ def actionable() -> Column:
     return F.col("action").isin("BUY", "STRONG_BUY") & F.col("rejection_reason").isNull()
 
 
-def open_positions(df: DataFrame, *, day: str = "price_date", daily_limit: int = 1, capacity: int = 3, lookback_days: int = 21) -> DataFrame:
+def positions_before(df: DataFrame, *, day: str = "price_date", daily_limit: int = 1, capacity: int = 3, lookback_days: int = 21) -> DataFrame:
     """(day, open_before): positions approved within the `lookback_days` before each day that has actionable rows.
 
     What a day may approve depends on the days before, so days are folded in order. The rows are
@@ -145,14 +145,18 @@ def open_positions(df: DataFrame, *, day: str = "price_date", daily_limit: int =
     return per_day.groupBy("book").applyInPandas(fold, f"{day} {kind}, open_before int")
 
 
-def portfolio_gate(df: DataFrame, *, day: str = "price_date", daily_limit: int = 1, capacity: int = 3, lookback_days: int = 21, open_before: DataFrame | None = None, size: float = 0.2) -> DataFrame:
+def portfolio_gate(df: DataFrame, *, day: str = "price_date", daily_limit: int = 1, capacity: int = 3, lookback_days: int = 21, open_positions: Column | None = None, size: float = 0.2) -> DataFrame:
     """rank among a day's actionable rows that no gate rejects, and the approvals that limit and free slots allow.
 
-    open_before: (day, open_before) as open_positions gives it, which is the default. Rejected rows have
-    no rank and are non_actionable.
+    open_positions: those that are open before the row's day; by default what the rows of the days before got approved. Rejected
+    rows have no rank and are non_actionable.
     """
-    book = open_positions(df, day=day, daily_limit=daily_limit, capacity=capacity, lookback_days=lookback_days) if open_before is None else open_before
-    df = df.join(F.broadcast(book), day, "left").withColumn("_able", actionable())
+    if open_positions is None:
+        book = positions_before(df, day=day, daily_limit=daily_limit, capacity=capacity, lookback_days=lookback_days)
+        df = df.join(F.broadcast(book), day, "left")  # a row for each day of the calendar
+    else:
+        df = df.withColumn("open_before", open_positions)
+    df = df.withColumn("_able", actionable())
     order = Window.partitionBy(day, "_able").orderBy(rank_key("probability" if "probability" in df.columns else None).desc(), "stock_code")
     df = df.withColumns({"rank": F.when(F.col("_able"), F.row_number().over(order)), "_free": F.greatest(F.lit(capacity) - F.coalesce("open_before", F.lit(0)), F.lit(0))})
     approved = F.col("_able") & (F.col("rank") <= F.least(F.lit(daily_limit), F.col("_free")))
