@@ -110,7 +110,7 @@ def test_run_gives_the_last_stage(spark, steps):
     assert Counter(map(pick, rows.collect())) == Counter(map(pick, steps["best-fit packing"][1]))
 
 
-GOOD = " ".join(f"word{i} of a clean text" for i in range(40))
+GOOD = " ".join(f"alpha{i} beta{i} gamma{i}" for i in range(40))
 ODD = [(1, None, "a"), (2, "", None), (3, " \n ", "a"), (4, GOOD, "a"), (5, GOOD, "b"), (5, GOOD, "b"), (6, GOOD + " x", None), (None, GOOD, "a"), (7, "line of more than twenty chars\nown 7", "a"), (8, "line of more than twenty chars\nown 8", "a"), (9, "line of more than twenty chars", "a"), (10, " ".join(f"w{i % 5000}x" for i in range(40_000)), "b")]
 
 
