@@ -1,5 +1,6 @@
 """The Jaccard join against all pairs, on tables, odd rows, and groups that need every level."""
 
+import os
 import random
 import re
 
@@ -110,10 +111,14 @@ def test_pivots_split_regions():
         assert n < 20 or splits > 0
 
 
+LARGE = "/root/testdata/check_h/documents.parquet"
+
+
+@pytest.mark.skipif(not os.path.isdir(LARGE), reason="the table with a large group of near copies is not here")
 def test_pivots_split_regions_of_a_table(spark, caplog):
-    """On a driver's table, with production parameters, regions are split by pivots."""
+    """With production parameters, regions of a large group of near copies are split by pivots."""
     with caplog.at_level("INFO", logger="tapeweave.llm.jaccard"):
-        jaccard.jaccard_components(spark.read.parquet("/root/testdata/check_h/documents.parquet")).count()
+        jaccard.jaccard_components(spark.read.parquet(LARGE)).count()
     assert sum(r.args[2] for r in caplog.records) > 0
 
 
