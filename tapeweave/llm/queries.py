@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, licenses, line_dedup, mixing, neighbours, packing, quality, secrets, substrings, warc
+from . import bytebpe, jaccard, licenses, line_dedup, mixing, neighbours, packing, quality, secrets, substrings, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def ranks_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), shingle=4, num=85, den=100)
 
@@ -63,7 +69,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_best_fit_packing, op3_license_scan, op4_line_dedup, op5_warc, op6_secret_scan, op7_mixing, op8_quality_rules, op9_nearest, op10_substring_dedup)}
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = ranks_path()
+    tokens = bytebpe.decode(bytebpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return tokens.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_best_fit_packing, op3_license_scan, op4_line_dedup, op5_warc, op6_secret_scan, op7_mixing, op8_quality_rules, op9_nearest, op10_substring_dedup, op13_byte_bpe)}
 
 ORACLES = {
     "op4_line_dedup": r"""
@@ -99,6 +111,4 @@ steps AS (SELECT r.doc_id, r.size, t.source_size, t.target, r.k, CASE WHEN t.sou
                  ('0x' || substr(md5('mix:' || coalesce(r.source, '')), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE AS shift
           FROM ranked r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, size * least(floor(rate * k + shift) - floor(rate * (k - 1) + shift), 2)::BIGINT AS taken FROM steps""",
-    "op8_quality_rules": None,
 }
-ORACLES = {k: v for k, v in ORACLES.items() if v}
