@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bytebpe, jaccard, licenses, line_dedup, mixing, neighbours, packing, quality, secrets, substrings, warc
+from . import bestposition, bytebpe, jaccard, licenses, line_dedup, mixing, neighbours, packing, quality, secrets, substrings, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,13 +69,17 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op12_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestposition.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = ranks_path()
     tokens = bytebpe.decode(bytebpe.encode(table(spark, sf_dir, "documents"), path), path)
     return tokens.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_best_fit_packing, op3_license_scan, op4_line_dedup, op5_warc, op6_secret_scan, op7_mixing, op8_quality_rules, op9_nearest, op10_substring_dedup, op13_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_best_fit_packing, op3_license_scan, op4_line_dedup, op5_warc, op6_secret_scan, op7_mixing, op8_quality_rules, op9_nearest, op10_substring_dedup, op12_best_position, op13_byte_bpe)}
 
 ORACLES = {
     "op4_line_dedup": r"""
@@ -111,4 +115,19 @@ steps AS (SELECT r.doc_id, r.size, t.source_size, t.target, r.k, CASE WHEN t.sou
                  ('0x' || substr(md5('mix:' || coalesce(r.source, '')), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE AS shift
           FROM ranked r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, size * least(floor(rate * k + shift) - floor(rate * (k - 1) + shift), 2)::BIGINT AS taken FROM steps""",
+    "op12_best_position": r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sizes),
+w AS (SELECT term, floor(1000 * ln((2 * (SELECT docs FROM whole) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf WHERE term IN (SELECT term FROM asked) GROUP BY term),
+m AS (SELECT doc_id, 50 + (50 * n * docs) // terms AS m FROM sizes, whole),
+scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM asked JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50""",
 }
