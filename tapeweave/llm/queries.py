@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bestposition, bytebpe, jaccard, licenses, line_dedup, mixing, neighbours, packing, quality, secrets, substrings, warc
+from . import bestposition, bytebpe, collocations, jaccard, licenses, line_dedup, mixing, neighbours, packing, quality, secrets, substrings, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), longest=3, least=10, cover=50, top=2000)
+
+
 def op12_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestposition.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
 
@@ -79,7 +83,7 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_best_fit_packing, op3_license_scan, op4_line_dedup, op5_warc, op6_secret_scan, op7_mixing, op8_quality_rules, op9_nearest, op10_substring_dedup, op12_best_position, op13_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_best_fit_packing, op3_license_scan, op4_line_dedup, op5_warc, op6_secret_scan, op7_mixing, op8_quality_rules, op9_nearest, op10_substring_dedup, op11_collocations, op12_best_position, op13_byte_bpe)}
 
 ORACLES = {
     "op4_line_dedup": r"""
@@ -115,6 +119,30 @@ steps AS (SELECT r.doc_id, r.size, t.source_size, t.target, r.k, CASE WHEN t.sou
                  ('0x' || substr(md5('mix:' || coalesce(r.source, '')), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE AS shift
           FROM ranked r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, size * least(floor(rate * k + shift) - floor(rate * (k - 1) + shift), 2)::BIGINT AS taken FROM steps""",
+    "op11_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents WHERE text IS NOT NULL),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+placed AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM split),
+f1 AS (SELECT lang, w[i] AS p, count(*) AS f FROM placed GROUP BY ALL),
+f2 AS (SELECT lang, w[i] AS a, w[i + 1] AS b, count(*) AS f FROM placed WHERE i + 1 <= len(w) GROUP BY ALL),
+f3 AS (SELECT lang, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c, count(*) AS f FROM placed WHERE i + 2 <= len(w) GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang),
+most AS (SELECT lang, a, b, max(f) AS f FROM (SELECT lang, a, b, f FROM f3 UNION ALL SELECT lang, b, c, f FROM f3) GROUP BY ALL),
+two AS (
+  SELECT f2.lang, f2.a || ' ' || f2.b AS phrase, f2.f AS a, x.f AS l, y.f AS r, ((1000000::HUGEINT * f2.f * f2.f) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM f2 JOIN f1 x ON x.lang = f2.lang AND x.p = f2.a JOIN f1 y ON y.lang = f2.lang AND y.p = f2.b LEFT JOIN most m ON m.lang = f2.lang AND m.a = f2.a AND m.b = f2.b
+  WHERE f2.f >= 10 AND (m.f IS NULL OR 100 * m.f < 50 * f2.f)),
+cuts AS (
+  SELECT f3.lang, f3.a || ' ' || f3.b || ' ' || f3.c AS phrase, f3.f AS a, x.f AS l1, yz.f AS r1, xy.f AS l2, z.f AS r2,
+         ((1000000::HUGEINT * f3.f * f3.f) // (x.f::HUGEINT * yz.f))::BIGINT AS s1, ((1000000::HUGEINT * f3.f * f3.f) // (xy.f::HUGEINT * z.f))::BIGINT AS s2
+  FROM f3 JOIN f1 x ON x.lang = f3.lang AND x.p = f3.a JOIN f1 z ON z.lang = f3.lang AND z.p = f3.c
+  JOIN f2 xy ON xy.lang = f3.lang AND xy.a = f3.a AND xy.b = f3.b JOIN f2 yz ON yz.lang = f3.lang AND yz.a = f3.b AND yz.b = f3.c),
+found AS (
+  SELECT * FROM two UNION ALL
+  SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2) FROM cuts),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM found)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
     "op12_best_position": r"""
 WITH words AS (
   SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
