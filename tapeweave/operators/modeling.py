@@ -2,99 +2,50 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tapeweave.operators.fits import FITS, Folds, fit_folds
+
 # Probability buckets, half open but for the last.
 BUCKETS = (0.0, 0.4, 0.5, 0.6, 0.7, 1.0)
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, *, steps: int = 500, rate: float = 0.1, l2: float = 0.001):
-    """(mean, scale, weights, intercept): full-batch gradient descent on standardised features."""
-    mean, scale = x.mean(axis=0), x.std(axis=0)
-    scale = np.where(scale < 1e-8, 1.0, scale)
-    z = (x - mean) / scale
-    share = min(max(float(y.mean()), 1e-4), 1 - 1e-4)
-    w, b = np.zeros(x.shape[1]), float(np.log(share / (1 - share)))
-    for _ in range(steps):
-        error = 1 / (1 + np.exp(-np.clip(z @ w + b, -35, 35))) - y
-        w = w - rate * (z.T @ error / len(y) + l2 * w)
-        b -= rate * float(error.mean())
-    return mean, scale, w, b
-
-
-def predict_logistic(model, x: np.ndarray) -> np.ndarray:
-    mean, scale, w, b = model
-    return np.clip(1 / (1 + np.exp(-np.clip((x - mean) / scale @ w + b, -35, 35))), 0.001, 0.999)
-
-
-def fit_stumps(x: np.ndarray, y: np.ndarray, *, rounds: int = 300, rate: float = 0.08, least: int = 20):
-    """(start, stumps): boosted single splits at deciles, the positive class weighted by its rarity."""
-    pos = max(float(y.sum()), 1.0)
-    weight = np.where(y > 0, (len(y) - pos) / pos if len(y) > pos else 1.0, 1.0)
-    share = min(max(float(np.average(y, weights=weight)), 1e-4), 1 - 1e-4)
-    start = float(np.log(share / (1 - share)))
-    splits = []
-    for j in range(x.shape[1]):
-        for cut in np.unique(np.quantile(x[:, j], np.arange(0.1, 0.95, 0.1))):
-            left = x[:, j] <= cut
-            if least <= left.sum() <= len(y) - least:
-                splits.append((j, float(cut), left))
-    if not splits:
-        return start, []
-    sides = np.stack([s[2] for s in splits]).astype(np.float64)
-    margin, out = np.full(len(y), start), []
-    left_weight, all_weight = sides @ weight, weight.sum()
-    for _ in range(rounds):
-        residual = (y - 1 / (1 + np.exp(-margin))) * weight
-        left_sum, total = sides @ residual, residual.sum()
-        gain = left_sum**2 / left_weight + (total - left_sum) ** 2 / (all_weight - left_weight)
-        k = int(np.argmax(gain))
-        a, b = left_sum[k] / left_weight[k], (total - left_sum[k]) / (all_weight - left_weight[k])
-        margin = margin + rate * np.where(splits[k][2], a, b)
-        out.append((splits[k][0], splits[k][1], rate * a, rate * b))
-    return start, out
-
-
-def predict_stumps(model, x: np.ndarray) -> np.ndarray:
-    start, stumps = model
-    margin = np.full(len(x), start)
-    for j, cut, a, b in stumps:
-        margin += np.where(x[:, j] <= cut, a, b)
-    return 1 / (1 + np.exp(-margin))
-
-
-#: Estimators by kind: fit(x, y) -> model and predict(model, x) -> probabilities. Users may add theirs; the one
-#: that knows nothing is "none".
-FITTERS = {"logistic": (fit_logistic, predict_logistic), "stumps": (fit_stumps, predict_stumps), "none": (lambda x, y: None, lambda model, x: np.full(len(x), np.nan))}
+#: Estimators that users add, by kind: fit(x, y) -> model and predict(model, x) -> probabilities, fitted in one task on a
+#: bounded sample of a fold. The one that knows nothing is "none". Those of fits.FITS see all rows of a fold.
+FITTERS = {"none": (lambda x, y: None, lambda model, x: np.full(len(x), np.nan))}
 
+_EVER = 1 << 40
 
-def walk_forward(data: DataFrame, folds: DataFrame, features: tuple[str, ...], *, kind: str = "logistic", label: str = "target", least_rows: int = 100, least_class: int = 20, most_rows: int = 200_000) -> DataFrame:
-    """Predictions of each fold's evaluation rows by a model fitted on the fold's training rows.
 
-    Rows meet the folds whose windows they are in (folds are few and broadcast). Where folds have a
-    `label_by`, only rows whose horizon_date is no later train. A model is fitted on at most about
-    `most_rows` of its training rows, those of the lowest hashes of instrument and day; smaller windows
-    are used whole. Models are small and broadcast; all evaluation rows are predicted where they lie. Folds
-    with too few rows or cases predict nothing.
-    """
-    fit, predict = FITTERS[kind]
-    day = F.col("price_date")
-    in_train = day.between(F.col("train_start"), F.col("train_end"))
-    if "label_by" in folds.columns:
-        in_train &= F.col("horizon_date") <= F.col("label_by")
-    in_eval = day.between(F.col("eval_start"), F.col("eval_end"))
-    rows = data.select("stock_id", "price_date", *(["horizon_date"] if "label_by" in folds.columns else []), F.col(label).cast("double").alias("_y"), "forward_return", F.array(*[F.col(f).cast("double") for f in features]).alias("_x"))
-    train = rows.join(F.broadcast(folds), in_train).select("fold", "stock_id", "price_date", "_y", "_x")
-    counts = train.groupBy("fold").agg(F.count("*").alias("_n"))
-    part = F.pmod(F.xxhash64("stock_id", "price_date"), F.lit(1 << 30)) < F.lit(float(most_rows)) / F.col("_n") * (1 << 30)
-    train = train.join(F.broadcast(counts), "fold").filter(part).drop("_n")
+def _days(c: str) -> Column:
+    return F.unix_date(F.col(c).cast("date"))
+
+
+def _training_rows(data: DataFrame, features: tuple[str, ...], label: str, known: bool) -> DataFrame:
+    x = F.array(*[F.col(f).cast("double") for f in features])
+    return data.select("stock_id", "price_date", "forward_return", _days("price_date").alias("_day"), (_days("horizon_date") if known else F.lit(0)).alias("_known"), F.col(label).cast("double").alias("_y"), x.alias("_x"))
+
+
+def _sampled_models(rows: DataFrame, folds: Folds, kind: str, least_rows: int, least_class: int, most_rows: int) -> dict[int, object]:
+    """Models of a user's estimator. Rows are counted by day and drawn by hash before they meet their folds."""
+    fit = FITTERS[kind][0]
+    days = rows.groupBy("_day", "_known").count().toPandas()
+    inside = folds.inside(np.arange(len(folds.number)), days["_day"].to_numpy(), days["_known"].to_numpy())
+    share = np.minimum(most_rows / np.maximum(days["count"].to_numpy() @ inside, 1), 1.0)
+    table = rows.sparkSession.createDataFrame([(int(n), int(a), int(b), int(k), float(s)) for n, a, b, k, s in zip(folds.number, folds.start, folds.end, folds.known, share, strict=True)], "fold int, _start long, _end long, _by long, _share double")
+    draw = F.pmod(F.xxhash64("stock_id", "price_date"), F.lit(1 << 30)) / float(1 << 30)
+    drawn = rows.withColumn("_draw", draw).filter(F.col("_draw") < float(share.max(initial=0)))
+    train = drawn.join(F.broadcast(table), F.col("_day").between(F.col("_start"), F.col("_end")) & (F.col("_known") <= F.col("_by")) & (F.col("_draw") < F.col("_share")))
 
     def learn(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["price_date", "stock_id"])
@@ -103,17 +54,91 @@ def walk_forward(data: DataFrame, folds: DataFrame, features: tuple[str, ...], *
             return pd.DataFrame(columns=["fold", "_model"])
         return pd.DataFrame({"fold": frame["fold"].iloc[:1], "_model": [pickle.dumps(fit(np.stack(frame["_x"].to_numpy()), y))]})
 
-    def apply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        models: dict[int, object] = {}
-        for frame in frames:
-            for fold, own in frame.groupby("fold"):
-                if fold not in models:
-                    models[fold] = pickle.loads(own["_model"].iloc[0])
-                yield own.assign(probability=predict(models[fold], np.stack(own["_x"].to_numpy())), target=own["_y"].astype(int))[["fold", "stock_id", "price_date", "target", "forward_return", "probability"]]
-
-    models = train.groupBy("fold").applyInPandas(learn, "fold int, _model binary")
-    ahead = rows.join(F.broadcast(folds), in_eval).select("fold", "stock_id", "price_date", "_y", "forward_return", "_x").join(F.broadcast(models), "fold")
-    return ahead.mapInPandas(apply, "fold int, stock_id long, price_date date, target int, forward_return double, probability double")
+    found = train.select("fold", "stock_id", "price_date", "_y", "_x").groupBy("fold").applyInPandas(learn, "fold int, _model binary")
+    return {r["fold"]: pickle.loads(r["_model"]) for r in found.collect()}
+
+
+def fitted(rows: DataFrame, folds: Folds, p: int, kind: str, *, least_rows: int, least_class: int, most_rows: int = 200_000) -> dict[int, object]:
+    """{fold: model} of rows (_day, _known, _y, _x); folds with too few rows or cases have none."""
+    if kind in FITS:
+        return fit_folds(rows.sparkSession, rows, folds, p, kind, least_rows=least_rows, least_class=least_class)
+    return _sampled_models(rows, folds, kind, least_rows, least_class, most_rows)
+
+
+def predictor(kind: str):
+    return (FITS if kind in FITS else FITTERS)[kind][1]
+
+
+def walk_forward(data: DataFrame, folds: DataFrame, features: tuple[str, ...], *, kind: str = "logistic", label: str = "target", least_rows: int = 100, least_class: int = 20, most_rows: int = 200_000) -> DataFrame:
+    """Predictions of each fold's evaluation rows by a model fitted on the fold's training rows.
+
+    Where folds have a `label_by`, only rows whose horizon_date is no later train. Folds are few; models are
+    fitted on all training rows (fits.py), or a user's on at most about `most_rows` of them, those of the lowest
+    hashes of instrument and day. Models are sent to the tasks once, and all evaluation rows are predicted where
+    they lie. Folds with too few rows or cases predict nothing.
+    """
+    known = "label_by" in folds.columns
+    found = folds.select("fold", *[_days(c).alias(c) for c in ("train_start", "train_end", "eval_start", "eval_end", *(["label_by"] if known else []))]).orderBy("fold").toPandas()
+    windows = Folds(*(found[c].to_numpy(np.int64) for c in ("fold", "train_start", "train_end")), found["label_by"].to_numpy(np.int64) if known else np.full(len(found), _EVER))
+    rows = _training_rows(data, features, label, known)
+    models = fitted(rows, windows, len(features), kind, least_rows=least_rows, least_class=least_class, most_rows=most_rows)
+    have = found[found["fold"].isin(list(models))]
+    sent = data.sparkSession.sparkContext.broadcast(([models[f] for f in have["fold"]], *(have[c].to_numpy(np.int64) for c in ("fold", "eval_start", "eval_end"))))
+    predict = predictor(kind)
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, fold, start, end = sent.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            day = batch.column(3).to_numpy()
+            x = batch.column(5).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            for i in np.flatnonzero((start <= day.max()) & (end >= day.min())).tolist():
+                at = np.flatnonzero((day >= start[i]) & (day <= end[i]))
+                if len(at):
+                    some = batch.take(pa.array(at))
+                    yield pa.RecordBatch.from_arrays([pa.array([fold[i]] * len(at), pa.int32()), some.column(0), some.column(1), some.column(4).cast(pa.int32()), some.column(2), pa.array(predict(own[i], x[at]), from_pandas=True)], ["fold", "stock_id", "price_date", "target", "forward_return", "probability"])
+
+    ahead = rows.filter(F.col("_day") >= int(have["eval_start"].min())) if len(have) else rows.limit(0)
+    return ahead.select("stock_id", "price_date", "forward_return", "_day", "_y", "_x").mapInArrow(apply, "fold int, stock_id long, price_date date, target int, forward_return double, probability double")
+
+
+def model_store(data: DataFrame, features: tuple[str, ...], *, kind: str = "logistic", label: str = "target", window_days: int = 540, refit_days: int = 7, least_rows: int = 100, least_class: int = 20) -> DataFrame:
+    """(kind, as_of, model): a model for each as-of day, fitted on the window that ends the day before.
+
+    Only rows whose label was known by that day train. Models are fitted anew on the first day that data has in
+    each run of refit_days days; 1 fits one for every day. Days with too few rows or cases have no model.
+    """
+    days = data.groupBy(F.floor(_days("price_date") / refit_days)).agg(F.min(_days("price_date")).alias("day")).select("day").toPandas()["day"].sort_values().to_numpy(np.int64)
+    models = fitted(_training_rows(data, features, label, True), Folds(days, days - window_days, days - 1, days - 1), len(features), kind, least_rows=least_rows, least_class=least_class)
+    rows = [(kind, dt.date(1970, 1, 1) + dt.timedelta(days=d), pickle.dumps(m)) for d, m in sorted(models.items())]
+    return data.sparkSession.createDataFrame(rows, "kind string, as_of date, model binary")
+
+
+def with_probability(rows: DataFrame, store: DataFrame, features: tuple[str, ...], *, kind: str = "logistic", name: str = "probability") -> DataFrame:
+    """rows with the probability that the store's latest model of that kind as of their day gives; null before the first.
+
+    The models are sent to the tasks, not the rows to the models: a row finds its model by its day.
+    """
+    found = store.filter(F.col("kind") == kind).orderBy("as_of").select(_days("as_of").alias("day"), "model").collect()
+    sent = rows.sparkSession.sparkContext.broadcast((np.array([r["day"] for r in found], np.int64), [pickle.loads(r["model"]) for r in found]))
+    predict = predictor(kind)
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        days, models = sent.value
+        for batch in batches:
+            out = np.full(batch.num_rows, np.nan)
+            if batch.num_rows:
+                x = batch.column(batch.num_columns - 1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                at = np.searchsorted(days, batch.column(batch.num_columns - 2).to_numpy(), "right") - 1
+                for i in np.unique(at[at >= 0]).tolist():
+                    some = np.flatnonzero(at == i)
+                    out[some] = predict(models[i], x[some])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(out, from_pandas=True)], names=names)
+
+    names = [*rows.columns, name]
+    wide = rows.select("*", _days("price_date").cast("long").alias("_day"), F.array(*[F.col(f).cast("double") for f in features]).alias("_x"))
+    return wide.mapInArrow(apply, T.StructType([*rows.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def rolling_probabilities(data: DataFrame, days: DataFrame, features: tuple[str, ...], *, window_days: int = 540, **how) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple[str, str, str], tuple[str, tuple]] = {}
 
 
 def _folder(spark: SparkSession) -> str:
@@ -25,16 +25,31 @@ def _folder(spark: SparkSession) -> str:
     return path
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of what is in a folder; () if there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files.listStatus(path))) if files.exists(path) else ()
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], *, sort: tuple[str, ...] = ("stock_id", "price_date")) -> DataFrame:
     """The fact table `name` over the tables in sf_dir: built and written once in an application, sorted by
-    instrument and day, then read with pruned columns and pushed filters. Tables in sf_dir may not change
-    within an application; refresh() forgets what was stored."""
+    instrument and day, then read with pruned columns and pushed filters. It is built anew when tables in
+    sf_dir have other sizes or times than they had; refresh() forgets what was stored."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _STORED:
+    state = _state(spark, sf_dir)
+    if key not in _STORED or _STORED[key][1] != state:
         path = f"{_folder(spark)}/facts/{uuid.uuid4().hex}/{name}"
-        build().sortWithinPartitions("stock_id", "price_date").write.parquet(path)
-        _STORED[key] = path
-    return spark.read.parquet(_STORED[key])
+        build().sortWithinPartitions(*sort).write.parquet(path)
+        _STORED[key] = (path, state)
+    return spark.read.parquet(_STORED[key][0])
+
+
+def cut_lineage(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder, and read from there."""
+    path = f"{_folder(df.sparkSession)}/steps/{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def refresh(sf_dir: str | None = None) -> None:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapeweave.functions import scalars
-from tapeweave.operators import advisory, alerts, asof, backtest, features, indicators, modeling, quality, staging
+from tapeweave.operators import advisory, alerts, asof, backtest, features, fits, indicators, modeling, quality, staging
 from tapeweave.plans import views
 from tapeweave.sources import readers
 
@@ -173,14 +173,21 @@ def test_buckets_and_scores(spark):
     assert sum(r["forward_return"] for r in modeling.top_k(df, "probability", 2).collect()) / 2 == 7.0
 
 
-def test_logistic_orders_cases():
-    x, y = np.array([[0.0, 0], [1, 0], [3, 1], [4, 1]]), np.array([0.0, 0, 1, 1])
-    p = modeling.predict_logistic(modeling.fit_logistic(x, y), x)
+def test_logistic_orders_cases(spark):
+    """The four cases of the logistic fixture, and a threshold that stumps find."""
+    def fit(kind, x, y):
+        rows = spark.createDataFrame([(0, 0, float(b), a.tolist()) for a, b in zip(x, y)], "_day int, _known int, _y double, _x array<double>")
+        one = fits.Folds(*(np.array([v]) for v in (0, 0, 0, 0)))
+        how = {"steps": 60} if kind == "logistic" else {"rounds": 30}
+        learn, predict = fits.FITS[kind]
+        return predict(learn(fits.training_blocks(rows), one, x.shape[1], least_rows=4, least_class=2, **how)[0], x)
+
+    p = fit("logistic", np.array([[0.0, 0], [1, 0], [3, 1], [4, 1]]), np.array([0.0, 0, 1, 1]))
     assert p[0] < p[1] < p[2] < p[3]
     rng = np.random.default_rng(1)
     x = rng.normal(size=(400, 3))
     y = (x[:, 1] > 0.3).astype(float)
-    p = modeling.predict_stumps(modeling.fit_stumps(x, y), x)
+    p = fit("stumps", x, y)
     assert ((p > 0.5) == (y > 0)).mean() > 0.95
 
 
