@@ -84,3 +84,8 @@ def filled(df, sector: str = "sector_name"):
     numbers = {c: F.when(~F.isnan(c), F.col(c)) for c, t in df.dtypes if t in ("double", "float")}
     out = df.withColumns(numbers) if numbers else df
     return out.withColumn(sector, F.coalesce(sector, F.lit("Unknown"))) if sector in df.columns else out
+
+
+def exact_mean(c: Column, digits: int = 4) -> Column:
+    """The mean of values with so many digits: summed as decimals, in whatever order, and divided once."""
+    return F.sum(c.cast(f"decimal(18,{digits})")).cast("double") / F.nullif(F.count(c), F.lit(0))

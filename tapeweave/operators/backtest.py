@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tapeweave.functions.scalars import exact_mean
 from tapeweave.operators.advisory import actionable, rank_key
 from tapeweave.operators.indicators import by_day
+from tapeweave.operators.running import running_equity
 from tapeweave.operators.scan import scan_by_key
 
 
@@ -61,24 +63,34 @@ def trade_metrics(trades: DataFrame, by: list[str]) -> DataFrame:
     win, loss = r > 0, r <= 0
     gain, lost = F.sum(F.when(win, r)), -F.sum(F.when(loss, r))
     return trades.groupBy(*by).agg(
-        F.count("*").alias("trades"), F.count_if(win).alias("wins"), F.count_if(loss).alias("losses"), (F.count_if(win) / F.count("*") * 100).alias("win_rate"), F.avg(r).alias("avg_return"), F.avg(F.when(win, r)).alias("avg_win"), F.avg(F.when(loss, r)).alias("avg_loss"),
+        F.count("*").alias("trades"), F.count_if(win).alias("wins"), F.count_if(loss).alias("losses"), (F.count_if(win) / F.count("*") * 100).alias("win_rate"), exact_mean(r).alias("avg_return"), exact_mean(F.when(win, r)).alias("avg_win"), exact_mean(F.when(loss, r)).alias("avg_loss"),
         F.when(lost > 0, F.coalesce(gain, F.lit(0.0)) / lost).alias("profit_factor"), F.max(r).alias("best"), F.min(r).alias("worst"), (F.count_if(F.col("gross_return_pct") > 0) / F.count("*")).alias("directional_accuracy"),
     )
 
 
-def max_drawdown(trades: DataFrame, by: str) -> DataFrame:
-    """(by, max_drawdown_pct): of compounded returns in the order of entry and code, the peak at 1 at least."""
-    w = Window.partitionBy(by).orderBy("entry_date", "stock_id").rowsBetween(Window.unboundedPreceding, 0)
-    df = trades.withColumn("_equity", F.exp(F.sum(F.log1p(F.greatest(F.col("net_return_pct"), F.lit(-99.999999)) / 100)).over(w)))
-    df = df.withColumn("_peak", F.greatest(F.lit(1.0), F.max("_equity").over(w)))
-    return df.groupBy(by).agg(F.max((F.col("_peak") - F.col("_equity")) / F.col("_peak") * 100).alias("max_drawdown_pct"))
+def max_drawdown(trades: DataFrame, by: str, order: list[str]) -> DataFrame:
+    """(by, max_drawdown_pct): of compounded returns in a total order of a run's trades, the peak at 1 at least.
+
+    A trade of -100 % is a drawdown of 100. A run's trades spread over all tasks.
+    """
+    rows = running_equity(trades, by, order)
+    return rows.groupBy(by).agg(F.max((F.col("peak") - F.col("equity")) / F.col("peak") * 100).alias("max_drawdown_pct"))
 
 
 def equity_curve(trades: DataFrame, run: str = "run_id", order: tuple[str, ...] = ("entry_date", "trade_id")) -> DataFrame:
     """Compounded return in percent after each trade of a run; losses of all or more count for nothing."""
-    w = Window.partitionBy(run).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    r = F.col("net_return_pct")
-    return trades.withColumn("cumulative_return_pct", (F.exp(F.sum(F.when(r > -100, F.log1p(r / 100))).over(w)) - 1) * 100)
+    rows = running_equity(trades, run, list(order), skip_ruin=True)
+    return rows.withColumn("cumulative_return_pct", (F.col("equity") - 1) * 100).drop("equity", "peak")
+
+
+def year_equity(trades: DataFrame, run: str = "run_id", order: list[str] | None = None) -> DataFrame:
+    """(run, year, start_equity, end_equity): equity as of the ends of the years of entry, from 1; years without trades keep it."""
+    order = order or ["entry_date", "trade_id"]
+    rows = running_equity(trades, run, order).groupBy(run, F.year("entry_date").alias("year")).agg(F.max_by("equity", F.struct(*order)).alias("_end"))
+    every = rows.groupBy(run).agg(F.explode(F.sequence(F.min("year"), F.max("year"))).alias("year")).join(rows, [run, "year"], "left")
+    upto = Window.partitionBy(run).orderBy("year").rowsBetween(Window.unboundedPreceding, 0)
+    out = every.withColumn("end_equity", F.last("_end", ignorenulls=True).over(upto))
+    return out.select(run, "year", F.coalesce(F.lag("end_equity").over(Window.partitionBy(run).orderBy("year")), F.lit(1.0)).alias("start_equity"), "end_equity")
 
 
 def simulate_portfolios(trades: DataFrame, *, run: str = "run_id", cash: float = 100_000.0, slots: int = 3, size_pct: float = 20.0, daily_limit: int = 1, cooldown_days: int = 0) -> DataFrame:
