@@ -22,19 +22,15 @@ def tumbling(events: DataFrame, *, width: str = "1 day", late: str = "2 days") -
     return events.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("events"), F.sum("value").alias("total")).select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "event_type", "events", "total")
 
 
-def sliding(events: DataFrame, *, width: str = "2 days", step: str = "1 day") -> DataFrame:
-    return events.groupBy(F.window("ts", width, step)).agg(F.count("*").alias("events"), F.sum("value").alias("total")).select(F.col("window.start").alias("window_start"), "events", "total")
+def sliding(events: DataFrame, *, width: str = "2 days", step: str = "1 day", late: str = "2 days") -> DataFrame:
+    """Counts and sums by overlapping windows; rows later than `late` are left out once the watermark has passed."""
+    return events.withWatermark("ts", late).groupBy(F.window("ts", width, step)).agg(F.count("*").alias("events"), F.sum("value").alias("total")).select(F.col("window.start").alias("window_start"), "events", "total")
 
 
 def sessions(events: DataFrame, *, gap: str = "6 hours", late: str = "2 days") -> DataFrame:
     return events.withWatermark("ts", late).groupBy(F.session_window("ts", gap), "user_id").agg(F.count("*").alias("events")).select("user_id", F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"), "events")
 
 
-def once_each(events: DataFrame, *, late: str = "2 days") -> DataFrame:
-    """Events without repeated ids."""
-    return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
-
-
 def upsert_batches(stream: DataFrame, path: str, checkpoint: str, keys: list[str], schema: T.StructType, prepare: Callable[[DataFrame], DataFrame] = lambda df: df):
     """Run the stream over what is there and merge each batch into the table at path by key.
 
@@ -48,8 +44,3 @@ def upsert_batches(stream: DataFrame, path: str, checkpoint: str, keys: list[str
         upsert(old, prepare(batch).select(*schema.names), keys).write.mode("overwrite").parquet(f"{path}/v={number}")
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def since(df: DataFrame, mark: str, column: str = "promoted_at") -> DataFrame:
-    """Rows at or after a high-water mark."""
-    return df.filter(F.col(column) >= F.lit(mark).cast("timestamp_ntz"))
