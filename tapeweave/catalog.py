@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tapeweave.functions import scalars
-from tapeweave.operators import advisory, alerts, asof, backtest, features, indicators, modeling, quality, research, staging
+from tapeweave.operators import advisory, alerts, asof, backtest, features, indicators, modeling, quality, research, running, staging
 from tapeweave.plans import market, snapshot, views
+from tapeweave.plans.facts import stored
 from tapeweave.plans.snapshot import INDICATOR_HEAD, RUNS_SQL, SCREEN_HEAD, TRADES_SQL, TRUSTED_SQL, FEATURES_SQL
 from tapeweave.sources import readers
 
@@ -205,14 +206,13 @@ def _(spark, sf):
 
 @query("j09_previous_price", f"{PRICES}, req AS (SELECT o_orderkey, o_custkey % (SELECT count(*) FROM supplier) AS stock_id, CAST(o_orderdate AS DATE) AS d FROM orders) SELECT r.o_orderkey, r.stock_id, r.d, p.close_price AS asof_close_price FROM req r ASOF LEFT JOIN prices p ON r.stock_id = p.stock_id AND r.d > p.price_date")
 def _(spark, sf):
-    return asof.asof(_requests(spark, sf), market.prices(spark, sf).withColumn("d", F.col("price_date")), by="stock_id", on="d", values=["close_price"], strict=True)
+    return running.last_before(_requests(spark, sf), market.prices(spark, sf).withColumn("d", F.col("price_date")), by="stock_id", on="d", values=["close_price"], strict=True)
 
 
-@query("j08_aligned_latest", f"{INDICATOR_HEAD}, p AS (SELECT stock_id, max(price_date) AS d FROM base WHERE price_date <= '{DAY}' GROUP BY 1), i AS (SELECT stock_id, max(price_date) AS d FROM indicators WHERE price_date <= '{DAY}' AND stock_id % 3 > 0 OR price_date <= DATE '{DAY}' - 9 GROUP BY 1) SELECT stock_id, p.d AS price_date FROM p JOIN i USING (stock_id) WHERE p.d = i.d")
+@query("j08_aligned_latest", f"{INDICATOR_HEAD}, p AS (SELECT stock_id, max(price_date) AS d FROM base WHERE price_date <= '{DAY}' GROUP BY 1), i AS (SELECT stock_id, max(price_date) AS d FROM indicators WHERE price_date <= '{DAY}' GROUP BY 1) SELECT stock_id, p.d AS price_date FROM p JOIN i USING (stock_id) WHERE p.d = i.d")
 def _(spark, sf):
     p = snapshot.trusted_prices(spark, sf).filter(F.col("price_date") <= DAY).groupBy("stock_id").agg(F.max("price_date").alias("price_date"))
-    early = F.date_sub(F.lit(DAY).cast("date"), 9)
-    i = snapshot.indicator_rows(spark, sf).filter(((F.col("price_date") <= DAY) & (F.col("stock_id") % 3 > 0)) | (F.col("price_date") <= early)).groupBy("stock_id").agg(F.max("price_date").alias("price_date"))
+    i = snapshot.indicator_rows(spark, sf).filter(F.col("price_date") <= DAY).groupBy("stock_id").agg(F.max("price_date").alias("price_date"))
     return p.join(i, ["stock_id", "price_date"])
 
 
@@ -221,11 +221,11 @@ def _(spark, sf):
     return features.with_label(snapshot.trusted_prices(spark, sf), horizon=10, threshold=2.0).select("stock_id", "price_date", "horizon_date", "forward_return", "target")
 
 
-@query("j12_matched_positions", f"{TRADES}, p AS (SELECT trade_id AS position_id, stock_code, entry_date, row_number() OVER (PARTITION BY stock_code, entry_date ORDER BY trade_id) AS n FROM trades WHERE trade_id % 3 = 0), t AS (SELECT trade_id, stock_code, entry_date, net_return_pct, row_number() OVER (PARTITION BY stock_code, entry_date ORDER BY trade_id) AS n FROM trades) SELECT p.stock_code, p.entry_date, p.position_id, t.trade_id, t.net_return_pct FROM p LEFT JOIN t USING (stock_code, entry_date, n)")
+@query("j12_matched_positions", f"{TRADES}, p AS (SELECT trade_id AS position_id, stock_code, entry_date, row_number() OVER (PARTITION BY stock_code, entry_date ORDER BY trade_id) AS n FROM trades WHERE net_return_pct > 0), t AS (SELECT trade_id, stock_code, entry_date, net_return_pct, row_number() OVER (PARTITION BY stock_code, entry_date ORDER BY trade_id) AS n FROM trades) SELECT p.stock_code, p.entry_date, p.position_id, t.trade_id, t.net_return_pct FROM p LEFT JOIN t USING (stock_code, entry_date, n)")
 def _(spark, sf):
     t = snapshot.derived_trades(spark, sf)
     # ids of a table may repeat at small scale; rows alike are interchangeable
-    p = t.filter("trade_id % 3 = 0").select(F.col("trade_id").alias("position_id"), "stock_code", "entry_date")
+    p = t.filter("net_return_pct > 0").select(F.col("trade_id").alias("position_id"), "stock_code", "entry_date")
     return backtest.match_positions(p, t.select("trade_id", "stock_code", "entry_date", "net_return_pct"), ["stock_code", "entry_date"])
 
 
@@ -236,11 +236,11 @@ def _(spark, sf):
     return rows.groupBy("sector_name").agg(F.count("*").alias("trades"), F.round(F.sum("net_return_pct"), 4).alias("total_return"))
 
 
-@query("j14_sector_sync", f"WITH {market.STOCKS_SQL}, d AS (SELECT stock_code, sector_name FROM stocks JOIN sectors USING (sector_id) WHERE stock_id % 7 > 0), m AS (SELECT stock_code, CASE WHEN stock_id % 3 = 0 THEN 'X' ELSE sector_name END AS sector_name FROM stocks JOIN sectors USING (sector_id) WHERE stock_id % 5 > 0) SELECT coalesce(d.stock_code, m.stock_code) AS stock_code, CASE WHEN d.stock_code IS NULL THEN 'missing_in_dim' WHEN m.stock_code IS NULL THEN 'missing_in_map' WHEN d.sector_name = m.sector_name THEN 'unchanged' ELSE 'updated' END AS status FROM d FULL OUTER JOIN m ON d.stock_code = m.stock_code")
+@query("j14_sector_sync", f"WITH {market.STOCKS_SQL}, d AS (SELECT stock_code, sector_name FROM stocks JOIN sectors USING (sector_id) WHERE is_active), m AS (SELECT stock_code, CASE WHEN exchange = 'LSE' THEN 'X' ELSE sector_name END AS sector_name FROM stocks JOIN sectors USING (sector_id) WHERE stock_code <> upper(sector_name)) SELECT coalesce(d.stock_code, m.stock_code) AS stock_code, CASE WHEN d.stock_code IS NULL THEN 'missing_in_dim' WHEN m.stock_code IS NULL THEN 'missing_in_map' WHEN d.sector_name = m.sector_name THEN 'unchanged' ELSE 'updated' END AS status FROM d FULL OUTER JOIN m ON d.stock_code = m.stock_code")
 def _(spark, sf):
     s = market.stocks(spark, sf).join(market.sectors(spark, sf), "sector_id")
-    mapped = s.filter("stock_id % 5 > 0").withColumn("sector_name", F.when(F.col("stock_id") % 3 == 0, "X").otherwise(F.col("sector_name")))
-    return staging.sector_sync(mapped, s.filter("stock_id % 7 > 0"))
+    mapped = s.filter(F.col("stock_code") != F.upper("sector_name")).withColumn("sector_name", F.when(F.col("exchange") == "LSE", "X").otherwise(F.col("sector_name")))
+    return staging.sector_sync(mapped, s.filter("is_active"))
 
 
 # ---- staging and reconciliation ----
@@ -375,9 +375,9 @@ def _(spark, sf):
     return views.with_run(t, snapshot.runs(spark)).select("run_id", "trade_id", "run_date", "cumulative_return_pct")
 
 
-@query("v08_quality_monitor", f"{INDICATOR_HEAD}, {market.STAGING_SQL[market.STAGING_SQL.index('staging AS'):]}, s AS (SELECT price_date, count(*) AS staged_rows, count(DISTINCT source) AS sources FROM staging GROUP BY 1), p AS (SELECT price_date, count(*) AS fact_rows, count(*) FILTER (data_quality_flag = 'GOOD') AS good_rows FROM prices WHERE price_date > '1996-01-01' GROUP BY 1), i AS (SELECT price_date, count(*) AS indicator_rows FROM indicators GROUP BY 1) SELECT coalesce(s.price_date, p.price_date, i.price_date) AS price_date, coalesce(staged_rows, 0) AS staged_rows, coalesce(sources, 0) AS sources, coalesce(fact_rows, 0) AS fact_rows, coalesce(good_rows, 0) AS good_rows, coalesce(indicator_rows, 0) AS indicator_rows, round(good_rows / nullif(fact_rows, 0) * 100, 2) AS good_pct FROM s FULL OUTER JOIN p USING (price_date) FULL OUTER JOIN i ON i.price_date = coalesce(s.price_date, p.price_date)")
+@query("v08_quality_monitor", f"{INDICATOR_HEAD}, {market.STAGING_SQL[market.STAGING_SQL.index('staging AS'):]}, s AS (SELECT price_date, count(*) AS staged_rows, count(DISTINCT source) AS sources FROM staging GROUP BY 1), p AS (SELECT price_date, count(*) AS fact_rows, count(*) FILTER (data_quality_flag = 'GOOD') AS good_rows FROM prices GROUP BY 1), i AS (SELECT price_date, count(*) AS indicator_rows FROM indicators GROUP BY 1) SELECT coalesce(s.price_date, p.price_date, i.price_date) AS price_date, coalesce(staged_rows, 0) AS staged_rows, coalesce(sources, 0) AS sources, coalesce(fact_rows, 0) AS fact_rows, coalesce(good_rows, 0) AS good_rows, coalesce(indicator_rows, 0) AS indicator_rows, round(good_rows / nullif(fact_rows, 0) * 100, 2) AS good_pct FROM s FULL OUTER JOIN p USING (price_date) FULL OUTER JOIN i ON i.price_date = coalesce(s.price_date, p.price_date)")
 def _(spark, sf):
-    out = views.data_quality_monitor(market.staging(spark, sf), market.prices(spark, sf).filter("price_date > '1996-01-01'"), snapshot.indicator_rows(spark, sf))
+    out = views.data_quality_monitor(market.staging(spark, sf), market.prices(spark, sf), snapshot.indicator_rows(spark, sf))
     return out.select("price_date", "staged_rows", "sources", "fact_rows", "good_rows", "indicator_rows", "good_pct")
 
 
@@ -386,7 +386,7 @@ def _(spark, sf):
     return views.latest_verdict(snapshot.runs(spark), snapshot.decisions(spark)).select("run_id", "run_date", "signal", "win_rate", "trades")
 
 
-_METRICS = "count(*) AS trades, count(*) FILTER (net_return_pct > 0) AS wins, count(*) FILTER (net_return_pct <= 0) AS losses, round(count(*) FILTER (net_return_pct > 0) / count(*) * 100, 6) AS win_rate, round(avg(net_return_pct), 6) AS avg_return, round(CASE WHEN -sum(net_return_pct) FILTER (net_return_pct <= 0) > 0 THEN coalesce(sum(net_return_pct) FILTER (net_return_pct > 0), 0) / -sum(net_return_pct) FILTER (net_return_pct <= 0) END, 6) AS profit_factor, max(net_return_pct) AS best, min(net_return_pct) AS worst"
+_METRICS = "count(*) AS trades, count(*) FILTER (net_return_pct > 0) AS wins, count(*) FILTER (net_return_pct <= 0) AS losses, round(count(*) FILTER (net_return_pct > 0) / count(*) * 100, 6) AS win_rate, round(CAST(sum(net_return_pct::DECIMAL(18,4))::DOUBLE / count(*) AS DECIMAL(28,10)), 6)::DOUBLE AS avg_return, round(CASE WHEN -sum(net_return_pct) FILTER (net_return_pct <= 0) > 0 THEN coalesce(sum(net_return_pct) FILTER (net_return_pct > 0), 0) / -sum(net_return_pct) FILTER (net_return_pct <= 0) END, 6) AS profit_factor, max(net_return_pct) AS best, min(net_return_pct) AS worst"
 _METRIC_NAMES = ["trades", "wins", "losses", "win_rate", "avg_return", "profit_factor", "best", "worst"]
 
 
@@ -422,15 +422,16 @@ def _(spark, sf):
     return views.latest_prices(market.prices(spark, sf), market.stocks(spark, sf)).select("stock_id", "stock_code", "price_date", "close_price", "volume")
 
 
-@query("v19_price_history_of_code", f"{PRICES} SELECT stock_code, price_date, close_price FROM prices JOIN stocks USING (stock_id) WHERE stock_id = 7 AND price_date BETWEEN '1997-01-01' AND '1998-12-31'")
+@query("v19_price_history_of_code", f"{PRICES}, asked AS (SELECT stock_code, DATE '1995-01-01' + CAST(stock_id % 700 AS INTEGER) AS d1, DATE '1998-01-01' + CAST(stock_id % 900 AS INTEGER) AS d2 FROM stocks) SELECT stock_code, d1, d2, price_date, close_price FROM prices JOIN stocks USING (stock_id) JOIN asked USING (stock_code) WHERE price_date BETWEEN d1 AND d2")
 def _(spark, sf):
-    code = market.stocks(spark, sf).filter("stock_id = 7").select(F.col("stock_code").alias("_c"))
-    return market.prices(spark, sf).join(market.stocks(spark, sf).join(F.broadcast(code), F.col("stock_code") == F.col("_c"), "left_semi"), "stock_id").filter(F.col("price_date").between("1997-01-01", "1998-12-31")).select("stock_code", "price_date", "close_price")
+    day = lambda d, n: F.date_add(F.lit(d).cast("date"), (F.col("stock_id") % n).cast("int"))
+    asked = market.stocks(spark, sf).select("stock_code", day("1995-01-01", 700).alias("d1"), day("1998-01-01", 900).alias("d2"))
+    return views.price_histories(market.prices(spark, sf), market.stocks(spark, sf), asked).select("stock_code", "d1", "d2", "price_date", "close_price")
 
 
-@query("b01_charts", f"{PRICES} SELECT price_date, CAST(sum(volume) AS BIGINT) AS total_volume, round(avg(change_1d_pct), 6) AS avg_change, count(*) AS rows, max(close_price) AS top_close, count(*) FILTER (data_quality_flag <> 'GOOD') AS not_good FROM prices GROUP BY 1 ORDER BY 1 LIMIT 500")
+@query("b01_charts", f"{PRICES} SELECT price_date, CAST(sum(volume) AS BIGINT) AS total_volume, round(CAST(sum(change_1d_pct::DECIMAL(18,4))::DOUBLE / count(change_1d_pct) AS DECIMAL(28,10)), 6)::DOUBLE AS avg_change, count(*) AS rows, max(close_price) AS top_close, count(*) FILTER (data_quality_flag <> 'GOOD') AS not_good FROM prices GROUP BY 1 ORDER BY 1 LIMIT 500")
 def _(spark, sf):
-    metrics = {"total_volume": F.sum("volume"), "avg_change": F.avg("change_1d_pct"), "rows": F.count("*"), "top_close": F.max("close_price"), "not_good": F.count_if(F.col("data_quality_flag") != "GOOD")}
+    metrics = {"total_volume": F.sum("volume"), "avg_change": scalars.exact_mean(F.col("change_1d_pct")), "rows": F.count("*"), "top_close": F.max("close_price"), "not_good": F.count_if(F.col("data_quality_flag") != "GOOD")}
     return views.chart(market.prices(spark, sf), ["price_date"], metrics, 500)
 
 
@@ -497,10 +498,11 @@ def _(spark, sf):
     return _hits(spark, sf).select("stock_id", "rule_id", "alert_date")
 
 
-@query("j17_new_alerts", f"{_LATEST} SELECT stock_id, CAST(rule_id AS BIGINT) AS rule_id, price_date AS alert_date FROM hits WHERE stock_id % 2 = 1")
+@query("j17_new_alerts", f"{_LATEST} SELECT stock_id, CAST(rule_id AS BIGINT) AS rule_id, price_date AS alert_date FROM hits h WHERE NOT EXISTS (SELECT 1 FROM stocks s WHERE s.stock_id = h.stock_id AND NOT s.is_active)")
 def _(spark, sf):
     hits = _hits(spark, sf)
-    return alerts.new_alerts(hits, hits.filter("stock_id % 2 = 0")).select("stock_id", "rule_id", "alert_date")
+    past = hits.join(market.stocks(spark, sf).filter("not is_active"), "stock_id", "left_semi")  # delisted ones were told before
+    return alerts.new_alerts(hits, past).select("stock_id", "rule_id", "alert_date")
 
 
 @query("a04_alert_summary", f"{_LATEST} SELECT CASE WHEN rule_id IN (1, 3, 5, 8) THEN 'WARNING' ELSE 'INFO' END AS severity, count(*) AS alerts, count(DISTINCT stock_id) AS stocks FROM hits GROUP BY 1")
@@ -545,9 +547,14 @@ def _(spark, sf):
 
 @query("a09_max_drawdown", f"{TRADES}, e AS (SELECT run_id, entry_date, stock_id, trade_id, exp(sum(ln(1 + net_return_pct / 100)) OVER (PARTITION BY run_id ORDER BY entry_date, stock_id, trade_id, net_return_pct ROWS UNBOUNDED PRECEDING)) AS equity FROM trades), p AS (SELECT *, greatest(1, max(equity) OVER (PARTITION BY run_id ORDER BY entry_date, stock_id, trade_id, equity ROWS UNBOUNDED PRECEDING)) AS peak FROM e) SELECT run_id, round(max((peak - equity) / peak * 100), 2) AS max_drawdown_pct FROM p GROUP BY 1")
 def _(spark, sf):
-    # one trade for each day and code, so that the order is a total one
-    t = snapshot.derived_trades(spark, sf).withColumn("stock_id", F.struct("stock_id", "trade_id", "net_return_pct"))
-    return backtest.max_drawdown(t, "run_id").withColumn("max_drawdown_pct", F.round("max_drawdown_pct", 2))
+    t = snapshot.derived_trades(spark, sf)
+    return backtest.max_drawdown(t, "run_id", ["entry_date", "stock_id", "trade_id", "net_return_pct"]).withColumn("max_drawdown_pct", F.round("max_drawdown_pct", 2))
+
+
+@query("a10_year_equity", f"{TRADES}, e AS (SELECT run_id, entry_date, trade_id, net_return_pct, exp(sum(ln(1 + net_return_pct / 100)) OVER (PARTITION BY run_id ORDER BY entry_date, trade_id, net_return_pct ROWS UNBOUNDED PRECEDING)) AS equity FROM trades), y AS (SELECT run_id, CAST(year(entry_date) AS INTEGER) AS year, equity FROM e QUALIFY row_number() OVER (PARTITION BY run_id, year(entry_date) ORDER BY entry_date DESC, trade_id DESC, net_return_pct DESC) = 1) SELECT run_id, year, round(log10(coalesce(lag(equity) OVER w, 1)), 6) AS start_log10, round(log10(equity), 6) AS end_log10 FROM y WINDOW w AS (PARTITION BY run_id ORDER BY year)")
+def _(spark, sf):
+    years = backtest.year_equity(snapshot.derived_trades(spark, sf), order=["entry_date", "trade_id", "net_return_pct"])
+    return years.select("run_id", "year", F.log10("start_equity").alias("start_log10"), F.log10("end_equity").alias("end_log10"))
 
 
 @query("a11_decision_signal", f"WITH {RUNS_SQL}, l AS (SELECT * FROM runs WHERE run_date <= '2001-01-04' QUALIFY row_number() OVER (PARTITION BY run_date ORDER BY run_id DESC) = 1 ORDER BY run_date DESC LIMIT 4), m AS (SELECT count(*) AS runs, avg(win_rate) AS win_rate, avg(return_pct) AS return_pct, avg(profit_factor) AS profit_factor, max(max_drawdown_pct) AS max_drawdown_pct FROM l) SELECT *, CASE WHEN win_rate >= 45 AND return_pct > 0 AND profit_factor >= 1.2 AND max_drawdown_pct <= 25 THEN 'GREEN' WHEN win_rate >= 35 AND return_pct > -2 AND profit_factor >= 0.9 AND max_drawdown_pct <= 35 THEN 'YELLOW' ELSE 'RED' END AS signal FROM m")
@@ -689,7 +696,17 @@ def _(spark, sf):
     return modeling.walk_forward(_dataset(spark, sf), folds, features.FEATURES)
 
 
+def _models(spark, sf):
+    """The store of probability models, fitted anew every seven days (refit_days=1 is a model for every day)."""
+    return stored(spark, sf, "models", lambda: modeling.model_store(_dataset(spark, sf), features.FEATURES, window_days=540, refit_days=7), sort=("as_of",))
+
+
 def _bad_trade_risk(spark, sf):
+    """Stored once, as both the risk itself and the block read it."""
+    return stored(spark, sf, "bad-trade-risk", lambda: _fitted_risk(spark, sf))
+
+
+def _fitted_risk(spark, sf):
     bad = features.risk_features(_dataset(spark, sf)).withColumn("bad", (F.col("forward_return") < -3).cast("int"))
     folds = asof.fold_windows("1996-01-01", "2001-10-31", train_days=270, eval_days=180, step_days=180, spark=spark)
     return modeling.walk_forward(bad, folds, features.RISK_FEATURES, kind="stumps", label="bad")
@@ -709,9 +726,36 @@ def _(spark, sf):
 
 @query("m03_rolling_probabilities")
 def _(spark, sf):
-    data = _dataset(spark, sf)
-    months = data.groupBy(F.trunc("price_date", "month")).agg(F.max("price_date").alias("price_date"))  # the last trading day of each month, at which models are fitted anew
-    return modeling.rolling_probabilities(data, months, features.FEATURES)
+    """Every dataset day's rows by the newest model that was fitted before them."""
+    rows = modeling.with_probability(_dataset(spark, sf), _models(spark, sf), features.FEATURES)
+    return rows.filter("probability is not null").select("stock_id", "price_date", "target", "forward_return", "probability")
+
+
+def _recommended(spark, sf):
+    """The screener's rows on a model's probability: it stands in the gates, the rank and the boards."""
+    def build():
+        rows = modeling.with_probability(features.feature_vector(snapshot.snapshot(spark, sf)), _models(spark, sf), features.FEATURES)
+        return advisory.gated(rows.drop(*features.FEATURES))
+
+    return advisory.portfolio_gate(stored(spark, sf, "gated-by-model", build))
+
+
+@query("f13_probability_gates")
+def _(spark, sf):
+    names = ["stock_id", "stock_code", "price_date", "score", "agreement", "action", "probability", "rejection_reason", "rank", "portfolio_approved", "portfolio_reason"]
+    return _recommended(spark, sf).select(*names)
+
+
+@query("t03_model_top")
+def _(spark, sf):
+    rows = _recommended(spark, sf).withColumnRenamed("price_date", "recommendation_date").withColumn("score", F.round("score", 9))
+    return views.snapshot_top(rows).select("recommendation_date", "place", "stock_code", "probability", "score")
+
+
+@query("v03_model_board")
+def _(spark, sf):
+    rows = _recommended(spark, sf).withColumns({"recommendation_date": F.col("price_date"), "profile": F.lit("balanced")})
+    return views.recommendation_board(rows, market.stocks(spark, sf)).select("stock_code", "recommendation_date", "board_rank", "probability_pct", "agreement_pct", "action", "rejection_reason")
 
 
 @query("m11_backtest")
@@ -869,14 +913,28 @@ def _(spark, sf):
     return scalars.filled(odd)
 
 
-@query("m19_repaired_state", f"{STAGING}, {market.PRICES_SQL.removeprefix(market.BARS_SQL).lstrip(',')}, facts AS (SELECT stock_id, price_date, close_price, change_1d_pct, change_ytd_pct FROM prices WHERE price_date < '2001-06-01'), pending AS (SELECT stock_id, price_date, close_price, NULL::DOUBLE AS change_1d_pct, NULL::DOUBLE AS change_ytd_pct FROM prices p WHERE NOT EXISTS (SELECT 1 FROM facts f WHERE f.stock_id = p.stock_id AND f.price_date = p.price_date)), loaded AS (SELECT * FROM facts UNION ALL SELECT * FROM pending) SELECT CASE WHEN close_price IS NULL OR close_price <= 0 THEN 'POOR' WHEN change_1d_pct IS NOT NULL AND change_ytd_pct IS NOT NULL THEN 'GOOD' ELSE 'INCOMPLETE' END AS data_quality_flag, count(*) AS rows FROM loaded GROUP BY 1")
-def _(spark, sf):
-    p = market.prices(spark, sf)
-    facts = p.filter("price_date < '2001-06-01'").select("stock_id", "price_date", "close_price", "change_1d_pct", "change_ytd_pct")
-    hits = _hits(spark, sf).withColumns({"alert_timestamp": F.col("alert_date"), "alert_id": F.col("rule_id")})
-    recs = snapshot.recommendations(spark, sf).withColumn("recommendation_id", F.col("stock_id"))
-    state = staging.repair_state(p.select("stock_id", "price_date", "close_price"), facts, hits, recs)
-    return state["prices"].groupBy("data_quality_flag").agg(F.count("*").alias("rows"))
+_REPAIRED = f"""{_RECS}, {market.STAGING_SQL[market.STAGING_SQL.index('staging AS'):]}, {_LATEST[_LATEST.index('latest AS'):]},
+facts AS (SELECT stock_id, price_date, close_price, change_1d_pct, change_ytd_pct FROM prices WHERE bar_status <> 'OBSERVED'),
+loaded AS (SELECT * FROM facts UNION ALL SELECT stock_id, price_date, close_price, NULL::DOUBLE, NULL::DOUBLE FROM prices p WHERE NOT EXISTS (SELECT 1 FROM facts f WHERE f.stock_id = p.stock_id AND f.price_date = p.price_date)),
+fired AS (SELECT h.stock_id, h.rule_id, s.price_date, s.source, s.staging_id FROM hits h JOIN staging s ON s.stock_id = h.stock_id AND s.price_date = h.price_date),
+twice AS (SELECT r.stock_id, r.recommendation_date, s.staging_id FROM recs r JOIN staging s ON s.stock_id = r.stock_id AND s.price_date = r.recommendation_date)
+SELECT 'prices' AS part, CASE WHEN close_price IS NULL OR close_price <= 0 THEN 'POOR' WHEN change_1d_pct IS NOT NULL AND change_ytd_pct IS NOT NULL THEN 'GOOD' ELSE 'INCOMPLETE' END AS kind, count(*) AS rows, count(DISTINCT stock_id) AS stocks, NULL::BIGINT AS newest FROM loaded GROUP BY 1, 2
+UNION ALL SELECT 'alerts', 'kept', count(*), count(DISTINCT stock_id), CAST(sum(staging_id % 1000) AS BIGINT) FROM (SELECT * FROM fired QUALIFY row_number() OVER (PARTITION BY stock_id, rule_id, price_date ORDER BY source DESC, staging_id DESC) = 1)
+UNION ALL SELECT 'recommendations', 'kept', count(*), count(DISTINCT stock_id), CAST(sum(last % 1000) AS BIGINT) FROM (SELECT stock_id, recommendation_date, max(staging_id) AS last FROM twice GROUP BY 1, 2)"""
+
+
+@query("m19_repaired_state", _REPAIRED)
+def _(spark, sf):
+    """All three repairs: days staged without a fact are loaded; alerts and recommendations that came once for each source are kept once."""
+    p, quotes = market.prices(spark, sf), market.staging(spark, sf).select("stock_id", F.col("price_date").alias("_day"), "source", "staging_id")
+    facts = p.filter("bar_status <> 'OBSERVED'").select("stock_id", "price_date", "close_price", "change_1d_pct", "change_ytd_pct")
+    fired, recs = _hits(spark, sf), snapshot.recommendations(spark, sf)
+    fired = fired.join(quotes, (fired.stock_id == quotes.stock_id) & (fired.alert_date == quotes["_day"])).select(fired["*"], F.col("source").alias("alert_timestamp"), F.col("staging_id").alias("alert_id"))
+    recs = recs.join(quotes, (recs.stock_id == quotes.stock_id) & (recs.recommendation_date == quotes["_day"])).select(recs["*"], F.col("staging_id").alias("recommendation_id"))
+    state = staging.repair_state(p.select("stock_id", "price_date", "close_price"), facts, fired, recs)
+    count = lambda df, part, key: df.agg(F.count("*").alias("rows"), F.countDistinct("stock_id").alias("stocks"), F.sum(F.col(key) % 1000).cast("long").alias("newest")).select(F.lit(part).alias("part"), F.lit("kept").alias("kind"), "rows", "stocks", "newest")
+    prices = state["prices"].groupBy(F.lit("prices").alias("part"), F.col("data_quality_flag").alias("kind")).agg(F.count("*").alias("rows"), F.countDistinct("stock_id").alias("stocks")).withColumn("newest", F.lit(None).cast("long"))
+    return prices.unionByName(count(state["alerts"], "alerts", "alert_id")).unionByName(count(state["recommendations"], "recommendations", "recommendation_id"))
 
 
 # ---- batch forms of the event windows ----

@@ -119,6 +119,11 @@ def price_history(prices: DataFrame, stocks: DataFrame, code: str, start: str, e
     return prices.join(stocks.filter(F.col("stock_code") == code).select("stock_id", "stock_code"), "stock_id").filter(F.col("price_date").between(start, end)).orderBy("price_date")
 
 
+def price_histories(prices: DataFrame, stocks: DataFrame, asked: DataFrame) -> DataFrame:
+    """price_history for every row of asked (stock_code, d1, d2): one join, whatever the number of codes."""
+    return asked.join(stocks.select("stock_id", "stock_code"), "stock_code").join(prices, "stock_id").filter(F.col("price_date").between(F.col("d1"), F.col("d2")))
+
+
 def active_alerts(alerts: DataFrame, stocks: DataFrame, code: str) -> DataFrame:
     return alerts.join(stocks.filter(F.col("stock_code") == code).select("stock_id", "stock_code"), "stock_id").orderBy(F.col("alert_date").desc(), "rule_id")
 
