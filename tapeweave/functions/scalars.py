@@ -87,5 +87,5 @@ def filled(df, sector: str = "sector_name"):
 
 
 def exact_mean(c: Column, digits: int = 4) -> Column:
-    """The mean of values with so many digits: summed as decimals, in whatever order, and divided once."""
-    return F.sum(c.cast(f"decimal(18,{digits})")).cast("double") / F.nullif(F.count(c), F.lit(0))
+    """The mean of values with so many digits: summed and divided as decimals, in whatever order, to ten digits."""
+    return F.round(F.sum(c.cast(f"decimal(18,{digits})")) / F.nullif(F.count(c), F.lit(0)).cast("decimal(19,0)"), 10).cast("double")
