@@ -24,7 +24,7 @@ from .sketch import maybe_repeated, repeated_cells, width_for
 from .textops import LOWER, mix, text_chunks, word_hashes, words
 
 #: Words of a shard, about; a longer text is a shard of its own.
-SHARD = 1 << 20
+SHARD = 1 << 19
 #: Bytes of texts whose words are counted at a time.
 CHUNK = 2 << 20
 #: Lots in which a language's phrases are ranked before the best of these meet.
