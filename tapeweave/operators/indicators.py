@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tapeweave.operators.scan import scan_by_key
+from tapeweave.plans.facts import cut_lineage
 
 
 def by_day():
@@ -38,9 +39,9 @@ def with_moving(df: DataFrame) -> DataFrame:
     return df.withColumn("ma_crossover_signal", F.when(known, F.coalesce(cross, F.lit("NEUTRAL")))).drop("_ret", "_std")
 
 
-def _smoothing(rsi_moves: int = 14, fast: int = 12, slow: int = 26, signal: int = 9):
-    """Starts the recurrences of an instrument: a function from each close to (rsi, macd, signal)."""
-    i, before, up, down, short, long, trigger = 0, None, None, None, None, None, None
+def _smoothing(state: list | None = None, *, rsi_moves: int = 14, fast: int = 12, slow: int = 26, signal: int = 9):
+    """Starts the recurrences of an instrument, or goes on from a state: a function from each close to (rsi, macd, signal); its state() is where it is."""
+    i, before, up, down, short, long, trigger = (int(state[0]), *state[1:]) if state else (0, None, None, None, None, None, None)
 
     def ema(old: float | None, new: float, alpha: float) -> float:
         return new if old is None else new * alpha + old * (1 - alpha)
@@ -61,9 +62,20 @@ def _smoothing(rsi_moves: int = 14, fast: int = 12, slow: int = 26, signal: int
             rsi = 100.0 if not down else 0.0 if not up else 100 - 100 / (1 + up / down)
         return rsi, macd, trigger if i >= slow + signal - 1 else None
 
+    step.state = lambda: [float(i), before, up, down, short, long, trigger]
     return step
 
 
+def _continued(state: list | None):
+    """As _smoothing, over rows of which old ones are passed over, and with the state after each row."""
+    step = _smoothing(state)
+
+    def go_on(close: float | None, old: bool) -> tuple:
+        return (*((None, None, None) if old else step(close)), step.state())
+
+    return go_on
+
+
 def with_exponential(df: DataFrame, *, partitioned: bool = False) -> DataFrame:
     """df with rsi_14, macd, macd_signal and macd_histogram.
 
@@ -88,6 +100,43 @@ def with_indicators(df: DataFrame, *, min_history: int = 90) -> DataFrame:
     return out.withColumns({"atr_14": F.lit(None).cast("double"), "trend_strength": F.lit(None).cast("double")})
 
 
+#: Bars that the windows of with_moving look back on.
+TAIL = 90
+#: What is known of an instrument between two batches: bars so far, the last TAIL of them, where smoothing stands, and the first close of the year.
+STATE = "stock_id long, n long, tail array<struct<price_date: date, close_price: double>>, smooth array<double>, year int, first_close double"
+
+
+def continue_indicators(batch: DataFrame, state: DataFrame, *, min_history: int = TAIL) -> tuple[DataFrame, DataFrame]:
+    """(indicators and changes of the batch's bars, state after them), from the state before them; history is not read.
+
+    A batch holds bars of days after those of the state, any number for each instrument; instruments may be new (an empty
+    state starts all) or have no bar. Results equal those of one pass over all bars to the last bit: windows look
+    back on the state's tail, smoothing goes on from its values. Rows before the min_history-th have changes but
+    no indicators. change_1d and change_ytd are in percent, not rounded; both are null for an instrument's first bar and
+    change_ytd is against the first close of the calendar year, from the state where the year began before the batch.
+    """
+    d, c = F.col("price_date"), F.col("close_price").cast("double")
+    old = state.select("stock_id", F.explode("tail").alias("b")).select("stock_id", F.col("b.price_date"), F.col("b.close_price"), F.lit(True).alias("_old"))
+    new = batch.select("stock_id", d, c.alias("close_price"), F.lit(False).alias("_old"))
+    known = state.select("stock_id", F.col("n").alias("_had"), F.size("tail").alias("_kept"), F.col("smooth").alias("_smooth"), F.col("year").alias("_year"), F.col("first_close").alias("_first"))
+    rows = old.unionByName(new).join(known, "stock_id", "left").repartition("stock_id")
+    rows = with_moving(rows).withColumns({"_n": F.row_number().over(by_day()) + F.coalesce(F.col("_had") - F.col("_kept"), F.lit(0)), "_before": F.lag("close_price").over(by_day())})
+    outputs = {"rsi_14": "double", "macd": "double", "macd_signal": "double", "_after": "array<double>"}
+    rows = scan_by_key(rows, "stock_id", ["price_date"], ["close_price", "_old"], _continued, outputs, partitioned=True, resume="_smooth")
+    of_year = F.first(F.when(~F.col("_old"), F.col("close_price")), ignorenulls=True).over(Window.partitionBy("stock_id", F.year(d)).orderBy("price_date").rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("_opened", F.when(F.year(d) == F.col("_year"), F.coalesce("_first", of_year)).otherwise(of_year))
+    rows = cut_lineage(rows.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal")), "indicators")  # read for both results
+    out = rows.filter("not _old").withColumns({"change_1d": (F.col("close_price") - F.col("_before")) / F.col("_before") * 100, "change_ytd": F.when(F.col("_n") > 1, (F.col("close_price") - F.col("_opened")) / F.col("_opened") * 100)})
+    shown = ["ma_7", "ma_30", "ma_90", "bollinger_upper", "bollinger_middle", "bollinger_lower", "volatility_30", "ma_crossover_signal", "rsi_14", "macd", "macd_signal", "macd_histogram"]
+    out = out.select("stock_id", "price_date", "close_price", "change_1d", "change_ytd", *[F.when(F.col("_n") >= min_history, F.col(x)).alias(x) for x in shown])
+    last = F.row_number().over(Window.partitionBy("stock_id").orderBy(F.col("price_date").desc()))
+    ends = rows.withColumn("_back", last).filter(F.col("_back") <= TAIL)
+    bars = F.array_sort(F.collect_list(F.struct("price_date", "close_price")))
+    newest = lambda x: F.max(F.when(F.col("_back") == 1, F.col(x)))
+    after = ends.groupBy("stock_id").agg(newest("_n").cast("long").alias("n"), bars.alias("tail"), F.max_by("_after", "price_date").alias("smooth"), F.year(F.max("price_date")).alias("year"), F.max_by(F.coalesce("_opened", "_first"), "price_date").alias("first_close"))
+    return out, after
+
+
 def backfill(df: DataFrame, start: str, end: str, *, warm_up_days: int = 365) -> DataFrame:
     """Indicators of [start, end] from trusted bars since warm_up_days before start."""
     history = df.filter(F.col("price_date").between(F.date_sub(F.lit(start).cast("date"), warm_up_days), F.lit(end).cast("date")))
