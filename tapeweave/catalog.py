@@ -11,10 +11,10 @@ from pyspark.sql.window import Window
 
 from tapeweave.functions import scalars
 from tapeweave.operators import advisory, alerts, asof, backtest, features, indicators, modeling, quality, research, running, staging
-from tapeweave.plans import market, snapshot, views
-from tapeweave.plans.facts import stored
+from tapeweave.plans import market, snapshot, sql, views
+from tapeweave.plans.facts import cut_lineage, landing, stored
 from tapeweave.plans.snapshot import INDICATOR_HEAD, RUNS_SQL, SCREEN_HEAD, TRADES_SQL, TRUSTED_SQL, FEATURES_SQL
-from tapeweave.sources import readers
+from tapeweave.sources import landed, readers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,11 +31,11 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def add(f: Query) -> Query:
         QUERIES[name] = lambda spark, sf_dir: rounded(f(spark, sf_dir))
-        if sql:
-            ORACLES[name] = sql
+        if oracle:
+            ORACLES[name] = oracle
         return f
 
     return add
@@ -54,6 +54,15 @@ def _(spark, sf):
     return market.bars(spark, sf)
 
 
+@query("s01_landed_quotes", f"WITH {market.BARS_SQL}, {market.STOCKS_SQL} SELECT stock_code, price_date, close_price, volume, 'bars' AS source FROM bars JOIN stocks USING (stock_id) WHERE price_date >= '1999-03-01' AND price_date < '1999-09-01'")
+def _(spark, sf):
+    """Bars landed by day as files of a source, then read by the data source: only the asked days are opened."""
+    path = landing(spark, sf, lambda p: landed.land(market.bars(spark, sf).join(market.stocks(spark, sf).select("stock_id", "stock_code"), "stock_id").withColumn("source", F.lit("bars")), p))
+    spark.dataSource.register(landed.LandedQuotes)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    return spark.read.format("landed_quotes").option("path", path).load().filter((F.col("price_date") >= "1999-03-01") & (F.col("price_date") < "1999-09-01"))
+
+
 @query("s03_history_range", f"WITH {market.STAGING_SQL} SELECT stock_code, price_date, CAST(close_price AS DOUBLE) AS close_price, volume, source FROM staging WHERE price_date BETWEEN '1998-01-01' AND '1998-06-30' QUALIFY row_number() OVER (PARTITION BY stock_code, price_date ORDER BY staging_id DESC) = 1")
 def _(spark, sf):
     rows = market.staging(spark, sf).filter(F.col("price_date").between("1998-01-01", "1998-06-30"))
@@ -184,6 +193,20 @@ def _(spark, sf):
     return indicators.backfill(market.prices(spark, sf).filter(quality.trusted(60.0)).select("stock_id", "price_date", "close_price"), "2000-01-01", "2000-12-31").drop("close_price", "atr_14", "trend_strength")
 
 
+@query("w08_daily_indicators", f"{INDICATOR_HEAD}, moved AS (SELECT stock_id, price_date, (close_price - lag(close_price) OVER w) / lag(close_price) OVER w * 100 AS change_1d, (close_price - first_value(close_price) OVER y) / first_value(close_price) OVER y * 100 AS change_ytd FROM base WINDOW w AS (PARTITION BY stock_id ORDER BY price_date), y AS (PARTITION BY stock_id, year(price_date) ORDER BY price_date)) SELECT stock_id, price_date, {r6('change_1d', 'change_ytd', 'ma_7', 'ma_30', 'ma_90', 'bollinger_upper', 'bollinger_lower', 'volatility_30', 'rsi_14', 'macd', 'macd_signal', 'macd_histogram')}, ma_crossover_signal FROM indicators JOIN moved USING (stock_id, price_date) WHERE price_date >= '2000-12-20'")
+def _(spark, sf):
+    """The history once, then batch after batch from the state alone, across the turn of a year."""
+    p = snapshot.trusted_prices(spark, sf).select("stock_id", "price_date", "close_price")
+    state, parts = spark.createDataFrame([], indicators.STATE), []
+    days = ["1900-01-01", "2000-12-20", "2000-12-21", "2001-01-08", "2001-01-09", "2001-03-01", "2999-01-01"]
+    for start, end in zip(days, days[1:], strict=False):
+        out, state = indicators.continue_indicators(p.filter((F.col("price_date") >= start) & (F.col("price_date") < end)), state)
+        state = cut_lineage(state, "state")
+        parts.append(out)
+    names = ["stock_id", "price_date", "change_1d", "change_ytd", "ma_7", "ma_30", "ma_90", "bollinger_upper", "bollinger_lower", "volatility_30", "rsi_14", "macd", "macd_signal", "macd_histogram", "ma_crossover_signal"]
+    return reduce(DataFrame.unionByName, parts[1:]).filter("ma_90 is not null").select(*names)
+
+
 # ---- joins ----
 
 
@@ -485,12 +508,33 @@ def _(spark, sf):
 
 # ---- alerts ----
 
-_LATEST = f"""{INDICATOR_HEAD}, latest AS (SELECT b.*, i.rsi_14, i.macd_histogram, i.volatility_30, i.ma_crossover_signal FROM (SELECT *, CASE WHEN count(volume) OVER m >= 4 THEN avg(volume) OVER m END AS mean_other_volume FROM base WINDOW m AS (PARTITION BY stock_id ORDER BY price_date RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING) QUALIFY row_number() OVER (PARTITION BY stock_id ORDER BY price_date DESC) = 1) b LEFT JOIN indicators i ON i.stock_id = b.stock_id AND i.price_date = b.price_date),
+_LATEST = f"""{INDICATOR_HEAD}, latest AS (SELECT b.*, i.ma_7, i.ma_30, i.rsi_14, i.macd, i.macd_signal, i.macd_histogram, i.volatility_30, i.ma_crossover_signal FROM (SELECT *, CASE WHEN count(volume) OVER m >= 4 THEN avg(volume) OVER m END AS mean_other_volume FROM base WINDOW m AS (PARTITION BY stock_id ORDER BY price_date RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING) QUALIFY row_number() OVER (PARTITION BY stock_id ORDER BY price_date DESC) = 1) b LEFT JOIN indicators i ON i.stock_id = b.stock_id AND i.price_date = b.price_date),
 hits AS (SELECT stock_id, price_date, 1 AS rule_id FROM latest WHERE abs(change_1d_pct) >= 5 UNION ALL SELECT stock_id, price_date, 2 FROM latest WHERE ma_crossover_signal = 'BULLISH' UNION ALL SELECT stock_id, price_date, 3 FROM latest WHERE ma_crossover_signal = 'BEARISH' UNION ALL SELECT stock_id, price_date, 4 FROM latest WHERE rsi_14 <= 30 UNION ALL SELECT stock_id, price_date, 5 FROM latest WHERE rsi_14 >= 70 UNION ALL SELECT stock_id, price_date, 6 FROM latest WHERE macd_histogram > 0 UNION ALL SELECT stock_id, price_date, 7 FROM latest WHERE macd_histogram < 0 UNION ALL SELECT stock_id, price_date, 8 FROM latest WHERE volatility_30 >= 0.3 UNION ALL SELECT stock_id, price_date, 9 FROM latest WHERE has_complete_data AND coalesce(confidence_score, 75) >= 75 AND volume >= 2.0 * mean_other_volume)"""
 
 
+def _latest_rows(spark, sf):
+    rows = alerts.latest_rows(market.prices(spark, sf), snapshot.indicator_rows(spark, sf))
+    return rows.join(market.stocks(spark, sf).select("stock_id", "stock_code"), "stock_id")
+
+
 def _hits(spark, sf):
-    return alerts.evaluate(alerts.latest_rows(market.prices(spark, sf), snapshot.indicator_rows(spark, sf)), alerts.seeded_rules(spark))
+    return alerts.evaluate(_latest_rows(spark, sf), alerts.seeded_rules(spark))
+
+
+def _message(kind: str, threshold: str = "") -> str:
+    """The message of a type of rules in SQL, over latest and stock_code; threshold: a DOUBLE."""
+    return {
+        "PRICE_MOVEMENT": f"stock_code || CASE WHEN change_1d_pct > 0 THEN ' increased by ' ELSE ' decreased by ' END || CAST(CAST(CAST(abs(change_1d_pct) AS DECIMAL(18,4)) AS DECIMAL(18,2)) AS VARCHAR) || '% (threshold: ' || CAST({threshold} AS VARCHAR) || '%)'",
+        "MA_CROSSOVER": "stock_code || CASE WHEN ma_crossover_signal = 'BULLISH' THEN ': Bullish crossover detected (Golden Cross)' ELSE ': Bearish crossover detected (Death Cross)' END",
+        "OVERSOLD": f"stock_code || ': RSI oversold at ' || format('{{:.2f}}', rsi_14) || ' (threshold: ' || CAST({threshold} AS VARCHAR) || ')'",
+        "OVERBOUGHT": f"stock_code || ': RSI overbought at ' || format('{{:.2f}}', rsi_14) || ' (threshold: ' || CAST({threshold} AS VARCHAR) || ')'",
+        "MACD": "stock_code || ': MACD ' || CASE WHEN macd > macd_signal THEN 'bullish' ELSE 'bearish' END || ' signal detected (MACD=' || format('{:.4f}', macd) || ', Signal=' || format('{:.4f}', macd_signal) || ', Hist=' || format('{:.4f}', macd_histogram) || ')'",
+        "VOLATILITY": f"stock_code || ': High volatility detected at ' || format('{{:.2f}}', volatility_30 * 100) || '% (threshold: ' || format('{{:.2f}}', {threshold} * 100) || '%)'",
+        "VOLUME_SPIKE": "stock_code || ': Volume spike detected - ' || format('{:,}', volume) || ' (' || format('{:.1f}', round(volume / mean_other_volume, 1)) || 'x average)'",
+    }[kind]
+
+
+_MESSAGES = f"CASE rule_id WHEN 1 THEN {_message('PRICE_MOVEMENT', '5.0::DOUBLE')} WHEN 2 THEN {_message('MA_CROSSOVER')} WHEN 3 THEN {_message('MA_CROSSOVER')} WHEN 4 THEN {_message('OVERSOLD', '30.0::DOUBLE')} WHEN 5 THEN {_message('OVERBOUGHT', '70.0::DOUBLE')} WHEN 6 THEN {_message('MACD')} WHEN 7 THEN {_message('MACD')} WHEN 8 THEN {_message('VOLATILITY', '0.3::DOUBLE')} ELSE {_message('VOLUME_SPIKE')} END"
 
 
 @query("m19_alert_rules", f"{_LATEST} SELECT stock_id, CAST(rule_id AS BIGINT) AS rule_id, price_date AS alert_date FROM hits")
@@ -514,11 +558,45 @@ _TYPES = "(VALUES " + ", ".join(f"({i}, '{name}', '{kind}', '{severity}')" for i
 
 
 @query("u16_alert_digest", f"""{_LATEST} SELECT h.price_date AS alert_date, severity, CAST(floor(h.stock_id / 500) AS BIGINT) AS page, count(*) AS alerts,
-  string_agg(rule_name || ': stock ' || h.stock_id || ' at ' || CAST(close_price AS DECIMAL(18,4)), chr(10) ORDER BY h.stock_id, h.rule_id) AS body FROM hits h JOIN {_TYPES} USING (rule_id) JOIN latest l ON l.stock_id = h.stock_id GROUP BY 1, 2, 3""")
+  string_agg({_MESSAGES}, chr(10) ORDER BY h.stock_id, h.rule_id) AS body FROM hits h JOIN {_TYPES} USING (rule_id) JOIN latest l ON l.stock_id = h.stock_id JOIN stocks s ON s.stock_id = h.stock_id GROUP BY 1, 2, 3""")
 def _(spark, sf):
     return alerts.digest(_hits(spark, sf))
 
 
+@query("x12_alert_messages", f"{_LATEST} SELECT h.stock_id, CAST(rule_id AS BIGINT) AS rule_id, {_MESSAGES} AS message FROM hits h JOIN latest l ON l.stock_id = h.stock_id JOIN stocks s ON s.stock_id = h.stock_id")
+def _(spark, sf):
+    return _hits(spark, sf).select("stock_id", "rule_id", "message")
+
+
+def _rules(spark, sf):
+    """Rules from a table: of five types, with parameters in JSON, as a threshold, and in JSON in condition_sql."""
+    n, k = readers.table(spark, sf, "nation"), F.col("n_nationkey")
+    pick = lambda *c: F.element_at(F.array(*c), (k % 5 + 1).cast("int"))
+    none = F.lit(None).cast("string")
+    as_json = lambda key, v: F.to_json(F.struct(v.alias(key)))
+    return n.select(
+        k.cast("long").alias("rule_id"), pick(*map(F.lit, ("Moves", "RSI oversold", "Wild", "Volume", "MACD buy"))).alias("rule_name"), pick(*map(F.lit, ("PRICE_MOVEMENT", "RSI", "VOLATILITY", "VOLUME_SPIKE", "MACD"))).alias("rule_type"), F.lit("INFO").alias("severity"),
+        pick(F.lit(99.0), k + 20.0, F.lit(0.9), F.lit(None).cast("double"), k / 20.0).alias("threshold_value"), pick(as_json("threshold", k / 5 + 1.0), F.lit("no json"), none, as_json("multiplier", 1 + k / 10.0), F.lit("[1]")).alias("parameters"),
+        pick(none, none, as_json("threshold", k / 20.0), none, F.lit("macd > 0")).alias("condition_sql"),
+    )
+
+
+_RULED = f"""{_LATEST}, seen AS (SELECT l.*, s.stock_code, n_nationkey AS k FROM latest l JOIN stocks s USING (stock_id) CROSS JOIN nation),
+fired AS (
+  SELECT k, 'PRICE_MOVEMENT' AS rule_type, {_message('PRICE_MOVEMENT', '(k / 5 + 1.0::DOUBLE)')} AS message FROM seen WHERE k % 5 = 0 AND abs(change_1d_pct) >= k / 5 + 1
+  UNION ALL SELECT k, 'RSI', {_message('OVERSOLD', '(k + 20.0::DOUBLE)')} FROM seen WHERE k % 5 = 1 AND rsi_14 <= k + 20
+  UNION ALL SELECT k, 'VOLATILITY', {_message('VOLATILITY', '(k / 20.0::DOUBLE)')} FROM seen WHERE k % 5 = 2 AND volatility_30 >= k / 20.0::DOUBLE
+  UNION ALL SELECT k, 'VOLUME_SPIKE', {_message('VOLUME_SPIKE')} FROM seen WHERE k % 5 = 3 AND has_complete_data AND coalesce(confidence_score, 75) >= 75 AND volume >= mean_other_volume * (1 + k / 10.0::DOUBLE)
+  UNION ALL SELECT k, 'MACD', {_message('MACD')} FROM seen WHERE k % 5 = 4 AND macd > macd_signal AND macd_histogram >= k / 20.0::DOUBLE)
+SELECT CAST(k AS BIGINT) AS rule_id, rule_type, count(*) AS alerts, min(message) AS first_message, max(message) AS last_message FROM fired GROUP BY 1, 2"""
+
+
+@query("d04_rules_from_a_table", _RULED)
+def _(spark, sf):
+    hits = alerts.evaluate(_latest_rows(spark, sf), _rules(spark, sf))
+    return hits.groupBy("rule_id", "rule_type").agg(F.count("*").alias("alerts"), F.min("message").alias("first_message"), F.max("message").alias("last_message"))
+
+
 @query("v18_investment_dashboard", f"""{_LATEST}, shown AS (SELECT s.stock_id, s.stock_code, s.sector_id, p.price_date, p.close_price, p.volume, p.change_1d_pct FROM stocks s LEFT JOIN (SELECT * FROM prices QUALIFY row_number() OVER (PARTITION BY stock_id ORDER BY price_date DESC) = 1) p USING (stock_id) WHERE s.is_active),
   last AS (SELECT stock_id, ma_30, rsi_14 FROM indicators QUALIFY row_number() OVER (PARTITION BY stock_id ORDER BY price_date DESC) = 1),
   rung AS (SELECT stock_id, price_date, count(*) AS alert_count, string_agg(DISTINCT rule_type, ',' ORDER BY rule_type) AS alert_types FROM hits JOIN {_TYPES} USING (rule_id) GROUP BY 1, 2)
@@ -828,15 +906,42 @@ def _(spark, sf):
     return modeling.grid(_predictions(spark, sf), {"base": 0.0, "half": 0.5, "strict": 0.8}, least_rows=100)
 
 
-@query("m14_research_scores", f"WITH {market.BARS_SQL}, {market.STOCKS_SQL}, l AS (SELECT stock_id, arg_max(close_price, price_date) AS price, max(close_price) AS top, min(close_price) AS low FROM bars GROUP BY 1), s AS (SELECT stock_id, price, (CASE WHEN price < 50 THEN 40 WHEN price < 150 THEN 25 ELSE 10 END + CASE WHEN price / top < 0.5 THEN 35 WHEN price / top < 0.8 THEN 20 ELSE 5 END + CASE WHEN price / low < 1.2 THEN 25 ELSE 10 END)::BIGINT AS points FROM l) SELECT stock_code, points, CASE WHEN points >= 80 THEN 'A' WHEN points >= 60 THEN 'B' ELSE 'C' END AS tier, CAST(floor(40000 / price) AS BIGINT) AS shares, round(price * 3, 6) AS scenario_3x, round(price * 5, 6) AS scenario_5x FROM s JOIN stocks USING (stock_id)")
+_TREND_SQL = "least((price > ma_7)::INT * 15 + (price > ma_30)::INT * 20 + (price > ma_90)::INT * 25 + (price > ma_200)::INT * 40 + (ma_7 > ma_30)::INT * 10 + (ma_30 > ma_90)::INT * 10, 100)"
+_OFFSETS_SQL = ", ".join(f"max(close_price) FILTER (k = {n}) AS p_{n}" for n in (5, 20, 60, 126, 252))
+_RETURNS_SQL = ", ".join(f"CASE WHEN points >= {n} THEN (price / p_{n} - 1) * 100 ELSE 0 END AS {name}" for name, n in research.OFFSETS.items())
+_RESEARCH = f"""WITH {market.BARS_SQL}, {market.STOCKS_SQL},
+r AS (SELECT *, row_number() OVER (PARTITION BY stock_id ORDER BY price_date DESC) AS k, close_price / lag(close_price) OVER (PARTITION BY stock_id ORDER BY price_date) - 1 AS ret FROM bars),
+g AS (SELECT stock_id, count(*) AS points, max(close_price) FILTER (k = 1) AS price, avg(close_price) FILTER (k <= 7) AS m7, avg(close_price) FILTER (k <= 30) AS m30, avg(close_price) FILTER (k <= 90) AS m90, avg(close_price) FILTER (k <= 200) AS m200, {_OFFSETS_SQL},
+  stddev_samp(ret) FILTER (k <= 30) AS v30, stddev_samp(ret) FILTER (k <= 90) AS v90, avg(ret) AS mean_ret, max(close_price) FILTER (k <= 252) AS high_52w, min(close_price) FILTER (k <= 252) AS low_52w, arg_min(close_price, price_date) FILTER (year(price_date) = (SELECT year(max(price_date)) FROM bars)) AS opened FROM r GROUP BY 1),
+h AS (SELECT *, CASE WHEN points >= 7 THEN m7 ELSE price END AS ma_7, CASE WHEN points >= 30 THEN m30 ELSE price END AS ma_30, CASE WHEN points >= 90 THEN m90 ELSE price END AS ma_90, CASE WHEN points >= 200 THEN m200 ELSE price END AS ma_200, {_RETURNS_SQL},
+  CASE WHEN points >= 30 THEN v30 * sqrt(252.0::DOUBLE) * 100 ELSE 0 END AS vol_30, CASE WHEN points >= 90 THEN v90 * sqrt(252.0::DOUBLE) * 100 ELSE 0 END AS vol_90, coalesce((price / opened - 1) * 100, 0) AS ret_ytd, (price / low_52w - 1) * 100 AS from_low FROM g WHERE points >= 30),
+t AS (SELECT *, {_TREND_SQL} AS trend_score, CASE WHEN vol_90 > 0 THEN (mean_ret * 252 * 100 - 15) / vol_90 ELSE 0 END AS sharpe FROM h),
+screen AS (SELECT *, 20 / price * 30 + ret_1m / 10 * 25 + trend_score * 25 + vol_30 / 10 * 10 + ret_ytd / 10 * 10 AS score_10x,
+  trend_score * 0.30::DOUBLE + least(ret_ytd, 100) * 0.20::DOUBLE + least(ret_1m, 80) * 0.15::DOUBLE + (100 - least(vol_30, 100)) * 0.15::DOUBLE + sharpe * 10 * 0.10::DOUBLE + least(points / 10, 100) * 0.10::DOUBLE AS quality_score FROM t)"""
+
+
+@query("m14_research_scores", f"{_RESEARCH} SELECT stock_code, CAST(trend_score AS BIGINT) AS trend_score, {r6('ret_1m', 'ret_1y', 'ret_ytd', 'vol_30', 'sharpe', 'score_10x', 'quality_score')}, CAST(floor(8750 / price) AS BIGINT) AS phase_1, CAST(floor(8000 / price) AS BIGINT) AS phase_2, CAST(floor(2500 / price * 10) AS BIGINT) AS phase_3, round((floor(8750 / price) + floor(8000 / price) + floor(2500 / price * 10)) * price, 4) AS cost, round((floor(8750 / price) + floor(8000 / price) + floor(2500 / price * 10)) * price * 3, 4) AS worth_3x FROM screen JOIN stocks USING (stock_id)")
 def _(spark, sf):
-    return research.scores(market.bars(spark, sf), allocation=40_000.0).join(market.stocks(spark, sf).select("stock_id", "stock_code"), "stock_id").select("stock_code", "points", "tier", "shares", "scenario_3x", "scenario_5x")
+    rows = research.purchase_plan(research.screen(market.bars(spark, sf))).join(market.stocks(spark, sf).select("stock_id", "stock_code"), "stock_id")
+    names = ["stock_code", "trend_score", "ret_1m", "ret_1y", "ret_ytd", "vol_30", "sharpe", "score_10x", "quality_score", "phase_1", "phase_2", "phase_3", "cost", "worth_3x"]
+    return rows.withColumns({"trend_score": F.col("trend_score").cast("long"), "cost": F.round("cost", 4), "worth_3x": F.round("worth_3x", 4)}).select(*names)
+
+
+_QUALITY_SQL = "trend_score >= 90 AND ret_ytd > 5 AND ret_ytd < 300 AND vol_30 < 100 AND price < 100 AND sharpe > 0 AND points > 500"
+_LISTS_SQL = {
+    "best_ytd": ("TRUE", "ret_ytd", 20), "worst_ytd": ("TRUE", "-ret_ytd", 20), "strongest_trend": ("TRUE", "trend_score", 20), "value_near_low": ("from_low < 20 AND trend_score > 40", "trend_score", 20), "momentum": ("TRUE", "ret_1m * 0.6::DOUBLE + trend_score * 0.4::DOUBLE", 20),
+    "best_sharpe": ("sharpe > 0", "sharpe", 20), "buy": ("trend_score >= 60 AND ret_ytd > 0 AND vol_30 < 80", "trend_score", 10), "watch": ("vol_30 > 80 AND ret_1m > 20", "ret_1m", 10),
+    "tenfold_cheap": ("price < 10 AND trend_score >= 80 AND ret_1m > 20", "ret_1m", 15), "tenfold_affordable": ("price >= 10 AND price < 20 AND trend_score >= 80 AND ret_1m > 15", "ret_1m", 15), "tenfold_proven": ("price < 30 AND ret_1y > 400 AND trend_score >= 60", "ret_1y", 15),
+    "tenfold_turnaround": ("price < 15 AND from_low < 30 AND ret_1m > 30 AND trend_score >= 60", "ret_1m", 15), "tenfold_top": ("price < 30 AND trend_score >= 60 AND ret_1m > 0", "score_10x", 20),
+    "quality_top": (_QUALITY_SQL, "quality_score", 25), "quality_low_price": (f"{_QUALITY_SQL} AND price < 20", "quality_score", 15), "quality_mid_price": (f"{_QUALITY_SQL} AND price >= 20 AND price < 50", "quality_score", 15), "quality_blue_chip": (f"{_QUALITY_SQL} AND price >= 50", "quality_score", 15),
+}
 
 
-@query("t09_research_lists", f"WITH {market.BARS_SQL}, l AS (SELECT stock_id, (arg_max(close_price, price_date) / max(close_price) - 1) * 100 AS from_high FROM bars GROUP BY 1) SELECT stock_id, round(from_high, 6) AS from_high FROM l ORDER BY l.from_high, stock_id LIMIT 10")
+@query("t09_research_lists", _RESEARCH + " " + " UNION ALL ".join(f"SELECT * FROM (SELECT '{name}' AS list, row_number() OVER (ORDER BY round({by}, 9) DESC, stock_id) AS place, stock_id, round({by}, 6) AS value FROM screen WHERE {on}) WHERE place <= {n}" for name, (on, by, n) in _LISTS_SQL.items()))
 def _(spark, sf):
-    b = market.bars(spark, sf).groupBy("stock_id").agg(((F.max_by("close_price", "price_date") / F.max("close_price") - 1) * 100).alias("from_high"))
-    return b.orderBy("from_high", "stock_id").limit(10)
+    rows = research.screen(market.bars(spark, sf))
+    exact = rows.select(*[F.round(c, 9).alias(c) if t == "double" and c not in ("price",) else F.col(c) for c, t in rows.dtypes])
+    return research.lists(exact).select("list", F.col("place").cast("long").alias("place"), "stock_id", "value")
 
 
 # ---- repairs, replacements and lists ----
@@ -937,6 +1042,22 @@ def _(spark, sf):
     return prices.unionByName(count(state["alerts"], "alerts", "alert_id")).unionByName(count(state["recommendations"], "recommendations", "recommendation_id"))
 
 
+# ---- the market in SQL ----
+
+
+@query("m17_sql_price_history", f"{PRICES} SELECT stock_code, price_date, close_price, volume, change_1d_pct FROM stocks JOIN prices USING (stock_id) WHERE price_date BETWEEN DATE '1997-01-01' AND DATE '1998-12-31'")
+def _(spark, sf):
+    """The set-returning function for every code: one lateral call."""
+    sql.register(spark, sf)
+    return spark.sql("SELECT s.stock_code, h.* FROM stocks s, LATERAL price_history(s.stock_code, DATE '1997-01-01', DATE '1998-12-31') h")
+
+
+@query("v20_sql_active_alerts", f"{_LATEST} SELECT stock_code, CAST(rule_id AS BIGINT) AS rule_id, h.price_date AS alert_date FROM hits h JOIN stocks s ON s.stock_id = h.stock_id")
+def _(spark, sf):
+    sql.register(spark, sf)
+    return spark.sql("SELECT s.stock_code, a.rule_id, a.alert_date FROM stocks s, LATERAL active_alerts(s.stock_code) a")
+
+
 # ---- batch forms of the event windows ----
 
 

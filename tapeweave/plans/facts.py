@@ -45,6 +45,16 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     return spark.read.parquet(_STORED[key][0])
 
 
+def landing(spark: SparkSession, sf_dir: str, land: Callable[[str], None]) -> str:
+    """A folder that land(path) has filled once in an application, for the tables in sf_dir as they are."""
+    key, state = (spark.sparkContext.applicationId, sf_dir, "landing"), _state(spark, sf_dir)
+    if key not in _STORED or _STORED[key][1] != state:
+        path = f"{_folder(spark)}/landing/{uuid.uuid4().hex}"
+        land(path)
+        _STORED[key] = (path, state)
+    return _STORED[key][0]
+
+
 def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder, and read from there."""
     path = f"{_folder(df.sparkSession)}/steps/{uuid.uuid4().hex}/{name}"
