@@ -22,7 +22,7 @@ ORACLES: dict[str, str] = {}
 
 PRICES = f"WITH {market.PRICES_SQL}, {market.STOCKS_SQL}"
 STAGING = f"WITH {market.STAGING_SQL}"
-TRADES = f"WITH {TRADES_SQL}, {RUNS_SQL}"
+TRADES = f"{SCREEN_HEAD}, {TRADES_SQL}, {RUNS_SQL}"
 DAY = "2001-06-29"  # a day inside all tables
 
 
@@ -180,9 +180,16 @@ def _(spark, sf):
     return indicators.screen_metrics(market.bars(spark, sf)).select("stock_id", "price_date", "ret_20", "ret_252", "vol_90", "max_drawdown", "high_52w", "low_52w", "sharpe")
 
 
-@query("w23_fold_windows", "SELECT CAST(i AS INTEGER) AS fold, DATE '1996-01-01' + CAST(365 + 90 * i - 365 AS INTEGER) AS train_start, DATE '1996-01-01' + CAST(365 + 90 * i - 1 AS INTEGER) AS train_end, DATE '1996-01-01' + CAST(365 + 90 * i AS INTEGER) AS eval_start, least(DATE '1996-01-01' + CAST(365 + 90 * i + 89 AS INTEGER), DATE '2001-10-31') AS eval_end FROM range(0, 100) t(i) WHERE DATE '1996-01-01' + CAST(365 + 90 * i AS INTEGER) <= DATE '2001-10-31'")
+@query("w23_fold_windows", f"{PRICES}, b AS (SELECT min(price_date) AS first, max(price_date) AS last FROM prices), f AS (SELECT CAST(i AS INTEGER) AS fold, CAST(first + CAST(90 * i AS INTEGER) AS DATE) AS train_start, CAST(first + CAST(364 + 90 * i AS INTEGER) AS DATE) AS train_end, CAST(first + CAST(365 + 90 * i AS INTEGER) AS DATE) AS eval_start, least(CAST(first + CAST(365 + 90 * i + 89 AS INTEGER) AS DATE), last) AS eval_end FROM range(0, 200) t(i), b WHERE first + CAST(365 + 90 * i AS INTEGER) <= last) SELECT f.*, (SELECT count(*) FROM prices p WHERE p.price_date BETWEEN f.train_start AND f.train_end) AS train_rows, (SELECT count(*) FROM prices p WHERE p.price_date BETWEEN f.eval_start AND f.eval_end) AS eval_rows FROM f")
 def _(spark, sf):
-    return asof.fold_windows("1996-01-01", "2001-10-31", train_days=365, eval_days=90, step_days=90, spark=spark)
+    """Walk-forward windows over all days of the price fact, with the rows that each window has."""
+    days = market.prices(spark, sf).groupBy("price_date").agg(F.count("*").alias("n"))
+    first, last = days.agg(F.min("price_date"), F.max("price_date")).first()
+    folds = asof.fold_windows(str(first), str(last), train_days=365, eval_days=90, step_days=90, spark=spark)
+    inside = lambda a, b: F.coalesce(F.sum(F.when(F.col("price_date").between(F.col(a), F.col(b)), F.col("n"))), F.lit(0))
+    met = days.join(F.broadcast(folds), F.col("price_date").between(F.col("train_start"), F.col("eval_end")))
+    names = ["fold", "train_start", "train_end", "eval_start", "eval_end"]
+    return met.groupBy(*names).agg(inside("train_start", "train_end").alias("train_rows"), inside("eval_start", "eval_end").alias("eval_rows"))
 
 
 _BACKFILL = INDICATOR_HEAD.replace(f"WHERE {TRUSTED_SQL}", f"WHERE {TRUSTED_SQL.replace('>= 65', '>= 60')} AND price_date BETWEEN DATE '2000-01-01' - 365 AND DATE '2000-12-31'")
@@ -246,16 +253,16 @@ def _(spark, sf):
 
 @query("j12_matched_positions", f"{TRADES}, p AS (SELECT trade_id AS position_id, stock_code, entry_date, row_number() OVER (PARTITION BY stock_code, entry_date ORDER BY trade_id) AS n FROM trades WHERE net_return_pct > 0), t AS (SELECT trade_id, stock_code, entry_date, net_return_pct, row_number() OVER (PARTITION BY stock_code, entry_date ORDER BY trade_id) AS n FROM trades) SELECT p.stock_code, p.entry_date, p.position_id, t.trade_id, t.net_return_pct FROM p LEFT JOIN t USING (stock_code, entry_date, n)")
 def _(spark, sf):
-    t = snapshot.derived_trades(spark, sf)
+    t = snapshot.trades(spark, sf)
     # ids of a table may repeat at small scale; rows alike are interchangeable
     p = t.filter("net_return_pct > 0").select(F.col("trade_id").alias("position_id"), "stock_code", "entry_date")
     return backtest.match_positions(p, t.select("trade_id", "stock_code", "entry_date", "net_return_pct"), ["stock_code", "entry_date"])
 
 
-@query("j13_sector_of_trade", f"WITH {market.STOCKS_SQL}, {TRADES_SQL} SELECT coalesce(n.sector_name, 'Unclassified') AS sector_name, count(*) AS trades, round(sum(net_return_pct), 4) AS total_return FROM trades t LEFT JOIN stocks s ON t.stock_id = s.stock_id AND s.is_active LEFT JOIN sectors n USING (sector_id) GROUP BY 1")
+@query("j13_sector_of_trade", f"{TRADES} SELECT coalesce(n.sector_name, 'Unclassified') AS sector_name, count(*) AS trades, round(sum(net_return_pct), 4) AS total_return FROM trades t LEFT JOIN stocks s ON t.stock_id = s.stock_id AND s.is_active LEFT JOIN sectors n USING (sector_id) GROUP BY 1")
 def _(spark, sf):
     s = market.stocks(spark, sf).filter("is_active").join(market.sectors(spark, sf), "sector_id", "left").select("stock_id", "sector_name")
-    rows = snapshot.derived_trades(spark, sf).join(s, "stock_id", "left").withColumn("sector_name", F.coalesce("sector_name", F.lit("Unclassified")))
+    rows = snapshot.trades(spark, sf).join(s, "stock_id", "left").withColumn("sector_name", F.coalesce("sector_name", F.lit("Unclassified")))
     return rows.groupBy("sector_name").agg(F.count("*").alias("trades"), F.round(F.sum("net_return_pct"), 4).alias("total_return"))
 
 
@@ -387,15 +394,15 @@ def _(spark, sf):
     return views.sector_performance(market.prices(spark, sf), snapshot.recommendations(spark, sf), market.stocks(spark, sf), market.sectors(spark, sf))
 
 
-@query("v06_model_health", f"WITH {RUNS_SQL} SELECT r.run_id, r.run_date, r.profile, r.run_type, s.signal, r.win_rate, r.return_pct, r.profit_factor, r.max_drawdown_pct FROM runs r LEFT JOIN decisions s ON s.signal_date = r.run_date AND s.profile = r.profile")
+@query("v06_model_health", f"{TRADES} SELECT r.run_id, r.run_date, r.profile, r.run_type, s.signal, r.win_rate, r.return_pct, r.profit_factor, r.max_drawdown_pct FROM runs r LEFT JOIN decisions s ON s.signal_date = r.run_date AND s.profile = r.profile")
 def _(spark, sf):
-    return views.model_health(snapshot.runs(spark), snapshot.decisions(spark)).select("run_id", "run_date", "profile", "run_type", "signal", "win_rate", "return_pct", "profit_factor", "max_drawdown_pct")
+    return views.model_health(snapshot.runs(spark, sf), snapshot.decisions(spark, sf)).select("run_id", "run_date", "profile", "run_type", "signal", "win_rate", "return_pct", "profit_factor", "max_drawdown_pct")
 
 
 @query("v07_equity_curve", f"{TRADES} SELECT run_id, trade_id, run_date, round((exp(sum(CASE WHEN net_return_pct > -100 THEN ln(1 + net_return_pct / 100) END) OVER (PARTITION BY run_id ORDER BY entry_date, trade_id, net_return_pct ROWS UNBOUNDED PRECEDING)) - 1) * 100, 6) AS cumulative_return_pct FROM trades JOIN runs USING (run_id)")
 def _(spark, sf):
-    t = backtest.equity_curve(snapshot.derived_trades(spark, sf), order=("entry_date", "trade_id", "net_return_pct"))
-    return views.with_run(t, snapshot.runs(spark)).select("run_id", "trade_id", "run_date", "cumulative_return_pct")
+    t = backtest.equity_curve(snapshot.trades(spark, sf), order=("entry_date", "trade_id", "net_return_pct"))
+    return views.with_run(t, snapshot.runs(spark, sf)).select("run_id", "trade_id", "run_date", "cumulative_return_pct")
 
 
 @query("v08_quality_monitor", f"{INDICATOR_HEAD}, {market.STAGING_SQL[market.STAGING_SQL.index('staging AS'):]}, s AS (SELECT price_date, count(*) AS staged_rows, count(DISTINCT source) AS sources FROM staging GROUP BY 1), p AS (SELECT price_date, count(*) AS fact_rows, count(*) FILTER (data_quality_flag = 'GOOD') AS good_rows FROM prices GROUP BY 1), i AS (SELECT price_date, count(*) AS indicator_rows FROM indicators GROUP BY 1) SELECT coalesce(s.price_date, p.price_date, i.price_date) AS price_date, coalesce(staged_rows, 0) AS staged_rows, coalesce(sources, 0) AS sources, coalesce(fact_rows, 0) AS fact_rows, coalesce(good_rows, 0) AS good_rows, coalesce(indicator_rows, 0) AS indicator_rows, round(good_rows / nullif(fact_rows, 0) * 100, 2) AS good_pct FROM s FULL OUTER JOIN p USING (price_date) FULL OUTER JOIN i ON i.price_date = coalesce(s.price_date, p.price_date)")
@@ -404,9 +411,9 @@ def _(spark, sf):
     return out.select("price_date", "staged_rows", "sources", "fact_rows", "good_rows", "indicator_rows", "good_pct")
 
 
-@query("v09_latest_verdict", f"WITH {RUNS_SQL} SELECT r.run_id, r.run_date, s.signal, r.win_rate, r.trade_count AS trades FROM (SELECT * FROM runs WHERE run_type = 'full_validation' ORDER BY run_date DESC, created_at DESC, run_id DESC LIMIT 1) r LEFT JOIN decisions s ON s.signal_date = r.run_date AND s.profile = r.profile AND s.run_type = r.run_type")
+@query("v09_latest_verdict", f"{TRADES} SELECT r.run_id, r.run_date, s.signal, r.win_rate, r.trade_count AS trades FROM (SELECT * FROM runs WHERE run_type = 'full_validation' ORDER BY run_date DESC, created_at DESC, run_id DESC LIMIT 1) r LEFT JOIN decisions s ON s.signal_date = r.run_date AND s.profile = r.profile AND s.run_type = r.run_type")
 def _(spark, sf):
-    return views.latest_verdict(snapshot.runs(spark), snapshot.decisions(spark)).select("run_id", "run_date", "signal", "win_rate", "trades")
+    return views.latest_verdict(snapshot.runs(spark, sf), snapshot.decisions(spark, sf)).select("run_id", "run_date", "signal", "win_rate", "trades")
 
 
 _METRICS = "count(*) AS trades, count(*) FILTER (net_return_pct > 0) AS wins, count(*) FILTER (net_return_pct <= 0) AS losses, round(count(*) FILTER (net_return_pct > 0) / count(*) * 100, 6) AS win_rate, round(CAST(sum(net_return_pct::DECIMAL(18,4))::DOUBLE / count(*) AS DECIMAL(28,10)), 6)::DOUBLE AS avg_return, round(CASE WHEN -sum(net_return_pct) FILTER (net_return_pct <= 0) > 0 THEN coalesce(sum(net_return_pct) FILTER (net_return_pct > 0), 0) / -sum(net_return_pct) FILTER (net_return_pct <= 0) END, 6) AS profit_factor, max(net_return_pct) AS best, min(net_return_pct) AS worst"
@@ -415,28 +422,28 @@ _METRIC_NAMES = ["trades", "wins", "losses", "win_rate", "avg_return", "profit_f
 
 @query("v10_yearly_performance", f"{TRADES} SELECT run_id, CAST(year(entry_date) AS INTEGER) AS year, run_date, {_METRICS} FROM trades JOIN runs USING (run_id) GROUP BY 1, 2, 3")
 def _(spark, sf):
-    return views.with_run(backtest.rollup_years(snapshot.derived_trades(spark, sf)), snapshot.runs(spark)).filter("trades > 0").select("run_id", "year", "run_date", *_METRIC_NAMES)
+    return views.with_run(backtest.rollup_years(snapshot.trades(spark, sf)), snapshot.runs(spark, sf)).filter("trades > 0").select("run_id", "year", "run_date", *_METRIC_NAMES)
 
 
 @query("v13_stock_performance", f"{TRADES} SELECT run_id, stock_code, run_date, {_METRICS} FROM trades JOIN runs USING (run_id) GROUP BY 1, 2, 3")
 def _(spark, sf):
-    return views.with_run(backtest.trade_metrics(snapshot.derived_trades(spark, sf), ["run_id", "stock_code"]), snapshot.runs(spark)).select("run_id", "stock_code", "run_date", *_METRIC_NAMES)
+    return views.with_run(backtest.trade_metrics(snapshot.trades(spark, sf), ["run_id", "stock_code"]), snapshot.runs(spark, sf)).select("run_id", "stock_code", "run_date", *_METRIC_NAMES)
 
 
-@query("v14_sector_model_performance", f"WITH {market.STOCKS_SQL}, {TRADES_SQL}, {RUNS_SQL} SELECT run_id, sector_id, run_date, {_METRICS} FROM trades JOIN runs USING (run_id) JOIN stocks USING (stock_id) GROUP BY 1, 2, 3")
+@query("v14_sector_model_performance", f"{TRADES} SELECT run_id, sector_id, run_date, {_METRICS} FROM trades JOIN runs USING (run_id) JOIN stocks USING (stock_id) GROUP BY 1, 2, 3")
 def _(spark, sf):
-    t = snapshot.derived_trades(spark, sf).join(market.stocks(spark, sf).select("stock_id", "sector_id"), "stock_id")
-    return views.with_run(backtest.trade_metrics(t, ["run_id", "sector_id"]), snapshot.runs(spark)).select("run_id", "sector_id", "run_date", *_METRIC_NAMES)
+    t = snapshot.trades(spark, sf).join(market.stocks(spark, sf).select("stock_id", "sector_id"), "stock_id")
+    return views.with_run(backtest.trade_metrics(t, ["run_id", "sector_id"]), snapshot.runs(spark, sf)).select("run_id", "sector_id", "run_date", *_METRIC_NAMES)
 
 
 @query("v15_trade_distribution", f"{TRADES} SELECT run_id, run_date, CASE WHEN net_return_pct >= 10 THEN '>= 10%' WHEN net_return_pct >= 5 THEN '5% to 10%' WHEN net_return_pct >= 0 THEN '0% to 5%' WHEN net_return_pct >= -5 THEN '-5% to 0%' WHEN net_return_pct >= -10 THEN '-10% to -5%' ELSE '< -10%' END AS return_bucket, count(*) AS trades FROM trades JOIN runs USING (run_id) GROUP BY 1, 2, 3")
 def _(spark, sf):
-    return views.trade_distribution(snapshot.derived_trades(spark, sf), snapshot.runs(spark)).groupBy("run_id", "run_date", "return_bucket").agg(F.count("*").alias("trades"))
+    return views.trade_distribution(snapshot.trades(spark, sf), snapshot.runs(spark, sf)).groupBy("run_id", "run_date", "return_bucket").agg(F.count("*").alias("trades"))
 
 
-@query("v16_command_center", f"{_BOARD}, {RUNS_SQL}, d AS (SELECT max(price_date) AS latest_date FROM prices), v AS (SELECT r.run_id, s.signal, r.win_rate FROM (SELECT * FROM runs WHERE run_type = 'full_validation' ORDER BY run_date DESC, run_id DESC LIMIT 1) r LEFT JOIN decisions s ON s.signal_date = r.run_date AND s.profile = r.profile AND s.run_type = r.run_type) SELECT d.latest_date, (SELECT count(*) FROM prices p WHERE p.price_date = d.latest_date) AS priced, (SELECT count(*) FROM board WHERE portfolio_approved AND recommendation_date = (SELECT max(recommendation_date) FROM board)) AS approved_picks, v.run_id, v.signal, v.win_rate FROM d LEFT JOIN v ON TRUE")
+@query("v16_command_center", f"{_BOARD}, {TRADES_SQL}, {RUNS_SQL}, d AS (SELECT max(price_date) AS latest_date FROM prices), v AS (SELECT r.run_id, s.signal, r.win_rate FROM (SELECT * FROM runs WHERE run_type = 'full_validation' ORDER BY run_date DESC, run_id DESC LIMIT 1) r LEFT JOIN decisions s ON s.signal_date = r.run_date AND s.profile = r.profile AND s.run_type = r.run_type) SELECT d.latest_date, (SELECT count(*) FROM prices p WHERE p.price_date = d.latest_date) AS priced, (SELECT count(*) FROM board WHERE portfolio_approved AND recommendation_date = (SELECT max(recommendation_date) FROM board)) AS approved_picks, v.run_id, v.signal, v.win_rate FROM d LEFT JOIN v ON TRUE")
 def _(spark, sf):
-    out = views.command_center(views.latest_verdict(snapshot.runs(spark), snapshot.decisions(spark)), views.market_overview(market.prices(spark, sf)), views.daily_board(_board(spark, sf)))
+    out = views.command_center(views.latest_verdict(snapshot.runs(spark, sf), snapshot.decisions(spark, sf)), views.market_overview(market.prices(spark, sf)), views.daily_board(_board(spark, sf)))
     return out.select("latest_date", "priced", "approved_picks", "run_id", "signal", "win_rate")
 
 
@@ -618,26 +625,26 @@ def _(spark, sf):
     return market.prices(spark, sf).agg(F.count("*").alias("rows"), F.countDistinct("stock_id").alias("stocks"), F.min("price_date").alias("first_date"), F.max("price_date").alias("last_date"), F.count_if(F.col("close_price") <= 0).alias("invalid"), F.count_if(F.col("change_1d_pct").isNull()).alias("missing"))
 
 
-@query("a08_backtest_metrics", f"{TRADES} SELECT run_id, {_METRICS}, round(avg(net_return_pct) FILTER (net_return_pct > 0), 6) AS avg_win, round(avg(net_return_pct) FILTER (net_return_pct <= 0), 6) AS avg_loss, round(count(*) FILTER (gross_return_pct > 0) / count(*), 6) AS directional_accuracy FROM trades GROUP BY 1")
+@query("a08_backtest_metrics", f"{TRADES} SELECT run_id, {_METRICS}, round(CAST(sum(net_return_pct::DECIMAL(18,4)) FILTER (net_return_pct > 0)::DOUBLE / count(*) FILTER (net_return_pct > 0) AS DECIMAL(28,10)), 6)::DOUBLE AS avg_win, round(CAST(sum(net_return_pct::DECIMAL(18,4)) FILTER (net_return_pct <= 0)::DOUBLE / count(*) FILTER (net_return_pct <= 0) AS DECIMAL(28,10)), 6)::DOUBLE AS avg_loss, round(count(*) FILTER (gross_return_pct > 0) / count(*), 6) AS directional_accuracy FROM trades GROUP BY 1")
 def _(spark, sf):
-    return backtest.trade_metrics(snapshot.derived_trades(spark, sf), ["run_id"]).select("run_id", *_METRIC_NAMES, "avg_win", "avg_loss", "directional_accuracy")
+    return backtest.trade_metrics(snapshot.trades(spark, sf), ["run_id"]).select("run_id", *_METRIC_NAMES, "avg_win", "avg_loss", "directional_accuracy")
 
 
 @query("a09_max_drawdown", f"{TRADES}, e AS (SELECT run_id, entry_date, stock_id, trade_id, exp(sum(ln(1 + net_return_pct / 100)) OVER (PARTITION BY run_id ORDER BY entry_date, stock_id, trade_id, net_return_pct ROWS UNBOUNDED PRECEDING)) AS equity FROM trades), p AS (SELECT *, greatest(1, max(equity) OVER (PARTITION BY run_id ORDER BY entry_date, stock_id, trade_id, equity ROWS UNBOUNDED PRECEDING)) AS peak FROM e) SELECT run_id, round(max((peak - equity) / peak * 100), 2) AS max_drawdown_pct FROM p GROUP BY 1")
 def _(spark, sf):
-    t = snapshot.derived_trades(spark, sf)
+    t = snapshot.trades(spark, sf)
     return backtest.max_drawdown(t, "run_id", ["entry_date", "stock_id", "trade_id", "net_return_pct"]).withColumn("max_drawdown_pct", F.round("max_drawdown_pct", 2))
 
 
 @query("a10_year_equity", f"{TRADES}, e AS (SELECT run_id, entry_date, trade_id, net_return_pct, exp(sum(ln(1 + net_return_pct / 100)) OVER (PARTITION BY run_id ORDER BY entry_date, trade_id, net_return_pct ROWS UNBOUNDED PRECEDING)) AS equity FROM trades), y AS (SELECT run_id, CAST(year(entry_date) AS INTEGER) AS year, equity FROM e QUALIFY row_number() OVER (PARTITION BY run_id, year(entry_date) ORDER BY entry_date DESC, trade_id DESC, net_return_pct DESC) = 1) SELECT run_id, year, round(log10(coalesce(lag(equity) OVER w, 1)), 6) AS start_log10, round(log10(equity), 6) AS end_log10 FROM y WINDOW w AS (PARTITION BY run_id ORDER BY year)")
 def _(spark, sf):
-    years = backtest.year_equity(snapshot.derived_trades(spark, sf), order=["entry_date", "trade_id", "net_return_pct"])
+    years = backtest.year_equity(snapshot.trades(spark, sf), order=["entry_date", "trade_id", "net_return_pct"])
     return years.select("run_id", "year", F.log10("start_equity").alias("start_log10"), F.log10("end_equity").alias("end_log10"))
 
 
-@query("a11_decision_signal", f"WITH {RUNS_SQL}, l AS (SELECT * FROM runs WHERE run_date <= '2001-01-04' QUALIFY row_number() OVER (PARTITION BY run_date ORDER BY run_id DESC) = 1 ORDER BY run_date DESC LIMIT 4), m AS (SELECT count(*) AS runs, avg(win_rate) AS win_rate, avg(return_pct) AS return_pct, avg(profit_factor) AS profit_factor, max(max_drawdown_pct) AS max_drawdown_pct FROM l) SELECT *, CASE WHEN win_rate >= 45 AND return_pct > 0 AND profit_factor >= 1.2 AND max_drawdown_pct <= 25 THEN 'GREEN' WHEN win_rate >= 35 AND return_pct > -2 AND profit_factor >= 0.9 AND max_drawdown_pct <= 35 THEN 'YELLOW' ELSE 'RED' END AS signal FROM m")
+@query("a11_decision_signal", f"{TRADES}, l AS (SELECT * FROM runs WHERE run_date <= '2001-01-04' QUALIFY row_number() OVER (PARTITION BY run_date ORDER BY run_id DESC) = 1 ORDER BY run_date DESC LIMIT 4), m AS (SELECT count(*) AS runs, avg(win_rate) AS win_rate, avg(return_pct) AS return_pct, avg(profit_factor) AS profit_factor, max(max_drawdown_pct) AS max_drawdown_pct FROM l) SELECT *, CASE WHEN win_rate >= 45 AND return_pct > 0 AND profit_factor >= 1.2 AND max_drawdown_pct <= 25 THEN 'GREEN' WHEN win_rate >= 35 AND return_pct > -2 AND profit_factor >= 0.9 AND max_drawdown_pct <= 35 THEN 'YELLOW' ELSE 'RED' END AS signal FROM m")
 def _(spark, sf):
-    r = snapshot.runs(spark).withColumns({n: views.json_number("run_metadata", f"$.portfolio.{n}") for n in ("win_rate", "return_pct", "profit_factor", "max_drawdown_pct")})
+    r = snapshot.runs(spark, sf).withColumns({n: views.json_number("run_metadata", f"$.portfolio.{n}") for n in ("win_rate", "return_pct", "profit_factor", "max_drawdown_pct")})
     return backtest.decision(r, as_of="2001-01-04")
 
 
@@ -836,7 +843,7 @@ def _(spark, sf):
     return views.recommendation_board(rows, market.stocks(spark, sf)).select("stock_code", "recommendation_date", "board_rank", "probability_pct", "agreement_pct", "action", "rejection_reason")
 
 
-@query("m11_backtest")
+@query("m11_backtest", f"{SCREEN_HEAD}, {TRADES_SQL} SELECT stock_id, stock_code, entry_date, exit_date, entry_price, exit_price, gross_return_pct, net_return_pct, {r6('score')}, round(agreement, 6) AS confidence, run_id, trade_id FROM trades")
 def _(spark, sf):
     return snapshot.trades(spark, sf)
 
@@ -851,17 +858,17 @@ def _(spark, sf):
 
 @query("v11_portfolio_equity", f"{TRADES}, d AS (SELECT run_id, entry_date, sum(net_return_pct) AS day_return, count(*) AS trades FROM trades GROUP BY 1, 2) SELECT run_id, run_date, run_type, entry_date, trades, round(sum(day_return) OVER (PARTITION BY run_id ORDER BY entry_date ROWS UNBOUNDED PRECEDING), 4) AS equity_points FROM d JOIN runs USING (run_id)")
 def _(spark, sf):
-    d = snapshot.derived_trades(spark, sf).groupBy("run_id", "entry_date").agg(F.sum("net_return_pct").alias("day_return"), F.count("*").alias("trades"))
+    d = snapshot.trades(spark, sf).groupBy("run_id", "entry_date").agg(F.sum("net_return_pct").alias("day_return"), F.count("*").alias("trades"))
     w = Window.partitionBy("run_id").orderBy("entry_date").rowsBetween(Window.unboundedPreceding, 0)
-    return views.with_run(d.withColumn("equity_points", F.round(F.sum("day_return").over(w), 4)), snapshot.runs(spark)).select("run_id", "run_date", "run_type", "entry_date", "trades", "equity_points")
+    return views.with_run(d.withColumn("equity_points", F.round(F.sum("day_return").over(w), 4)), snapshot.runs(spark, sf)).select("run_id", "run_date", "run_type", "entry_date", "trades", "equity_points")
 
 
 @query("v12_drawdown_curve", f"{TRADES}, d AS (SELECT run_id, entry_date, sum(net_return_pct) AS day_return FROM trades GROUP BY 1, 2), e AS (SELECT run_id, entry_date, sum(day_return) OVER (PARTITION BY run_id ORDER BY entry_date ROWS UNBOUNDED PRECEDING) AS equity FROM d) SELECT run_id, entry_date, round(greatest(0, max(equity) OVER (PARTITION BY run_id ORDER BY entry_date ROWS UNBOUNDED PRECEDING)) - equity, 4) AS drawdown_points FROM e JOIN runs USING (run_id)")
 def _(spark, sf):
-    d = snapshot.derived_trades(spark, sf).groupBy("run_id", "entry_date").agg(F.sum("net_return_pct").alias("day_return"))
+    d = snapshot.trades(spark, sf).groupBy("run_id", "entry_date").agg(F.sum("net_return_pct").alias("day_return"))
     w = Window.partitionBy("run_id").orderBy("entry_date").rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("equity", F.sum("day_return").over(w)).withColumn("drawdown_points", F.round(F.greatest(F.lit(0.0), F.max("equity").over(w)) - F.col("equity"), 4))
-    return views.with_run(d, snapshot.runs(spark)).select("run_id", "entry_date", "drawdown_points")
+    return views.with_run(d, snapshot.runs(spark, sf)).select("run_id", "entry_date", "drawdown_points")
 
 
 @query("f14_technical_guard", f"WITH {market.PRICES_SQL}, base AS (SELECT * FROM prices WHERE {TRUSTED_SQL}), {FEATURES_SQL} SELECT count(*) FILTER (g) AS rejected, count(*) FILTER (NOT g) AS kept FROM (SELECT coalesce(drawdown_20d < 1, FALSE) OR coalesce(change_20d > 12, FALSE) OR (close_price >= high_20d * 0.99::DOUBLE AND coalesce(change_10d > 8, FALSE)) AS g FROM features)")
@@ -881,22 +888,22 @@ def _(spark, sf):
     return features.proxy_score(_dataset(spark, sf)).filter((F.col("close_price") >= 8) & (F.col("proxy_score") >= 70) & (F.col("proxy_agreement") >= 0.6)).select("stock_id", "price_date", "proxy_score", "proxy_agreement", "forward_return")
 
 
-@query("f17_comparable_runs", f"WITH {RUNS_SQL} SELECT run_id, run_date, run_type FROM runs WHERE profile = 'balanced' AND run_type = 'full_validation' AND trade_count >= 20")
+@query("f17_comparable_runs", f"{TRADES} SELECT run_id, run_date, run_type FROM runs WHERE profile = 'balanced' AND run_type = 'full_validation' AND trade_count >= 20")
 def _(spark, sf):
-    r = snapshot.runs(spark)
+    r = snapshot.runs(spark, sf)
     return r.filter((F.col("profile") == "balanced") & (F.col("run_type") == "full_validation") & (views.json_number("run_metadata", "$.portfolio.trades") >= 20)).select("run_id", "run_date", "run_type")
 
 
-@query("a05_recommendation_outcomes", f"{TRADES} SELECT stock_code, count(*) AS total, count(*) FILTER (net_return_pct >= 10) AS hit_target, count(*) FILTER (net_return_pct <= -6) AS hit_stop, round(avg(net_return_pct), 6) AS avg_return, round(count(*) FILTER (net_return_pct >= 10) / nullif(count(*) FILTER (net_return_pct >= 10 OR net_return_pct <= -6), 0) * 100, 6) AS win_rate FROM trades GROUP BY 1")
+@query("a05_recommendation_outcomes", f"{TRADES} SELECT stock_code, count(*) AS total, count(*) FILTER (net_return_pct >= 10) AS hit_target, count(*) FILTER (net_return_pct <= -6) AS hit_stop, round(CAST(sum(net_return_pct::DECIMAL(18,4))::DOUBLE / count(*) AS DECIMAL(28,10)), 6)::DOUBLE AS avg_return, round(count(*) FILTER (net_return_pct >= 10) / nullif(count(*) FILTER (net_return_pct >= 10 OR net_return_pct <= -6), 0) * 100, 6) AS win_rate FROM trades GROUP BY 1")
 def _(spark, sf):
     hit, stop = F.col("net_return_pct") >= 10, F.col("net_return_pct") <= -6
-    t = snapshot.derived_trades(spark, sf).groupBy("stock_code")
-    return t.agg(F.count("*").alias("total"), F.count_if(hit).alias("hit_target"), F.count_if(stop).alias("hit_stop"), F.avg("net_return_pct").alias("avg_return"), (F.count_if(hit) / F.nullif(F.count_if(hit | stop), F.lit(0)) * 100).alias("win_rate"))
+    t = snapshot.trades(spark, sf).groupBy("stock_code")
+    return t.agg(F.count("*").alias("total"), F.count_if(hit).alias("hit_target"), F.count_if(stop).alias("hit_stop"), scalars.exact_mean(F.col("net_return_pct")).alias("avg_return"), (F.count_if(hit) / F.nullif(F.count_if(hit | stop), F.lit(0)) * 100).alias("win_rate"))
 
 
 @query("a10_rollup_by_stock", f"{TRADES} SELECT run_id, stock_code, {_METRICS}, round(sum(net_return_pct), 4) AS pnl_points FROM trades GROUP BY 1, 2")
 def _(spark, sf):
-    t = snapshot.derived_trades(spark, sf)
+    t = snapshot.trades(spark, sf)
     pnl = t.groupBy("run_id", "stock_code").agg(F.round(F.sum("net_return_pct"), 4).alias("pnl_points"))
     return backtest.trade_metrics(t, ["run_id", "stock_code"]).join(pnl, ["run_id", "stock_code"]).select("run_id", "stock_code", *_METRIC_NAMES, "pnl_points")
 
@@ -979,8 +986,8 @@ def _(spark, sf):
 
 @query("u10_replaced_run", f"{TRADES}, old AS (SELECT run_id FROM runs WHERE run_type = 'weekly') SELECT 'runs' AS name, count(*) + 1 AS rows FROM runs WHERE run_id NOT IN (SELECT run_id FROM old) UNION ALL SELECT 'trades', count(*) FROM trades WHERE run_id NOT IN (SELECT run_id FROM old)")
 def _(spark, sf):
-    r = snapshot.runs(spark).select("run_id", "run_type", "profile")
-    out = staging.replace_run({"trades": snapshot.derived_trades(spark, sf)}, r, spark.createDataFrame([(100, "weekly", "balanced")], "run_id long, run_type string, profile string"), ["run_type", "profile"])
+    r = snapshot.runs(spark, sf).select("run_id", "run_type", "profile")
+    out = staging.replace_run({"trades": snapshot.trades(spark, sf)}, r, spark.createDataFrame([(100, "weekly", "balanced")], "run_id long, run_type string, profile string"), ["run_type", "profile"])
     return reduce(DataFrame.unionByName, [t.agg(F.lit(name).alias("name"), F.count("*").alias("rows")).select("name", "rows") for name, t in out.items()])
 
 

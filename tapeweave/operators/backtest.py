@@ -165,6 +165,11 @@ def decision(runs: DataFrame, *, as_of: str, most: int = 4) -> DataFrame:
     """One verdict from the last comparable runs, one for each day: means, worst drawdown, and a colour."""
     last = runs.filter(F.col("run_date") <= F.lit(as_of).cast("date")).withColumn("_n", F.row_number().over(Window.partitionBy("run_date").orderBy(F.col("run_id").desc()))).filter("_n = 1").orderBy(F.col("run_date").desc()).limit(most)
     out = last.agg(F.count("*").alias("runs"), F.coalesce(F.avg("win_rate"), F.lit(0.0)).alias("win_rate"), F.coalesce(F.avg("return_pct"), F.lit(0.0)).alias("return_pct"), F.coalesce(F.avg("profit_factor"), F.lit(0.0)).alias("profit_factor"), F.coalesce(F.max("max_drawdown_pct"), F.lit(0.0)).alias("max_drawdown_pct"))
+    return out.withColumn("signal", colour())
+
+
+def colour() -> Column:
+    """GREEN, YELLOW or RED by win_rate, return_pct, profit_factor and max_drawdown_pct; what is null does not pass."""
     green = (F.col("win_rate") >= 45) & (F.col("return_pct") > 0) & (F.col("profit_factor") >= 1.2) & (F.col("max_drawdown_pct") <= 25)
     yellow = (F.col("win_rate") >= 35) & (F.col("return_pct") > -2) & (F.col("profit_factor") >= 0.9) & (F.col("max_drawdown_pct") <= 35)
-    return out.withColumn("signal", F.when(green, "GREEN").when(yellow, "YELLOW").otherwise("RED"))
+    return F.when(green, "GREEN").when(yellow, "YELLOW").otherwise("RED")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeweave.operators import advisory, backtest, features, indicators, quality
+from tapeweave.operators.running import running_equity
 from tapeweave.plans import market
 from tapeweave.plans.facts import stored
 
@@ -41,32 +42,46 @@ def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Backtest trades over all days; a run for each remainder of the instrument by four."""
-    picked = backtest.without_overlap(backtest.candidate_trades(screened(spark, sf_dir)))
-    return picked.withColumns({"run_id": F.col("stock_id") % 4, "trade_id": F.datediff("entry_date", F.lit("1992-01-01")) * 100_000 + F.col("stock_id")})
-
-
-def derived_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trades that follow from orders alone, for the views: entry on the order's day, exit ten days later."""
-    o = market.table(spark, sf_dir, "orders")
-    r = F.round(F.pmod(F.col("o_orderkey") * 37 + F.col("o_custkey") * 11, F.lit(4001)) / 100.0 - 20.0, 2)
-    day = F.col("o_orderdate").cast("date")
-    return o.select((F.col("o_custkey") % 8).alias("run_id"), F.col("o_orderkey").alias("trade_id"), (F.col("o_custkey") % 50).alias("stock_id"), F.concat(F.lit("S"), F.col("o_custkey") % 50).alias("stock_code"), day.alias("entry_date"), F.date_add(day, 10).alias("exit_date"), r.alias("net_return_pct"), (r + 0.2).alias("gross_return_pct"))
-
-
-def runs(spark: SparkSession) -> DataFrame:
-    """Eight backtest runs with JSON metadata."""
-    n = F.col("id")
-    meta = F.to_json(F.named_struct(F.lit("portfolio"), F.named_struct(F.lit("win_rate"), 30 + n * 4, F.lit("return_pct"), n - 3, F.lit("profit_factor"), 1 + n, F.lit("max_drawdown_pct"), 40 - n * 3, F.lit("trades"), n * 10)))
-    return spark.range(8).select(n.alias("run_id"), F.date_add(F.lit("2001-01-01").cast("date"), (n / 2).cast("int")).alias("run_date"), F.lit("balanced").alias("profile"), F.when(n % 2 == 0, "full_validation").otherwise("weekly").alias("run_type"), n.alias("created_at"), meta.alias("run_metadata"))
-
-
-def decisions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([("2001-01-01", "balanced", "full_validation", "GREEN"), ("2001-01-02", "balanced", "weekly", "YELLOW"), ("2001-01-04", "balanced", "full_validation", "RED")], "d string, profile string, run_type string, signal string").select(F.col("d").cast("date").alias("signal_date"), "profile", "run_type", "signal")
-
-
-TRADES_SQL = "trades AS (SELECT o_custkey % 8 AS run_id, o_orderkey AS trade_id, o_custkey % 50 AS stock_id, 'S' || CAST(o_custkey % 50 AS VARCHAR) AS stock_code, CAST(o_orderdate AS DATE) AS entry_date, CAST(o_orderdate AS DATE) + 10 AS exit_date, round(((o_orderkey * 37 + o_custkey * 11) % 4001) / 100.0::DOUBLE - 20.0::DOUBLE, 2) AS net_return_pct, round(((o_orderkey * 37 + o_custkey * 11) % 4001) / 100.0::DOUBLE - 20.0::DOUBLE, 2) + 0.2::DOUBLE AS gross_return_pct FROM orders)"
-RUNS_SQL = "runs AS (SELECT n AS run_id, DATE '2001-01-01' + CAST(n // 2 AS INTEGER) AS run_date, 'balanced' AS profile, CASE WHEN n % 2 = 0 THEN 'full_validation' ELSE 'weekly' END AS run_type, n AS created_at, (30 + n * 4)::DOUBLE AS win_rate, (n - 3)::DOUBLE AS return_pct, (1 + n)::DOUBLE AS profit_factor, (40 - n * 3)::DOUBLE AS max_drawdown_pct, (n * 10)::DOUBLE AS trade_count FROM range(8) t(n)), decisions AS (SELECT * FROM (VALUES (DATE '2001-01-01', 'balanced', 'full_validation', 'GREEN'), (DATE '2001-01-02', 'balanced', 'weekly', 'YELLOW'), (DATE '2001-01-04', 'balanced', 'full_validation', 'RED')) v(signal_date, profile, run_type, signal))"
+    """Backtest trades over all days, stored once; a run holds those entered in half a year."""
+    def build() -> DataFrame:
+        picked = backtest.without_overlap(backtest.candidate_trades(screened(spark, sf_dir)))
+        run = (F.year("entry_date") - 1990) * 2 + (F.month("entry_date") > 6).cast("int")
+        return picked.withColumns({"run_id": run.cast("long"), "trade_id": F.datediff("entry_date", F.lit("1992-01-01")) * 100_000 + F.col("stock_id")})
+
+    return stored(spark, sf_dir, "trades", build, sort=("stock_id", "entry_date"))
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of trades(), one row each, with what they came to as JSON metadata; dated by the last exit."""
+    t = trades(spark, sf_dir)
+    sums = backtest.trade_metrics(t, ["run_id"]).select("run_id", F.round("win_rate", 4).alias("win_rate"), F.round("profit_factor", 4).alias("profit_factor"), F.col("trades").alias("_count"))
+    rows = running_equity(t, "run_id", ["trade_id"])
+    falls = rows.groupBy("run_id").agg(F.round(F.max((F.col("peak") - F.col("equity")) / F.col("peak") * 100), 4).alias("max_drawdown_pct"), F.round((F.max_by("equity", "trade_id") - 1) * 100, 4).alias("return_pct"), F.max("exit_date").alias("run_date"))
+    numbers = F.struct("win_rate", "return_pct", "profit_factor", "max_drawdown_pct", F.col("_count").alias("trades"))
+    n = F.col("run_id")
+    return sums.join(falls, "run_id").select(n, "run_date", F.lit("balanced").alias("profile"), F.when(n % 2 == 1, "full_validation").otherwise("weekly").alias("run_type"), n.alias("created_at"), F.to_json(F.struct(numbers.alias("portfolio"))).alias("run_metadata"))
+
+
+def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The colour of each run by itself."""
+    number = lambda k: F.get_json_object("run_metadata", f"$.portfolio.{k}").try_cast("double")
+    rows = runs(spark, sf_dir).withColumns({k: number(k) for k in ("win_rate", "return_pct", "profit_factor", "max_drawdown_pct")})
+    return rows.select(F.col("run_date").alias("signal_date"), "profile", "run_type", backtest.colour().alias("signal"))
+
+
+TRADES_SQL = """candidates AS MATERIALIZED (SELECT * FROM (SELECT stock_id, stock_code, price_date AS entry_date, close_price AS entry_price, lead(price_date, 10) OVER w AS exit_date, lead(close_price, 10) OVER w AS exit_price, score, agreement, rejection_reason, action FROM gated WINDOW w AS (PARTITION BY stock_id ORDER BY price_date))
+  WHERE rejection_reason IS NULL AND action IN ('BUY', 'STRONG_BUY') QUALIFY row_number() OVER (PARTITION BY entry_date ORDER BY round(score, 9) * 1000 + round(agreement, 9) * 100 DESC, stock_id) <= 5),
+closed AS MATERIALIZED (SELECT * FROM candidates WHERE exit_date IS NOT NULL),
+followers AS MATERIALIZED (SELECT c.stock_id, c.entry_date, min(d.entry_date) AS following FROM closed c LEFT JOIN closed d ON d.stock_id = c.stock_id AND d.entry_date > c.exit_date GROUP BY 1, 2),
+taken AS (SELECT stock_id, min(entry_date) AS entry_date FROM closed GROUP BY 1 UNION ALL SELECT f.stock_id, f.following FROM taken t JOIN followers f ON f.stock_id = t.stock_id AND f.entry_date = t.entry_date WHERE f.following IS NOT NULL),
+trades AS MATERIALIZED (SELECT CAST((year(entry_date) - 1990) * 2 + (month(entry_date) > 6)::INT AS BIGINT) AS run_id, date_diff('day', DATE '1992-01-01', entry_date) * 100000 + stock_id AS trade_id, stock_id, stock_code, entry_date, exit_date, entry_price, exit_price, score, agreement,
+  round((exit_price - entry_price) / entry_price * 100, 4) AS gross_return_pct, round((exit_price - entry_price) / entry_price * 100 - 0.2::DOUBLE, 4) AS net_return_pct FROM closed JOIN taken USING (stock_id, entry_date) WHERE abs(round((exit_price - entry_price) / entry_price * 100, 4)) <= 50)"""
+_COLOUR_SQL = "CASE WHEN win_rate >= 45 AND return_pct > 0 AND profit_factor >= 1.2 AND max_drawdown_pct <= 25 THEN 'GREEN' WHEN win_rate >= 35 AND return_pct > -2 AND profit_factor >= 0.9 AND max_drawdown_pct <= 35 THEN 'YELLOW' ELSE 'RED' END"
+RUNS_SQL = f"""curves AS (SELECT run_id, trade_id, exp(sum(ln(1 + net_return_pct / 100)) OVER (PARTITION BY run_id ORDER BY trade_id ROWS UNBOUNDED PRECEDING)) AS equity FROM trades),
+falls AS (SELECT run_id, round(max((peak - equity) / peak * 100), 4) AS max_drawdown_pct, round((arg_max(equity, trade_id) - 1) * 100, 4) AS return_pct FROM (SELECT *, greatest(1, max(equity) OVER (PARTITION BY run_id ORDER BY trade_id ROWS UNBOUNDED PRECEDING)) AS peak FROM curves) GROUP BY 1),
+runs AS (SELECT run_id, max(exit_date) AS run_date, 'balanced' AS profile, CASE WHEN run_id % 2 = 1 THEN 'full_validation' ELSE 'weekly' END AS run_type, run_id AS created_at, round(count(*) FILTER (net_return_pct > 0) / count(*) * 100, 4) AS win_rate, any_value(return_pct) AS return_pct,
+  round(CASE WHEN -sum(net_return_pct) FILTER (net_return_pct <= 0) > 0 THEN coalesce(sum(net_return_pct) FILTER (net_return_pct > 0), 0) / -sum(net_return_pct) FILTER (net_return_pct <= 0) END, 4) AS profit_factor, any_value(max_drawdown_pct) AS max_drawdown_pct, count(*)::DOUBLE AS trade_count FROM trades JOIN falls USING (run_id) GROUP BY run_id),
+decisions AS (SELECT run_date AS signal_date, profile, run_type, {_COLOUR_SQL} AS signal FROM runs)"""
 
 TRUSTED_SQL = "bar_status IN ('RECONCILED', 'OFFICIAL') AND data_quality_flag IN ('GOOD', 'INCOMPLETE') AND (confidence_score IS NULL OR confidence_score >= 65)"
 

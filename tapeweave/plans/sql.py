@@ -24,8 +24,8 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     latest = alerts.latest_rows(market.prices(spark, sf_dir), snapshot.indicator_rows(spark, sf_dir)).join(market.stocks(spark, sf_dir).select("stock_id", "stock_code"), "stock_id")
     return {
         "prices": market.prices(spark, sf_dir), "stocks": market.stocks(spark, sf_dir), "sectors": market.sectors(spark, sf_dir), "staging": market.staging(spark, sf_dir),
-        "indicators": snapshot.indicator_rows(spark, sf_dir), "recommendations": snapshot.recommendations(spark, sf_dir), "trades": snapshot.derived_trades(spark, sf_dir),
-        "backtest_runs": snapshot.runs(spark), "decision_signals": snapshot.decisions(spark),
+        "indicators": snapshot.indicator_rows(spark, sf_dir), "recommendations": snapshot.recommendations(spark, sf_dir), "trades": snapshot.trades(spark, sf_dir),
+        "backtest_runs": snapshot.runs(spark, sf_dir), "decision_signals": snapshot.decisions(spark, sf_dir),
         "alerts": alerts.alert_rows(alerts.evaluate(latest, alerts.seeded_rules(spark))).withColumn("is_resolved", F.lit(False)),
     }
 
