@@ -505,6 +505,36 @@ def _(spark, sf):
     return snapshot.screened(spark, sf).filter("rank <= 5").select("price_date", "stock_code", F.col("rank").cast("long").alias("rank"))
 
 
+@query("t02_top_picks_nulls_first", f"{_RECS} SELECT recommendation_date, place, stock_code FROM (SELECT *, row_number() OVER (PARTITION BY recommendation_date ORDER BY round(probability, 9) DESC NULLS FIRST, round(score, 9) DESC, round(agreement, 9) DESC, stock_code) AS place FROM recs WHERE portfolio_approved OR rejection_reason IS NULL) WHERE place <= 5")
+def _(spark, sf):
+    recs = snapshot.recommendations(spark, sf).filter("portfolio_approved or rejection_reason is null").withColumns({c: F.round(c, 9) for c in ("probability", "score", "agreement")})
+    return views.top_picks(recs, 5, nulls_first=True).select("recommendation_date", F.col("place").cast("long").alias("place"), "stock_code")
+
+
+@query("f07_extreme_lists", f"{INDICATOR_HEAD}, l AS (SELECT * FROM indicators QUALIFY row_number() OVER (PARTITION BY stock_id ORDER BY price_date DESC) = 1) SELECT list, place, stock_id, round(value, 6) AS value FROM (SELECT 'oversold' AS list, row_number() OVER (ORDER BY rsi_14, stock_id) AS place, stock_id, rsi_14 AS value FROM l WHERE rsi_14 <= 30 UNION ALL SELECT 'overbought', row_number() OVER (ORDER BY rsi_14 DESC, stock_id), stock_id, rsi_14 FROM l WHERE rsi_14 >= 70 UNION ALL SELECT 'volatile', row_number() OVER (ORDER BY volatility_30 DESC, stock_id), stock_id, volatility_30 FROM l WHERE volatility_30 >= 0.3) WHERE place <= 20")
+def _(spark, sf):
+    last = snapshot.indicator_rows(spark, sf).groupBy("stock_id").agg(F.max_by(F.struct("rsi_14", "volatility_30"), "price_date").alias("i")).select("stock_id", "i.*")
+    return views.extremes(last, 20).select("list", F.col("place").cast("long").alias("place"), "stock_id", "value")
+
+
+@query("w19_live_history", f"{PRICES} SELECT stock_id, price_date, least(row_number() OVER (PARTITION BY stock_id ORDER BY price_date), 90) AS live_history_days FROM prices WHERE {TRUSTED_SQL}")
+def _(spark, sf):
+    return features.live_history_days(snapshot.trusted_prices(spark, sf)).select("stock_id", "price_date", F.col("live_history_days").cast("long").alias("live_history_days"))
+
+
+@query("b02_custom_metrics", f"{_BOARD}, {TRADES_SQL}, {market.STAGING_SQL[market.STAGING_SQL.index('staging AS'):]}, latest_board AS (SELECT * FROM board WHERE recommendation_date = (SELECT max(recommendation_date) FROM board)), staged AS (SELECT price_date, count(*) AS n, count(*) FILTER (coalesce(close_price <= 0, TRUE)) AS bad FROM staging GROUP BY 1), facts AS (SELECT price_date, count(*) FILTER (coalesce(close_price <= 0, TRUE)) AS bad FROM prices GROUP BY 1), monitored AS (SELECT coalesce(s.price_date, f.price_date) AS d, coalesce(s.n, 0) AS n, coalesce(s.bad, 0) + coalesce(f.bad, 0) AS bad FROM staged s FULL OUTER JOIN facts f USING (price_date)) SELECT 'rejected_candidates' AS metric, CAST(recommendation_date AS VARCHAR) AS dimension, count(*) FILTER (NOT portfolio_approved) AS value FROM latest_board GROUP BY 2 UNION ALL SELECT 'rejections_by_reason', portfolio_reason, count(*) FROM latest_board WHERE NOT portfolio_approved GROUP BY 2 UNION ALL SELECT 'return_distribution', CASE WHEN net_return_pct >= 10 THEN '>= 10%' WHEN net_return_pct >= 5 THEN '5% to 10%' WHEN net_return_pct >= 0 THEN '0% to 5%' WHEN net_return_pct >= -5 THEN '-5% to 0%' WHEN net_return_pct >= -10 THEN '-10% to -5%' ELSE '< -10%' END, count(*) FROM trades GROUP BY 2 UNION ALL SELECT 'invalid_prices', CAST(d AS VARCHAR), CAST(bad AS BIGINT) FROM monitored UNION ALL SELECT 'missing_change_fields', CAST(d AS VARCHAR), CAST(2 * n AS BIGINT) FROM monitored")
+def _(spark, sf):
+    monitor = views.data_quality_monitor(market.staging(spark, sf), market.prices(spark, sf), snapshot.indicator_rows(spark, sf))
+    return views.custom_metrics(_board(spark, sf), snapshot.trades(spark, sf), monitor)
+
+
+@query("u06_upsert_prices", f"{PRICES} SELECT stock_id, price_date, close_price, CASE WHEN price_date >= '2001-03-01' THEN volume + 1 ELSE volume END AS volume FROM prices")
+def _(spark, sf):
+    """The fact up to a day, and a batch that corrects its last months and adds later ones."""
+    p = market.prices(spark, sf).select("stock_id", "price_date", "close_price", "volume")
+    return staging.upsert(p.filter("price_date < '2001-06-01'"), p.filter("price_date >= '2001-03-01'").withColumn("volume", F.col("volume") + 1), ["stock_id", "price_date"])
+
+
 @query("t07_gainers_losers", f"{PRICES}, d AS (SELECT * FROM prices WHERE price_date = (SELECT max(price_date) FROM prices) AND change_1d_pct IS NOT NULL) SELECT * FROM (SELECT 'gainer' AS side, stock_id, change_1d_pct FROM d ORDER BY change_1d_pct DESC, stock_id LIMIT 5) UNION ALL SELECT * FROM (SELECT 'loser' AS side, stock_id, change_1d_pct FROM d ORDER BY change_1d_pct, stock_id LIMIT 5)")
 def _(spark, sf):
     p = market.prices(spark, sf)
@@ -570,6 +600,14 @@ def _(spark, sf):
     return alerts.digest(_hits(spark, sf))
 
 
+@query("u08_upsert_alerts", f"{_LATEST} SELECT h.stock_id, CAST(h.rule_id AS BIGINT) AS rule_id, h.price_date AS alert_date, rule_type IN ('RSI', 'MACD') AS is_resolved FROM hits h JOIN {_TYPES} USING (rule_id)")
+def _(spark, sf):
+    """All alerts stand resolved; those of other types than RSI and MACD fire again, and are open again."""
+    hits = alerts.alert_rows(_hits(spark, sf))
+    again = hits.filter(~F.col("rule_type").isin("RSI", "MACD"))
+    return alerts.merge_alerts(hits.withColumn("is_resolved", F.lit(True)), again).select("stock_id", "rule_id", "alert_date", "is_resolved")
+
+
 @query("x12_alert_messages", f"{_LATEST} SELECT h.stock_id, CAST(rule_id AS BIGINT) AS rule_id, {_MESSAGES} AS message FROM hits h JOIN latest l ON l.stock_id = h.stock_id JOIN stocks s ON s.stock_id = h.stock_id")
 def _(spark, sf):
     return _hits(spark, sf).select("stock_id", "rule_id", "message")
@@ -691,9 +729,18 @@ def _(spark, sf):
     return _dataset(spark, sf).select("stock_id", "price_date", F.col("trusted_history_days").cast("long").alias("trusted_history_days"), "forward_return", "target")
 
 
-@query("a12_dataset_summary", f"{_DATASET} SELECT count(*) AS rows, count(DISTINCT stock_id) AS stocks, round(avg(target), 6) AS positive_rate, min(price_date) AS first_date, max(price_date) AS last_date, 0::BIGINT AS duplicates FROM data")
+_FIELDS = ("close_price", "volume", "change_1d_pct", "change_ytd_pct", "confidence_score", "bar_status", "data_quality_flag", "has_complete_data", "rsi_14", "macd", "macd_signal", "ma_90", "atr_14", "trend_strength", "forward_return")
+_named = lambda on, text: f"concat_ws(',', {', '.join(f'CASE WHEN {on(n)} THEN {text(n)} END' for n in sorted(_FIELDS))})"
+_quoted = "'{}'".format
+_SUMMARY = f"""{_DATASET}, x AS (SELECT d.*, i.rsi_14, i.macd, i.macd_signal, i.ma_90, NULL::DOUBLE AS atr_14, NULL::DOUBLE AS trend_strength FROM data d JOIN indicators i USING (stock_id, price_date))
+SELECT count(*) AS rows, count(DISTINCT stock_id) AS stocks, round(avg(target), 6) AS positive_rate, min(price_date) AS first_date, max(price_date) AS last_date, (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM data GROUP BY stock_id, price_date)) AS duplicates,
+  {_named(lambda n: f"count({n}) < count(*)", lambda n: f"'{n}=' || CAST(count(*) - count({n}) AS VARCHAR)")} AS missing, {_named("count({}) = 0".format, _quoted)} AS all_null,
+  {_named(lambda n: f"count({n}) = 0 OR count({n}) = count(*) AND min({n}) = max({n})", _quoted)} AS constants FROM x"""
+
+
+@query("a12_dataset_summary", _SUMMARY)
 def _(spark, sf):
-    return modeling.dataset_summary(_dataset(spark, sf))
+    return modeling.dataset_summary(_dataset(spark, sf), _FIELDS)
 
 
 def _away(a: str, b: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import timedelta
 
 import pandas as pd
@@ -16,13 +17,16 @@ from tapeweave.operators.running import running_equity
 from tapeweave.operators.scan import scan_by_key
 
 
-def candidate_trades(screened: DataFrame, *, horizon: int = 10, cost_pct: float = 0.2, top_n: int = 5, keep: Column | None = None) -> DataFrame:
+def candidate_trades(screened: DataFrame, *, horizon: int = 10, cost_pct: float = 0.2, top_n: int = 5, keep: Column | Callable[[pd.DataFrame], pd.Series] | None = None) -> DataFrame:
     """The top_n actionable rows of each day that no gate rejects, with exit `horizon` rows later; returns in percent, rounded to 4.
 
-    keep: a filter of recommendations before the ranking (a condition), as for the risk of bad trades.
+    keep: a filter of recommendations before the ranking: a condition, as for the risk of bad trades, or a function of a
+    day's actionable rows that says which stay; it is called once a day, with that day's rows alone.
     """
     df = screened.withColumns({"exit_date": F.lead("price_date", horizon).over(by_day()), "exit_price": F.lead("close_price", horizon).over(by_day()), "_row": F.row_number().over(by_day())})
-    df = df.filter(actionable() if keep is None else actionable() & keep)
+    df = df.filter(actionable() & keep if isinstance(keep, Column) else actionable())
+    if callable(keep) and not isinstance(keep, Column):
+        df = df.groupBy("price_date").applyInPandas(lambda day: day[keep(day)], df.schema)
     order = Window.partitionBy("price_date").orderBy(rank_key().desc(), "stock_id")
     df = df.withColumn("_n", F.row_number().over(order)).filter((F.col("_n") <= top_n) & F.col("exit_date").isNotNull()).drop("_n")
     gross = (F.col("exit_price") - F.col("close_price")) / F.col("close_price") * 100

@@ -35,6 +35,11 @@ def price_features(df: DataFrame) -> DataFrame:
     }).drop("_neg")
 
 
+def live_history_days(df: DataFrame, *, most: int = 90) -> DataFrame:
+    """df with live_history_days: an instrument's trusted days so far as the live screen counts them, which looks at `most` of them."""
+    return df.withColumn("live_history_days", F.least(F.row_number().over(by_day()), F.lit(most)))
+
+
 def with_label(df: DataFrame, *, horizon: int = 10, threshold: float = 0.0) -> DataFrame:
     """Forward return over `horizon` rows and whether it is above threshold; null at the end of history."""
     later = F.lead("close_price", horizon).over(by_day())

@@ -12,7 +12,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from tapeweave.operators.fits import FITS, Folds, fit_folds
 
@@ -234,10 +233,19 @@ def _labelled(data: DataFrame, rules: dict[str, Column], name: str) -> DataFrame
     return out.select(F.explode(F.array(*out.columns)).alias("s")).select("s.*")
 
 
-def dataset_summary(data: DataFrame) -> DataFrame:
-    keys = data.groupBy("stock_id", "price_date").count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("duplicates"))
-    return data.agg(F.count("*").alias("rows"), F.countDistinct("stock_id").alias("stocks"), F.avg(F.col("target").cast("double")).alias("positive_rate"), F.min("price_date").alias("first_date"), F.max("price_date").alias("last_date")).crossJoin(keys)
-
+def dataset_summary(data: DataFrame, fields: tuple[str, ...] = ()) -> DataFrame:
+    """One row: counts, share of positives, days, repeated keys, and of `fields` those with nulls (name=count), all null, and constant.
 
-def latest_n(df: DataFrame, n: int, by: str = "stock_id", day: str = "price_date") -> DataFrame:
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(by).orderBy(F.col(day).desc()))).filter(F.col("_n") <= n).drop("_n")
+    A field is constant if all its values are equal, nulls too; lists are in the order of names. One pass for all fields.
+    """
+    names = sorted(fields)
+    keys = data.groupBy("stock_id", "price_date").count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("duplicates"))
+    per_field = [x for n in names for x in (F.count_if(F.col(n).isNull()).alias(f"_null_{n}"), (F.min(n) == F.max(n)).alias(f"_same_{n}"))]
+    out = data.agg(F.count("*").alias("rows"), F.countDistinct("stock_id").alias("stocks"), F.avg(F.col("target").cast("double")).alias("positive_rate"), F.min("price_date").alias("first_date"), F.max("price_date").alias("last_date"), *per_field).crossJoin(keys)
+    null, rows = lambda n: F.col(f"_null_{n}"), F.col("rows")
+    listed = lambda on, text=lambda n: F.lit(n): F.concat_ws(",", *[F.when(on(n), text(n)) for n in names])
+    return out.select(
+        "rows", "stocks", "positive_rate", "first_date", "last_date", "duplicates",
+        listed(lambda n: null(n) > 0, lambda n: F.concat(F.lit(f"{n}="), null(n).cast("string"))).alias("missing"), listed(lambda n: (rows > 0) & (null(n) == rows)).alias("all_null"),
+        listed(lambda n: (rows > 0) & ((null(n) == rows) | ((null(n) == 0) & F.col(f"_same_{n}")))).alias("constants"),
+    )

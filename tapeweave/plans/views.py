@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -84,13 +86,17 @@ def trade_distribution(trades: DataFrame, runs: DataFrame) -> DataFrame:
     return with_run(trades.withColumn("return_bucket", return_bucket(F.col("net_return_pct"))), runs)
 
 
+#: Counts of staged rows without a change; sources that give none miss it in all rows.
+MISSING = {"missing_staging_1d_change": "change_1d_pct", "missing_staging_ytd_change": "change_ytd_pct"}
+
+
 def data_quality_monitor(staging: DataFrame, prices: DataFrame, indicators: DataFrame) -> DataFrame:
     """Counts of the three tables for each day that any of them has, and their ratios."""
-    s = staging.groupBy("price_date").agg(F.count("*").alias("staged_rows"), F.countDistinct("source").alias("sources"), F.count_if(F.coalesce(F.col("close_price") <= 0, F.lit(True))).alias("invalid_staging_prices"))
+    s = staging.groupBy("price_date").agg(F.count("*").alias("staged_rows"), F.countDistinct("source").alias("sources"), F.count_if(F.coalesce(F.col("close_price") <= 0, F.lit(True))).alias("invalid_staging_prices"), *[F.count_if(F.col(c).isNull() if c in staging.columns else F.lit(True)).alias(n) for n, c in MISSING.items()])
     p = prices.groupBy("price_date").agg(F.count("*").alias("fact_rows"), F.count_if(F.col("data_quality_flag") == "GOOD").alias("good_rows"), F.count_if("has_complete_data").alias("complete_rows"), F.count_if(F.coalesce(F.col("close_price") <= 0, F.lit(True))).alias("invalid_fact_prices"))
     i = indicators.groupBy("price_date").agg(F.count("*").alias("indicator_rows"))
     out = s.join(p, "price_date", "full_outer").join(i, "price_date", "full_outer")
-    counts = ["staged_rows", "sources", "invalid_staging_prices", "fact_rows", "good_rows", "complete_rows", "invalid_fact_prices", "indicator_rows"]
+    counts = ["staged_rows", "sources", "invalid_staging_prices", *MISSING, "fact_rows", "good_rows", "complete_rows", "invalid_fact_prices", "indicator_rows"]
     out = out.fillna(0, counts)
     ratio = lambda a, b: F.round(F.col(a) / F.nullif(F.col(b), F.lit(0)) * 100, 2)
     return out.withColumns({"good_pct": ratio("good_rows", "fact_rows"), "indicator_pct": ratio("indicator_rows", "fact_rows")})
@@ -144,3 +150,32 @@ def chart(df: DataFrame, by: list[str], metrics: dict[str, Column], limit: int |
     """A dashboard chart: metrics by dimensions, ordered, up to a row limit (the chart's own)."""
     out = df.groupBy(*by).agg(*[c.alias(n) for n, c in metrics.items()]).orderBy(*by)
     return out if limit is None else out.limit(limit)
+
+
+def custom_metrics(board: DataFrame, trades: DataFrame, monitor: DataFrame) -> DataFrame:
+    """(metric, dimension, value): the dashboard's own measures over the latest day's board, the trades and the quality monitor."""
+    day = board.agg(F.max("recommendation_date").alias("_day"))
+    daily = board.join(F.broadcast(day), F.col("recommendation_date") == F.col("_day"))
+    measures = (
+        ("rejected_candidates", daily, F.col("recommendation_date").cast("string"), F.count_if(~F.col("portfolio_approved"))), ("rejections_by_reason", daily.filter(~F.col("portfolio_approved")), F.col("portfolio_reason"), F.count("*")),
+        ("return_distribution", trades, return_bucket(F.col("net_return_pct")), F.count("*")), ("invalid_prices", monitor, F.col("price_date").cast("string"), F.sum(F.col("invalid_staging_prices") + F.col("invalid_fact_prices"))),
+        ("missing_change_fields", monitor, F.col("price_date").cast("string"), F.sum(F.col("missing_staging_1d_change") + F.col("missing_staging_ytd_change"))),
+    )
+    parts = [df.groupBy(by.alias("dimension")).agg(value.cast("long").alias("value")).select(F.lit(name).alias("metric"), "dimension", "value") for name, df, by, value in measures]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def top_picks(recs: DataFrame, n: int, *, nulls_first: bool = False, day: str = "recommendation_date") -> DataFrame:
+    """The first n of each day by probability, score and agreement downwards, then code; nulls_first: rows without a probability lead, as where a database sorts nulls high."""
+    p = F.col("probability").desc_nulls_first() if nulls_first else F.col("probability").desc_nulls_last()
+    order = Window.partitionBy(day).orderBy(p, F.col("score").desc(), F.col("agreement").desc(), "stock_code")
+    return recs.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= n)
+
+
+def extremes(indicators: DataFrame, n: int, *, oversold: float = 30.0, overbought: float = 70.0, volatile: float = 0.3) -> DataFrame:
+    """(list, place, stock_id, value): each list in its own order, ties by instrument: oversold upwards, overbought and volatile downwards."""
+    rsi, vol = F.col("rsi_14"), F.col("volatility_30")
+    entry = lambda name, on, value, key: F.when(on, F.struct(F.lit(name).alias("list"), value.alias("value"), key.alias("key")))
+    entries = F.array(entry("oversold", rsi <= oversold, rsi, rsi), entry("overbought", rsi >= overbought, rsi, -rsi), entry("volatile", vol >= volatile, vol, -vol))
+    rows = indicators.select("stock_id", F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e")).select("stock_id", "e.*")
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy("list").orderBy("key", "stock_id"))).filter(F.col("place") <= n).drop("key")

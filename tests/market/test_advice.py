@@ -150,3 +150,29 @@ def test_facts_are_stored_once(spark):
     facts.refresh("nowhere")
     facts.stored(spark, "nowhere", "fact", build)
     assert len(built) == 2
+
+
+def test_filter_of_a_days_list(spark):
+    """A function sees each day's actionable rows, whole and alone, before the ranking."""
+    rows = snapshot.screened(spark, SF)
+    days = {r["entry_date"]: r["n"] for r in backtest.candidate_trades(rows).groupBy("entry_date").agg(F.count("*").alias("n")).collect()}
+    assert max(days.values()) > 1
+    best = backtest.candidate_trades(rows, keep=lambda day: day["score"] == day["score"].max())
+    first = backtest.candidate_trades(rows, top_n=1)
+    assert {r["entry_date"] for r in best.collect()} == set(days)
+    assert best.select("entry_date", F.round("score", 9)).distinct().exceptAll(first.select("entry_date", F.round("score", 9)).distinct()).count() == 0
+    assert backtest.candidate_trades(rows, keep=lambda day: day["score"] < 0).count() == 0
+
+
+def test_reports_are_json_lines(spark, tmp_path):
+    staging.write_report(snapshot.runs(spark, SF).select("run_id", "run_type"), str(tmp_path / "r"))
+    assert spark.read.json(str(tmp_path / "r")).columns == ["run_id", "run_type"] and spark.read.json(str(tmp_path / "r")).count() == snapshot.runs(spark, SF).count()
+
+
+def test_summary_of_a_dataset(spark):
+    rows = [(1, DAY, 1, 2.0, None, "x"), (1, DAY, 0, None, None, "x"), (2, DAY, 1, 2.0, None, "x")]
+    df = spark.createDataFrame(rows, "stock_id long, price_date date, target int, a double, b double, c string")
+    got = modeling.dataset_summary(df, ("c", "b", "a")).first()
+    assert (got["rows"], got["stocks"], got["duplicates"], got["missing"], got["all_null"], got["constants"]) == (3, 2, 1, "a=1,b=3", "b", "b,c")
+    empty = modeling.dataset_summary(df.limit(0), ("a",)).first()
+    assert (empty["rows"], empty["duplicates"], empty["missing"], empty["constants"]) == (0, 0, "", "")
