@@ -531,7 +531,9 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     A text's set is its distinct shingles of `shingle` words, A-Z in lower case; with fewer words, the
     whole sequence as one; null texts and texts without words have an empty set and link with none.
     Two documents link when den * intersection >= num * union. Rows that share an id are one document,
-    which has the links of all. Rows with a null id have no links and a null component.
+    which has the links of all. Rows with a null id have no links and a null component. An empty table
+    gives an empty one. Texts of any length count whole: one text's words and shingles are in a task's
+    memory at a time. Other columns are not read, whatever their names.
 
     Equal sets are made one first, by digest. Of the links between different sets only those that the
     components need are looked for: not those within a component known by then.

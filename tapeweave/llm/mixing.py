@@ -49,7 +49,7 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     id, a running sum of these with one offset per source (of seed and source) passes integers; a
     document is emitted once for each integer that its own step crosses. As neighbours are alike in
     size, the words taken come near the target. Null texts have size 0; a source without words has
-    target 0. Null ids are ranked last; rows that are alike are interchangeable. Input columns of the
+    target 0. Ids are whole numbers; null ids are ranked last; rows that are alike are interchangeable. Input columns of the
     added names are replaced; columns of any other names are left as they are. An empty table stays
     empty. The running sum is split into lots of (source, size, id lot), which are counted, summed
     over the counts (within blocks of sizes, then over a source's blocks), and ranked within.

@@ -136,7 +136,8 @@ def nearest(df: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embeddi
     id. Vectors that are null, zero, or hold null or non-finite components take no part. Vectors of
     different lengths have no cosine: those of one length are searched among themselves, a length
     after another. Rows that repeat id and vector are one; of a query id with several vectors one is
-    asked. Rows with null ids take no part. An empty table gives no rows.
+    asked. Rows with null ids take no part. An empty table gives no rows. Other columns are not read, whatever
+    their names.
     """
     all_rows = _finite(df, id_col, vector_col)
     lengths = sorted(r[0] for r in all_rows.groupBy(F.size("vector")).count().collect())

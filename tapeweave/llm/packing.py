@@ -357,7 +357,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_i
     """Pieces of all rows of docs, each with its place in a sequence of at most `capacity` tokens.
 
     Only documents longer than a sequence are cut. Rows with null ids, and rows that share an id, are
-    documents of their own. No rows give no pieces. The tokenised pieces are written to the shared
+    documents of their own. No rows give no pieces. Other columns are not read, whatever their names; a very
+    long text is tokenised whole, in one task. The tokenised pieces are written to the shared
     folder once, so that texts are not tokenised again.
     """
     pieces = written(token_pieces(docs, tokenizer_path, id_col=id_col, text_col=text_col, capacity=capacity, end_id=end_id), "pieces")

@@ -13,6 +13,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from .shared import small_batches
+
 #: Kinds in the order in which spans of one start are listed.
 KINDS = ("assign", "access", "hex", "checked", "jwt", "key")
 
@@ -92,9 +94,11 @@ def secret_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     spans lists kind:start:end of all secrets by start, then kind; base_sha256 is the digest of the
     same list without the method's own kinds (checked tokens, signed web tokens, private keys).
-    Null and empty texts have no secrets; rows with null or repeated ids are rows like others.
+    Null and empty texts have no secrets; rows with null or repeated ids are rows like others. An empty table
+    gives an empty one. Texts of any length are searched whole. Other columns are not read, whatever their names.
     A narrow map over rows: nothing is shuffled, and a lost task is run again.
     """
+    small_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

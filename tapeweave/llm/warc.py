@@ -183,8 +183,9 @@ def read_warc(spark: SparkSession, folder: str, *, split_bytes: int = 8 << 20) -
 def archive_round_trip(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", min_bytes: int = 1000, split_bytes: int = 8 << 20) -> DataFrame:
     """Write pages to archives in the shared folder and read them back: id, payload_bytes, payload_digest, record_type, refers_to, url, block.
 
-    A null body is an empty payload. Other columns of pages are not archived, whatever their names. Rows that share an id and a payload are told apart only by being
-    two records. An empty table gives no records.
+    A null body is an empty payload. Other columns of pages are not archived, whatever their names. Rows
+    that share an id and a payload are told apart only by being two records. An empty table gives no
+    records. A page of any length is one record, compressed and read in a task's memory.
     """
     spark = pages.sparkSession
     folder = f"{shared_dir(spark)}/warc/{uuid.uuid4().hex}"
