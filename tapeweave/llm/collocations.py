@@ -280,5 +280,11 @@ def collocations(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     found = reduce(DataFrame.unionByName, candidates).withColumn("_lot", F.pmod(F.xxhash64("phrase"), F.lit(LOTS)))
     first = found.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "_lot").orderBy(*order))).filter(F.col("rank") <= top)
+    first = written(first, "ranked")  # read twice
+    # where every lot has so many phrases of a score or a better one, no lower score is among the top
+    each = -(-top // LOTS)
+    bounds = first.filter(F.col("rank") == each).groupBy("lang").agg(F.min("score").alias("_least"), F.count("*").alias("_lots")).filter(F.col("_lots") == LOTS)
+    bounds = written(bounds.drop("_lots"), "bounds")
+    first = first.join(small_side(bounds, bounds.count(), 64), "lang", "left").filter(F.coalesce(F.col("score") >= F.col("_least"), F.lit(True)))
     ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
