@@ -716,8 +716,8 @@ def _(spark, sf):
 # ---- modelling and validation ----
 
 
-def _dataset(spark, sf):
-    rows = features.dataset(market.prices(spark, sf), snapshot.indicator_rows(spark, sf), start="1996-01-01", end="2001-10-31", threshold=0.0)
+def _dataset(spark, sf, min_confidence=65.0):
+    rows = features.dataset(market.prices(spark, sf), snapshot.indicator_rows(spark, sf), start="1996-01-01", end="2001-10-31", threshold=0.0, min_confidence=min_confidence)
     return features.feature_vector(rows)
 
 
@@ -749,7 +749,7 @@ def _away(a: str, b: str) -> str:
 
 _FEATURE_SQL = dict(zip(features.FEATURES, (
     *[f"coalesce(change_{n}d, 0)" for n in (1, 3, 5, 10, 20, 30, 60)],
-    "(coalesce(rsi_14, 50) - 50) / 50", "coalesce(macd, 0)", "coalesce(macd - macd_signal, 0)", "coalesce(volatility_10d, 0)", "coalesce(volatility_20d, 0)", "coalesce(volatility_30, 0)", "coalesce(downside_volatility_20d, 0)",
+    "(coalesce(rsi_14, 50) - 50) / 50", "coalesce(macd, 0)", "coalesce(macd - coalesce(macd_signal, 0), 0)", "coalesce(volatility_10d, 0)", "coalesce(volatility_20d, 0)", "coalesce(volatility_30, 0)", "coalesce(downside_volatility_20d, 0)",
     "coalesce(volume_ratio, 1) - 1", "coalesce(avg_volume_20d, 0) / 1e6", "coalesce(volume_trend, 1) - 1", "coalesce(confidence_score, 50) / 100", "trusted_history_days / 100.0::DOUBLE",
     _away("close_price", "ma_7"), _away("close_price", "ma_30"), _away("close_price", "ma_90"), _away("ma_7", "ma_30"), _away("ma_30", "ma_90"),
     _away("close_price", "high_20d"), _away("close_price", "high_60d"), _away("close_price", "low_20d"), _away("close_price", "low_60d"), "drawdown_20d", "(high_60d - close_price) / high_60d * 100", "rebound_20d", "(close_price - low_60d) / low_60d * 100", "0.5::DOUBLE",
@@ -830,7 +830,7 @@ def _(spark, sf):
 
 def _models(spark, sf):
     """The store of probability models, fitted anew every seven days (refit_days=1 is a model for every day)."""
-    return stored(spark, sf, "models", lambda: modeling.model_store(_dataset(spark, sf), features.FEATURES, window_days=540, refit_days=7), sort=("as_of",))
+    return stored(spark, sf, "models", lambda: modeling.model_store(_dataset(spark, sf, 60.0), features.FEATURES, window_days=540, refit_days=7), sort=("as_of",))
 
 
 def _bad_trade_risk(spark, sf):

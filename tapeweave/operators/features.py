@@ -47,9 +47,9 @@ def with_label(df: DataFrame, *, horizon: int = 10, threshold: float = 0.0) -> D
     return df.withColumns({"horizon_date": F.lead("price_date", horizon).over(by_day()), "forward_return": forward, "target": (forward > threshold).cast("int")})
 
 
-def dataset(prices: DataFrame, indicators: DataFrame, *, start: str, end: str, horizon: int = 10, threshold: float = 0.0, outlier: float = 50.0, min_history: int = 30) -> DataFrame:
+def dataset(prices: DataFrame, indicators: DataFrame, *, start: str, end: str, horizon: int = 10, threshold: float = 0.0, outlier: float = 50.0, min_history: int = 30, min_confidence: float = 65.0) -> DataFrame:
     """Labelled rows: the range first, then the windows; outliers at the anchor and ahead are left out."""
-    eligible = prices.filter(F.col("price_date").between(start, end)).filter(modelable())
+    eligible = prices.filter(F.col("price_date").between(start, end)).filter(modelable(min_confidence))
     move = F.coalesce(F.col("change_1d_pct"), pct(F.col("close_price"), F.lag("close_price").over(by_day())))
     rows = with_label(price_features(eligible).withColumn("_move", move), horizon=horizon, threshold=threshold)
     rows = rows.filter((F.coalesce(F.abs("_move"), F.lit(0.0)) <= outlier) & F.col("forward_return").isNotNull() & (F.abs("forward_return") <= outlier) & (F.col("trusted_history_days") >= min_history)).drop("_move")
@@ -61,7 +61,7 @@ def feature_vector(df: DataFrame) -> DataFrame:
     d = lambda name, x=0.0: F.coalesce(F.col(name).cast("double"), F.lit(float(x)))
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
     away = lambda a, b: F.coalesce(pct_distance(F.col(a), F.col(b)), F.lit(0.0))
-    c, gap = "close_price", F.col("macd") - F.col("macd_signal")
+    c, gap = "close_price", F.col("macd") - F.coalesce("macd_signal", F.lit(0.0))  # a missing signal counts as 0
     official = F.col("is_official") if "is_official" in df.columns else F.col("bar_status").isin("RECONCILED", "OFFICIAL")
     values = (
         d("change_1d"), d("change_3d"), d("change_5d"), d("change_10d"), d("change_20d"), d("change_30d"), d("change_60d"),
