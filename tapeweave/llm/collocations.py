@@ -28,7 +28,7 @@ SHARD = 1 << 19
 #: Bytes of texts whose words are counted at a time.
 CHUNK = 2 << 20
 #: Lots in which a language's phrases are ranked before the best of these meet.
-LOTS = 64
+LOTS = 512
 
 _CUTS = np.zeros(256, bool)
 _CUTS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
