@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import dropped, free, quoted, small_batches, small_side, written
+from .shared import dropped, free, quoted, scratch, small_batches, small_side, written
 from .sketch import maybe_repeated, repeated_cells, width_for
 from .textops import LOWER, mix, rolling, text_chunks, word_hashes, words
 
@@ -560,7 +560,9 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """docs without all but one document, that of the smallest id, of each component. Rows with null ids stay."""
-    groups = jaccard_components(docs, id_col=id_col, text_col=text_col, shingle=shingle, num=num, den=den)
     gone, = free(docs, "gone")
-    others = written(groups.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(gone)).distinct(), "near-copies")
+    with scratch() as made:
+        groups = jaccard_components(docs, id_col=id_col, text_col=text_col, shingle=shingle, num=num, den=den)
+        others = written(groups.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(gone)).distinct(), "near-copies")
+    dropped(*[t for t in made if t is not others])
     return docs.join(small_side(others, others.count()), F.col(quoted(id_col)) == F.col(gone), "left_anti")

@@ -62,7 +62,7 @@ class Encoder:
     plain = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
     cut = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 
-    def __init__(self, path: str, end_id: int):
+    def __init__(self, path: str, end_id: int, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
@@ -73,7 +73,7 @@ class Encoder:
         shown = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b]
         hidden = [b for b in range(256) if b not in set(shown)]
         self.letters = {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
-        self.runs, self.words = Remembered(self._run, REMEMBERED), Remembered(self._word, REMEMBERED)
+        self.runs, self.words = Remembered(self._run, remembered), Remembered(self._word, remembered)
 
     def _run(self, run: str) -> bytes:
         if not run.isascii():
@@ -95,14 +95,14 @@ class Encoder:
 _encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = 0) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = 0, remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece: id, piece (from 0), start, length, ids_crc32. Null text: empty, one closing id."""
     small_batches(docs.sparkSession)
     narrow = docs.select(F.col(quoted(id_col)).alias("_id"), F.col(quoted(text_col)).cast("string").alias("_text"))
     id_type = narrow.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = (tokenizer_path, end_id)
+        key = (tokenizer_path, end_id, remembered)
         if key not in _encoders:  # workers are used again
             _encoders[key] = Encoder(*key)
         encoder = _encoders[key]
@@ -353,14 +353,15 @@ def pack(pieces: DataFrame, *, capacity: int = 2048) -> DataFrame:
     return out.withColumns({"sequence_id": sequence_id, "offset": offset}).drop("_lot", "_slots", "_before", "_rank", "_slot", "_in")
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = 0) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = 0, remembered: int = REMEMBERED) -> DataFrame:
     """Pieces of all rows of docs, each with its place in a sequence of at most `capacity` tokens.
 
     Only documents longer than a sequence are cut. Rows with null ids, and rows that share an id, are
     documents of their own. No rows give no pieces. Other columns are not read, whatever their names; a very
     long text is tokenised whole, in one task. The tokenised pieces are written to the shared
-    folder once, so that texts are not tokenised again.
+    folder once, so that texts are not tokenised again. remembered: entries of each generation of the words that a worker
+    remembers; fewer take less memory and more time.
     """
-    pieces = written(token_pieces(docs, tokenizer_path, id_col=id_col, text_col=text_col, capacity=capacity, end_id=end_id), "pieces")
+    pieces = written(token_pieces(docs, tokenizer_path, id_col=id_col, text_col=text_col, capacity=capacity, end_id=end_id, remembered=remembered), "pieces")
     out = pack(pieces, capacity=capacity)
     return out.select(F.col("_id").alias(id_col), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

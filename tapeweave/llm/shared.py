@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,20 +39,45 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+def short_shuffles(spark: SparkSession) -> None:
+    """Shuffle files go when the query that wrote them ends, for the session and for good; else they stay until the driver collects garbage."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+#: Lists of scratch() that are open: each holds the tables written since.
+_scratch: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[list[DataFrame]]:
+    """A list of the tables of written() that are made within and not deleted there."""
+    made: list[DataFrame] = []
+    _scratch.append(made)
+    try:
+        yield made
+    finally:
+        _scratch[:] = [m for m in _scratch if m is not made]
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """Write df as Parquet in the shared folder and return a scan of it."""
     spark = df.sparkSession
     small_batches(spark)
+    short_shuffles(spark)
     path = f"{shared_dir(spark)}/tables/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written = path
+    for made in _scratch:
+        made.append(out)
     return out
 
 
 def dropped(*tables: DataFrame) -> None:
     """Delete tables of written() that nothing reads any more."""
     for df in tables:
+        for made in _scratch:
+            made[:] = [t for t in made if t._written != df._written]
         jvm, spark = df.sparkSession._jvm, df.sparkSession
         path = jvm.org.apache.hadoop.fs.Path(df._written)
         path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

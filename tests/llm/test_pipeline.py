@@ -2,11 +2,14 @@
 
 import math
 import re
+import time
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import corpus_pipeline as pipeline
 import pytest
 
+from tapeweave.llm import shared
 from tapeweave.llm.queries import tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -144,3 +147,29 @@ def test_stages_on_odd_rows(spark, odd):
 def test_stages_on_empty_tables(spark, odd):
     for name, stage in pipeline.STAGES:
         assert stage(spark, odd.limit(0), SF).count() == 0, name
+
+
+def tables(folder):
+    return sorted(p.name.rsplit("-", 1)[0] for p in (folder / "tables").iterdir())
+
+
+def test_run_leaves_the_last_stage_alone(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shared, "shared_dir", lambda _: f"file://{tmp_path}")
+    assert pipeline.run(spark, SF).count() > 0
+    assert tables(tmp_path) == ["best-fit-packing"]
+    assert pipeline.drop_near_copies(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF).count() > 0
+    assert tables(tmp_path) == ["best-fit-packing", "near-copies"]
+
+
+def test_shuffle_files_go_with_their_query(spark, tmp_path, monkeypatch):
+    """No garbage has to be collected by the driver for it."""
+    monkeypatch.setattr(shared, "shared_dir", lambda _: f"file://{tmp_path}")
+    folders = [Path(str(d)) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    shuffled = lambda: {f.name for d in folders for f in d.rglob("shuffle_*")}
+    before = shuffled()
+    shared.written(spark.range(10_000).repartition(4, "id"), "dealt")
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffled() <= before
