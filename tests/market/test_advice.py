@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tapeweave.operators import advisory, backtest, features, modeling, staging
+from tapeweave.operators import advisory, backtest, features, indicators, modeling, staging
 from tapeweave.plans import facts, snapshot, views
 from tapeweave.sources import readers
 
@@ -176,3 +176,22 @@ def test_summary_of_a_dataset(spark):
     assert (got["rows"], got["stocks"], got["duplicates"], got["missing"], got["all_null"], got["constants"]) == (3, 2, 1, "a=1,b=3", "b", "b,c")
     empty = modeling.dataset_summary(df.limit(0), ("a",)).first()
     assert (empty["rows"], empty["duplicates"], empty["missing"], empty["constants"]) == (0, 0, "", "")
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_indicators_are_dealt_once(spark):
+    bars = spark.createDataFrame([(1, DAY, 2.0)], "stock_id long, price_date date, close_price double")
+    assert exchanges(indicators.with_indicators(bars)) == 1
+
+
+def test_stored_screen_is_narrow_and_rows_without_a_rank_stay(spark):
+    assert tuple(snapshot.gated(spark, SF).columns) == snapshot.GATED
+    # features, indicators and prices: an instrument's rows are not dealt anew by instrument and day
+    assert "hashpartitioning(stock_id#" in (plan := snapshot.snapshot_rows(spark, SF)._jdf.queryExecution().executedPlan().toString())
+    assert not any("price_date" in part.split(")")[0] for part in plan.split("Exchange hashpartitioning(")[1:])
+    rows = snapshot.screened(spark, SF)
+    assert rows.count() == snapshot.gated(spark, SF).count()
+    assert rows.filter("rank is null").count() == snapshot.gated(spark, SF).filter("rejection_reason is not null or action not in ('BUY', 'STRONG_BUY')").count()
