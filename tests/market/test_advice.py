@@ -195,3 +195,11 @@ def test_stored_screen_is_narrow_and_rows_without_a_rank_stay(spark):
     rows = snapshot.screened(spark, SF)
     assert rows.count() == snapshot.gated(spark, SF).count()
     assert rows.filter("rank is null").count() == snapshot.gated(spark, SF).filter("rejection_reason is not null or action not in ('BUY', 'STRONG_BUY')").count()
+
+
+def test_alerts_in_sql_derive_no_trades(spark):
+    from tapeweave import catalog
+
+    facts.refresh(SF)
+    assert catalog.QUERIES["v20_sql_active_alerts"](spark, SF).columns == ["stock_code", "rule_id", "alert_date"]
+    assert {name for _, folder, name in facts._STORED if folder == SF} == {"prices", "indicators"}
