@@ -31,3 +31,18 @@ def test_small_tables_change_nothing(spark):
     market.sized(other, SF)
     assert other.conf.get("spark.sql.shuffle.partitions") == "8"
     assert other.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None) is None
+
+
+def test_daily_run_deals_rows_once(spark, monkeypatch):
+    """Windows come before the scan: its output was dealt anew for the year's first close, and again for the last bars."""
+    plans, cut = [], indicators.cut_lineage
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df, name)
+
+    monkeypatch.setattr(indicators, "cut_lineage", seen)
+    bars = market.bars(spark, SF).select("stock_id", "price_date", "close_price").localCheckpoint()
+    _, state = indicators.continue_indicators(bars.filter("price_date < '2000-12-20'"), spark.createDataFrame([], indicators.STATE))
+    assert "Exchange" not in plans[0][: plans[0].index("MapInArrow")] and "Window" not in plans[0][: plans[0].index("MapInArrow")]
+    assert state.filter("smooth is null").count() == 0 and state.count() == bars.select("stock_id").distinct().count()
