@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tapeweave.operators import features, indicators, staging
-from tapeweave.plans import market
+from tapeweave.plans import market, views
 
 SF = "/root/testdata/sf0.01"
 
@@ -46,3 +46,18 @@ def test_daily_run_deals_rows_once(spark, monkeypatch):
     _, state = indicators.continue_indicators(bars.filter("price_date < '2000-12-20'"), spark.createDataFrame([], indicators.STATE))
     assert "Exchange" not in plans[0][: plans[0].index("MapInArrow")] and "Window" not in plans[0][: plans[0].index("MapInArrow")]
     assert state.filter("smooth is null").count() == 0 and state.count() == bars.select("stock_id").distinct().count()
+
+
+def test_last_values_without_a_sort(spark):
+    """A struct in max_by made Spark sort all rows of a task before it summed them up, in memory that grew with the table."""
+    prices = spark.createDataFrame([(1, "2001-01-01", 1.0, 10, 0.5), (1, "2001-01-03", 3.0, 30, None), (1, "2001-01-02", 2.0, 20, 0.7), (2, "2001-01-01", 5.0, None, 0.1)], "stock_id long, price_date string, close_price double, volume long, change_1d_pct double").withColumn("price_date", F.to_date("price_date"))
+    stocks = spark.createDataFrame([(1, "A", 1, True), (2, "B", 1, True), (3, "C", 2, True), (4, "D", 2, False)], "stock_id long, stock_code string, sector_id long, is_active boolean")
+    latest = views.latest_prices(prices, stocks)
+    assert sorted((r.stock_id, str(r.price_date), r.close_price, r.volume, r.change_1d_pct) for r in latest.collect()) == [(1, "2001-01-03", 3.0, 30, None), (2, "2001-01-01", 5.0, None, 0.1), (3, "None", None, None, None)]
+    indicators = prices.select("stock_id", "price_date", F.col("close_price").alias("ma_30"), F.col("change_1d_pct").alias("rsi_14"))
+    alerts = spark.createDataFrame([], "stock_id long, alert_date date, rule_type string")
+    shown = views.investment_dashboard(latest, indicators, alerts)
+    assert sorted((r.stock_id, r.ma_30, r.rsi_14, r.alert_count) for r in shown.collect()) == [(1, 3.0, None, 0), (2, 5.0, 0.1, 0), (3, None, None, 0)]
+    for df, names in ((latest, ["volume"]), (shown, ["volume", "ma_30"])):
+        plan = df.select("stock_id", *names)._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan.replace("\n", " ") and "HashAggregate" in plan
