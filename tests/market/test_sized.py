@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tapeweave import catalog
 from tapeweave.operators import features, indicators, staging
 from tapeweave.plans import market, views
 
@@ -33,6 +34,32 @@ def test_small_tables_change_nothing(spark):
     assert other.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None) is None
 
 
+def most_in_a_part(spark, monkeypatch, name):
+    """Rows of a query, and the most in one part, where the session has a size of parts that holds the whole table."""
+    monkeypatch.setattr(market, "PART_LINES", 2_000)
+    monkeypatch.setattr(market, "PART_BYTES", 20_000)
+    other = spark.newSession()
+    for key, value in (("advisoryPartitionSizeInBytes", "64m"), ("coalescePartitions.parallelismFirst", "false"), ("coalescePartitions.minPartitionSize", "1b")):
+        other.conf.set(f"spark.sql.adaptive.{key}", value)
+    sizes = [r["n"] for r in catalog.QUERIES[name](other, SF).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    return sum(sizes), max(sizes)
+
+
+def test_older_windows_with_a_size_that_was_set(spark, monkeypatch):
+    """A size of parts that was set stayed, and the sorts of a task grew with the table."""
+    rows, most = most_in_a_part(spark, monkeypatch, "w25_older_windows")
+    assert rows == 50_407 and most <= rows / 4
+
+
+def test_smaller_sizes_stay(spark, monkeypatch):
+    monkeypatch.setattr(market, "PART_LINES", 2_000)
+    for was, then in (("1m", "1m"), ("8MB", "8MB"), ("9m", str(market.PART_BYTES))):
+        other = spark.newSession()
+        other.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", was)
+        market.sized(other, SF)
+        assert other.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == then
+
+
 def test_daily_run_deals_rows_once(spark, monkeypatch):
     """Windows come before the scan: its output was dealt anew for the year's first close, and again for the last bars."""
     plans, cut = [], indicators.cut_lineage
