@@ -51,6 +51,12 @@ def test_older_windows_with_a_size_that_was_set(spark, monkeypatch):
     assert rows == 50_407 and most <= rows / 4
 
 
+def test_merged_batches_with_a_size_that_was_set(spark, monkeypatch):
+    """As above: joins of quotes and bars, and rows dealt by code and day, held a part as large as the setting."""
+    rows, most = most_in_a_part(spark, monkeypatch, "u02_merge_batches")
+    assert rows == 53_307 and most <= rows / 4
+
+
 def test_smaller_sizes_stay(spark, monkeypatch):
     monkeypatch.setattr(market, "PART_LINES", 2_000)
     for was, then in (("1m", "1m"), ("8MB", "8MB"), ("9m", str(market.PART_BYTES))):
