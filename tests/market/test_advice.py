@@ -203,3 +203,12 @@ def test_alerts_in_sql_derive_no_trades(spark):
     facts.refresh(SF)
     assert catalog.QUERIES["v20_sql_active_alerts"](spark, SF).columns == ["stock_code", "rule_id", "alert_date"]
     assert {name for _, folder, name in facts._STORED if folder == SF} == {"prices", "indicators"}
+
+
+def test_percentages_of_a_board_are_rounded_once(spark):
+    """Values that tie to nine digits go by their code; percentages are of the values as they are, not of rounded ones."""
+    stocks = spark.createDataFrame([(1, "AA", 3), (2, "BB", 3)], "stock_id long, company_name string, sector_id int")
+    rows = [(1, "AA", 0.709449999950, 70.9449999950), (2, "BB", 0.709449999951, 70.9449999951)]
+    recs = spark.createDataFrame([(i, code, DAY, "balanced", False, None, p, s, 0.46425) for i, code, p, s in rows], "stock_id long, stock_code string, recommendation_date date, profile string, portfolio_approved boolean, portfolio_rank int, probability double, score double, agreement double")
+    board = views.recommendation_board(recs, stocks, digits=9).orderBy("board_rank").collect()
+    assert [(r["stock_code"], r["probability_pct"]) for r in board] == [("AA", 70.94), ("BB", 70.94)]
