@@ -33,6 +33,8 @@ LEAF, LEAF_BYTES = 4096, 16 << 20
 SMALL = 8
 #: Share of the universe of shingles that the sketch counts.
 SHARE = 0.5
+#: Cells of one row of that sketch, at most: 64 MB of bits. It lets sets through that link with none where keys are more than cells.
+CELLS = 1 << 29
 #: Pairs for each of its members that a region may send to be compared by whole sets before links known by then are taken out.
 FIRST = 8
 #: First regions of a document that travel with it.
@@ -158,7 +160,7 @@ def set_digests(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFram
 def _first_regions(own: DataFrame, n: int, limit: Threshold) -> DataFrame:
     """(region, id) of the documents of which a count-min sketch leaves enough shingles as held by others."""
     size = own.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    width = width_for(int(SHARE * size / 6))
+    width = width_for(int(SHARE * size / 6), CELLS)
     edge = np.uint64(int(SHARE * (1 << 64)))
 
     def keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:

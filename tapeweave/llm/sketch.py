@@ -29,9 +29,9 @@ def cells(keys: np.ndarray, row: int, width: int) -> np.ndarray:
     return (((h >> np.uint64(32)) * np.uint64(width)) >> np.uint64(32)).astype(np.int64)
 
 
-def width_for(expected_keys: int) -> int:
-    """Cells in a row: three for each key, up to the bound."""
-    return int(min(MOST_CELLS, max(1 << 12, 3 * expected_keys)))
+def width_for(expected_keys: int, most: int | None = None) -> int:
+    """Cells in a row: three for each key, up to the bound; most: another one than MOST_CELLS."""
+    return int(min(most or MOST_CELLS, max(1 << 12, 3 * expected_keys)))
 
 
 def _sparse(at: np.ndarray, twice: np.ndarray) -> bytes:

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tapeweave.llm import jaccard
+from tapeweave.llm import jaccard, sketch
 
 
 def expected(rows, shingle, num, den):
@@ -136,3 +136,10 @@ def test_odd_rows(spark):
     kept = jaccard.one_of_each(df)
     assert kept.columns == df.columns
     assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 7, 8, 10]
+
+
+def test_sketch_has_a_cell_for_each_key_of_6_gb():
+    """With fewer cells than keys most sets pass it, and each is dealt to dozens of regions."""
+    keys = int(jaccard.SHARE * 6e9 / 6)
+    assert sketch.width_for(keys, jaccard.CELLS) >= keys
+    assert sketch.width_for(1000, jaccard.CELLS) == sketch.width_for(1000) == 1 << 12
